@@ -46,9 +46,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("-timeout", "--timeout", type=duration, default=INGEST_IDLE, help="idle time to stop after")
     p.add_argument("-flush", "--flush", type=duration, default=FLUSH_INTERVAL, help="time between micro-batches")
     p.add_argument("-available-now", "--available-now", action="store_true", help="take what is there and stop")
+    p.add_argument("-run-dir", "--run-dir", help="folder of an earlier run to carry on from; a new one by default")
 
     p = programs.add_parser("validate", parents=[common], help="write the sorted topics to files and report on them")
-    p.add_argument("-out", "--out", default="csv", help="folder for the outputs")
+    p.add_argument("-out", "--out", default="csv", help="folder that gets a folder of outputs for each run")
     p.add_argument("-report", "--report", default="results/SUCCESS.txt", help="path of the report")
     p.add_argument("-timeout", "--timeout", type=duration, default=OUTPUT_IDLE, help="idle time to stop after")
     p.add_argument("-available-now", "--available-now", action="store_true", help="take what is there and stop")
@@ -73,11 +74,14 @@ def main(argv: list[str] | None = None) -> dict:
             flush_interval=args.flush,
             max_bytes_per_trigger=args.batch,
             available_now=args.available_now,
+            run_dir=args.run_dir,
         )
     else:
-        result = run.validate(
-            spark, topics, args.out, idle_timeout=args.timeout, available_now=args.available_now, report_path=args.report
+        out_dir = f"{args.out}/{time.time_ns()}"
+        written = run.validate(
+            spark, topics, out_dir, idle_timeout=args.timeout, available_now=args.available_now, report_path=args.report
         )
+        result = {"out_dir": out_dir, "written": written, "report": args.report}
     print(json.dumps(result))
     return result
 

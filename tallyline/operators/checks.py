@@ -38,60 +38,62 @@ def count_check(counts: DataFrame, expected: int | Column) -> DataFrame:
     )
 
 
-def _same(left: pa.Array, right: pa.Array) -> np.ndarray:
-    return pc.equal(left, right).to_numpy(zero_copy_only=False)
+def _summarise_splits():
+    """A function that folds the lines of each file split into one row.
 
-
-def _split_summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fold the lines of each file split into one row.
-
-    The lines of a split reach the task in file order, one split after the
-    other, so only the last key of the batch before has to be kept.
+    Made inside a function so that it travels to the executors by value: they
+    need numpy and pyarrow but not this package.
     """
-    open_split = None
-
-    def closed(split: dict, schema: pa.Schema) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([split], schema=schema)
-
-    schema = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        file_path, block_start, key = (batch.column(name) for name in ("file_path", "block_start", "key"))
-        schema = schema or pa.schema(
-            [
-                ("file_path", pa.string()),
-                ("block_start", pa.int64()),
-                ("rows", pa.int64()),
-                ("first_key", key.type),
-                ("last_key", key.type),
-                ("violations", pa.int64()),
-                ("first_violation", pa.int64()),
-            ]
-        )
-        descends = pc.less(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
-        continues = _same(file_path[1:], file_path[:-1]) & _same(block_start[1:], block_start[:-1])
-        edges = [0, *(np.flatnonzero(~continues) + 1).tolist(), batch.num_rows]
-        for begin, end in zip(edges, edges[1:]):
-            place = (file_path[begin].as_py(), block_start[begin].as_py())
-            first, last = key[begin].as_py(), key[end - 1].as_py()
-            if open_split and (open_split["file_path"], open_split["block_start"]) != place:
-                yield closed(open_split, schema)
-                open_split = None
-            found = np.flatnonzero(descends[begin : end - 1]) + 2  # 1-based place of the later line
-            if open_split is None:
-                open_split = dict(
-                    file_path=place[0], block_start=place[1], rows=0, first_key=first, violations=0, first_violation=None
-                )
-            elif pc.less(key[begin], pa.scalar(open_split["last_key"], key.type)).as_py():
-                found = np.concatenate(([1], found))
-            if len(found) and open_split["first_violation"] is None:
-                open_split["first_violation"] = open_split["rows"] + int(found[0])
-            open_split["violations"] += len(found)
-            open_split["rows"] += end - begin
-            open_split["last_key"] = last
-    if open_split:
-        yield closed(open_split, schema)
+
+    def differs(column: pa.Array) -> np.ndarray:
+        return pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The lines of a split reach the task in file order, one split after
+        # the other, so only the summary of the open split has to be kept.
+        open_split, schema = None, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            file_path, block_start, key = (batch.column(name) for name in ("file_path", "block_start", "key"))
+            schema = schema or pa.schema(
+                [
+                    ("file_path", pa.string()),
+                    ("block_start", pa.int64()),
+                    ("rows", pa.int64()),
+                    ("first_key", key.type),
+                    ("last_key", key.type),
+                    ("violations", pa.int64()),
+                    ("first_violation", pa.int64()),
+                ]
+            )
+            descends = pc.less(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(differs(file_path) | differs(block_start)) + 1
+            edges = [0, *starts.tolist(), batch.num_rows]
+            for begin, end in zip(edges, edges[1:]):
+                place = {"file_path": file_path[begin].as_py(), "block_start": block_start[begin].as_py()}
+                if open_split and any(open_split[name] != place[name] for name in place):
+                    yield pa.RecordBatch.from_pylist([open_split], schema=schema)
+                    open_split = None
+                lower = np.flatnonzero(descends[begin : end - 1]) + 2  # 1-based place of the lower line
+                if open_split is None:
+                    open_split = place | {
+                        "rows": 0,
+                        "first_key": key[begin].as_py(),
+                        "violations": 0,
+                        "first_violation": None,
+                    }
+                elif pc.less(key[begin], pa.scalar(open_split["last_key"], key.type)).as_py():
+                    lower = np.concatenate(([1], lower))
+                if len(lower) and open_split["first_violation"] is None:
+                    open_split["first_violation"] = open_split["rows"] + int(lower[0])
+                open_split["violations"] += len(lower)
+                open_split["rows"] += end - begin
+                open_split["last_key"] = key[end - 1].as_py()
+        if open_split:
+            yield pa.RecordBatch.from_pylist([open_split], schema=schema)
+
+    return summarise
 
 
 def split_summaries(lines: DataFrame, key: Column) -> DataFrame:
@@ -103,7 +105,7 @@ def split_summaries(lines: DataFrame, key: Column) -> DataFrame:
     keyed = lines.select("file_path", "block_start", key.alias("key"))
     key_type = keyed.schema["key"].dataType.simpleString()
     return keyed.mapInArrow(
-        _split_summaries,
+        _summarise_splits(),
         "file_path string, block_start long, rows long, "
         f"first_key {key_type}, last_key {key_type}, violations long, first_violation long",
     )

@@ -29,13 +29,9 @@ def _length(draw: Column, bounds: tuple[int, int]) -> Column:
     return (draw % (high - low + 1) + low).cast("int")
 
 
-def _random_string(digest: Column, drop: str, keep_as: str, length: Column) -> Column:
-    """``length`` characters, each drawn evenly from a part of the base-64 alphabet.
-
-    Dropping the unwanted symbols leaves the others evenly likely. A digest
-    that leaves too few (fewer than one in 10^9) is filled up with 'a'.
-    """
-    return F.rpad(F.translate(F.base64(F.unhex(digest)), drop, keep_as), length, "a")
+def _fit(symbols: Column, length: Column) -> Column:
+    """Cut to ``length``; a digest that left too few symbols (one in 10^9) is filled up with 'a'."""
+    return F.rpad(symbols, length, "a")
 
 
 def records_for(df: DataFrame, row: str, seed: int = 0) -> DataFrame:
@@ -44,12 +40,14 @@ def records_for(df: DataFrame, row: str, seed: int = 0) -> DataFrame:
         {"_first": _digest(F.col(row), seed, "first"), "_second": _digest(F.col(row), seed, "second")}
     )
     first, second = F.col("_first"), F.col("_second")
+    # Base 64 has all the letters and digits. Taking out what a field does not
+    # use leaves its characters evenly likely; '+' stands in for the space.
+    letters = F.regexp_replace(F.base64(F.unhex(first)), "[^a-zA-Z]+", "")
+    spaced = F.replace(F.base64(F.unhex(F.substring(second, 1, 42))), F.lit("+"), F.lit(" "))
     raw = encode_record(
         _number(second, 43, 8) % (MAX_ID + 1),
-        _random_string(first, "0123456789+/=", "", _length(_number(second, 57, 4), NAME_LENGTH)),
-        _random_string(
-            F.substring(second, 1, 42), "+/=", " ", _length(_number(second, 61, 4), ADDRESS_LENGTH)
-        ),
+        _fit(letters, _length(_number(second, 57, 4), NAME_LENGTH)),
+        _fit(F.replace(spaced, F.lit("/"), F.lit("")), _length(_number(second, 61, 4), ADDRESS_LENGTH)),
         F.element_at(
             F.array(*map(F.lit, CONTINENTS)), (_number(second, 51, 6) % len(CONTINENTS) + 1).cast("int")
         ),

@@ -49,7 +49,6 @@ def process(
     idle_timeout: float = INGEST_IDLE,
     flush_interval: float = FLUSH_INTERVAL,
     max_bytes_per_trigger: int | None = DEFAULT_BATCH_BYTES,
-    checkpoint: str | None = None,
     available_now: bool = False,
     keys: Mapping[str, SortKey] = SORT_KEYS,
 ) -> dict:
@@ -57,16 +56,17 @@ def process(
 
     ``available_now`` takes what is there and stops; otherwise the drain ends
     at ``expected`` records or after ``idle_timeout`` seconds without one.
+    Given the ``run_dir`` of an earlier run, the drain carries on where that
+    one stopped and everything landed by both is sorted.
     """
     check_timeouts(idle_timeout, flush_interval)
     run_dir = run_dir or new_run_dir(spark, "run")
     batches = BatchLog()
     messages = topics.stream(spark, [SOURCE_TOPIC], max_bytes_per_trigger)
     trigger = {"availableNow": True} if available_now else time_trigger(flush_interval)
-    query = start_ingest(
-        messages, f"{run_dir}/landed", checkpoint or f"{run_dir}/checkpoint", batches, trigger=trigger
-    )
-    reason = drain(query, batches, until_count=expected, idle_timeout=idle_timeout) if not available_now else drain(query, batches)
+    query = start_ingest(messages, f"{run_dir}/landed", f"{run_dir}/checkpoint", batches, trigger=trigger)
+    limits = {} if available_now else {"until_count": expected, "idle_timeout": idle_timeout}
+    reason = drain(query, batches, **limits)
     log.info("ingest stopped: %s %s", reason, batches.summary())
 
     started = time.monotonic()
@@ -79,7 +79,7 @@ def process(
         log.info("sorted %s: %s records", key, emitted.get["emitted"])
         return emitted.get["emitted"]
 
-    emitted = for_each_key(spark, keys, sort) if batches.records or not landed.isEmpty() else dict.fromkeys(keys, 0)
+    emitted = dict.fromkeys(keys, 0) if landed.isEmpty() else for_each_key(spark, keys, sort)
     return {
         "run_dir": run_dir,
         "stopped": reason,
@@ -115,7 +115,6 @@ def validate(
     idle_timeout: float = OUTPUT_IDLE,
     available_now: bool = False,
     keys: Mapping[str, SortKey] = SORT_KEYS,
-    checkpoint: str | None = None,
     report_path: str | None = None,
 ) -> dict[str, int]:
     """Drain the sorted topics into one text output each and write the report."""
@@ -125,17 +124,17 @@ def validate(
     query = start_fanout(
         topics.stream(spark, list(keys)),
         f"{run_dir}/messages",
-        checkpoint or f"{run_dir}/messages_checkpoint",
+        f"{run_dir}/messages_checkpoint",
         batches,
         list(keys),
         trigger=trigger,
     )
-    if available_now:
-        drain(query, batches)
-    else:
-        drain(query, batches, idle_timeout=idle_timeout, arm_after_first=True)
+    limits = {} if available_now else {"idle_timeout": idle_timeout, "arm_after_first": True}
+    drain(query, batches, **limits)
+    log.info("topics drained: %s", batches.summary())
     written = write_topic_outputs(read_fanout(spark, f"{run_dir}/messages"), out_dir, list(keys))
+    log.info("written %s", written)
     outputs = output_paths(out_dir, list(keys))
     write_report(report_lines(sample_report(spark, outputs), outputs), report_path or f"{out_dir}/results/SUCCESS.txt")
-    log.info("written %s", written)
+    log.info("report written")
     return written

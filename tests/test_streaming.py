@@ -1,0 +1,186 @@
+from __future__ import annotations
+
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyline.sinks.text import output_paths, route_by_topic, write_topic_outputs
+from tallyline.sources.lines import read_lines
+from tallyline.sources.topics import MESSAGE_SCHEMA, FileTopics
+from tallyline.streaming.drain import check_timeouts, drain, time_trigger
+from tallyline.streaming.ingest import (
+    BatchLog,
+    batch_stats,
+    read_fanout,
+    read_landed,
+    start_fanout,
+    start_ingest,
+)
+
+
+def send(spark, topics, topic, first, n, partition=0, into=None):
+    rows = [(topic, partition, i, f"{i},name{i},address,Asia") for i in range(first, first + n)]
+    path = topics.path(into or topic)
+    spark.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+@pytest.fixture
+def topics(tmp_path):
+    return FileTopics(str(tmp_path / "topics"))
+
+
+@pytest.fixture
+def run(tmp_path):
+    return str(tmp_path / "run")
+
+
+def ingest(spark, topics, run, max_bytes=None, checkpoint="checkpoint", trigger=None, **limits):
+    log = BatchLog()
+    stream = topics.stream(spark, ["source"], max_bytes)
+    query = start_ingest(stream, f"{run}/landed", f"{run}/{checkpoint}", log, trigger=trigger)
+    return drain(query, log, **limits), log
+
+
+def landed(spark, run):
+    return sorted(int(r.raw.split(",")[0]) for r in read_landed(spark, f"{run}/landed").collect())
+
+
+def test_size_cuts_micro_batches_and_nothing_is_lost(spark, topics, run):
+    for i in range(4):
+        send(spark, topics, "source", 10 * i, 10)
+    reason, log = ingest(spark, topics, run, max_bytes=1)
+    assert reason == "finished" and len(log.batches) == 4
+    assert landed(spark, run) == list(range(40))
+    stats = batch_stats(read_landed(spark, f"{run}/landed")).orderBy("batch_id").collect()
+    assert [tuple(r) for r in stats] == [
+        (b["batch_id"], b["records"], b["payload_bytes"]) for b in sorted(log.batches, key=lambda b: b["batch_id"])
+    ]
+    assert log.summary()["records"] == 40 and log.summary()["batches"] == 4
+
+
+def test_second_run_starts_where_the_first_stopped(spark, topics, run):
+    send(spark, topics, "source", 0, 10)
+    ingest(spark, topics, run)
+    assert ingest(spark, topics, run)[1].records == 0
+    send(spark, topics, "source", 10, 7)
+    assert ingest(spark, topics, run)[1].records == 7
+    assert landed(spark, run) == list(range(17))
+
+
+def test_batch_run_again_replaces_its_folder(spark, topics, run):
+    send(spark, topics, "source", 0, 10)
+    ingest(spark, topics, run)
+    ingest(spark, topics, run, checkpoint="lost")
+    assert landed(spark, run) == list(range(10))
+
+
+def test_foreign_topics_are_counted_and_left_out(spark, topics, run):
+    send(spark, topics, "source", 0, 5)
+    send(spark, topics, "audit", 100, 3, into="source")
+    _, log = ingest(spark, topics, run)
+    assert (log.records, log.rejected) == (5, 3)
+    assert landed(spark, run) == list(range(5))
+
+
+def test_null_and_many_line_values(spark, topics, run):
+    rows = [("source", 0, 0, None), ("source", 0, 1, "1,a,b,Asia\r\n2,c,d,Asia")]
+    spark.createDataFrame(rows, MESSAGE_SCHEMA).write.parquet(topics.path("source"))
+    _, log = ingest(spark, topics, run)
+    assert log.records == 2
+    assert sorted(r.raw for r in read_landed(spark, f"{run}/landed").collect()) == ["", "1,a,b,Asia", "2,c,d,Asia"]
+
+
+def test_count_is_a_threshold(spark, topics, run):
+    for i in range(6):
+        send(spark, topics, "source", 10 * i, 10)
+    trigger = time_trigger(2)
+    reason, log = ingest(spark, topics, run, max_bytes=1, trigger=trigger, until_count=25)
+    assert reason == "count"
+    assert 25 <= log.records < 60
+    assert log.records % 10 == 0
+    ingest(spark, topics, run)
+    assert landed(spark, run) == list(range(60))
+
+
+def test_idle_clock_runs_from_the_start(spark, topics, run):
+    send(spark, topics, "source", 0, 5)
+    started = time.monotonic()
+    reason, log = ingest(spark, topics, run, trigger=time_trigger(0.2), idle_timeout=2)
+    assert reason == "idle" and log.records == 5
+    assert time.monotonic() - started >= 2
+
+
+def test_idle_without_any_message(spark, topics, run):
+    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(topics.path("source"))
+    assert ingest(spark, topics, run, trigger=time_trigger(0.2), idle_timeout=1)[0] == "idle"
+
+
+def test_idle_clock_may_wait_for_the_first_message(spark, topics, run):
+    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(topics.path("id"))
+    log, reasons = BatchLog(), []
+    query = start_fanout(
+        topics.stream(spark, ["id"]), f"{run}/messages", f"{run}/checkpoint", log, ["id"], time_trigger(0.2)
+    )
+    waiter = threading.Thread(target=lambda: reasons.append(drain(query, log, idle_timeout=1, arm_after_first=True)))
+    waiter.start()
+    time.sleep(3)
+    assert waiter.is_alive()
+    send(spark, topics, "id", 0, 5)
+    waiter.join(60)
+    assert reasons == ["idle"] and log.records == 5
+
+
+def test_a_running_batch_is_not_idle():
+    log = BatchLog()
+    log.begin()
+    assert log.idle_seconds(False) is None
+    log.end(0, {"records": 1, "payload_bytes": 1, "rejected": 0})
+    assert log.idle_seconds(True) < 1
+
+
+@pytest.mark.parametrize("timeout,flush", [(0, 1), (-1, 1), (5, 10)])
+def test_timeouts_are_checked(timeout, flush):
+    with pytest.raises(ValueError):
+        check_timeouts(timeout, flush)
+
+
+def test_nothing_landed_yet(spark, run):
+    assert read_landed(spark, f"{run}/landed").collect() == []
+    assert read_fanout(spark, f"{run}/messages").collect() == []
+
+
+def test_fanout_restores_topic_order(spark, topics, tmp_path, run):
+    # Later offsets arrive first and two partitions are mixed.
+    for topic in ("id", "name"):
+        send(spark, topics, topic, 50, 10, partition=1)
+        send(spark, topics, topic, 5, 5, partition=0)
+        send(spark, topics, topic, 0, 5, partition=0)
+    send(spark, topics, "other", 0, 3, into="id")
+    log = BatchLog()
+    stream = topics.stream(spark, ["id", "name", "continent"], 1)
+    drain(start_fanout(stream, f"{run}/messages", f"{run}/checkpoint", log, ["id", "name", "continent"]), log)
+    assert len(log.batches) > 1 and (log.records, log.rejected) == (40, 3)
+    out = str(tmp_path / "out")
+    written = write_topic_outputs(read_fanout(spark, f"{run}/messages"), out, ["id", "name", "continent"])
+    assert written == {"id": 20, "name": 20, "continent": 0}
+    lines = [r.value for r in spark.read.text(output_paths(out)["id"]).collect()]
+    assert [int(line.split(",")[0]) for line in lines] == [*range(10), *range(50, 60)]
+    assert read_lines(spark, output_paths(out)["continent"]).collect() == []
+
+
+def test_route_by_topic(spark, tmp_path):
+    rows = [("id", 0, 0, "a"), ("name", 0, 0, "b"), ("id", 0, 1, None), ("audit", 0, 0, "c"), (None, 0, 0, "d")]
+    path = str(tmp_path / "routed")
+    counts = route_by_topic(spark.createDataFrame(rows, MESSAGE_SCHEMA), path, ["id", "name", "continent"])
+    assert counts == {"routed": 3, "rejected": 2}
+    back = spark.read.schema("value string, topic string").text(path).select("topic", "value").collect()
+    assert sorted(map(tuple, back)) == [("id", ""), ("id", "a"), ("name", "b")]
+
+
+def test_streams_cannot_be_sorted_so_the_sort_reads_what_landed(spark, topics):
+    send(spark, topics, "source", 0, 5)
+    with pytest.raises(Exception, match="[Ss]ort"):
+        stream = topics.stream(spark, ["source"]).orderBy(F.col("value"))
+        stream.writeStream.format("noop").option("checkpointLocation", topics.path("c")).start().awaitTermination()
