@@ -41,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("-seed", "--seed", type=int, default=None, help="same seed, same records; the clock by default")
 
     p = programs.add_parser("process", parents=[common], help="sort the source topic into one topic per key")
-    p.add_argument("-batch", "--batch", type=int, default=run.DEFAULT_BATCH_BYTES, help="bytes per micro-batch")
+    p.add_argument("-batch", "--batch", type=int, default=run.DEFAULT_BATCH_BYTES, help="bytes per micro-batch and core")
     p.add_argument("-max", "--max", type=int, default=run.DEFAULT_RECORDS, help="records to stop at")
     p.add_argument("-timeout", "--timeout", type=duration, default=INGEST_IDLE, help="idle time to stop after")
     p.add_argument("-flush", "--flush", type=duration, default=FLUSH_INTERVAL, help="time between micro-batches")
@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> dict:
             expected=args.max,
             idle_timeout=args.timeout,
             flush_interval=args.flush,
-            max_bytes_per_trigger=args.batch,
+            batch_bytes=args.batch,
             available_now=args.available_now,
             run_dir=args.run_dir,
         )

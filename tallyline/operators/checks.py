@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.records import record_field, strip_line_end
 from tallyline.operators.positions import running_offsets
 from tallyline.session import union_all
-from tallyline.sources.lines import file_order, read_lines
+from tallyline.sources.lines import FILE_ORDER, read_lines
 
 
 def count_per_output(spark: SparkSession, outputs: Mapping[str, str]) -> DataFrame:
@@ -113,10 +113,8 @@ def split_summaries(lines: DataFrame, key: Column) -> DataFrame:
 
 def order_of_splits(splits: DataFrame) -> DataFrame:
     """(lines, violations, first_violation) over the splits of one output."""
-    place = [*file_order(F.col("file_path")), "block_start"]
-    chained = running_offsets(splits, "rows", place).withColumn(
-        "crossing", F.col("first_key") < F.lag("last_key").over(Window.orderBy(*place))
-    )
+    before = F.lag("last_key").over(Window.orderBy(*FILE_ORDER, "block_start"))
+    chained = running_offsets(splits, "block_start").withColumn("crossing", F.col("first_key") < before)
     crossing = F.coalesce(F.col("crossing"), F.lit(False))
     first = F.col("offset") + F.when(crossing, F.lit(1)).otherwise(F.col("first_violation"))
     return chained.agg(
@@ -137,13 +135,19 @@ def order_check(
     by; the default is the field named like the output.
     """
 
-    def check(name: str, path: str) -> DataFrame:
-        key = (keys or {}).get(name, name)
-        raw = strip_line_end(F.col("line"))
-        if isinstance(key, str):
-            key = record_field(raw, key)
-        lines = read_lines(spark, path).withColumn("raw", raw)
-        summary = order_of_splits(split_summaries(lines, key))
-        return summary.select(F.lit(name).alias("output"), "lines", "violations", "first_violation")
+    return order_of_outputs(
+        {name: output_splits(spark, path, (keys or {}).get(name, name)) for name, path in outputs.items()}
+    )
+
+
+def output_splits(spark: SparkSession, path: str, key: str | Column) -> DataFrame:
+    raw = strip_line_end(F.col("line"))
+    lines = read_lines(spark, path).withColumn("raw", raw)
+    return split_summaries(lines, record_field(raw, key) if isinstance(key, str) else key)
 
-    return union_all([check(name, path) for name, path in outputs.items()])
+
+def order_of_outputs(splits: Mapping[str, DataFrame]) -> DataFrame:
+    return union_all(
+        order_of_splits(rows).select(F.lit(name).alias("output"), "lines", "violations", "first_violation")
+        for name, rows in splits.items()
+    )

@@ -12,7 +12,7 @@ from tallyline.functions.records import parse_records
 from tallyline.operators.positions import number_lines, running_offsets, table_rows
 from tallyline.operators.sorting import SortKey
 from tallyline.session import union_all
-from tallyline.sources.lines import file_order, read_lines
+from tallyline.sources.lines import read_lines
 
 SAMPLE = 3
 SECTIONS = ("head", "total", "mid", "tail")  # in report order
@@ -67,7 +67,7 @@ def _wanted(line_no: Column, total: Column) -> Column:
 
 def _files_with_samples(counts: DataFrame) -> list:
     """Files that hold a sampled line: at most nine for each output."""
-    placed = running_offsets(counts, "rows", file_order(F.col("file_path")), ["output"])
+    placed = running_offsets(counts, within=["output"])
     totals = counts.groupBy("output").agg(F.sum("rows").alias("total"))
     first, last, total = F.col("offset") + 1, F.col("offset") + F.col("rows"), F.col("total")
     overlaps = [(first <= high) & (last >= low) for low, high in _ranges(total).values()]
@@ -120,19 +120,25 @@ def sample_tables(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
     return _report(spark, tables, files, rows)
 
 
-def sample_report(spark: SparkSession, outputs: Mapping[str, str]) -> DataFrame:
-    """Section rows of sorted text outputs.
-
-    Every output is read once to count its lines; after that only the files
-    that hold a sampled line are read again.
-    """
-    counts = union_all(
+def lines_per_file(spark: SparkSession, outputs: Mapping[str, str]) -> DataFrame:
+    """(output, file_path, rows) of text outputs."""
+    return union_all(
         read_lines(spark, path)
         .groupBy("file_path")
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(F.lit(name).alias("output"), "file_path", "rows")
         for name, path in outputs.items()
     )
+
+
+def sample_report(spark: SparkSession, outputs: Mapping[str, str], counts: DataFrame | None = None) -> DataFrame:
+    """Section rows of sorted text outputs.
+
+    Every output is read once to count its lines, unless ``counts`` already
+    has the lines per file; after that only the files that hold a sampled line
+    are read.
+    """
+    counts = lines_per_file(spark, outputs) if counts is None else counts
     files = _files_with_samples(counts)
     rows = None
     if files:

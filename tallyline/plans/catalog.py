@@ -140,9 +140,9 @@ def _all_topics(messages: DataFrame) -> FileTopics:
     return topics
 
 
-def _ingest(spark, topics: FileTopics, run: str, max_bytes: int | None = None) -> BatchLog:
+def _ingest(spark, topics: FileTopics, run: str, batch_bytes: int | None = None) -> BatchLog:
     log = BatchLog()
-    stream = topics.stream(spark, ["source"], max_bytes)
+    stream = topics.stream(spark, ["source"], batch_bytes)
     drain(start_ingest(stream, f"{run}/landed", f"{run}/checkpoint", log), log)
     return log
 

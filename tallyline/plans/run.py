@@ -5,26 +5,35 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.checks import count_check, order_check
+from tallyline.operators.checks import count_check, order_of_outputs, output_splits
 from tallyline.operators.generate import generate_records
 from tallyline.operators.sampling import report_lines, sample_report
 from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global_sort
-from tallyline.session import new_run_dir
+from tallyline.session import new_run_dir, union_all
 from tallyline.sinks.text import output_paths, write_report, write_topic_outputs
 from tallyline.sources.topics import SOURCE_TOPIC, FileTopics, KafkaTopics
 from tallyline.streaming.drain import FLUSH_INTERVAL, INGEST_IDLE, OUTPUT_IDLE, check_timeouts, drain, time_trigger
-from tallyline.streaming.ingest import BatchLog, read_fanout, read_landed, start_fanout, start_ingest
+from tallyline.streaming.ingest import (
+    AS_SOON_AS_POSSIBLE,
+    AVAILABLE_NOW,
+    BatchLog,
+    read_fanout,
+    read_landed,
+    start_fanout,
+    start_ingest,
+)
 
 log = logging.getLogger("tallyline")
 
 Topics = FileTopics | KafkaTopics
 
 DEFAULT_RECORDS = 50_000_000
+# Of one core: a micro-batch takes this much for every core of the cluster.
 DEFAULT_BATCH_BYTES = 100_000_000
 
 
@@ -48,7 +57,7 @@ def process(
     expected: int | None = DEFAULT_RECORDS,
     idle_timeout: float = INGEST_IDLE,
     flush_interval: float = FLUSH_INTERVAL,
-    max_bytes_per_trigger: int | None = DEFAULT_BATCH_BYTES,
+    batch_bytes: int | None = DEFAULT_BATCH_BYTES,
     available_now: bool = False,
     keys: Mapping[str, SortKey] = SORT_KEYS,
 ) -> dict:
@@ -62,8 +71,14 @@ def process(
     check_timeouts(idle_timeout, flush_interval)
     run_dir = run_dir or new_run_dir(spark, "run")
     batches = BatchLog()
-    messages = topics.stream(spark, [SOURCE_TOPIC], max_bytes_per_trigger)
-    trigger = {"availableNow": True} if available_now else time_trigger(flush_interval)
+    batch = batch_bytes * spark.sparkContext.defaultParallelism if batch_bytes else None
+    messages = topics.stream(spark, [SOURCE_TOPIC], batch, flush_interval)
+    if available_now:
+        trigger = AVAILABLE_NOW
+    else:
+        # Cut by size, the next batch starts when there is enough for it and
+        # must not wait for a clock.
+        trigger = AS_SOON_AS_POSSIBLE if batch else time_trigger(flush_interval)
     query = start_ingest(messages, f"{run_dir}/landed", f"{run_dir}/checkpoint", batches, trigger=trigger)
     limits = {} if available_now else {"until_count": expected, "idle_timeout": idle_timeout}
     reason = drain(query, batches, **limits)
@@ -94,17 +109,31 @@ class Verdict:
     counts: DataFrame
     order: DataFrame
     report: DataFrame
-    outputs: Mapping[str, str] = field(default_factory=dict)
 
 
 def verify(spark: SparkSession, outputs: Mapping[str, str], expected: int) -> Verdict:
     """Counts against an expectation, sort order and samples of sorted outputs.
 
-    Counts come with the order check: each output is read once for both.
+    Each output is read once, into a small table of its file splits that
+    answers all three; the samples then read the few files they are in.
     """
-    order = order_check(spark, outputs)
-    counts = count_check(order.select("output", "lines"), expected)
-    return Verdict(counts, order, sample_report(spark, outputs), outputs)
+    scratch = new_run_dir(spark, "splits")
+
+    def summarise(name: str, _) -> DataFrame:
+        output_splits(spark, outputs[name], name).write.parquet(f"{scratch}/{name}")
+        return spark.read.parquet(f"{scratch}/{name}")
+
+    splits = for_each_key(spark, dict.fromkeys(outputs, ()), summarise)
+    order = order_of_outputs(splits)
+    per_file = union_all(
+        rows.groupBy("file_path").agg(F.sum("rows").alias("rows")).select(F.lit(name).alias("output"), "file_path", "rows")
+        for name, rows in splits.items()
+    )
+    return Verdict(
+        counts=count_check(order.select("output", "lines"), expected),
+        order=order,
+        report=sample_report(spark, outputs, per_file),
+    )
 
 
 def validate(
@@ -120,7 +149,7 @@ def validate(
     """Drain the sorted topics into one text output each and write the report."""
     run_dir = run_dir or new_run_dir(spark, "run")
     batches = BatchLog()
-    trigger = {"availableNow": True} if available_now else time_trigger(idle_timeout / 2)
+    trigger = AVAILABLE_NOW if available_now else time_trigger(idle_timeout / 2)
     query = start_fanout(
         topics.stream(spark, list(keys)),
         f"{run_dir}/messages",

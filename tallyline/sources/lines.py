@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.records import strip_line_end
@@ -35,13 +35,19 @@ def scan_records(spark: SparkSession, *paths: str) -> DataFrame:
     return read_lines(spark, *paths).select(strip_line_end(F.col("line")).alias("raw"))
 
 
-def file_order(file_path: Column) -> list[Column]:
-    """Sort columns that put the part files of one write job in output order.
+FILE_ORDER = ["part_no", "chunk_no", "file_path"]
+
+
+def with_file_order(files: DataFrame) -> DataFrame:
+    """Add what, with ``file_path``, puts the part files of one write job in output order.
 
     Part numbers are compared as numbers: past 99,999 their names no longer
     sort as text. Files with other names come first, by path.
     """
-    name = F.substring_index(file_path, "/", -1)
-    part = F.regexp_extract(name, r"^part-(\d+)-", 1).try_cast("bigint")
-    chunk = F.regexp_extract(name, r"-c(\d+)\.", 1).try_cast("bigint")
-    return [part.asc_nulls_first(), chunk.asc_nulls_first(), file_path]
+    name = F.substring_index("file_path", "/", -1)
+    return files.withColumns(
+        {
+            "part_no": F.regexp_extract(name, r"^part-(\d+)-", 1).try_cast("bigint"),
+            "chunk_no": F.regexp_extract(name, r"-c(\d+)\.", 1).try_cast("bigint"),
+        }
+    )

@@ -32,8 +32,12 @@ def broker() -> str:
 
 
 def kafka_source_options(
-    topics: Sequence[str], bootstrap: str | None = None, max_bytes_per_trigger: int | None = None
+    topics: Sequence[str],
+    bootstrap: str | None = None,
+    batch_bytes: int | None = None,
+    flush_interval: float | None = None,
 ) -> dict[str, str]:
+    """A micro-batch is cut at ``batch_bytes`` or, if that is not reached, after ``flush_interval`` seconds."""
     options = {
         "kafka.bootstrap.servers": bootstrap or broker(),
         "subscribe": ",".join(topics),
@@ -41,8 +45,11 @@ def kafka_source_options(
         "failOnDataLoss": "true",
         "kafka.max.partition.fetch.bytes": str(MAX_MESSAGE_BYTES),
     }
-    if max_bytes_per_trigger:
-        options["maxOffsetsPerTrigger"] = str(max(1, max_bytes_per_trigger // RECORD_BYTES))
+    if batch_bytes:
+        options["maxOffsetsPerTrigger"] = str(max(1, batch_bytes // RECORD_BYTES))
+        if flush_interval:
+            options["minOffsetsPerTrigger"] = options["maxOffsetsPerTrigger"]
+            options["maxTriggerDelay"] = f"{int(flush_interval * 1000)}ms"
     return options
 
 
@@ -69,8 +76,14 @@ class KafkaTopics:
     bootstrap: str | None = None
     extra: dict[str, str] = field(default_factory=dict)
 
-    def stream(self, spark: SparkSession, topics: Sequence[str], max_bytes_per_trigger: int | None = None) -> DataFrame:
-        options = kafka_source_options(topics, self.bootstrap, max_bytes_per_trigger) | self.extra
+    def stream(
+        self,
+        spark: SparkSession,
+        topics: Sequence[str],
+        batch_bytes: int | None = None,
+        flush_interval: float | None = None,
+    ) -> DataFrame:
+        options = kafka_source_options(topics, self.bootstrap, batch_bytes, flush_interval) | self.extra
         return _message_columns(spark.readStream.format("kafka").options(**options).load())
 
     def read(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
@@ -98,10 +111,17 @@ class FileTopics:
     def path(self, topic: str) -> str:
         return f"{self.root}/{topic}"
 
-    def stream(self, spark: SparkSession, topics: Sequence[str], max_bytes_per_trigger: int | None = None) -> DataFrame:
+    def stream(
+        self,
+        spark: SparkSession,
+        topics: Sequence[str],
+        batch_bytes: int | None = None,
+        flush_interval: float | None = None,
+    ) -> DataFrame:
+        # A file arrives whole, so there is nothing to wait for.
         reader = spark.readStream.schema(MESSAGE_SCHEMA).format("parquet")
-        if max_bytes_per_trigger:
-            reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+        if batch_bytes:
+            reader = reader.option("maxBytesPerTrigger", str(batch_bytes))
         return reader.load(f"{self.root}/{{{','.join(topics)}}}")
 
     def read(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:

@@ -17,6 +17,9 @@ from tallyline.sources.topics import MESSAGE_SCHEMA, SOURCE_TOPIC
 
 LANDED_SCHEMA = "raw string, batch_id long"
 
+AVAILABLE_NOW = {"availableNow": True}
+AS_SOON_AS_POSSIBLE: dict = {}
+
 
 @dataclass
 class BatchLog:
@@ -73,9 +76,8 @@ def _start(messages: DataFrame, write, checkpoint: str, log: BatchLog, trigger:
         finally:
             log.end(batch_id, counts)
 
-    return (
-        messages.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+    writer = messages.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def _counted(batch: DataFrame, accepted) -> tuple[DataFrame, Observation]:
@@ -98,7 +100,7 @@ def start_ingest(
     checkpoint: str,
     log: BatchLog,
     topic: str = SOURCE_TOPIC,
-    trigger: dict | None = None,
+    trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """Land the records of one topic, unparsed, as ``<landed>/batch_id=<n>``.
 
@@ -111,7 +113,7 @@ def start_ingest(
         lines.write.mode("overwrite").parquet(f"{landed}/batch_id={batch_id}")
         return seen.get
 
-    return _start(messages, write, checkpoint, log, trigger or {"availableNow": True})
+    return _start(messages, write, checkpoint, log, trigger)
 
 
 def start_fanout(
@@ -120,7 +122,7 @@ def start_fanout(
     checkpoint: str,
     log: BatchLog,
     topics: Sequence[str],
-    trigger: dict | None = None,
+    trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """Land the messages of several topics as ``<landed>/batch_id=<n>/topic=<t>``.
 
@@ -133,7 +135,7 @@ def start_fanout(
         accepted.write.mode("overwrite").partitionBy("topic").parquet(f"{landed}/batch_id={batch_id}")
         return seen.get
 
-    return _start(messages, write, checkpoint, log, trigger or {"availableNow": True})
+    return _start(messages, write, checkpoint, log, trigger)
 
 
 def read_landed(spark: SparkSession, landed: str) -> DataFrame:

@@ -13,7 +13,7 @@ def test_generate_process_validate(spark, tmp_path):
     topics = f"{tmp_path}/topics"
     made = main(["generate", "-topics", topics, "-max", "5000", "-workers", "3", "-seed", "9"])
     assert made["produced"] == 5000
-    sorted_ = main(["process", "--topics", topics, "--available-now", "-batch", "60000"])
+    sorted_ = main(["process", "--topics", topics, "--available-now", "-batch", "8000"])
     assert sorted_["emitted"] == {"id": 5000, "name": 5000, "continent": 5000}
     assert sorted_["ingest"]["batches"] == 3
     done = main(
@@ -65,10 +65,11 @@ def test_flags_and_defaults():
 
 def test_kafka_options(monkeypatch):
     monkeypatch.delenv("KAFKA_BROKER", raising=False)
-    source = kafka_source_options(["id", "name"], max_bytes_per_trigger=100_000_000)
+    source = kafka_source_options(["id", "name"], batch_bytes=100_000_000, flush_interval=10)
     assert source["kafka.bootstrap.servers"] == "localhost:9092"
     assert source["subscribe"] == "id,name" and source["startingOffsets"] == "earliest"
-    assert source["maxOffsetsPerTrigger"] == "2000000"
+    assert source["maxOffsetsPerTrigger"] == source["minOffsetsPerTrigger"] == "2000000"
+    assert source["maxTriggerDelay"] == "10000ms"
     assert "maxOffsetsPerTrigger" not in kafka_source_options(["id"])
     monkeypatch.setenv("KAFKA_BROKER", "broker:1")
     sink = kafka_sink_options("id")

@@ -11,6 +11,7 @@ from tallyline.sources.lines import read_lines
 from tallyline.sources.topics import MESSAGE_SCHEMA, FileTopics
 from tallyline.streaming.drain import check_timeouts, drain, time_trigger
 from tallyline.streaming.ingest import (
+    AVAILABLE_NOW,
     BatchLog,
     batch_stats,
     read_fanout,
@@ -36,9 +37,9 @@ def run(tmp_path):
     return str(tmp_path / "run")
 
 
-def ingest(spark, topics, run, max_bytes=None, checkpoint="checkpoint", trigger=None, **limits):
+def ingest(spark, topics, run, batch_bytes=None, checkpoint="checkpoint", trigger=AVAILABLE_NOW, **limits):
     log = BatchLog()
-    stream = topics.stream(spark, ["source"], max_bytes)
+    stream = topics.stream(spark, ["source"], batch_bytes)
     query = start_ingest(stream, f"{run}/landed", f"{run}/{checkpoint}", log, trigger=trigger)
     return drain(query, log, **limits), log
 
@@ -50,7 +51,7 @@ def landed(spark, run):
 def test_size_cuts_micro_batches_and_nothing_is_lost(spark, topics, run):
     for i in range(4):
         send(spark, topics, "source", 10 * i, 10)
-    reason, log = ingest(spark, topics, run, max_bytes=1)
+    reason, log = ingest(spark, topics, run, batch_bytes=1)
     assert reason == "finished" and len(log.batches) == 4
     assert landed(spark, run) == list(range(40))
     stats = batch_stats(read_landed(spark, f"{run}/landed")).orderBy("batch_id").collect()
@@ -96,7 +97,7 @@ def test_count_is_a_threshold(spark, topics, run):
     for i in range(6):
         send(spark, topics, "source", 10 * i, 10)
     trigger = time_trigger(2)
-    reason, log = ingest(spark, topics, run, max_bytes=1, trigger=trigger, until_count=25)
+    reason, log = ingest(spark, topics, run, batch_bytes=1, trigger=trigger, until_count=25)
     assert reason == "count"
     assert 25 <= log.records < 60
     assert log.records % 10 == 0
