@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.records import parse_records
 from tallyline.operators.positions import with_line_numbers
-from tallyline.session import sort_partitions, union_all
+from tallyline.session import repeatable, sort_partitions, union_all
 from tallyline.sources.lines import scan_records
 
 SortKey = Sequence["str | Column"]
@@ -31,12 +31,13 @@ def global_sort(df: DataFrame, by: SortKey, num_partitions: int | None = None) -
     The rows are range partitioned on (key, raw, row position), so neither a
     key with few values nor one record repeated many times has to fit into one
     partition. The position only spreads equal records; it is not sorted on.
-    ``df`` should be a scan with narrow steps on top, so that a recomputed
-    task sees its rows at the same positions; land shuffled input first.
+    A lost task has to find its rows at the same positions again, so input
+    that comes out of a shuffle is landed first.
     """
+    df = repeatable(df.select("raw"))
     order = [F.col(c) if isinstance(c, str) else c for c in by] + [F.col("raw")]
     return (
-        parse_records(df.select("raw"))
+        parse_records(df)
         .repartitionByRange(num_partitions or sort_partitions(df), *order, F.monotonically_increasing_id())
         .sortWithinPartitions(*order)
         .select("raw")

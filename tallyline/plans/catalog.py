@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.records import encode_record, key_from_path, normalise_lines, parse_records, payload_bytes
 from tallyline.operators import checks, sampling, sorting
-from tallyline.operators.generate import records_for
+from tallyline.operators.generate import generate_records, records_for
 from tallyline.operators.positions import number_lines, with_line_numbers
 from tallyline.plans import feeds
 from tallyline.session import new_run_dir, union_all
 from tallyline.sinks.text import output_paths, route_by_topic, write_ordered, write_sorted_outputs, write_topic_outputs
 from tallyline.sources.lines import read_lines, scan_records
 from tallyline.sources.topics import FileTopics
-from tallyline.streaming.drain import drain
+from tallyline.streaming.drain import drain, time_trigger
 from tallyline.streaming.ingest import (
+    AVAILABLE_NOW,
     BatchLog,
     batch_stats,
     read_fanout,
@@ -140,10 +141,10 @@ def _all_topics(messages: DataFrame) -> FileTopics:
     return topics
 
 
-def _ingest(spark, topics: FileTopics, run: str, batch_bytes: int | None = None) -> BatchLog:
+def _ingest(spark, topics: FileTopics, run: str, batch_bytes: int | None = None, trigger=AVAILABLE_NOW, **limits) -> BatchLog:
     log = BatchLog()
     stream = topics.stream(spark, ["source"], batch_bytes)
-    drain(start_ingest(stream, f"{run}/landed", f"{run}/checkpoint", log), log)
+    drain(start_ingest(stream, f"{run}/landed", f"{run}/checkpoint", log, trigger=trigger), log, **limits)
     return log
 
 
@@ -153,6 +154,33 @@ def stream_source(spark, sf):
     return read_landed(spark, f"{run}/landed").select("raw")
 
 
+def size_cut_batches(spark, sf):
+    """Batches of about half a megabyte, however many that takes."""
+    run = new_run_dir(spark, "ingest")
+    topics = FileTopics(new_run_dir(spark, "topics"))
+    topics.write(feeds.orders(spark, sf).repartition(8), "source")
+    _ingest(spark, topics, run, batch_bytes=512 * 1024)
+    return read_landed(spark, f"{run}/landed").select("raw")
+
+
+def drain_until_count(spark, sf):
+    run, topics = new_run_dir(spark, "ingest"), FileTopics(new_run_dir(spark, "topics"))
+    records = feeds.orders(spark, sf)
+    topics.write(records, "source")
+    _ingest(spark, topics, run, trigger=time_trigger(0.5), until_count=records.count())
+    return read_landed(spark, f"{run}/landed").select("raw")
+
+
+def drain_until_idle(spark, sf):
+    """Both clocks: one armed from the start, one by the first message."""
+    run, topics = new_run_dir(spark, "ingest"), FileTopics(new_run_dir(spark, "topics"))
+    topics.write(feeds.orders(spark, sf), "source")
+    _ingest(spark, topics, run, trigger=time_trigger(0.5), idle_timeout=2, arm_after_first=True)
+    topics.write(feeds.customers(spark, sf), "source")
+    _ingest(spark, topics, run, trigger=time_trigger(0.5), idle_timeout=5)
+    return read_landed(spark, f"{run}/landed").select("raw")
+
+
 def run_counters(spark, sf):
     """Counted while the batches are written; one row whatever the volume."""
     log = _ingest(spark, _all_topics(feeds.messages(spark, sf)), new_run_dir(spark, "ingest"))
@@ -302,6 +330,11 @@ def order_check_unsorted(spark, sf):
 
 
 def generate(spark, sf):
+    """As many records as there are line items."""
+    return generate_records(spark, feeds.table(spark, sf, "lineitem").count(), seed=3)
+
+
+def generate_for_rows(spark, sf):
     return records_for(feeds.table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", seed=7)
 
 
@@ -325,6 +358,9 @@ QUERIES: dict[str, Query] = {
     "key_from_path": keys_from_paths,
     "filter_topic": filter_topic,
     "stream_source": stream_source,
+    "size_cut_batches": size_cut_batches,
+    "drain_until_count": drain_until_count,
+    "drain_until_idle": drain_until_idle,
     "multi_topic_source": multi_topic_source,
     "scan_lines": scan_lines,
     "topic_sink": topic_sink,
@@ -349,4 +385,5 @@ QUERIES: dict[str, Query] = {
     "order_check": order_check,
     "order_check_unsorted": order_check_unsorted,
     "generate_records": generate,
+    "generate_for_rows": generate_for_rows,
 }

@@ -149,6 +149,9 @@ def oracles() -> dict[str, str]:
             select doc_id, lang || '_' as path, lang || '_' as key from documents""",
         "filter_topic": f"select \"offset\", value from ({MESSAGES_SQL}) as m where topic = 'source'",
         "stream_source": f"select value as raw from ({MESSAGES_SQL}) as m where topic = 'source'",
+        "size_cut_batches": ORDERS_SQL,
+        "drain_until_count": ORDERS_SQL,
+        "drain_until_idle": f"{ORDERS_SQL} union all {CUSTOMERS_SQL}",
         "multi_topic_source": f"select topic, \"offset\", value from ({MESSAGES_SQL}) as m where topic in {_KNOWN}",
         "scan_lines": f"select raw from ({LINEITEMS_SQL}) as l",
         "topic_sink": f"select raw as value from ({ORDERS_SQL}) as o",
@@ -194,5 +197,8 @@ def oracles() -> dict[str, str]:
         "order_check_unsorted": violations(
             ORDERS_SQL, "name", {"by_id": "id", "by_name": "name", "by_address": "address", "by_continent": "continent"}
         ),
-        "generate_records": generated("orders", "o_orderkey", 7),
+        "generate_records": "select raw from ("
+        + generated("(select row_number() over () - 1 as n from lineitem) as l", "n", 3)
+        + ") as g",
+        "generate_for_rows": generated("orders", "o_orderkey", 7),
     }

@@ -82,7 +82,8 @@ def process(
     query = start_ingest(messages, f"{run_dir}/landed", f"{run_dir}/checkpoint", batches, trigger=trigger)
     limits = {} if available_now else {"until_count": expected, "idle_timeout": idle_timeout}
     reason = drain(query, batches, **limits)
-    log.info("ingest stopped: %s %s", reason, batches.summary())
+    ingested = batches.summary()
+    log.info("ingest stopped: %s %s", reason, ingested)
 
     started = time.monotonic()
     landed = read_landed(spark, f"{run_dir}/landed")
@@ -98,7 +99,7 @@ def process(
     return {
         "run_dir": run_dir,
         "stopped": reason,
-        "ingest": batches.summary(),
+        "ingest": ingested,
         "emitted": emitted,
         "sort_seconds": time.monotonic() - started,
     }

@@ -59,6 +59,20 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def repeatable(df: DataFrame) -> DataFrame:
+    """``df``, written out first if a recomputed task could see its rows in another order.
+
+    Scans and narrow steps give a task the same rows in the same order every
+    time. What comes out of a shuffle arrives in any order.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" not in plan.replace("BroadcastExchange", ""):
+        return df
+    path = new_run_dir(df.sparkSession, "landed")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scan_bytes(df: DataFrame) -> int | None:
     """Bytes the plan's scans read after column pruning, or None if unknown."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

@@ -24,6 +24,12 @@ def time_trigger(flush_interval: float) -> dict:
     return {"processingTime": f"{int(flush_interval * 1000)} milliseconds"}
 
 
+def _working(query: StreamingQuery) -> bool:
+    """Whether the query may be about to bring records: listing a large source takes time too."""
+    status = query.status
+    return status["isTriggerActive"] or status["message"] == "Initializing sources"
+
+
 def drain(
     query: StreamingQuery,
     log: BatchLog,
@@ -46,8 +52,7 @@ def drain(
             reason = "count"
             break
         idle = log.idle_seconds(arm_after_first)
-        working = query.status["isTriggerActive"] and query.status["isDataAvailable"]
-        if idle_timeout is not None and idle is not None and idle >= idle_timeout and not working:
+        if idle_timeout is not None and idle is not None and idle >= idle_timeout and not _working(query):
             reason = "idle"
             break
     query.stop()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import threading
 import time
 from collections.abc import Sequence
@@ -15,6 +16,8 @@ from tallyline.functions.records import normalise_lines, payload_bytes
 from tallyline.sources.lines import path_exists
 from tallyline.sources.topics import MESSAGE_SCHEMA, SOURCE_TOPIC
 
+logger = logging.getLogger("tallyline")
+
 LANDED_SCHEMA = "raw string, batch_id long"
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -75,6 +78,7 @@ def _start(messages: DataFrame, write, checkpoint: str, log: BatchLog, trigger:
             counts = write(batch, batch_id)
         finally:
             log.end(batch_id, counts)
+        logger.info("landed batch %s: %s, %s records so far", batch_id, counts, log.records)
 
     writer = messages.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

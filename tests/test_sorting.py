@@ -8,7 +8,7 @@ from tallyline.operators.positions import number_lines, with_line_numbers
 from tallyline.operators.sorting import SORT_KEYS, global_sort, merge_runs, sort_fanout, sorted_table
 from tallyline.operators.generate import generate_records
 from tallyline.plans import feeds
-from tallyline.session import new_run_dir, sort_partitions
+from tallyline.session import new_run_dir, repeatable, sort_partitions
 from tallyline.sinks.text import output_paths, write_ordered, write_sorted_outputs
 from tallyline.sources.lines import read_lines, scan_records
 
@@ -75,6 +75,16 @@ def test_fanout_has_every_record_once_for_each_key(spark, sf_dir):
     assert counts == dict.fromkeys(SORT_KEYS, 15_000)
 
 
+def test_shuffled_input_is_landed_before_the_sort(spark, sf_dir):
+    scanned = feeds.customers(spark, sf_dir)
+    assert repeatable(scanned) is scanned
+    shuffled = scanned.repartition(5, "raw")
+    landed = repeatable(shuffled)
+    assert all("landed-" in path for path in landed.inputFiles())
+    ordered = global_sort(shuffled, ["name"], 4)
+    assert ordered.exceptAll(scanned).isEmpty() and scanned.exceptAll(ordered).isEmpty()
+
+
 def test_custom_key(spark):
     df = spark.createDataFrame([("1,aaa,b,Asia",), ("2,a,c,Asia",), ("3,aa,a,Asia",)], "raw string")
     assert in_order(global_sort(df, [F.length("name")], 2)) == ["2,a,c,Asia", "3,aa,a,Asia", "1,aaa,b,Asia"]
