@@ -22,12 +22,6 @@ RECORD_SCHEMA = T.StructType(
     ]
 )
 
-# Every byte as a character, and the ones, tens and hundreds digit of the
-# value it adds to a number, (byte - 48) mod 256.
-_BYTES = "".join(chr(byte) for byte in range(256))
-_BYTE_DIGITS = ["".join(str((byte - 48) % 256 // 10**place % 10) for byte in range(256)) for place in range(3)]
-
-
 def _before_comma(raw: Column, n: int) -> Column:
     """Everything before the n-th comma; the whole record if it has fewer.
 
@@ -45,26 +39,48 @@ def _nth_field(raw: Column, n: int) -> Column:
     return F.substring_index(_before_comma(raw, n), ",", -1)
 
 
+def _eight_digits(digits: Column) -> Column:
+    """The base-10 value of eight bytes, given as 16 hex characters.
+
+    Every byte counts as (byte - 48) mod 256. All eight are worked on at once
+    in one long: bytes to pairs in 16 bits, pairs to fours in 32 bits.
+    """
+    packed = F.conv(digits, 16, -10).cast("bigint")
+    byte, less_48 = F.lit(0x00FF00FF00FF00FF), F.lit(0x00D000D000D000D0)
+    ones = (packed.bitwiseAND(byte) + less_48).bitwiseAND(byte)
+    tens = (F.shiftrightunsigned(packed, 8).bitwiseAND(byte) + less_48).bitwiseAND(byte)
+    pairs, pair = tens * 10 + ones, F.lit(0x0000FFFF0000FFFF)
+    fours = F.shiftrightunsigned(pairs, 16).bitwiseAND(pair) * 100 + pairs.bitwiseAND(pair)
+    return F.shiftrightunsigned(fours, 32) * 10**4 + fours.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _wrap(number: Column) -> Column:
+    return (F.pmod(number + 2**31, F.lit(2**32)) - 2**31).cast("int")
+
+
 def lenient_int32(text: Column) -> Column:
     """A decimal fold over the bytes that accepts anything and wraps.
 
     Each byte counts as (byte - 48) mod 256 and the total is kept as a signed
     32-bit integer: '12' is 12, '-5' is 2535, '2147483648' is -2147483648.
     """
-    # A plain non-negative int32 prints back as itself: the usual case.
-    number = text.try_cast("int")
-    plain = F.coalesce((number >= 0) & (number.cast("string") == text), F.lit(False))
-
-    # 10^32 is a multiple of 2^32, so bytes before the last 32 cannot matter.
-    # ISO-8859-1 gives one character per byte. Writing each byte's value as
-    # three decimal digits turns the fold into three base-10 numbers.
-    tail = F.decode(F.substring(text.cast("binary"), -32, 32), "ISO-8859-1")
-    total = sum(
-        10**place * (F.translate(tail, _BYTES, digits).cast("decimal(38,0)") % 2**32).cast("bigint")
-        for place, digits in enumerate(_BYTE_DIGITS)
-    )
-    wrapped = F.pmod(total + 2**31, F.lit(2**32)) - 2**31
-    return F.when(plain, number).when(text == "", F.lit(0)).otherwise(wrapped.cast("int"))
+    # Up to 18 digits fit a long: the usual case. Nothing else is ever cast,
+    # as even a try_cast that fails costs a Java exception.
+    digits = (F.octet_length(text) <= 18) & text.rlike(r"\A[0-9]+\z")
+    plain = F.when(digits, _wrap(text.cast("bigint")))
+
+    # 10^32 is a multiple of 2^32, so bytes before the last 32 cannot matter,
+    # and fewer are filled up with '0', hex 30, on the left.
+    tail = F.when(plain.isNull(), F.lpad(F.hex(F.substring(text.cast("binary"), -32, 32)), 64, "30"))
+    total = F.lit(0)
+    for start in range(0, 64, 16):
+        weight = (10 ** ((48 - start) // 2) + 2**31) % 2**32 - 2**31
+        total = total + F.pmod(_eight_digits(F.substring(tail, start + 1, 16)) * weight, F.lit(2**32))
+    folded = _wrap(total)
+
+    # One of the two is null. Unlike a conditional, greatest lets Spark
+    # compute the parts that occur several times in ``folded`` once.
+    return F.greatest(plain, folded)
 
 
 def record_field(raw: Column, field: str) -> Column:
@@ -74,7 +90,7 @@ def record_field(raw: Column, field: str) -> Column:
     comma after it and counts only in a record of exactly three commas.
     """
     if field == "id":
-        return F.when(_has_commas(raw, 1), lenient_int32(_before_comma(raw, 1))).otherwise(F.lit(0))
+        return F.coalesce(lenient_int32(F.when(_has_commas(raw, 1), _before_comma(raw, 1))), F.lit(0))
     if field == "name":
         return F.when(_has_commas(raw, 2), _nth_field(raw, 2)).otherwise(F.lit(""))
     if field == "address":
