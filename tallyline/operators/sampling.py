@@ -51,7 +51,7 @@ def key_extremes(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
 
 def _ranges(total: Column) -> dict[str, tuple[Column, Column]]:
     """First and last line number of each section."""
-    middle = F.floor(total / 2)
+    middle = F.shiftright(total, 1)
     return {
         "head": (F.lit(1), F.lit(SAMPLE)),
         "mid": (middle, middle + (SAMPLE - 1)),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.records import parse_records
 from tallyline.operators.positions import with_line_numbers
-from tallyline.session import repeatable, sort_partitions, union_all
+from tallyline.session import repeatable, sort_partitions, union_all, write_table
 from tallyline.sources.lines import scan_records
 
 SortKey = Sequence["str | Column"]
@@ -57,7 +57,7 @@ def sorted_table(df: DataFrame, by: SortKey, path: str, num_partitions: int | No
 
     Sampled range boundaries are not repeatable; the written files are.
     """
-    global_sort(df, by, num_partitions).write.parquet(path)
+    write_table(global_sort(df, by, num_partitions), path)
     return df.sparkSession.read.schema("raw string").parquet(path)
 
 

@@ -14,7 +14,7 @@ from tallyline.operators.checks import count_check, order_of_outputs, output_spl
 from tallyline.operators.generate import generate_records
 from tallyline.operators.sampling import report_lines, sample_report
 from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global_sort
-from tallyline.session import new_run_dir, union_all
+from tallyline.session import new_run_dir, union_all, write_table
 from tallyline.sinks.text import output_paths, write_report, write_topic_outputs
 from tallyline.sources.topics import SOURCE_TOPIC, FileTopics, KafkaTopics
 from tallyline.streaming.drain import FLUSH_INTERVAL, INGEST_IDLE, OUTPUT_IDLE, check_timeouts, drain, time_trigger
@@ -121,7 +121,7 @@ def verify(spark: SparkSession, outputs: Mapping[str, str], expected: int) -> Ve
     scratch = new_run_dir(spark, "splits")
 
     def summarise(name: str, _) -> DataFrame:
-        output_splits(spark, outputs[name], name).write.parquet(f"{scratch}/{name}")
+        write_table(output_splits(spark, outputs[name], name), f"{scratch}/{name}")
         return spark.read.parquet(f"{scratch}/{name}")
 
     splits = for_each_key(spark, dict.fromkeys(outputs, ()), summarise)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.positions import _ROW_IN_PARTITION
+from tallyline.session import write_table
 from tallyline.sources.lines import path_exists
 
 MESSAGE_SCHEMA = "topic string, partition int, offset long, value string"
@@ -134,11 +135,12 @@ class FileTopics:
         # A task's rows become one topic partition, so (partition, offset)
         # gives the rows back in the order they had.
         position = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_PARTITION))
-        df.select(
+        rows = df.select(
             F.lit(topic).alias("topic"),
             F.spark_partition_id().alias("partition"),
             position.alias("offset"),
             F.col("raw").alias("value"),
-        ).write.mode("append").parquet(self.path(topic))
+        )
+        write_table(rows, self.path(topic), "append")
 
     write_ordered = write

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.functions.records import normalise_lines, payload_bytes
+from tallyline.session import write_table
 from tallyline.sources.lines import path_exists
 from tallyline.sources.topics import MESSAGE_SCHEMA, SOURCE_TOPIC
 
@@ -114,7 +115,7 @@ def start_ingest(
     def write(batch: DataFrame, batch_id: int) -> dict:
         accepted, seen = _counted(batch, F.col("topic") == topic)
         lines = normalise_lines(accepted.select("value"))
-        lines.write.mode("overwrite").parquet(f"{landed}/batch_id={batch_id}")
+        write_table(lines, f"{landed}/batch_id={batch_id}", "overwrite")
         return seen.get
 
     return _start(messages, write, checkpoint, log, trigger)
@@ -136,7 +137,7 @@ def start_fanout(
 
     def write(batch: DataFrame, batch_id: int) -> dict:
         accepted, seen = _counted(batch, F.col("topic").isin(*topics))
-        accepted.write.mode("overwrite").partitionBy("topic").parquet(f"{landed}/batch_id={batch_id}")
+        write_table(accepted, f"{landed}/batch_id={batch_id}", "overwrite", ["topic"])
         return seen.get
 
     return _start(messages, write, checkpoint, log, trigger)
