@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 import json
 import logging
-import os
 import re
 import time
 
@@ -37,7 +36,7 @@ def parser() -> argparse.ArgumentParser:
 
     p = programs.add_parser("generate", parents=[common], help="fill the source topic with random records")
     p.add_argument("-max", "--max", type=int, default=run.DEFAULT_RECORDS, help="records to generate")
-    p.add_argument("-workers", "--workers", type=int, default=os.cpu_count(), help="tasks to generate them in")
+    p.add_argument("-workers", "--workers", type=int, help="tasks to generate them in; by default as many as the cluster has cores, or more for many records")
     p.add_argument("-seed", "--seed", type=int, default=None, help="same seed, same records; the clock by default")
 
     p = programs.add_parser("process", parents=[common], help="sort the source topic into one topic per key")

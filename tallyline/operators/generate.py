@@ -14,6 +14,9 @@ ADDRESS_LENGTH = (15, 20)
 CONTINENTS = ("Asia", "Africa", "Australia", "Europe", "North America", "South America")
 MAX_ID = 2**31 - 1
 
+# About 128 MiB of records: what one task generates unless told otherwise.
+RECORDS_PER_TASK = 2_500_000
+
 
 def _digest(row: Column, seed: int, tag: str) -> Column:
     """32 random bytes as hex. rand(seed) would change with the partitioning."""
@@ -59,5 +62,7 @@ def generate_records(spark: SparkSession, n: int, seed: int = 0, num_partitions:
     """Exactly max(n, 0) records; the same ones for a seed whatever the partitioning."""
     if num_partitions is not None and num_partitions <= 0:
         raise ValueError("num_partitions must be positive")
-    rows = spark.range(0, max(n, 0), 1, num_partitions)
+    n = max(n, 0)
+    tasks = num_partitions or max(spark.sparkContext.defaultParallelism, -(-n // RECORDS_PER_TASK))
+    rows = spark.range(0, n, 1, tasks)
     return records_for(rows, "id", seed).select("raw")

@@ -13,7 +13,14 @@ from tallyline.operators.generate import generate_records, records_for
 from tallyline.operators.positions import number_lines, with_line_numbers
 from tallyline.plans import feeds
 from tallyline.session import new_run_dir, union_all
-from tallyline.sinks.text import output_paths, route_by_topic, write_ordered, write_sorted_outputs, write_topic_outputs
+from tallyline.sinks.text import (
+    output_paths,
+    route_by_topic,
+    write_ordered,
+    write_report,
+    write_sorted_outputs,
+    write_topic_outputs,
+)
 from tallyline.sources.lines import read_lines, scan_records
 from tallyline.sources.topics import FileTopics
 from tallyline.streaming.drain import drain, time_trigger
@@ -305,6 +312,13 @@ def report_text(spark, sf):
     return sampling.report_lines(rows, {key: key for key in KEYS})
 
 
+def report_sink(spark, sf):
+    """The report as read back from where it was written."""
+    path = new_run_dir(spark, "report")
+    write_report(report_text(spark, sf), path)
+    return number_lines(read_lines(spark, path)).select("line_no", F.col("line").alias("text"))
+
+
 def count_per_output(spark, sf):
     return checks.count_per_output(spark, _orders_outputs(spark, sf))
 
@@ -380,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "sample_report": sample_report,
     "sample_tables": sample_tables,
     "report_text": report_text,
+    "report_sink": report_sink,
     "count_per_output": count_per_output,
     "count_check": count_check,
     "order_check": order_check,

@@ -185,6 +185,7 @@ def oracles() -> dict[str, str]:
         "sample_report": samples(ORDERS_SQL),
         "sample_tables": samples(LINEITEMS_SQL),
         "report_text": report_text(ORDERS_SQL),
+        "report_sink": report_text(ORDERS_SQL),
         "count_per_output": " union all ".join(
             f"select '{key}' as output, count(*) as lines from orders" for key in ("id", "name", "continent")
         ),

@@ -137,6 +137,25 @@ def verify(spark: SparkSession, outputs: Mapping[str, str], expected: int) -> Ve
     )
 
 
+def _drain_topics(
+    spark: SparkSession, topics: Topics, names: list[str], run_dir: str, idle_timeout: float, available_now: bool
+) -> DataFrame:
+    """Land the topics' messages until nothing has come for a while."""
+    batches = BatchLog()
+    query = start_fanout(
+        topics.stream(spark, names),
+        f"{run_dir}/messages",
+        f"{run_dir}/messages_checkpoint",
+        batches,
+        names,
+        trigger=AVAILABLE_NOW if available_now else time_trigger(idle_timeout / 2),
+    )
+    limits = {} if available_now else {"idle_timeout": idle_timeout, "arm_after_first": True}
+    drain(query, batches, **limits)
+    log.info("topics drained: %s", batches.summary())
+    return read_fanout(spark, f"{run_dir}/messages")
+
+
 def validate(
     spark: SparkSession,
     topics: Topics,
@@ -148,23 +167,14 @@ def validate(
     report_path: str | None = None,
 ) -> dict[str, int]:
     """Drain the sorted topics into one text output each and write the report."""
-    run_dir = run_dir or new_run_dir(spark, "run")
-    batches = BatchLog()
-    trigger = AVAILABLE_NOW if available_now else time_trigger(idle_timeout / 2)
-    query = start_fanout(
-        topics.stream(spark, list(keys)),
-        f"{run_dir}/messages",
-        f"{run_dir}/messages_checkpoint",
-        batches,
-        list(keys),
-        trigger=trigger,
-    )
-    limits = {} if available_now else {"idle_timeout": idle_timeout, "arm_after_first": True}
-    drain(query, batches, **limits)
-    log.info("topics drained: %s", batches.summary())
-    written = write_topic_outputs(read_fanout(spark, f"{run_dir}/messages"), out_dir, list(keys))
+    names = list(keys)
+    if available_now and topics.cheap_to_read_again:
+        messages = topics.read(spark, names)
+    else:
+        messages = _drain_topics(spark, topics, names, run_dir or new_run_dir(spark, "run"), idle_timeout, available_now)
+    written = write_topic_outputs(messages, out_dir, names)
     log.info("written %s", written)
-    outputs = output_paths(out_dir, list(keys))
+    outputs = output_paths(out_dir, names)
     write_report(report_lines(sample_report(spark, outputs), outputs), report_path or f"{out_dir}/results/SUCCESS.txt")
     log.info("report written")
     return written

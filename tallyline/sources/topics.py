@@ -74,6 +74,9 @@ class KafkaTopics:
     # Partitions of a sorted topic. Each is written by one task, so they set
     # how far the sort spreads; the topics must have been made with as many.
     topic_partitions: int
+    # A sort reads its input twice: to place the boundaries and to move the
+    # rows. What the broker sends is landed first so that it sends it once.
+    cheap_to_read_again = False
     bootstrap: str | None = None
     extra: dict[str, str] = field(default_factory=dict)
 
@@ -108,6 +111,7 @@ class FileTopics:
     root: str
     # Sort partitions may be as many as the data needs.
     topic_partitions: int | None = None
+    cheap_to_read_again = True
 
     def path(self, topic: str) -> str:
         return f"{self.root}/{topic}"

@@ -43,6 +43,16 @@ def test_process_stops_at_the_expected_count_and_carries_on(spark, tmp_path):
     assert again["ingest"]["records"] == 500 and again["emitted"]["name"] == 1500
 
 
+def test_validate_waits_for_messages_until_idle(spark, tmp_path):
+    topics = FileTopics(f"{tmp_path}/topics")
+    run.generate(spark, topics, 300, 1, 2)
+    run.process(spark, topics, run_dir=f"{tmp_path}/run", available_now=True)
+    written = run.validate(spark, topics, f"{tmp_path}/out", run_dir=f"{tmp_path}/run", idle_timeout=2)
+    assert written == {"id": 300, "name": 300, "continent": 300}
+    verdict = run.verify(spark, output_paths(f"{tmp_path}/out"), 300)
+    assert {tuple(r)[1:] for r in verdict.order.collect()} == {(300, 0, None)}
+
+
 def test_nothing_to_sort(spark, tmp_path):
     topics = FileTopics(f"{tmp_path}/topics")
     run.generate(spark, topics, 0, 1, 2)

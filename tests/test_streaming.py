@@ -11,6 +11,7 @@ from tallyline.sources.lines import read_lines
 from tallyline.sources.topics import MESSAGE_SCHEMA, FileTopics
 from tallyline.streaming.drain import check_timeouts, drain, time_trigger
 from tallyline.streaming.ingest import (
+    AS_SOON_AS_POSSIBLE,
     AVAILABLE_NOW,
     BatchLog,
     batch_stats,
@@ -113,6 +114,12 @@ def test_idle_clock_runs_from_the_start(spark, topics, run):
     assert time.monotonic() - started >= 2
 
 
+def test_idle_without_a_trigger_interval(spark, topics, run):
+    send(spark, topics, "source", 0, 5)
+    reason, log = ingest(spark, topics, run, trigger=AS_SOON_AS_POSSIBLE, idle_timeout=1)
+    assert reason == "idle" and log.records == 5
+
+
 def test_idle_without_any_message(spark, topics, run):
     spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(topics.path("source"))
     assert ingest(spark, topics, run, trigger=time_trigger(0.2), idle_timeout=1)[0] == "idle"
