@@ -55,7 +55,8 @@ def _eight_digits(digits: Column) -> Column:
 
 
 def _wrap(number: Column) -> Column:
-    return (F.pmod(number + 2**31, F.lit(2**32)) - 2**31).cast("int")
+    """The low 32 bits of a long as a signed number."""
+    return F.shiftright(F.shiftleft(number, 32), 32)
 
 
 def lenient_int32(text: Column) -> Column:
@@ -75,12 +76,12 @@ def lenient_int32(text: Column) -> Column:
     total = F.lit(0)
     for start in range(0, 64, 16):
         weight = (10 ** ((48 - start) // 2) + 2**31) % 2**32 - 2**31
-        total = total + F.pmod(_eight_digits(F.substring(tail, start + 1, 16)) * weight, F.lit(2**32))
+        total = total + _wrap(_eight_digits(F.substring(tail, start + 1, 16)) * weight)
     folded = _wrap(total)
 
     # One of the two is null. Unlike a conditional, greatest lets Spark
     # compute the parts that occur several times in ``folded`` once.
-    return F.greatest(plain, folded)
+    return F.greatest(plain, folded).cast("int")
 
 
 def record_field(raw: Column, field: str) -> Column:

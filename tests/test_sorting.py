@@ -62,8 +62,13 @@ def test_one_record_may_be_a_third_of_all_rows(spark):
     assert table.exceptAll(skewed).isEmpty() and skewed.exceptAll(table).isEmpty()
 
 
-def test_partition_count_follows_the_bytes_scanned(spark, sf_dir):
+def test_partition_count_follows_the_bytes_scanned(spark, sf_dir, monkeypatch):
     assert sort_partitions(feeds.lineitems(spark, sf_dir)) <= 8
+    monkeypatch.setattr("tallyline.session.scan_bytes", lambda df: 100 * 2**40)
+    assert sort_partitions(feeds.lineitems(spark, sf_dir)) == 32_768
+    monkeypatch.setattr("tallyline.session.scan_bytes", lambda df: 2**30)
+    assert sort_partitions(feeds.lineitems(spark, sf_dir)) == 64
+    monkeypatch.undo()
     # A join's estimate is the product of its sides; only the scans count.
     assert sort_partitions(feeds.customers(spark, sf_dir)) == 1
 
