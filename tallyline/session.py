@@ -37,11 +37,6 @@ def build_session(app_name: str = "tallyline", master: str | None = None, **conf
         # Only inputs of more than this for every core are cut this large; it
         # keeps the number of shuffle blocks down where there are most.
         "spark.sql.files.maxPartitionBytes": "512m",
-        # Range-partitioned shuffles carry a tie-breaker that depends on row
-        # position; row checksums make Spark redo the readers if a lost map
-        # task comes back with other content.
-        "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
-        "spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch": "true",
     }
     settings.update(conf)
     for name, value in settings.items():
