@@ -39,59 +39,55 @@ def _nth_field(raw: Column, n: int) -> Column:
     return F.substring_index(_before_comma(raw, n), ",", -1)
 
 
-def _eight_digits(digits: Column) -> Column:
-    """The base-10 value of eight bytes, given as 16 hex characters.
-
-    Every byte counts as (byte - 48) mod 256. All eight are worked on at once
-    in one long: bytes to pairs in 16 bits, pairs to fours in 32 bits.
-    """
-    packed = F.conv(digits, 16, -10).cast("bigint")
-    byte, less_48 = F.lit(0x00FF00FF00FF00FF), F.lit(0x00D000D000D000D0)
-    ones = (packed.bitwiseAND(byte) + less_48).bitwiseAND(byte)
-    tens = (F.shiftrightunsigned(packed, 8).bitwiseAND(byte) + less_48).bitwiseAND(byte)
-    pairs, pair = tens * 10 + ones, F.lit(0x0000FFFF0000FFFF)
-    fours = F.shiftrightunsigned(pairs, 16).bitwiseAND(pair) * 100 + pairs.bitwiseAND(pair)
-    return F.shiftrightunsigned(fours, 32) * 10**4 + fours.bitwiseAND(F.lit(0xFFFFFFFF))
-
-
 def _wrap(number: Column) -> Column:
     """The low 32 bits of a long as a signed number."""
     return F.shiftright(F.shiftleft(number, 32), 32)
 
 
-def lenient_int32(text: Column) -> Column:
-    """A decimal fold over the bytes that accepts anything and wraps.
+def with_lenient_int32(df: DataFrame, name: str, text: Column) -> DataFrame:
+    """Add ``name``: a decimal fold over the bytes of ``text`` that accepts anything and wraps.
 
     Each byte counts as (byte - 48) mod 256 and the total is kept as a signed
     32-bit integer: '12' is 12, '-5' is 2535, '2147483648' is -2147483648.
+    Null gives 0. The steps are columns of their own, as each is used several
+    times in the next.
     """
+    kept = df.columns
+    df = df.withColumn("_text", text)
+
     # Up to 18 digits fit a long: the usual case. Nothing else is ever cast,
     # as even a try_cast that fails costs a Java exception.
-    digits = (F.octet_length(text) <= 18) & text.rlike(r"\A[0-9]+\z")
-    plain = F.when(digits, _wrap(text.cast("bigint")))
+    digits = (F.octet_length("_text") <= 18) & F.col("_text").rlike(r"\A[0-9]+\z")
+    df = df.withColumn("_plain", F.when(digits, _wrap(F.col("_text").cast("bigint"))))
 
     # 10^32 is a multiple of 2^32, so bytes before the last 32 cannot matter,
     # and fewer are filled up with '0', hex 30, on the left.
-    tail = F.when(plain.isNull(), F.lpad(F.hex(F.substring(text.cast("binary"), -32, 32)), 64, "30"))
+    tail = F.lpad(F.hex(F.substring(F.col("_text").cast("binary"), -32, 32)), 64, "30")
+    df = df.withColumn("_tail", F.when(F.col("_plain").isNull(), tail))
+
+    # Eight bytes at a time in one long: bytes to pairs of digits in 16 bits
+    # each, then pairs to fours in 32 bits.
+    parts = [str(i) for i in range(4)]
+    byte, less_48, pair = F.lit(0x00FF00FF00FF00FF), F.lit(0x00D000D000D000D0), F.lit(0x0000FFFF0000FFFF)
+    df = df.withColumns(
+        {f"_bytes{i}": F.conv(F.substring("_tail", 1 + 16 * int(i), 16), 16, -10).cast("bigint") for i in parts}
+    )
+    ones = {i: (F.col(f"_bytes{i}").bitwiseAND(byte) + less_48).bitwiseAND(byte) for i in parts}
+    tens = {i: (F.shiftrightunsigned(f"_bytes{i}", 8).bitwiseAND(byte) + less_48).bitwiseAND(byte) for i in parts}
+    df = df.withColumns({f"_pairs{i}": tens[i] * 10 + ones[i] for i in parts})
+    high = {i: F.shiftrightunsigned(f"_pairs{i}", 16).bitwiseAND(pair) for i in parts}
+    df = df.withColumns({f"_fours{i}": high[i] * 100 + F.col(f"_pairs{i}").bitwiseAND(pair) for i in parts})
     total = F.lit(0)
-    for start in range(0, 64, 16):
-        weight = (10 ** ((48 - start) // 2) + 2**31) % 2**32 - 2**31
-        total = total + _wrap(_eight_digits(F.substring(tail, start + 1, 16)) * weight)
-    folded = _wrap(total)
-
-    # One of the two is null. Unlike a conditional, greatest lets Spark
-    # compute the parts that occur several times in ``folded`` once.
-    return F.greatest(plain, folded).cast("int")
+    for i in parts:
+        eight = F.shiftrightunsigned(f"_fours{i}", 32) * 10**4 + F.col(f"_fours{i}").bitwiseAND(F.lit(0xFFFFFFFF))
+        weight = (10 ** (24 - 8 * int(i)) + 2**31) % 2**32 - 2**31
+        total = total + _wrap(eight * weight)
 
+    number = F.coalesce(F.col("_plain"), _wrap(total), F.lit(0)).cast("int")
+    return df.select(*[c for c in kept if c != name], number.alias(name))
 
-def record_field(raw: Column, field: str) -> Column:
-    """One field of the record; 0 or '' where the record is too short.
 
-    A field counts only once the comma after it is there. The last one has no
-    comma after it and counts only in a record of exactly three commas.
-    """
-    if field == "id":
-        return F.coalesce(lenient_int32(F.when(_has_commas(raw, 1), _before_comma(raw, 1))), F.lit(0))
+def _text_field(raw: Column, field: str) -> Column:
     if field == "name":
         return F.when(_has_commas(raw, 2), _nth_field(raw, 2)).otherwise(F.lit(""))
     if field == "address":
@@ -103,9 +99,15 @@ def record_field(raw: Column, field: str) -> Column:
 
 
 def parse_records(df: DataFrame, *fields: str) -> DataFrame:
-    """Add the named fields (all four by default) next to ``raw``."""
-    raw = F.col("raw")
-    return df.withColumns({field: record_field(raw, field) for field in fields or FIELDS})
+    """Add the named fields (all four by default) next to ``raw``; 0 or '' where the record is too short.
+
+    A field counts only once the comma after it is there. The last one has no
+    comma after it and counts only in a record of exactly three commas.
+    """
+    raw, fields = F.col("raw"), fields or FIELDS
+    if "id" in fields:
+        df = with_lenient_int32(df, "id", F.when(_has_commas(raw, 1), _before_comma(raw, 1)))
+    return df.withColumns({field: _text_field(raw, field) for field in fields if field != "id"})
 
 
 def encode_record(id: Column, name: Column, address: Column, continent: Column) -> Column:

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyline.functions.records import record_field, strip_line_end
+from tallyline.functions.records import parse_records, strip_line_end
 from tallyline.operators.positions import running_offsets
 from tallyline.session import union_all
 from tallyline.sources.lines import FILE_ORDER, read_lines
@@ -96,13 +96,16 @@ def _summarise_splits():
     return summarise
 
 
-def split_summaries(lines: DataFrame, key: Column) -> DataFrame:
+def split_summaries(lines: DataFrame, key: str | Column) -> DataFrame:
     """Per file split: lines, first and last key, descents and the first of them.
 
     A window would shuffle and sort every line to recover an order the files
     already have. Here each task reads its splits once and sends on one row.
     """
-    keyed = lines.select("file_path", "block_start", key.alias("key"))
+    records = lines.withColumn("raw", strip_line_end(F.col("line")))
+    if isinstance(key, str):
+        records, key = parse_records(records, key), F.col(key)
+    keyed = records.select("file_path", "block_start", key.alias("key"))
     key_type = keyed.schema["key"].dataType.simpleString()
     return keyed.mapInArrow(
         _summarise_splits(),
@@ -136,16 +139,10 @@ def order_check(
     """
 
     return order_of_outputs(
-        {name: output_splits(spark, path, (keys or {}).get(name, name)) for name, path in outputs.items()}
+        {name: split_summaries(read_lines(spark, path), (keys or {}).get(name, name)) for name, path in outputs.items()}
     )
 
 
-def output_splits(spark: SparkSession, path: str, key: str | Column) -> DataFrame:
-    raw = strip_line_end(F.col("line"))
-    lines = read_lines(spark, path).withColumn("raw", raw)
-    return split_summaries(lines, record_field(raw, key) if isinstance(key, str) else key)
-
-
 def order_of_outputs(splits: Mapping[str, DataFrame]) -> DataFrame:
     return union_all(
         order_of_splits(rows).select(F.lit(name).alias("output"), "lines", "violations", "first_violation")

@@ -10,12 +10,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.checks import count_check, order_of_outputs, output_splits
+from tallyline.operators.checks import count_check, order_of_outputs, split_summaries
 from tallyline.operators.generate import generate_records
 from tallyline.operators.sampling import report_lines, sample_report
 from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global_sort
 from tallyline.session import new_run_dir, union_all, write_table
 from tallyline.sinks.text import output_paths, write_report, write_topic_outputs
+from tallyline.sources.lines import read_lines
 from tallyline.sources.topics import SOURCE_TOPIC, FileTopics, KafkaTopics
 from tallyline.streaming.drain import FLUSH_INTERVAL, INGEST_IDLE, OUTPUT_IDLE, check_timeouts, drain, time_trigger
 from tallyline.streaming.ingest import (
@@ -121,7 +122,7 @@ def verify(spark: SparkSession, outputs: Mapping[str, str], expected: int) -> Ve
     scratch = new_run_dir(spark, "splits")
 
     def summarise(name: str, _) -> DataFrame:
-        write_table(output_splits(spark, outputs[name], name), f"{scratch}/{name}")
+        write_table(split_summaries(read_lines(spark, outputs[name]), name), f"{scratch}/{name}")
         return spark.read.parquet(f"{scratch}/{name}")
 
     splits = for_each_key(spark, dict.fromkeys(outputs, ()), summarise)

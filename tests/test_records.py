@@ -12,7 +12,6 @@ from tallyline.functions.records import (
     normalise_lines,
     parse_records,
     payload_bytes,
-    record_field,
 )
 
 # raw, id, name, address, continent
@@ -94,7 +93,7 @@ def test_invalid_utf8_keeps_its_bytes(spark):
 
 def test_unknown_field(spark):
     with pytest.raises(ValueError):
-        record_field(F.col("raw"), "planet")
+        parse_records(spark.createDataFrame([("",)], "raw string"), "planet")
 
 
 def test_encode_gives_back_a_well_formed_record(spark):
