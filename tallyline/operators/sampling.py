@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.records import parse_records
 from tallyline.operators.positions import number_lines, running_offsets, table_rows
-from tallyline.operators.sorting import SortKey
+from tallyline.operators.sorting import SortKey, with_sort_columns
 from tallyline.session import union_all
 from tallyline.sources.lines import read_lines
 
@@ -22,20 +22,20 @@ SAMPLE_SCHEMA = "output string, section string, seq int, line_no long, line stri
 
 def head(df: DataFrame, by: SortKey, n: int = SAMPLE) -> DataFrame:
     """The first n records in sort order; each task keeps n rows, nothing is sorted whole."""
-    order = [F.col(c) if isinstance(c, str) else c for c in by] + [F.col("raw")]
-    return parse_records(df.select("raw")).orderBy(*order).limit(n).select("raw")
+    records, order = with_sort_columns(df, by)
+    return records.orderBy(*order).limit(n).select("raw")
 
 
 def tail(df: DataFrame, fields: list[str], n: int = SAMPLE) -> DataFrame:
     """The last n records in sort order, in that order."""
-    parsed = parse_records(df.select("raw"))
-    last = parsed.orderBy(*[F.col(c).desc() for c in [*fields, "raw"]]).limit(n)
+    records, order = with_sort_columns(df, fields)
+    last = records.orderBy(*[c.desc() for c in order]).limit(n)
     return last.orderBy(*fields, "raw").select("raw")
 
 
 def key_extremes(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     """(output, first_raw, last_raw): the ends of every sorted copy in one pass."""
-    parsed = parse_records(df.select("raw"))
+    parsed = parse_records(df.select("raw"), *dict.fromkeys(fields.values()))
     ends = []
     for name, field in fields.items():
         place = F.struct(field, "raw")

@@ -9,7 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.records import parse_records
+from tallyline.functions.records import FIELDS, parse_records
 from tallyline.operators.positions import with_line_numbers
 from tallyline.session import repeatable, sort_partitions, union_all, write_table
 from tallyline.sources.lines import scan_records
@@ -25,6 +25,16 @@ SORT_KEYS: dict[str, SortKey] = {
 }
 
 
+def with_sort_columns(df: DataFrame, by: SortKey) -> tuple[DataFrame, list[Column]]:
+    """``raw`` with the fields ``by`` names, and the order: ``by``, then ``raw``."""
+    named = [c for c in by if isinstance(c, str)]
+    # An expression may use any field; the optimizer drops those it does not.
+    fields = FIELDS if len(named) < len(by) else [c for c in named if c in FIELDS]
+    records = df.select("raw")
+    order = [F.col(c) if isinstance(c, str) else c for c in by] + [F.col("raw")]
+    return (parse_records(records, *fields) if fields else records), order
+
+
 def global_sort(df: DataFrame, by: SortKey, num_partitions: int | None = None) -> DataFrame:
     """All records of ``df`` in ascending order of ``by``, equal keys by ``raw``.
 
@@ -35,10 +45,9 @@ def global_sort(df: DataFrame, by: SortKey, num_partitions: int | None = None) -
     that comes out of a shuffle is landed first.
     """
     df = repeatable(df.select("raw"))
-    order = [F.col(c) if isinstance(c, str) else c for c in by] + [F.col("raw")]
+    records, order = with_sort_columns(df, by)
     return (
-        parse_records(df)
-        .repartitionByRange(num_partitions or sort_partitions(df), *order, F.monotonically_increasing_id())
+        records.repartitionByRange(num_partitions or sort_partitions(df), *order, F.monotonically_increasing_id())
         .sortWithinPartitions(*order)
         .select("raw")
     )
@@ -63,6 +72,7 @@ def sorted_table(df: DataFrame, by: SortKey, path: str, num_partitions: int | No
 
 def sort_fanout(df: DataFrame, root: str, keys: Mapping[str, SortKey] = SORT_KEYS) -> DataFrame:
     """A numbered, fully sorted copy of the records for every key."""
+    df = repeatable(df.select("raw"))
     tables = for_each_key(df.sparkSession, keys, lambda key, by: sorted_table(df, by, f"{root}/sorted_{key}"))
     copies = [
         with_line_numbers(table).select(F.lit(key).alias("sort_key"), "line_no", "raw")

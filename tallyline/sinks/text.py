@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global_sort
-from tallyline.session import sort_partitions
+from tallyline.session import repeatable, sort_partitions
 
 
 def output_paths(root: str, names: Sequence[str] = tuple(SORT_KEYS)) -> dict[str, str]:
@@ -31,6 +31,7 @@ def write_sorted_outputs(
     output is complete once its _SUCCESS file is there.
     """
     paths = output_paths(root, list(keys))
+    df = repeatable(df.select("raw"))
     return for_each_key(
         df.sparkSession, keys, lambda key, by: write_ordered(global_sort(df, by, num_partitions), paths[key])
     )
