@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.common import free_name, key_bits, land
 
-MAX_CYCLES = 60
-TOLERANCE = 1e-10
+MAX_CYCLES = 100
+TOLERANCE = 1e-6
 UNIFORM_BITS = 52
 
 
@@ -78,7 +78,7 @@ def sample_to_targets(
     docs: DataFrame,
     dimensions: Sequence[str],
     tokens: Column,
-    alpha: float = 0.7,
+    alpha: float = 0.9,
     targets: dict[str, DataFrame] | None = None,
     key: str = "doc_id",
     seed: str = "mix",

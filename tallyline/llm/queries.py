@@ -10,7 +10,7 @@ from tallyline.llm.common import land, read_table
 
 SHARD_BYTES = 16 * 1024 * 1024
 MIX = ("source", "lang", "topic")
-MIX_ALPHA = 0.7
+MIX_ALPHA = 0.9
 
 
 def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,7 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The texts are read once; what is left is a short row per document.
     slim = land(docs, "mix-docs")
     mixed = mixing.sample_to_targets(slim, MIX, F.col("n"), MIX_ALPHA)
-    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept")
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 4).alias("probability"), "kept")
 
 
 QUERIES = {

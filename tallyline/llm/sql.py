@@ -68,7 +68,7 @@ def mixing(topics, dimensions, alpha: float, cycles: int = 40) -> str:
     cases = " ".join(f"when {' or '.join(f"contains(text, '{m}')" for m in marks)} then '{name}'" for name, marks in topics)
     parts = [
         f"""d as (select doc_id, source, lang, case {cases} else 'prose' end as topic,
-  len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'), x -> x <> ''))::bigint as n from documents)""",
+  len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'), lambda x: x <> ''))::bigint as n from documents)""",
         "cells as materialized (select coalesce(source, '') as source, coalesce(lang, '') as lang, topic, greatest(sum(n), 1)::double as w from d group by all)",
     ]
     for dim in dimensions:
@@ -91,4 +91,4 @@ def mixing(topics, dimensions, alpha: float, cycles: int = 40) -> str:
     parts.append("p as (select *, f / max(f) over () as p from f)")
     on = " and ".join(f"coalesce(d.{x}, '') = p.{x}" for x in dimensions)
     uniform = "('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':mix'), 1, 13))::bigint / pow(2, 52)"
-    return f"with {', '.join(parts)} select doc_id, d.source, d.lang, d.topic, n as n_tokens, round(p, 6) as probability, {uniform} < p as kept from d join p on {on}"
+    return f"with {', '.join(parts)} select doc_id, d.source, d.lang, d.topic, n as n_tokens, round(p, 4) as probability, {uniform} < p as kept from d join p on {on}"
