@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, decontaminate, mixing, sharding, sql
-from tallyline.llm.common import land, read_table
+from tallyline.llm import chat, decontaminate, html_text, mixing, sharding, sql, toxicity
+from tallyline.llm.common import crc_of_id, land, read_table
 
 SHARD_BYTES = 16 * 1024 * 1024
 MIX = ("source", "lang", "topic")
@@ -19,6 +19,28 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", F.col("n_bytes"), SHARD_BYTES)
 
 
+def html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.ToxicityModel:
+    """Learned from labelled rows whose crc32 of doc_id leaves no remainder of 1 by 3."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").where(crc_of_id("doc_id") % 3 != 1)
+    return toxicity.train(docs, labels)
+
+
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
+    return scored.select(
+        "doc_id",
+        (crc_of_id("doc_id") % 3 == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = decontaminate.find_hits(docs, read_table(spark, sf_dir, "benchmark"))
@@ -106,8 +128,10 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": sharding_query,
+    "op4_html_text": html_query,
     "op5_decontaminate": decontaminate_query,
     "op6_chat_format": chat_query,
+    "op7_toxicity": toxicity_query,
     "op8_mixing": mixing_query,
 }
 
