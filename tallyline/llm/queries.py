@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, decontaminate, html_text, mixing, sharding, sql, toxicity
+from tallyline.llm import chat, decontaminate, html_text, jaccard, mixing, sharding, sql, toxicity
 from tallyline.llm.common import crc_of_id, land, read_table
 
 SHARD_BYTES = 16 * 1024 * 1024
@@ -126,6 +126,11 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 4).alias("probability"), "kept")
 
 
+def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard.link(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linked.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "class_id")
+
+
 QUERIES = {
     "op1_sharding": sharding_query,
     "op4_html_text": html_query,
@@ -133,6 +138,7 @@ QUERIES = {
     "op6_chat_format": chat_query,
     "op7_toxicity": toxicity_query,
     "op8_mixing": mixing_query,
+    "op9_jaccard_join": jaccard_query,
 }
 
 
