@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, decontaminate, html_text, jaccard, mixing, sharding, sql, toxicity
+from tallyline.llm import chat, decontaminate, html_text, jaccard, mixing, sharding, sql, token_codec, toxicity
 from tallyline.llm.common import crc_of_id, land, read_table
+from tallyline.session import new_run_dir
 
 SHARD_BYTES = 16 * 1024 * 1024
 MIX = ("source", "lang", "topic")
@@ -19,6 +21,17 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", F.col("n_bytes"), SHARD_BYTES)
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def token_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents encoded to files, and what the files say."""
+    path = new_run_dir(spark, "tokens")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_codec.write_tokens(docs, path, public_tokenizers.path(TOKENIZER))
+    return token_codec.read_tokens(spark, path)
+
+
 def html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages)
@@ -133,6 +146,7 @@ def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": sharding_query,
+    "op3_token_output": token_query,
     "op4_html_text": html_query,
     "op5_decontaminate": decontaminate_query,
     "op6_chat_format": chat_query,
