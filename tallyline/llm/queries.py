@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, decontaminate, html_text, jaccard, mixing, sharding, sql, token_codec, toxicity
+from tallyline.llm import chat, decontaminate, html_text, jaccard, lm, mixing, sharding, sql, token_codec, toxicity
 from tallyline.llm.common import crc_of_id, land, read_table
 from tallyline.session import new_run_dir
 
@@ -144,6 +144,11 @@ def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "class_id")
 
 
+def lm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(docs, crc_of_id("doc_id") % 7 == 2).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_sharding": sharding_query,
     "op3_token_output": token_query,
@@ -153,6 +158,7 @@ QUERIES = {
     "op7_toxicity": toxicity_query,
     "op8_mixing": mixing_query,
     "op9_jaccard_join": jaccard_query,
+    "op10_lm_score": lm_query,
 }
 
 
