@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import chat, decontaminate, html_text, jaccard, lm, mixing, sharding, sql, token_codec, toxicity
+from tallyline.llm import ann, chat, decontaminate, html_text, jaccard, lm, mixing, sharding, sql, token_codec, toxicity
 from tallyline.llm.common import crc_of_id, land, read_table
 from tallyline.session import new_run_dir
 
@@ -21,6 +21,11 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", F.col("n_bytes"), SHARD_BYTES)
 
 
+def ann_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every 50th vector."""
+    return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -151,6 +156,7 @@ def lm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": sharding_query,
+    "op2_ann": ann_query,
     "op3_token_output": token_query,
     "op4_html_text": html_query,
     "op5_decontaminate": decontaminate_query,
