@@ -202,32 +202,48 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*pieces, raw[end:]]).decode("utf-8", "surrogatepass")
 
 
-def remove_hits(hits: DataFrame, benchmark: DataFrame, max_share: float = 0.5, **names) -> DataFrame:
-    """Cut the spans out of every hit text; documents with more than ``max_share`` of their words hit go.
+def remove(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    max_share: float = 0.5,
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """``docs`` with hit words cut out of their texts; documents with more than ``max_share`` of their words hit go.
 
-    Cutting can bring the two ends of a passage together, so what is cut is
-    scanned again until nothing is hit; each pass takes only what changed.
+    Cutting can bring the ends of a passage together, so what was cut is scanned
+    again until nothing is hit. Texts without hits stay as they are.
     """
-    text = names.get("text", "text")
-    columns = [c for c in hits.columns if c not in ("n_words", "hit_spans", "hit_items")]
-    schema = T.StructType([hits.schema[c] for c in columns])
-
-    def cut(batches):
-        for batch in batches:
-            texts = [
-                cut_spans(x, [(s["first"], s["last"]) for s in spans])
-                for x, spans in zip(batch.column(text).to_pylist(), batch.column("hit_spans").to_pylist())
-            ]
-            arrays = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(arrays, names=columns)
-
-    hit = F.size("hit_spans") > 0
-    n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda s, x: s + x["last"] - x["first"] + 1)
-    hits = land(hits, "hits")
-    done = hits.where(~hit).select(*columns)
-    dirty = hits.where(hit & (n_hit <= max_share * F.col("n_words")))
-    while dirty.take(1):
-        again = land(find_hits(dirty.mapInArrow(cut, schema), benchmark, **names), "cut")
-        done = done.unionByName(again.where(~hit).select(*columns))
-        dirty = again.where(hit)
-    return done
+    names = docs.columns
+    slices = _slices(benchmark, item, item_text, max_bytes)
+
+    def clean(shared):
+        def run(batches):
+            for batch in batches:
+                texts = batch.column(text).to_pylist()
+                kept = np.ones(len(texts), dtype=bool)
+                for i, (n, runs, _) in enumerate(list(_scan_texts(shared.value, texts))):
+                    if sum(b - a + 1 for a, b in runs) > max_share * n:
+                        kept[i] = False
+                        continue
+                    while runs:
+                        texts[i] = cut_spans(texts[i], runs)
+                        ((_, runs, _),) = _scan_texts(shared.value, [texts[i]])
+                arrays = [pa.array(texts, batch.schema.field(c).type) if c == text else batch.column(c) for c in names]
+                yield pa.RecordBatch.from_arrays(arrays, names=names).filter(pa.array(kept))
+
+        return run
+
+    out = docs
+    while True:
+        for items in slices:
+            shared = docs.sparkSession.sparkContext.broadcast(WindowIndex(items, window))
+            out = out.mapInArrow(clean(shared), docs.schema)
+            if len(slices) > 1:
+                out = land(out, "decontaminated")
+        # What one slice cuts can bring words of another slice's item together.
+        if len(slices) == 1 or not find_hits(out, benchmark, text, item, item_text, window, max_bytes).where(F.size("hit_spans") > 0).take(1):
+            return out
