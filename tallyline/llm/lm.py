@@ -183,13 +183,9 @@ class NgramTrie:
 
 
 class Vocabulary:
-    """Ids and counts of the frequent tokens; id 0 is the class of all others."""
+    """Ids and counts of the frequent tokens, the end among them; id 0 is the class of all others."""
 
     def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int):
-        words, counts = list(words), list(counts)
-        if END not in words:
-            words.append(END)
-            counts.append(0)
         self.ids = {w: i + 1 for i, w in enumerate(words)}
         self.end = self.ids[END]
         self.total, self.distinct = total, distinct
@@ -399,7 +395,12 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     counts = land(_count(rows), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("c"), "word").limit(size).collect()
-    known = Vocabulary([bytes(r["word"]) for r in top], [r["c"] for r in top], total, distinct)
+    words, frequent = [bytes(r["word"]) for r in top], [r["c"] for r in top]
+    if END not in words:
+        # The end is always in the vocabulary; only a tiny one would leave it out.
+        words.append(END)
+        frequent.append(sum(r["c"] for r in counts.where(F.col("word") == F.lit(END)).collect()))
+    known = Vocabulary(words, frequent, total, distinct)
     rare_mass = float(known.rare_mass)
     shared = spark.sparkContext.broadcast(known)
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_PAIRS))
