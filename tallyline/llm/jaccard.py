@@ -44,7 +44,9 @@ SHINGLE = 4
 THRESHOLD = (85, 100)
 PARTS = 3
 BAND_RATIO = 1.3
-BITMAP_BITS = 512
+MIN_BITMAP_BITS = 256
+#: A signature of at most so many classes is known by them.
+SMALL_BUCKET = 1 << 16
 TILE = 2048
 CACHE_WORDS = 500_000
 RECORD = 24  # bytes of an id in a broadcast table
@@ -135,9 +137,20 @@ def signatures(s: np.ndarray, bands: Bands, parts: int = PARTS) -> np.ndarray:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parities of BITMAP_BITS hash classes: two bitmaps differ in at most as many bits as their sets."""
-    bits = np.bincount((s & np.uint64(BITMAP_BITS - 1)).astype(np.int64), minlength=BITMAP_BITS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+    """Parities of as many hash classes as the set has members, up to the next power of 2.
+
+    Two bitmaps differ in at most as many bits as their sets, also after a
+    longer one is folded to the length of the other.
+    """
+    bits = max(MIN_BITMAP_BITS, 1 << (len(s) - 1).bit_length() if len(s) else 0)
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def folded(maps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps as rows of one matrix, all as long as the shortest."""
+    words = min(map(len, maps))
+    return np.stack([m if len(m) == words else np.bitwise_xor.reduce(m.reshape(-1, words)) for m in maps])
 
 
 def _profile(docs: DataFrame, n: int) -> DataFrame:
@@ -176,37 +189,53 @@ def _sign(docs: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
 
 
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (sig, id), sorted, whose signature more than one id has; nothing is held but the row before."""
-    sig, ids, kept = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    """Rows (sig, id), sorted by both, of signatures that more than one id has.
+
+    The signature is replaced by a hash of its ids, as the many signatures that
+    the same ids share need to be looked at once only. Should two hashes agree,
+    their ids are looked at together, which loses nothing. Ids of a signature
+    that has more than are held at once keep it.
+    """
+    sig, ids = np.empty(0, np.int64), np.empty(0, np.int64)
+    large = None
     for batch in batches:
         s = np.concatenate([sig, batch.column("sig").to_numpy()])
         i = np.concatenate([ids, batch.column("id").to_numpy()])
-        if len(s) < 2:
-            sig, ids, kept = s, i, np.zeros(len(s), bool)
+        if not len(s):
             continue
-        same = s[1:] == s[:-1]
-        new = i[1:] != i[:-1]
-        keep = np.zeros(len(s), bool)
-        keep[: len(kept)] = kept
-        keep[1:] |= same & new
-        keep[:-1] |= same & new
-        # A repeated row is dropped in favour of its first.
-        first = np.concatenate([[True], ~same | new])
-        out = keep & first
-        out[-1] = False
-        # The last row waits for the next batch.
-        yield pa.RecordBatch.from_arrays([pa.array(s[out]), pa.array(i[out])], names=["sig", "id"])
-        sig, ids, kept = s[-1:], i[-1:], keep[-1:]
-        if not first[-1] and len(s) > 1:
-            kept = keep[-1:]
-    if len(sig) and kept[0]:
-        yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(ids)], names=["sig", "id"])
+        first = np.concatenate([[True], (s[1:] != s[:-1]) | (i[1:] != i[:-1])])
+        s, i = s[first], i[first]
+        # The last signature may go on in the next batch.
+        cut = len(s) - int((s == s[-1]).sum())
+        yield _renamed(s[:cut], i[:cut], large)
+        sig, ids = s[cut:], i[cut:]
+        if len(sig) > SMALL_BUCKET:
+            yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(ids)], names=["sig", "id"])
+            large, sig, ids = sig[0], sig[-1:], ids[-1:]
+    if len(sig):
+        yield _renamed(sig, ids, large)
+
+
+def _renamed(s: np.ndarray, i: np.ndarray, large: int | None) -> pa.RecordBatch:
+    if len(s):
+        starts = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+        sizes = np.diff(np.append(starts, len(s)))
+        name = mix(np.add.reduceat(mix(i.view(np.uint64)), starts) + sizes.astype(np.uint64)).view(np.int64)
+        was_large = s[starts] == large if large is not None else np.zeros(len(starts), bool)
+        keep = np.repeat((sizes > 1) | was_large, sizes)
+        s, i = np.repeat(np.where(was_large, s[starts], name), sizes)[keep], i[keep]
+    return pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), pa.array(i, pa.int64())], names=["sig", "id"])
 
 
 def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(ids, components, sizes, bitmaps) of each run of equal (sig, tile)."""
     held: list[tuple] = []
     last = None
+
+    def joined() -> tuple:
+        *columns, maps = zip(*held)
+        return *(np.concatenate(x) for x in columns), folded([m for part in maps for m in part])
+
     for batch in batches:
         sig, tile = batch.column("sig").to_numpy(), batch.column("tile").to_numpy()
         if not len(sig):
@@ -215,19 +244,19 @@ def _buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
             batch.column("id").to_numpy(),
             batch.column("comp").to_numpy(),
             batch.column("n").to_numpy(),
-            batch.column("map").flatten().to_numpy().reshape(len(sig), -1),
+            [m.values.to_numpy() for m in batch.column("map")],
         )
         edges = np.flatnonzero((sig[1:] != sig[:-1]) | (tile[1:] != tile[:-1])) + 1
         cuts = [0, *edges.tolist(), len(sig)]
         for a, b in zip(cuts, cuts[1:]):
             key = (sig[a], tile[a])
             if key != last and held:
-                yield tuple(np.concatenate(x) for x in zip(*held))
+                yield joined()
                 held = []
             last = key
             held.append(tuple(x[a:b] for x in rest))
     if held:
-        yield tuple(np.concatenate(x) for x in zip(*held))
+        yield joined()
 
 
 def _near(i: int, sizes: np.ndarray, maps: np.ndarray, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -333,8 +362,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     signed = _sign(signing, shingle, threshold)
     shared = signed.repartition("sig").sortWithinPartitions("sig", "id").mapInArrow(_shared, "sig long, id long")
     if not few:
-        shared = shared.join(copies, "id", "left").select("sig", F.coalesce("class_id", "id").alias("id")).distinct()
-    shared = land(shared, "jaccard-shared")
+        shared = shared.join(copies, "id", "left").select("sig", F.coalesce("class_id", "id").alias("id"))
+    shared = land(shared.distinct(), "jaccard-shared")
 
     known = classes.select(F.col("class_id").alias("id"), "n", "map")
     rows = shared.join(known, "id").withColumn("comp", F.col("id"))
@@ -346,15 +375,16 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
         for batch in batches:
             sets = [shingles(t, shingle, hashes) for t in batch.column("text").to_pylist()]
             high = [int(mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0 for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(high, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["id", "high", "set"],
-            )
-
-    sets = texts.join(_maybe_broadcast(ends), "id").mapInArrow(build, "id long, high long, set array<long>")
-    # Of several texts under one id, the one that stands for it.
-    sets = sets.join(classes.select(F.col("class_id").alias("id"), "high", F.col("n").alias("size")), ["id", "high"])
-    sets = land(sets.where(F.size("set") == F.col("size")).dropDuplicates(["id"]).select("id", "set"), "jaccard-sets")
+            # Of several texts under one id, the one that stands for it.
+            keep = pa.array([h == w for h, w in zip(high, batch.column("high").to_pylist())], pa.bool_())
+            made = pa.RecordBatch.from_arrays([batch.column("id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "set"])
+            yield made.filter(keep)
+
+    wanted = land(ends.join(classes.select(F.col("class_id").alias("id"), "high"), "id"), "jaccard-wanted")
+    sets = texts.join(_maybe_broadcast(wanted), "id").mapInArrow(build, "id long, set array<long>")
+    sets = land(sets, "jaccard-sets")
+    if sets.groupBy("id").count().where("count > 1").take(1):
+        sets = land(sets.dropDuplicates(["id"]), "jaccard-sets")
 
     links = land(_verified(forest, sets, threshold), "jaccard-links")
     nodes = components(links)
