@@ -1,4 +1,4 @@
-"""Command line: ``python -m tallyline generate|process|validate``."""
+"""Command line: ``python -m tallyline generate|process|validate|verify``."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ import time
 
 from tallyline.plans import run
 from tallyline.session import build_session
+from tallyline.sinks.text import output_paths
 from tallyline.sources.topics import FileTopics, KafkaTopics
 from tallyline.streaming.drain import FLUSH_INTERVAL, INGEST_IDLE, OUTPUT_IDLE
 
@@ -40,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("-seed", "--seed", type=int, default=None, help="same seed, same records; the clock by default")
 
     p = programs.add_parser("process", parents=[common], help="sort the source topic into one topic per key")
-    p.add_argument("-batch", "--batch", type=int, default=run.DEFAULT_BATCH_BYTES, help="bytes per micro-batch and core")
+    p.add_argument("-batch", "--batch", type=int, default=run.DEFAULT_BATCH_BYTES, help="bytes per micro-batch")
     p.add_argument("-max", "--max", type=int, default=run.DEFAULT_RECORDS, help="records to stop at")
     p.add_argument("-timeout", "--timeout", type=duration, default=INGEST_IDLE, help="idle time to stop after")
     p.add_argument("-flush", "--flush", type=duration, default=FLUSH_INTERVAL, help="time between micro-batches")
@@ -52,6 +53,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("-report", "--report", default="results/SUCCESS.txt", help="path of the report")
     p.add_argument("-timeout", "--timeout", type=duration, default=OUTPUT_IDLE, help="idle time to stop after")
     p.add_argument("-available-now", "--available-now", action="store_true", help="take what is there and stop")
+    p.add_argument("-run", "--run", help="run to validate, as process names it; the last complete one by default")
+    p.add_argument("-run-dir", "--run-dir", help="folder of an earlier validation to carry on from; a new one by default")
+
+    p = programs.add_parser("verify", parents=[common], help="count the lines of the outputs and check their order")
+    p.add_argument("-out", "--out", required=True, help="folder of one validation's outputs")
+    p.add_argument("-max", "--max", type=int, default=run.DEFAULT_RECORDS, help="records each output should have")
     return top
 
 
@@ -75,10 +82,23 @@ def main(argv: list[str] | None = None) -> dict:
             available_now=args.available_now,
             run_dir=args.run_dir,
         )
+    elif args.program == "verify":
+        verdict = run.verify(spark, output_paths(args.out), args.max)
+        result = {
+            "counts": [r.asDict() for r in verdict.counts.collect()],
+            "order": [r.asDict() for r in verdict.order.collect()],
+        }
     else:
         out_dir = f"{args.out}/{time.time_ns()}"
         written = run.validate(
-            spark, topics, out_dir, idle_timeout=args.timeout, available_now=args.available_now, report_path=args.report
+            spark,
+            topics,
+            out_dir,
+            run_dir=args.run_dir,
+            idle_timeout=args.timeout,
+            available_now=args.available_now,
+            report_path=args.report,
+            run=args.run,
         )
         result = {"out_dir": out_dir, "written": written, "report": args.report}
     print(json.dumps(result))

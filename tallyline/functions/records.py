@@ -6,6 +6,8 @@ back together, so a sort or a copy returns exactly the bytes it was given.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,14 @@ def _wrap(number: Column) -> Column:
     return F.shiftright(F.shiftleft(number, 32), 32)
 
 
+def work_prefix(columns: Sequence[str]) -> str:
+    """A beginning of column names that no column has, so that work columns replace none."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def with_lenient_int32(df: DataFrame, name: str, text: Column) -> DataFrame:
     """Add ``name``: a decimal fold over the bytes of ``text`` that accepts anything and wraps.
 
@@ -53,37 +63,39 @@ def with_lenient_int32(df: DataFrame, name: str, text: Column) -> DataFrame:
     times in the next.
     """
     kept = df.columns
-    df = df.withColumn("_text", text)
+    mark = work_prefix(kept)
+    at = lambda step: f"{mark}{step}"
+    df = df.withColumn(at("text"), text)
 
     # Up to 18 digits fit a long: the usual case. Nothing else is ever cast,
     # as even a try_cast that fails costs a Java exception.
-    digits = (F.octet_length("_text") <= 18) & F.col("_text").rlike(r"\A[0-9]+\z")
-    df = df.withColumn("_plain", F.when(digits, _wrap(F.col("_text").cast("bigint"))))
+    digits = (F.octet_length(at("text")) <= 18) & F.col(at("text")).rlike(r"\A[0-9]+\z")
+    df = df.withColumn(at("plain"), F.when(digits, _wrap(F.col(at("text")).cast("bigint"))))
 
     # 10^32 is a multiple of 2^32, so bytes before the last 32 cannot matter,
     # and fewer are filled up with '0', hex 30, on the left.
-    tail = F.lpad(F.hex(F.substring(F.col("_text").cast("binary"), -32, 32)), 64, "30")
-    df = df.withColumn("_tail", F.when(F.col("_plain").isNull(), tail))
+    tail = F.lpad(F.hex(F.substring(F.col(at("text")).cast("binary"), -32, 32)), 64, "30")
+    df = df.withColumn(at("tail"), F.when(F.col(at("plain")).isNull(), tail))
 
     # Eight bytes at a time in one long: bytes to pairs of digits in 16 bits
     # each, then pairs to fours in 32 bits.
     parts = [str(i) for i in range(4)]
     byte, less_48, pair = F.lit(0x00FF00FF00FF00FF), F.lit(0x00D000D000D000D0), F.lit(0x0000FFFF0000FFFF)
     df = df.withColumns(
-        {f"_bytes{i}": F.conv(F.substring("_tail", 1 + 16 * int(i), 16), 16, -10).cast("bigint") for i in parts}
+        {at("bytes" + i): F.conv(F.substring(at("tail"), 1 + 16 * int(i), 16), 16, -10).cast("bigint") for i in parts}
     )
-    ones = {i: (F.col(f"_bytes{i}").bitwiseAND(byte) + less_48).bitwiseAND(byte) for i in parts}
-    tens = {i: (F.shiftrightunsigned(f"_bytes{i}", 8).bitwiseAND(byte) + less_48).bitwiseAND(byte) for i in parts}
-    df = df.withColumns({f"_pairs{i}": tens[i] * 10 + ones[i] for i in parts})
-    high = {i: F.shiftrightunsigned(f"_pairs{i}", 16).bitwiseAND(pair) for i in parts}
-    df = df.withColumns({f"_fours{i}": high[i] * 100 + F.col(f"_pairs{i}").bitwiseAND(pair) for i in parts})
+    ones = {i: (F.col(at("bytes" + i)).bitwiseAND(byte) + less_48).bitwiseAND(byte) for i in parts}
+    tens = {i: (F.shiftrightunsigned(at("bytes" + i), 8).bitwiseAND(byte) + less_48).bitwiseAND(byte) for i in parts}
+    df = df.withColumns({at("pairs" + i): tens[i] * 10 + ones[i] for i in parts})
+    high = {i: F.shiftrightunsigned(at("pairs" + i), 16).bitwiseAND(pair) for i in parts}
+    df = df.withColumns({at("fours" + i): high[i] * 100 + F.col(at("pairs" + i)).bitwiseAND(pair) for i in parts})
     total = F.lit(0)
     for i in parts:
-        eight = F.shiftrightunsigned(f"_fours{i}", 32) * 10**4 + F.col(f"_fours{i}").bitwiseAND(F.lit(0xFFFFFFFF))
+        eight = F.shiftrightunsigned(at("fours" + i), 32) * 10**4 + F.col(at("fours" + i)).bitwiseAND(F.lit(0xFFFFFFFF))
         weight = (10 ** (24 - 8 * int(i)) + 2**31) % 2**32 - 2**31
         total = total + _wrap(eight * weight)
 
-    number = F.coalesce(F.col("_plain"), _wrap(total), F.lit(0)).cast("int")
+    number = F.coalesce(F.col(at("plain")), _wrap(total), F.lit(0)).cast("int")
     return df.select(*[c for c in kept if c != name], number.alias(name))
 
 
@@ -123,17 +135,13 @@ def strip_line_end(line: Column) -> Column:
 
 
 def _lines(value: Column) -> Column:
-    # split decodes to characters, so invalid UTF-8 is cut out line by line.
-    newlines = F.octet_length(value) - F.octet_length(F.replace(value, F.lit("\n"), F.lit("")))
+    # split decodes to characters and would put replacement characters for
+    # invalid UTF-8. As ISO-8859-1 every byte is a character and stays itself.
+    characters = F.decode(value.cast("binary"), "ISO-8859-1")
     return (
         F.when(F.instr(value, "\n") == 0, F.array(value))
         .when(F.is_valid_utf8(value), F.split(value, "\n", -1))
-        .otherwise(
-            F.transform(
-                F.sequence(F.lit(1), newlines + 1),
-                lambda i: F.substring_index(F.call_function("substring_index", value, F.lit("\n"), i), "\n", -1),
-            )
-        )
+        .otherwise(F.transform(F.split(characters, "\n", -1), lambda line: F.encode(line, "ISO-8859-1").cast("string")))
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.records import encode_record
+from tallyline.functions.records import encode_record, work_prefix
 
 # The domains of a generated record. Names are of a-z and A-Z,
 # addresses of a-z, A-Z, 0-9 and the space.
@@ -39,10 +39,11 @@ def _fit(symbols: Column, length: Column) -> Column:
 
 def records_for(df: DataFrame, row: str, seed: int = 0) -> DataFrame:
     """Add ``raw``, a random record, to every row; ``row`` is the column that tells rows apart."""
+    mark = work_prefix(df.columns)
     drawn = df.withColumns(
-        {"_first": _digest(F.col(row), seed, "first"), "_second": _digest(F.col(row), seed, "second")}
+        {f"{mark}first": _digest(F.col(row), seed, "first"), f"{mark}second": _digest(F.col(row), seed, "second")}
     )
-    first, second = F.col("_first"), F.col("_second")
+    first, second = F.col(f"{mark}first"), F.col(f"{mark}second")
     # Base 64 has all the letters and digits. Taking out what a field does not
     # use leaves its characters evenly likely; '+' stands in for the space.
     letters = F.regexp_replace(F.base64(F.unhex(first)), "[^a-zA-Z]+", "")

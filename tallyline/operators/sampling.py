@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.records import parse_records
@@ -27,10 +27,13 @@ def head(df: DataFrame, by: SortKey, n: int = SAMPLE) -> DataFrame:
 
 
 def tail(df: DataFrame, fields: list[str], n: int = SAMPLE) -> DataFrame:
-    """The last n records in sort order, in that order."""
+    """The last n records with their line numbers in the sorted copy, in that order."""
     records, order = with_sort_columns(df, fields)
     last = records.orderBy(*[c.desc() for c in order]).limit(n)
-    return last.orderBy(*fields, "raw").select("raw")
+    place = F.row_number().over(Window.orderBy(*[c.desc() for c in order]))
+    # n rows from here on: the last of as many lines as there are.
+    numbered = last.select((F.lit(df.count()) - place + 1).alias("line_no"), "raw")
+    return numbered.orderBy("line_no")
 
 
 def key_extremes(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:

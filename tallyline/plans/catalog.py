@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.records import encode_record, key_from_path, normalise_lines, parse_records, payload_bytes
 from tallyline.operators import checks, sampling, sorting
-from tallyline.operators.generate import generate_records, records_for
+from tallyline.operators.generate import records_for
 from tallyline.operators.positions import number_lines, with_line_numbers
 from tallyline.plans import feeds
+from tallyline.plans import run as programs
 from tallyline.session import new_run_dir, union_all
 from tallyline.sinks.text import (
     output_paths,
@@ -22,7 +23,7 @@ from tallyline.sinks.text import (
     write_topic_outputs,
 )
 from tallyline.sources.lines import read_lines, scan_records
-from tallyline.sources.topics import FileTopics
+from tallyline.sources.topics import SOURCE_TOPIC, FileTopics
 from tallyline.streaming.drain import drain, time_trigger
 from tallyline.streaming.ingest import (
     AVAILABLE_NOW,
@@ -233,8 +234,8 @@ def ordered_topic_sink(spark, sf):
     """Sorted into a topic, then from the topic into a file in topic order."""
     run = new_run_dir(spark, "topics")
     topics = FileTopics(run)
-    topics.write_ordered(sorting.global_sort(feeds.orders(spark, sf), ["continent"]), "continent")
-    write_topic_outputs(topics.read(spark, ["continent"]), f"{run}/out", ["continent"])
+    topics.write_ordered(sorting.global_sort(feeds.orders(spark, sf), ["continent"]), "continent", "1")
+    write_topic_outputs(topics.read(spark, ["continent"], "1"), f"{run}/out", ["continent"])
     lines = read_lines(spark, output_paths(f"{run}/out")["continent"])
     return number_lines(lines).select("line_no", F.col("line").alias("raw"))
 
@@ -344,8 +345,37 @@ def order_check_unsorted(spark, sf):
 
 
 def generate(spark, sf):
-    """As many records as there are line items."""
-    return generate_records(spark, feeds.table(spark, sf, "lineitem").count(), seed=3)
+    """A record for every line item, from its order and line number."""
+    rows = feeds.table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row"))
+    return records_for(rows, "row", seed=3).select("raw")
+
+
+def carry_on_roundtrip(spark, sf):
+    """Customers in a first run, orders added in a second one that carries on; then the outputs of the last run."""
+    root = new_run_dir(spark, "carry_on")
+    topics = FileTopics(f"{root}/topics")
+    for records in (feeds.customers(spark, sf), feeds.orders(spark, sf)):
+        topics.write(records, SOURCE_TOPIC)
+        programs.process(spark, topics, run_dir=f"{root}/run", available_now=True)
+    programs.validate(spark, topics, f"{root}/out", available_now=True)
+    return union_all(
+        number_lines(read_lines(spark, path)).select(F.lit(name).alias("output"), "line_no", F.col("line").alias("raw"))
+        for name, path in output_paths(f"{root}/out").items()
+    )
+
+
+def ingested_batches(spark, sf):
+    """Statistics of size-cut batches as they were ingested, held against their log and added up."""
+    run, topics = new_run_dir(spark, "ingest"), FileTopics(new_run_dir(spark, "topics"))
+    topics.write(feeds.lineitems(spark, sf).repartition(4), SOURCE_TOPIC)
+    log = _ingest(spark, topics, run, batch_bytes=1)
+    logged = spark.createDataFrame(
+        [(b["batch_id"], b["records"], b["payload_bytes"]) for b in log.batches], "batch_id long, records long, payload_bytes long"
+    )
+    stats = batch_stats(read_landed(spark, f"{run}/landed"))
+    # A batch log of several batches with the very same figures, and no other.
+    same = logged.exceptAll(stats).isEmpty() and len(log.batches) > 1
+    return stats.agg(F.lit(int(same)).alias("batches_ok"), F.sum("records").alias("records"), F.sum("payload_bytes").alias("payload_bytes"))
 
 
 def generate_for_rows(spark, sf):
@@ -386,6 +416,8 @@ QUERIES: dict[str, Query] = {
     "resume_with_late_data": resume_with_late_data,
     "run_counters": run_counters,
     "batch_stats": batches,
+    "ingested_batches": ingested_batches,
+    "carry_on_roundtrip": carry_on_roundtrip,
     "emitted_counts": emitted_counts,
     "sample_head": sample_head,
     "sample_mid": sample_mid,

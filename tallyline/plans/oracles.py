@@ -169,6 +169,12 @@ def oracles() -> dict[str, str]:
                    sum(strlen(value)) filter (where topic = 'source')::bigint as payload_bytes,
                    count(*) filter (where topic <> 'source') as rejected
             from ({MESSAGES_SQL}) as m""",
+        "carry_on_roundtrip": " union all ".join(
+            f"select '{key}' as output, line_no, raw from ({numbered(f'(select raw from ({CUSTOMERS_SQL}) as c union all select raw from ({ORDERS_SQL}) as o)', key)}) as n"
+            for key in ("id", "name", "continent")
+        ),
+        "ingested_batches": f"""
+            select 1 as batches_ok, count(*) as records, sum(strlen(raw))::bigint as payload_bytes from ({LINEITEMS_SQL}) as l""",
         "batch_stats": f"""
             select l_linenumber::bigint as batch_id, count(*) as records, sum(strlen(raw))::bigint as payload_bytes
             from ({LINEITEMS_SQL}) as l group by l_linenumber""",
@@ -177,7 +183,7 @@ def oracles() -> dict[str, str]:
         ),
         "sample_head": one_section(LINEITEMS_SQL, "continent", "1", "3"),
         "sample_mid": one_section(LINEITEMS_SQL, "continent", "total // 2", "total // 2 + 2"),
-        "sample_tail": f"select raw from ({one_section(LINEITEMS_SQL, 'continent', 'total - 2', 'total')}) as t",
+        "sample_tail": one_section(LINEITEMS_SQL, "continent", "total - 2", "total"),
         "key_extremes": f"""
             select output, min(raw) filter (where line_no = 1) as first_raw, min(raw) filter (where line_no = total) as last_raw
             from (select *, max(line_no) over (partition by output) as total from ({fanout(LINEITEMS_SQL, 'output')}) as f) as t
@@ -199,7 +205,7 @@ def oracles() -> dict[str, str]:
             ORDERS_SQL, "name", {"by_id": "id", "by_name": "name", "by_address": "address", "by_continent": "continent"}
         ),
         "generate_records": "select raw from ("
-        + generated("(select row_number() over () - 1 as n from lineitem) as l", "n", 3)
+        + generated("(select l_orderkey * 8 + l_linenumber as n from lineitem) as l", "n", 3)
         + ") as g",
         "generate_for_rows": generated("orders", "o_orderkey", 7),
     }

@@ -17,7 +17,7 @@ from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global
 from tallyline.session import new_run_dir, union_all, write_table
 from tallyline.sinks.text import output_paths, write_report, write_topic_outputs
 from tallyline.sources.lines import read_lines
-from tallyline.sources.topics import SOURCE_TOPIC, FileTopics, KafkaTopics
+from tallyline.sources.topics import SOURCE_TOPIC, FileTopics, KafkaTopics, new_run_id
 from tallyline.streaming.drain import FLUSH_INTERVAL, INGEST_IDLE, OUTPUT_IDLE, check_timeouts, drain, time_trigger
 from tallyline.streaming.ingest import (
     AS_SOON_AS_POSSIBLE,
@@ -33,8 +33,8 @@ log = logging.getLogger("tallyline")
 
 Topics = FileTopics | KafkaTopics
 
+# Records of a run and bytes of a micro-batch unless told otherwise.
 DEFAULT_RECORDS = 50_000_000
-# Of one core: a micro-batch takes this much for every core of the cluster.
 DEFAULT_BATCH_BYTES = 100_000_000
 
 
@@ -67,19 +67,19 @@ def process(
     ``available_now`` takes what is there and stops; otherwise the drain ends
     at ``expected`` records or after ``idle_timeout`` seconds without one.
     Given the ``run_dir`` of an earlier run, the drain carries on where that
-    one stopped and everything landed by both is sorted.
+    one stopped and everything landed by both is sorted. The copies of this
+    call are a run of their own, named in the result; none is added to.
     """
     check_timeouts(idle_timeout, flush_interval)
     run_dir = run_dir or new_run_dir(spark, "run")
     batches = BatchLog()
-    batch = batch_bytes * spark.sparkContext.defaultParallelism if batch_bytes else None
-    messages = topics.stream(spark, [SOURCE_TOPIC], batch, flush_interval)
+    messages = topics.stream(spark, [SOURCE_TOPIC], batch_bytes, flush_interval)
     if available_now:
         trigger = AVAILABLE_NOW
     else:
         # Cut by size, the next batch starts when there is enough for it and
         # must not wait for a clock.
-        trigger = AS_SOON_AS_POSSIBLE if batch else time_trigger(flush_interval)
+        trigger = AS_SOON_AS_POSSIBLE if batch_bytes else time_trigger(flush_interval)
     query = start_ingest(messages, f"{run_dir}/landed", f"{run_dir}/checkpoint", batches, trigger=trigger)
     limits = {} if available_now else {"until_count": expected, "idle_timeout": idle_timeout}
     reason = drain(query, batches, **limits)
@@ -87,17 +87,19 @@ def process(
     log.info("ingest stopped: %s %s", reason, ingested)
 
     started = time.monotonic()
-    landed = read_landed(spark, f"{run_dir}/landed")
+    landed, run = read_landed(spark, f"{run_dir}/landed"), new_run_id()
 
     def sort(key: str, by: SortKey) -> int:
         emitted = Observation()
-        ordered = global_sort(landed, by, topics.topic_partitions)
-        topics.write_ordered(ordered.observe(emitted, F.count(F.lit(1)).alias("emitted")), key)
+        ordered = global_sort(landed, by)
+        topics.write_ordered(ordered.observe(emitted, F.count(F.lit(1)).alias("emitted")), key, run)
         log.info("sorted %s: %s records", key, emitted.get["emitted"])
         return emitted.get["emitted"]
 
     emitted = dict.fromkeys(keys, 0) if landed.isEmpty() else for_each_key(spark, keys, sort)
+    topics.complete(spark, run)
     return {
+        "run": run,
         "run_dir": run_dir,
         "stopped": reason,
         "ingest": ingested,
@@ -139,12 +141,12 @@ def verify(spark: SparkSession, outputs: Mapping[str, str], expected: int) -> Ve
 
 
 def _drain_topics(
-    spark: SparkSession, topics: Topics, names: list[str], run_dir: str, idle_timeout: float, available_now: bool
+    spark: SparkSession, topics: Topics, names: list[str], run_dir: str, idle_timeout: float, available_now: bool, run: str | None
 ) -> DataFrame:
     """Land the topics' messages until nothing has come for a while."""
     batches = BatchLog()
     query = start_fanout(
-        topics.stream(spark, names),
+        topics.stream(spark, names, run=run),
         f"{run_dir}/messages",
         f"{run_dir}/messages_checkpoint",
         batches,
@@ -166,13 +168,19 @@ def validate(
     available_now: bool = False,
     keys: Mapping[str, SortKey] = SORT_KEYS,
     report_path: str | None = None,
+    run: str | None = None,
 ) -> dict[str, int]:
-    """Drain the sorted topics into one text output each and write the report."""
+    """Drain the sorted topics of one run into one text output each and write the report.
+
+    Without ``run`` it is the last complete one of file topics. Given the
+    ``run_dir`` of an earlier call, the drain carries on where that stopped.
+    """
     names = list(keys)
+    run = run or topics.latest_run(spark)
     if available_now and topics.cheap_to_read_again:
-        messages = topics.read(spark, names)
+        messages = topics.read(spark, names, run)
     else:
-        messages = _drain_topics(spark, topics, names, run_dir or new_run_dir(spark, "run"), idle_timeout, available_now)
+        messages = _drain_topics(spark, topics, names, run_dir or new_run_dir(spark, "run"), idle_timeout, available_now, run)
     written = write_topic_outputs(messages, out_dir, names)
     log.info("written %s", written)
     outputs = output_paths(out_dir, names)

@@ -37,6 +37,8 @@ def build_session(app_name: str = "tallyline", master: str | None = None, **conf
         # Only inputs of more than this for every core are cut this large; it
         # keeps the number of shuffle blocks down where there are most.
         "spark.sql.files.maxPartitionBytes": "512m",
+        # A stream that has caught up lists its source once a second, not every 10 ms.
+        "spark.sql.streaming.pollingDelay": "1s",
     }
     settings.update(conf)
     for name, value in settings.items():
@@ -66,14 +68,29 @@ def write_table(df: DataFrame, path: str, mode: str = "error", partition_by: Seq
     df.write.mode(mode).option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
+# Plan nodes that give a task the same rows in the same order every time.
+_NARROW = frozenset(
+    """Project Filter Generate Union SubqueryAlias CollectMetrics LocalRelation Range Expand MapInArrow MapInPandas ArrowEvalPython
+    BatchEvalPython TypedFilter OneRowRelation ResolvedHint EmptyRelation LocalLimit""".split()
+)
+
+
+def _is_narrow(plan) -> bool:
+    kind = plan.getClass().getSimpleName()
+    if kind == "LogicalRelation":
+        return plan.relation().getClass().getSimpleName() == "HadoopFsRelation"
+    children = plan.children()
+    return kind in _NARROW and all(_is_narrow(children.apply(i)) for i in range(children.size()))
+
+
 def repeatable(df: DataFrame) -> DataFrame:
-    """``df``, written out first if a recomputed task could see its rows in another order.
+    """``df``, written out first unless it is a file scan with narrow steps.
 
-    Scans and narrow steps give a task the same rows in the same order every
-    time. What comes out of a shuffle arrives in any order.
+    Those give a task the same rows in the same order every time, and their
+    size is known. What comes out of a shuffle, or from an RDD, may arrive in
+    any order and in any amount.
     """
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" not in plan.replace("BroadcastExchange", ""):
+    if _is_narrow(df._jdf.queryExecution().optimizedPlan()):
         return df
     path = new_run_dir(df.sparkSession, "landed")
     write_table(df, path)
@@ -81,7 +98,7 @@ def repeatable(df: DataFrame) -> DataFrame:
 
 
 def scan_bytes(df: DataFrame) -> int | None:
-    """Bytes the plan's scans read after column pruning, or None if unknown."""
+    """Bytes of the files the plan's scans read, all columns and rows of them, or None if unknown."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     return total if total < 2**60 else None

@@ -1,5 +1,8 @@
 """Record topics: Kafka, or folders of Parquet files with the same columns.
 
+A sorted topic holds one complete copy per run. Each run writes its copy under
+its own name, and readers take one run, so a second run adds to no older copy.
+
 Both give (topic, partition, offset, value). The Kafka connector is not part
 of a plain Spark installation, so the option builders are tested and the
 connector calls are not.
@@ -8,24 +11,29 @@ connector calls are not.
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.positions import _ROW_IN_PARTITION
 from tallyline.session import write_table
-from tallyline.sources.lines import path_exists
+from tallyline.sources.lines import folder_names, path_exists
 
 MESSAGE_SCHEMA = "topic string, partition int, offset long, value string"
 
 # The source topic, the broker used when KAFKA_BROKER is unset,
-# the size one record is taken to have, and the largest message.
+# the size one record is taken to have (Kafka limits batches by records, so
+# longer records make larger batches), and the largest message. A longer one
+# fails the job; none is dropped.
 SOURCE_TOPIC = "source"
 DEFAULT_BROKER = "localhost:9092"
 RECORD_BYTES = 50
 MAX_MESSAGE_BYTES = 10 * 1024 * 1024
+# Folder of the names of complete runs.
+RUNS = "complete-runs"
 
 
 def broker() -> str:
@@ -65,14 +73,32 @@ def kafka_sink_options(topic: str, bootstrap: str | None = None) -> dict[str, st
     }
 
 
-def _message_columns(df: DataFrame) -> DataFrame:
-    return df.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+def new_run_id() -> str:
+    """Later runs have greater names."""
+    return f"{time.time_ns():020d}"
+
+
+def _header(name: str) -> Column:
+    found = F.filter("headers", lambda h: h["key"] == name)
+    return F.get(found, F.lit(0))["value"].cast("string")
+
+
+def _message_columns(df: DataFrame, run: str | None) -> DataFrame:
+    """With a ``run``: its records, each once, numbered by the order in which they were sorted."""
+    value = F.col("value").cast("string").alias("value")
+    if run is None:
+        return df.select("topic", "partition", "offset", value)
+    place = _header("seq").cast("bigint")
+    # A task that was run twice has sent its records twice, with equal numbers.
+    mine = df.where(_header("run") == run).select("topic", F.lit(0).alias("partition"), place.alias("offset"), value)
+    return mine if df.isStreaming else mine.dropDuplicates(["topic", "offset"])
 
 
 @dataclass(frozen=True)
 class KafkaTopics:
-    # Partitions of a sorted topic. Each is written by one task, so they set
-    # how far the sort spreads; the topics must have been made with as many.
+    # Partitions of a sorted topic; the topics must have been made with as
+    # many. The sort spreads over as many tasks as its data needs: a number
+    # that goes with each record keeps the order.
     topic_partitions: int
     # A sort reads its input twice: to place the boundaries and to move the
     # rows. What the broker sends is landed first so that it sends it once.
@@ -86,35 +112,50 @@ class KafkaTopics:
         topics: Sequence[str],
         batch_bytes: int | None = None,
         flush_interval: float | None = None,
+        run: str | None = None,
     ) -> DataFrame:
         options = kafka_source_options(topics, self.bootstrap, batch_bytes, flush_interval) | self.extra
-        return _message_columns(spark.readStream.format("kafka").options(**options).load())
+        return _message_columns(spark.readStream.format("kafka").options(**options, includeHeaders="true").load(), run)
 
-    def read(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
+    def read(self, spark: SparkSession, topics: Sequence[str], run: str | None = None) -> DataFrame:
         options = kafka_source_options(topics, self.bootstrap) | self.extra
-        return _message_columns(spark.read.format("kafka").options(**options).load())
+        return _message_columns(spark.read.format("kafka").options(**options, includeHeaders="true").load(), run)
 
     def write(self, df: DataFrame, topic: str) -> None:
         options = kafka_sink_options(topic, self.bootstrap) | self.extra
         df.select(F.col("raw").alias("value")).write.format("kafka").options(**options).save()
 
-    def write_ordered(self, ordered: DataFrame, topic: str) -> None:
+    def write_ordered(self, ordered: DataFrame, topic: str, run: str) -> None:
         options = kafka_sink_options(topic, self.bootstrap) | self.extra
-        rows = ordered.select(F.spark_partition_id().alias("partition"), F.col("raw").alias("value"))
-        rows.write.format("kafka").options(**options).save()
+        ordered_rows(ordered, run, self.topic_partitions).write.format("kafka").options(**options, includeHeaders="true").save()
+
+    def complete(self, spark: SparkSession, run: str) -> None:
+        """Kafka keeps no list of complete runs: a run is named by whoever reads it."""
+
+    def latest_run(self, spark: SparkSession) -> str | None:
+        return None
+
+
+def ordered_rows(ordered: DataFrame, run: str, topic_partitions: int) -> DataFrame:
+    """Sorted records as Kafka rows: neighbouring tasks share a topic partition, and a number keeps the order."""
+    seq = F.monotonically_increasing_id()
+    header = lambda name, text: F.struct(F.lit(name).alias("key"), F.encode(text, "UTF-8").alias("value"))
+    return ordered.select(
+        F.pmod(F.spark_partition_id(), F.lit(topic_partitions)).alias("partition"),
+        F.col("raw").alias("value"),
+        F.array(header("run", F.lit(run)), header("seq", seq.cast("string"))).alias("headers"),
+    )
 
 
 @dataclass(frozen=True)
 class FileTopics:
-    """Each topic is a folder under ``root``."""
+    """Each topic is a folder under ``root``; a sorted one has a folder in it for each run."""
 
     root: str
-    # Sort partitions may be as many as the data needs.
-    topic_partitions: int | None = None
     cheap_to_read_again = True
 
-    def path(self, topic: str) -> str:
-        return f"{self.root}/{topic}"
+    def path(self, topic: str, run: str | None = None) -> str:
+        return f"{self.root}/{topic}/run-{run}" if run else f"{self.root}/{topic}"
 
     def stream(
         self,
@@ -122,29 +163,45 @@ class FileTopics:
         topics: Sequence[str],
         batch_bytes: int | None = None,
         flush_interval: float | None = None,
+        run: str | None = None,
     ) -> DataFrame:
         # A file arrives whole, so there is nothing to wait for.
         reader = spark.readStream.schema(MESSAGE_SCHEMA).format("parquet")
         if batch_bytes:
             reader = reader.option("maxBytesPerTrigger", str(batch_bytes))
-        return reader.load(f"{self.root}/{{{','.join(topics)}}}")
+        return reader.load(self.path(f"{{{','.join(topics)}}}", run))
 
-    def read(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
-        paths = [self.path(topic) for topic in topics if path_exists(spark, self.path(topic))]
+    def read(self, spark: SparkSession, topics: Sequence[str], run: str | None = None) -> DataFrame:
+        paths = [self.path(topic, run) for topic in topics if path_exists(spark, self.path(topic, run))]
         if not paths:
             return spark.createDataFrame([], MESSAGE_SCHEMA)
         return spark.read.schema(MESSAGE_SCHEMA).parquet(*paths)
 
     def write(self, df: DataFrame, topic: str) -> None:
+        """Add to a topic; its partitions are numbered on from those it has."""
+        there = self.read(df.sparkSession, [topic]).agg(F.max("partition")).first()[0]
+        self._write(df, topic, self.path(topic), 0 if there is None else there + 1)
+
+    def write_ordered(self, ordered: DataFrame, topic: str, run: str) -> None:
+        """One run's copy of a sorted topic."""
+        self._write(ordered, topic, self.path(topic, run), 0)
+
+    def _write(self, df: DataFrame, topic: str, path: str, first: int) -> None:
         # A task's rows become one topic partition, so (partition, offset)
         # gives the rows back in the order they had.
         position = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_PARTITION))
         rows = df.select(
             F.lit(topic).alias("topic"),
-            F.spark_partition_id().alias("partition"),
+            (F.spark_partition_id() + first).alias("partition"),
             position.alias("offset"),
             F.col("raw").alias("value"),
         )
-        write_table(rows, self.path(topic), "append")
+        write_table(rows, path, "append")
+
+    def complete(self, spark: SparkSession, run: str) -> None:
+        """Note that all copies of a run are there."""
+        spark.range(0).write.parquet(f"{self.root}/{RUNS}/{run}")
 
-    write_ordered = write
+    def latest_run(self, spark: SparkSession) -> str | None:
+        """The last run of which all copies are there."""
+        return max(folder_names(spark, f"{self.root}/{RUNS}"), default=None)

@@ -6,7 +6,7 @@ from tallyline.__main__ import duration, main, parser
 from tallyline.operators.generate import generate_records
 from tallyline.plans import run
 from tallyline.sinks.text import output_paths
-from tallyline.sources.topics import FileTopics, KafkaTopics, kafka_sink_options, kafka_source_options
+from tallyline.sources.topics import FileTopics, KafkaTopics, kafka_sink_options, kafka_source_options, ordered_rows
 
 
 def test_generate_process_validate(spark, tmp_path):
@@ -41,6 +41,35 @@ def test_process_stops_at_the_expected_count_and_carries_on(spark, tmp_path):
     run.generate(spark, topics, 500, 2, 2)
     again = run.process(spark, FileTopics(topics.root), expected=500, **options)
     assert again["ingest"]["records"] == 500 and again["emitted"]["name"] == 1500
+    assert topics.latest_run(spark) == again["run"] > first["run"]
+    # The second run's copies stand alone: each record once, in order.
+    written = run.validate(spark, topics, f"{tmp_path}/out", available_now=True)
+    assert written == {"id": 1500, "name": 1500, "continent": 1500}
+    verdict = run.verify(spark, output_paths(f"{tmp_path}/out"), 1500)
+    assert {tuple(r)[1:] for r in verdict.order.collect()} == {(1500, 0, None)}
+    # The first run can still be read, and no position of the source topic is taken twice.
+    assert run.validate(spark, topics, f"{tmp_path}/old", available_now=True, run=first["run"])["id"] == 1000
+    source = topics.read(spark, ["source"])
+    assert source.select("partition", "offset").distinct().count() == source.count() == 1500
+
+
+def test_verify_command(spark, tmp_path):
+    topics = FileTopics(f"{tmp_path}/topics")
+    run.generate(spark, topics, 400, 1, 2)
+    run.process(spark, topics, available_now=True)
+    run.validate(spark, topics, f"{tmp_path}/out", available_now=True)
+    result = main(["verify", "-out", f"{tmp_path}/out", "-max", "400"])
+    assert [r["ok"] for r in result["counts"]] == [True] * 3
+    assert [r["violations"] for r in result["order"]] == [0] * 3
+
+
+def test_kafka_rows_carry_run_and_order(spark):
+    ordered = generate_records(spark, 100, 1).repartition(10)
+    rows = ordered_rows(ordered, "7", 3).collect()
+    assert {r["partition"] for r in rows} == {0, 1, 2}
+    seqs = [int(h["value"]) for r in rows for h in r["headers"] if h["key"] == "seq"]
+    assert len(set(seqs)) == 100
+    assert {bytes(h["value"]) for r in rows for h in r["headers"] if h["key"] == "run"} == {b"7"}
 
 
 def test_validate_waits_for_messages_until_idle(spark, tmp_path):

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -12,7 +14,9 @@ from tallyline.functions.records import (
     normalise_lines,
     parse_records,
     payload_bytes,
+    with_lenient_int32,
 )
+from tallyline.operators.generate import records_for
 
 # raw, id, name, address, continent
 RECORDS = [
@@ -125,3 +129,20 @@ def test_key_from_path(spark):
     paths = ["sorted_id", "a_b_c", "x_", "abc", "_x", "", "_"]
     got = spark.createDataFrame([(p,) for p in paths], "p string").select(key_from_path(F.col("p"))).collect()
     assert [r[0] for r in got] == ["id", "b_c", "x_", "abc", "x", "", "_"]
+
+
+def test_lines_of_invalid_utf8_keep_their_bytes_and_take_linear_time(spark):
+    lines = [b"\xff" + str(i).encode() + b",\xe9,x" for i in range(16_000)]
+    df = spark.createDataFrame([(bytearray(b"\n".join(lines)),)], "b binary").select(F.col("b").cast("string").alias("value"))
+    normalise_lines(df).count()
+    started = time.perf_counter()
+    got = normalise_lines(df).select(F.col("raw").cast("binary")).collect()
+    assert time.perf_counter() - started < 3
+    assert [bytes(r[0]) for r in got] == lines
+
+
+def test_work_columns_replace_none_of_the_callers(spark):
+    df = spark.createDataFrame([("12", "keep me", "and me")], "raw string, _text string, __plain string")
+    assert with_lenient_int32(df, "id", F.col("raw")).first() == ("12", "keep me", "and me", 12)
+    row = records_for(spark.createDataFrame([(1, "mine")], "n long, _first string"), "n").first()
+    assert row["_first"] == "mine"
