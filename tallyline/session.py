@@ -68,19 +68,21 @@ def write_table(df: DataFrame, path: str, mode: str = "error", partition_by: Seq
     df.write.mode(mode).option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
-# Plan nodes that give a task the same rows in the same order every time.
-_NARROW = frozenset(
-    """Project Filter Generate Union SubqueryAlias CollectMetrics LocalRelation Range Expand MapInArrow MapInPandas ArrowEvalPython
-    BatchEvalPython TypedFilter OneRowRelation ResolvedHint EmptyRelation LocalLimit""".split()
-)
+# Plan leaves that give a task the same rows in the same order every time.
+_STEADY_LEAVES = frozenset(("FileSourceScanExec", "BatchScanExec", "LocalTableScanExec", "RangeExec", "EmptyRelationExec"))
 
 
 def _is_narrow(plan) -> bool:
+    """Whether a physical plan reads files and tables without a shuffle on the way. A broadcast side has no order to keep."""
     kind = plan.getClass().getSimpleName()
-    if kind == "LogicalRelation":
-        return plan.relation().getClass().getSimpleName() == "HadoopFsRelation"
+    if kind == "AdaptiveSparkPlanExec":
+        return _is_narrow(plan.executedPlan())
+    if kind == "BroadcastExchangeExec":
+        return True
     children = plan.children()
-    return kind in _NARROW and all(_is_narrow(children.apply(i)) for i in range(children.size()))
+    if not children.size():
+        return kind in _STEADY_LEAVES
+    return kind != "ShuffleExchangeExec" and all(_is_narrow(children.apply(i)) for i in range(children.size()))
 
 
 def repeatable(df: DataFrame) -> DataFrame:
@@ -90,7 +92,7 @@ def repeatable(df: DataFrame) -> DataFrame:
     size is known. What comes out of a shuffle, or from an RDD, may arrive in
     any order and in any amount.
     """
-    if _is_narrow(df._jdf.queryExecution().optimizedPlan()):
+    if _is_narrow(df._jdf.queryExecution().executedPlan()):
         return df
     path = new_run_dir(df.sparkSession, "landed")
     write_table(df, path)

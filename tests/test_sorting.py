@@ -8,7 +8,7 @@ from tallyline.operators.positions import number_lines, with_line_numbers
 from tallyline.operators.sorting import SORT_KEYS, global_sort, merge_runs, sort_fanout, sorted_table
 from tallyline.operators.generate import generate_records
 from tallyline.plans import feeds
-from tallyline.session import new_run_dir, repeatable, sort_partitions
+from tallyline.session import scan_bytes, new_run_dir, repeatable, sort_partitions
 from tallyline.sinks.text import output_paths, write_ordered, write_sorted_outputs
 from tallyline.sources.lines import read_lines, scan_records
 
@@ -147,3 +147,17 @@ def test_part_files_past_99999_keep_their_order(spark, tmp_path):
     (tmp_path / "part-99999-x-c001.txt").write_text("b2\n")
     lines = number_lines(read_lines(spark, str(tmp_path))).orderBy("line_no").collect()
     assert [r.line for r in lines] == ["a", "b", "b2", "c", "d"]
+
+
+def test_rows_of_an_rdd_are_landed_and_sized(spark):
+    made = spark.createDataFrame(spark.sparkContext.parallelize([("b",), ("a",)], 2), "raw string")
+    landed = repeatable(made)
+    assert landed is not made and scan_bytes(landed) is not None
+    assert [r.raw for r in global_sort(made, ["raw"]).collect()] == ["a", "b"]
+
+
+def test_a_path_named_like_a_plan_node_is_not_landed(spark, tmp_path):
+    path = f"{tmp_path}/ShuffleExchangeExec"
+    spark.range(3).selectExpr("cast(id as string) raw").write.parquet(path)
+    table = spark.read.parquet(path)
+    assert repeatable(table) is table
