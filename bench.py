@@ -34,6 +34,8 @@ HEADLINE = (
     "sort_fanout",
     "merge_runs",
     "sorted_files_roundtrip",
+    "ordered_topic_sink",
+    "carry_on_roundtrip",
     "stream_source",
     "stream_fanout",
     "route_by_topic",
@@ -56,7 +58,7 @@ def main() -> None:
     spark = build_session(
         "bench",
         master=f"local[{CPUS}]",
-        **{"spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n] or HEADLINE

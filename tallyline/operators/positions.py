@@ -65,13 +65,10 @@ def number_lines(lines: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     ``within=["file_path"]`` starts again at 1 in every file.
 
     The files are scanned twice, once to count. Should the second scan cut or
-    pack its splits in another way, the query fails rather than number a line
-    wrongly.
+    pack its splits in another way, as it may for small inputs on a cluster that
+    grows between them, the query fails rather than number a line wrongly;
+    spark.sql.files.minPartitionNum, set by the session's owner, rules that out.
     """
-    spark = lines.sparkSession
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        # Else a cluster that grows between the scans may cut small inputs anew.
-        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     position = F.monotonically_increasing_id()
     placed = lines.select(
         "*",

@@ -18,7 +18,9 @@ TARGET_PARTITION_BYTES = 16 * MIB
 # Beyond this many, partitions grow instead and the sort spills. Spark places
 # boundaries by a sample of at most a million rows, so this leaves 30 for each
 # partition, and the shuffle has a block for every pair of input and output.
+# A cluster that can take more blocks sets its own bound in the session.
 MAX_SORT_PARTITIONS = 32_768
+MAX_SORT_PARTITIONS_KEY = "tallyline.sort.maxPartitions"
 # Below this a further partition costs more in scheduling than it saves.
 MIN_PARTITION_BYTES = MIB // 4
 
@@ -114,7 +116,7 @@ def sort_partitions(df: DataFrame) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     cores = spark.sparkContext.defaultParallelism
     wanted = max(math.ceil(size / TARGET_PARTITION_BYTES), min(cores, math.ceil(size / MIN_PARTITION_BYTES)))
-    return max(1, min(wanted, MAX_SORT_PARTITIONS))
+    return max(1, min(wanted, int(spark.conf.get(MAX_SORT_PARTITIONS_KEY, str(MAX_SORT_PARTITIONS)))))
 
 
 def union_all(parts: Iterable[DataFrame]) -> DataFrame:
