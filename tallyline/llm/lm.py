@@ -43,9 +43,9 @@ SMOOTHING = 64.0
 QUANT = 2048
 ID_BITS = 20
 BATCH_DOCS = 1 << 12
-BATCH_WORDS = 1 << 20
-SHARD_PAIRS = 1 << 21
-COUNT_WORDS = 1 << 19
+BATCH_WORDS = 1 << 18
+SHARD_PAIRS = 1 << 19
+COUNT_WORDS = 1 << 18
 #: No token is a blank, as tokens hold no white space.
 END = b" "
 
