@@ -174,4 +174,5 @@ def oracles() -> dict[str, str]:
         "op5_decontaminate": sql.decontaminate(),
         "op6_chat_format": sql.chat(),
         "op8_mixing": sql.mixing(TOPICS, MIX, MIX_ALPHA),
+        "op9_jaccard_join": sql.jaccard(),
     }

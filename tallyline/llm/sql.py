@@ -92,3 +92,23 @@ def mixing(topics, dimensions, alpha: float, cycles: int = 40) -> str:
     on = " and ".join(f"coalesce(d.{x}, '') = p.{x}" for x in dimensions)
     uniform = "('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':mix'), 1, 13))::bigint / pow(2, 52)"
     return f"with {', '.join(parts)} select doc_id, d.source, d.lang, d.topic, n as n_tokens, round(p, 4) as probability, {uniform} < p as kept from d join p on {on}"
+
+
+def jaccard(shingle: int = 4, a: int = 85, b: int = 100) -> str:
+    """Intersections by an inverted index, components by walking all links."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array({lower}, '[ \\t-\\r]+'), lambda x: x <> '') as w from documents),
+s as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < {shingle} then [array_to_string(w, ' ')]
+         else list_distinct(list_transform(range(0, len(w) - {shingle - 1}), lambda k: array_to_string(w[k + 1 : k + {shingle}], ' '))) end as s
+  from w),
+e as (select doc_id, len(s) as n, unnest(s) as g from s),
+p as (select x.doc_id as u, y.doc_id as v, any_value(x.n) + any_value(y.n) as total, count(*) as common
+      from e x join e y on x.g = y.g and x.doc_id <> y.doc_id group by x.doc_id, y.doc_id),
+links as (select u, v from p where {b} * common >= {a} * (total - common)),
+reach(doc_id, other) as (select doc_id, doc_id from s union select r.doc_id, l.v from reach r join links l on r.other = l.u)
+select s.doc_id, len(s.s)::bigint as n_shingles, c.component_id,
+       case when len(s.s) = 0 then s.doc_id else min(s.doc_id) over (partition by list_sort(s.s)) end as class_id
+from s join (select doc_id, min(other) as component_id from reach group by doc_id) c using (doc_id)"""

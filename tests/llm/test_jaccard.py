@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import re
+import string
 
 import numpy as np
 import pytest
@@ -9,11 +11,14 @@ from hypothesis import strategies as st
 
 from tallyline.llm import jaccard
 
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
 
 def sets_of(texts, n):
     out = []
     for t in texts:
-        w = (t or "").lower().split()
+        w = WORD.findall((t or "").translate(LOWER))
         out.append({tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set())
     return out
 
