@@ -2,8 +2,9 @@
 
 The model predicts a token from the one before it, with Dirichlet smoothing:
 P(w | h) = (c(h, w) + m P(w)) / (c(h) + m). Its vocabulary are the most frequent
-training tokens, VOCABULARY of them, and one class for all rarer ones; within
-that class a token has its add-one share, so every text has a probability.
+training tokens, VOCABULARY of them at most (those of one count are all in it, or
+none), and one class for all rarer ones; within that class a token has its
+add-one share, so every text has a probability.
 Unigram counts cover all tokens and pair counts all pairs of the training
 documents; nothing is pruned.
 
@@ -384,6 +385,18 @@ def _add_up(parts: DataFrame) -> DataFrame:
     return parts.repartition("batch").mapInArrow(run, "batch long, at long, pairs double")
 
 
+def _least_count(counts: DataFrame, size: int) -> int:
+    """The least count that at most ``size`` tokens reach; found on sums alone, 64 thresholds at a time."""
+    low, high = 0, (counts.agg(F.max("c")).first()[0] or 0) + 1
+    while high - low > 1:
+        steps = sorted({low + (high - low) * k // 65 for k in range(1, 65)} - {low})
+        reached = counts.agg(*(F.count_if(F.col("c") >= t).alias(str(t)) for t in steps)).first()
+        enough = [t for t, n in zip(steps, reached) if n <= size]
+        high = min(enough, default=high)
+        low = max([t for t in steps if t < high], default=low)
+    return high
+
+
 def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", size: int = VOCABULARY, smoothing: float = SMOOTHING) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
@@ -394,8 +407,8 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), (~F.coalesce(held_out, F.lit(False))).alias("train"))
     counts = land(_count(rows), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(size).collect()
-    words, frequent = [bytes(r["word"]) for r in top], [r["c"] for r in top]
+    top = counts.where(F.col("c") >= _least_count(counts, size)).toArrow()
+    words, frequent = top.column("word").to_pylist(), top.column("c").to_pylist()
     if END not in words:
         # The end is always in the vocabulary; only a tiny one would leave it out.
         words.append(END)

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import math
 import random
+import re
+import string
 from collections import Counter
 
 import numpy as np
@@ -12,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import lm
 
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
 
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 5000), max_size=300), st.integers(0, 3))
@@ -39,13 +44,14 @@ def test_trie_on_disk(tmp_path):
 
 
 def brute(rows, held, size, smoothing):
-    tokens = [(t or "").lower().split() + [" "] for _, t in rows]
+    tokens = [WORD.findall((t or "").translate(LOWER)) + [" "] for _, t in rows]
     counts, pairs = Counter(), Counter()
     for w, h in zip(tokens, held):
         if not h:
             counts.update(w)
     total, distinct = sum(counts.values()), len(counts)
-    head = dict(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size])
+    least = min(c for c in range(1, total + 2) if sum(n >= c for n in counts.values()) <= size)
+    head = {w: c for w, c in counts.items() if c >= least}
     head.setdefault(" ", counts[" "])
     rare = total - sum(head.values())
     mass = rare + distinct - sum(c > 0 for c in head.values()) + 1
