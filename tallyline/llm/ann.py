@@ -228,7 +228,11 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     """query_id, rank (from 1), vec_id and score of the k nearest found; ``is_query`` is a condition on ``id``."""
     rows = land(usable(df, key, vector), "ann-rows")
     total = rows.count()
-    sample = rows.orderBy(key_bits(F.col("id")), "id").limit(SAMPLE).select("vector").toArrow()
+    # About a tenth too many by hash, then the first SAMPLE of them: an order over all rows would
+    # send as many from every task.
+    share = min(1.0, 1.1 * SAMPLE / max(total, 1))
+    drawn = land(rows.where(key_bits(F.col("id")) <= int(share * ((1 << 60) - 1))), "ann-sample")
+    sample = drawn.orderBy(key_bits(F.col("id")), "id").limit(SAMPLE).select("vector").toArrow()
     vectors = matrix(sample.column("vector")) if sample.num_rows else np.zeros((0, 1))
     model = LearnedPartitions.fit(vectors, max(1, min(MAX_PARTS, total // ROWS_PER_PART)), k=k)
     if probes:
