@@ -23,6 +23,7 @@ except those that are called like a result.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ MIN_CONTEXTS = 0.5
 STEM_LENGTHS = range(4, 9)
 MIN_STEM_WORDS = 4
 WINDOW = 8
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 THRESHOLD = 0.7
 
 # What is stripped from the ends of a word.
@@ -49,6 +50,7 @@ MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¡§«·»¿–—‘’‚“”„
 QUOTES = "\"«»‘“”„‹›`"
 # Letters that digits and signs stand for.
 LOOKALIKES = str.maketrans("013457@$!|", "oieastasii")
+RUN = re.compile(r"(.)\1\1+")
 # Words that introduce what somebody else has said.
 REPORTING = frozenset(
     "said says saying called wrote quoted quote word term phrase dit écrit mot appelé sagte schrieb wort nannte dijo escribió palabra llamó".split()
@@ -170,10 +172,9 @@ class Matcher(dict):
             self.clear()
         word = normal(raw)
         found = self.automaton.match(word) if word else None
-        if (found is None or found[1]) and word:
-            plain = word.translate(LOOKALIKES)
-            squeezed = "".join(c for i, c in enumerate(plain) if plain[i : i + 3] != c * 3)
-            for other in {plain, squeezed} - {word}:
+        if found is None or found[1]:
+            plain = word if word.isalpha() else word.translate(LOOKALIKES)
+            for other in {plain, RUN.sub(r"\1", plain)} - {word}:
                 again = self.automaton.match(other)
                 if again and (found is None or again[1] + 1 < found[1]):
                     found = (again[0], max(1, again[1]), again[2])
@@ -344,15 +345,15 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
     def run(batches):
         matcher, known = shared.value.matcher(), shared.value
         for batch in batches:
-            found = [matcher.hits(x) for x in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in names),
-                    pa.array([known.score(*f) for f in found], pa.float64()),
-                    pa.array([[m[0] for _, m in hits] for _, hits in found], pa.list_(pa.string())),
-                    pa.array([[i for i, _ in hits] for _, hits in found], pa.list_(pa.int64())),
-                ],
-                names=[*names, *results],
-            )
+            scores, entries, places = [], [], []
+            # One text at a time: the words of a whole batch would take ten times its bytes.
+            for value in batch.column(text):
+                words, hits = matcher.hits(value.as_py())
+                scores.append(known.score(words, hits))
+                entries.append([m[0] for _, m in hits])
+                places.append([i for i, _ in hits])
+            columns = [*(batch.column(c) for c in names), pa.array(scores, pa.float64())]
+            columns += [pa.array(entries, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, *results])
 
     return docs.select(*names).mapInArrow(run, schema)
