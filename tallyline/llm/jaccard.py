@@ -48,7 +48,7 @@ MIN_BITMAP_BITS = 256
 #: A signature of at most so many classes is known by them.
 SMALL_BUCKET = 1 << 16
 TILE = 2048
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 RECORD = 24  # bytes of an id in a broadcast table
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
