@@ -25,6 +25,7 @@ empty table gives files without blocks and no rows.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -49,9 +50,11 @@ FLAG_BITS = 16
 SYMBOL_BITS = 22
 LEARN_ROUNDS = 8
 COUNT_ROUNDS = 32
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
+CACHE_RUNS = 150_000
 END_ID = 2
 
+_WORD_IDS: dict = {}
 _ONE = 1 << FLAG_BITS
 _LOW = (1 << 32) - 1
 
@@ -84,13 +87,14 @@ class _Encoder:
             self.low[at] = (low & _LOW) << 16
             self.range[at] <<= 16
 
-    def flag(self, p: np.ndarray, yes: np.ndarray) -> np.ndarray:
+    def choose(self, one: np.ndarray, two: np.ndarray, choice: np.ndarray) -> np.ndarray:
+        """Code which of [0, one), [one, two) and [two, 1) was taken."""
         r = self.range >> FLAG_BITS
-        split = r * p
-        self.low += np.where(yes, 0, split)
-        self.range = np.where(yes, split, (r << FLAG_BITS) - split)
+        one, two = r * one, r * two
+        self.low += np.where(choice == 0, 0, np.where(choice == 1, one, two))
+        self.range = np.where(choice == 0, one, np.where(choice == 1, two - one, (r << FLAG_BITS) - two))
         self._shift(np.flatnonzero(self.range <= _LOW))
-        return yes
+        return choice
 
     def symbol(self, at: np.ndarray, cum: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         r = self.range[at] >> SYMBOL_BITS
@@ -131,14 +135,14 @@ class _Decoder:
             self.at[at] += 1
             self.range[at] <<= 16
 
-    def flag(self, p: np.ndarray, _: object) -> np.ndarray:
+    def choose(self, one: np.ndarray, two: np.ndarray, _: object) -> np.ndarray:
         r = self.range >> FLAG_BITS
-        split = r * p
-        yes = self.code < split
-        self.code -= np.where(yes, 0, split)
-        self.range = np.where(yes, split, (r << FLAG_BITS) - split)
+        one, two = r * one, r * two
+        first, late = self.code < one, self.code >= two
+        self.code -= np.where(first, 0, np.where(late, two, one))
+        self.range = np.where(first, one, np.where(late, (r << FLAG_BITS) - two, two - one))
         self._shift(np.flatnonzero(self.range <= _LOW))
-        return yes
+        return np.where(first, 0, 1 + late)
 
     def symbol(self, at: np.ndarray, cum: np.ndarray, _: object) -> np.ndarray:
         r = self.range[at] >> SYMBOL_BITS
@@ -152,49 +156,59 @@ class _Decoder:
 
 
 class _Mixer:
-    """Probability that a candidate is right, from three small contexts."""
+    """Probability that a candidate is right, from three small contexts.
+
+    A joint context is (16, 32, 32) values in one number. The mix of the three
+    predictions is tabulated whenever counters and weights have been updated.
+    """
+
+    SHAPE = (16, 32, 32)
 
     def __init__(self):
-        self.hits = np.full((3, 32), 1, dtype=np.int64)
-        self.seen = np.full((3, 32), 2, dtype=np.int64)
-        self.weights = np.full(3, 26_000, dtype=np.int64)
-        self.logit = np.zeros((3, 32), dtype=np.int64)
-        self.held: list[tuple] = []
-
-    def predict(self, contexts: tuple) -> np.ndarray:
-        self.now = contexts
-        self.parts = [self.logit[k][c] for k, c in enumerate(contexts)]
-        a, b, c = self.weights.tolist()
-        mixed = (self.parts[0] * a + self.parts[1] * b + self.parts[2] * c) >> 16
-        self.p = INVERSE[np.clip(mixed, -2048, 2047) + 2048]
-        return self.p
-
-    def see(self, asked: np.ndarray, yes: np.ndarray) -> None:
-        self.held.append((asked, yes, self.now, self.parts, self.p))
+        self.hits = [np.full(n, 1, dtype=np.int64) for n in self.SHAPE]
+        self.seen = [np.full(n, 2, dtype=np.int64) for n in self.SHAPE]
+        self.weights = [26_000] * 3
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self._tabulate()
+
+    def _parts(self) -> list[np.ndarray]:
+        """The three predictions as logits, each along its own axis."""
+        logits = [LOGIT[np.clip((h * 4096) // n, 1, 4094)] for h, n in zip(self.hits, self.seen)]
+        return [x.reshape([-1 if i == k else 1 for i in range(3)]) for k, x in enumerate(logits)]
+
+    def _tabulate(self) -> None:
+        mixed = sum(x * w for x, w in zip(self._parts(), self.weights)) >> 16
+        self.table = INVERSE[np.clip(mixed, -2048, 2047) + 2048].ravel()
+
+    def see(self, contexts: np.ndarray, right: np.ndarray) -> None:
+        """The joint contexts in which a candidate was asked for, and those of them in which it was right."""
+        self.held.append((contexts, right))
 
     def learn(self) -> None:
-        for asked, yes, contexts, parts, p in self.held:
-            n = int(asked.sum())
-            if not n:
-                continue
-            right = asked & yes
-            error = np.where(asked, yes * _ONE - p, 0)
-            for k in range(3):
-                self.seen[k] += np.bincount(contexts[k][asked], minlength=32)
-                self.hits[k] += np.bincount(contexts[k][right], minlength=32)
-                self.weights[k] += (int((parts[k] * error).sum()) // n) >> 14
+        size = len(self.table)
+        n = np.bincount(np.concatenate([x for x, _ in self.held]), minlength=size).reshape(self.SHAPE)
+        hits = np.bincount(np.concatenate([x for _, x in self.held]), minlength=size).reshape(self.SHAPE)
         self.held.clear()
-        full = self.seen > 1 << 16
-        self.seen[full] >>= 1
-        self.hits[full] >>= 1
-        self.logit = LOGIT[np.clip((self.hits * 4096) // self.seen, 1, 4094)]
+        total = int(n.sum())
+        if not total:
+            return
+        error = hits * _ONE - n * self.table.reshape(self.SHAPE)
+        for k, part in enumerate(self._parts()):
+            self.weights[k] += (int((part * error).sum()) // total) >> 14
+            others = tuple(i for i in range(3) if i != k)
+            self.seen[k] += n.sum(axis=others)
+            self.hits[k] += hits.sum(axis=others)
+            full = self.seen[k] > 1 << 16
+            self.seen[k][full] >>= 1
+            self.hits[k][full] >>= 1
+        self._tabulate()
 
 
 def _code(coder, rounds: int, lanes: int, vocabulary: int, ids: np.ndarray | None) -> np.ndarray:
     """Code (with ids, rounds by lanes) or decode (without) a block; returns the ids."""
     slots = 1 << SLOT_BITS
-    last2, sure2 = np.zeros(slots, dtype=np.int64), np.zeros(slots, dtype=np.int64)
-    last1, sure1 = np.zeros(vocabulary, dtype=np.int64), np.zeros(vocabulary, dtype=np.int64)
+    # A slot is the last id seen, times 16, plus how sure it is; 0 is empty.
+    slots2, slots1 = np.zeros(slots, dtype=np.int64), np.zeros(vocabulary, dtype=np.int64)
     counts = np.zeros(vocabulary, dtype=np.int64)
     total = 1 << SYMBOL_BITS
     cum = np.arange(vocabulary + 1, dtype=np.int64) * (total // vocabulary)
@@ -206,33 +220,33 @@ def _code(coder, rounds: int, lanes: int, vocabulary: int, ids: np.ndarray | Non
     for t in range(rounds):
         s = None if ids is None else ids[t]
         slot = ((before1 * 0x9E3779B1 + before2 * 0x85EBCA6B) >> 7) & (slots - 1)
-        c2, k2 = last2[slot], sure2[slot]
-        c1, k1 = last1[before1], sure1[before1]
-        asked = k2 > 0
-        same = asked & (c1 == c2)
-        p = np.where(asked, first.predict((k2, k1 + 16 * same, size[c2])), _ONE)
-        right = coder.flag(p, None if s is None else ~asked | (s == c2))
-        first.see(asked, right)
-        got = asked & right
-        symbols = np.where(got, c2, -1)
-
-        asked = (k1 > 0) & ~got & ~same
-        p = np.where(asked, second.predict((k1, k2, size[c1])), _ONE)
-        right = coder.flag(p, None if s is None else ~asked | (s == c1))
-        second.see(asked, right)
-        symbols = np.where(asked & right, c1, symbols)
-
-        rest = np.flatnonzero(symbols < 0)
+        v2, v1 = slots2[slot], slots1[before1]
+        c2, k2, c1, k1 = v2 >> 4, v2 & 15, v1 >> 4, v1 & 15
+        ask2 = k2 > 0
+        same = ask2 & (c1 == c2)
+        ask1 = (k1 > 0) & ~same
+        joint2 = (k2 << 10) | ((k1 + (same << 4)) << 5) | size[c2]
+        joint1 = (k1 << 10) | (k2 << 5) | size[c1]
+        one = first.table[joint2] * ask2
+        two = one + (((_ONE - one) * second.table[joint1] * ask1) >> FLAG_BITS)
+        if s is None:
+            choice = coder.choose(one, two, None)
+        else:
+            choice = coder.choose(one, two, np.where(ask2 & (s == c2), 0, np.where(ask1 & (s == c1), 1, 2)))
+        zero, last = choice == 0, choice == 2
+        first.see(joint2[ask2], joint2[zero])
+        second.see(joint1[ask1 & ~zero], joint1[choice == 1])
+        symbols = np.where(zero, c2, c1)
+        rest = np.flatnonzero(last)
         if len(rest):
             symbols[rest] = coder.symbol(rest, cum, None if s is None else s[rest])
         out[t] = symbols
 
-        for last, sure, at, c, k in ((last2, sure2, slot, c2, k2), (last1, sure1, before1, c1, k1)):
+        fresh = (symbols << 4) | 1
+        for table, at, v, c, k in ((slots2, slot, v2, c2, k2), (slots1, before1, v1, c1, k1)):
             again = (c == symbols) & (k > 0)
-            keep = again | (k > 2)
-            # Of lanes that share a slot the last one counts, on both sides.
-            last[at] = np.where(keep, c, symbols)
-            sure[at] = np.where(again, np.minimum(k + 1, CONFIDENCE), np.where(keep, k >> 1, 1))
+            # Right: surer. Wrong: half as sure, or replaced. Of lanes that share a slot the last one counts, on both sides.
+            table[at] = np.where(again, v + (k < CONFIDENCE), np.where(k > 2, v - k + (k >> 1), fresh))
         before2, before1 = before1, symbols
         step = t + 1
         if step % LEARN_ROUNDS == 0 or step in (1, 2, 4):
@@ -289,38 +303,78 @@ class WordIds(dict):
     """Ids of whole texts, remembered per word: this tokenizer's ids never reach across a blank.
 
     Texts are cut at blanks and line feeds alone; any other white space stays
-    in its piece, for the tokenizer to judge.
+    in its piece, for the tokenizer to judge. The tokenizer takes runs of
+    letters as units, lower-cased, and ends each with an id of its own kind. So
+    words of plain Latin letters, digits and marks are cut into such runs, and
+    many new runs are encoded in one call. Other words are encoded one by one.
     """
 
+    # Letters whose lower case and normal form are one letter.
+    LETTERS = "a-zàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœß"
+    RUNS = re.compile(rf"[{LETTERS}]+|[^{LETTERS}]+")
+    PLAIN = re.compile(rf"[{LETTERS}0-9!-&(-/:;=?@\[-`{{-~«»–—…“”„]*\Z")
+
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.ends_run = np.zeros(self.vocabulary, dtype=bool)
+        self.ends_run[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
         self._reset()
 
+    @classmethod
+    def shared(cls, path: str, end_id: int) -> WordIds:
+        """One for all tasks of a Python worker: what it has learned stays true."""
+        if (path, end_id) not in _WORD_IDS:
+            _WORD_IDS[path, end_id] = cls(path, end_id)
+        return _WORD_IDS[path, end_id]
+
     def _reset(self) -> None:
         self.clear()
+        self.runs: dict[str, tuple[int, ...]] = {}
         # Piece 0 is the end of a document, piece 1 is empty.
         self.flat, self.ends = array("i", [self.end_id]), array("q", [1, 1])
         self[""] = 1
 
-    def __missing__(self, word: str) -> int:
-        self.flat.extend(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        self.ends.append(len(self.flat))
-        self[word] = number = len(self.ends) - 1
-        return number
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of new words."""
+        cut = {w: self.RUNS.findall(low) if self.PLAIN.match(low := w.lower()) else None for w in words}
+        new = list({r for runs in cut.values() if runs for r in runs if r not in self.runs})
+        letters = [r for r in new if r[0].isalpha()]
+        for at in range(0, len(letters), 1000):
+            part = letters[at : at + 1000]
+            ids = np.array(self._encode(" ".join(part)))
+            stops = np.flatnonzero(self.ends_run[ids]) + 1
+            if len(stops) != len(part):
+                raise ValueError("this tokenizer does not take runs of letters as units")
+            self.runs.update(zip(part, (tuple(x) for x in map(np.ndarray.tolist, np.split(ids, stops[:-1])))))
+        for r in new:
+            if r not in self.runs:
+                self.runs[r] = tuple(self._encode(r))
+        for w, runs in cut.items():
+            for r in runs or ():
+                self.flat.extend(self.runs[r])
+            if runs is None:
+                self.flat.extend(self._encode(w))
+            self.ends.append(len(self.flat))
+            self[w] = len(self.ends) - 1
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end id after each text, and how many each text has."""
-        if len(self) > CACHE_WORDS:
+        if len(self) > CACHE_WORDS or len(self.runs) > CACHE_RUNS:
             self._reset()
+        words = [text.replace("\n", " ").split(" ") if text else [] for text in texts]
+        if new := {w for w in set().union(*words) if w not in self}:
+            self._learn(new)
         pieces: list[int] = []
         cuts = []
-        for text in texts:
-            if text:
-                pieces.extend(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        for own in words:
+            pieces.extend(map(self.__getitem__, own))
             pieces.append(0)
             cuts.append(len(pieces))
         at = np.array(pieces, dtype=np.int64)
@@ -345,7 +399,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "do
     sorted_docs = placed.repartitionByRange("id", "h", "place").sortWithinPartitions("id", "h", "place").select("id", "text")
 
     def run(batches):
-        words = WordIds(tokenizer_path, end_id)
+        words = WordIds.shared(tokenizer_path, end_id)
         part = TaskContext.get().partitionId()
         held: list[tuple] = []
         size = number = start = 0
