@@ -1,21 +1,29 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
 The model predicts a token from the one before it, with Dirichlet smoothing:
-P(w | h) = (c(h, w) + m P(w)) / (c(h) + m). Its vocabulary are the most frequent
-training tokens, VOCABULARY of them at most (those of one count are all in it, or
-none), and one class for all rarer ones; within that class a token has its
-add-one share, so every text has a probability.
-Unigram counts cover all tokens and pair counts all pairs of the training
-documents; nothing is pruned.
+P(w | h) = (c(h, w) + m P(w)) / (c(h) + m), P(w) by add-one counts. Its
+vocabulary are all training tokens; unigram counts cover all tokens and pair
+counts all pairs of the training documents; nothing is pruned or merged. Only
+who asks for it (``size``) gets a smaller vocabulary: then the tokens below the
+least count that at most so many reach are one class, in which each has its
+add-one share.
 
 Pairs are shuffled once, packed per batch of documents: a shard holds the pairs
-of some contexts with the documents they occur in, so that it can count them,
-put them into a trie and answer all documents' queries itself. A context with
-more pairs than a shard should hold is split over shards. The trie's levels
-(contexts, pointers, successors) are Elias-Fano sequences in memory-mapped
-files, with probabilities quantised to 1/QUANT of a decimal digit. A query finds
-its context by successor search in the first level, reads the range of its
-followers off the pointers, and searches the follower relative to its context.
+of some followers with the documents they occur in, so that it can count them,
+put them into a trie and answer all documents' queries itself. The CACHED most
+frequent tokens have short ids that are broadcast with their counts; any other
+goes by a 64-bit hash of its bytes, and its shard, which sees all its
+occurrences, counts it (two tokens of one hash would be taken for one: a chance
+of 0.0003 in all for 100 million tokens). A follower with more pairs than a shard
+should hold is split over shards; it is always a cached one.
+A document runs in a circle from its end to its end, so its contexts and its
+followers are the same tokens: the sum of log P(w | h) is that of
+log (c(h, w) + m P(w)) / (c(w) + m), which needs no count of the context. These
+values are the trie's. Its levels (followers, pointers, contexts of each) are
+Elias-Fano sequences in memory-mapped files, with values quantised to 1/QUANT of
+a decimal digit. A query finds its follower by successor search in the first
+level, reads the range of its contexts off the pointers, and searches the context
+relative to its follower.
 
 Tokens are words between ASCII white space, A to Z lower-cased, then one end.
 Null texts are empty: only the end. Null ids are scored too, and count as not
@@ -29,6 +37,7 @@ import os
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +48,13 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.common import LOWER_ASCII, land
 
-VOCABULARY = 1 << 18
+#: Tokens whose ids and counts are broadcast; it bounds no result.
+CACHED = 1 << 18
 SMOOTHING = 64.0
 QUANT = 2048
 ID_BITS = 20
+#: Ids of a shard's part of a batch.
+PART_BITS = 31
 BATCH_DOCS = 1 << 12
 BATCH_WORDS = 1 << 18
 SHARD_PAIRS = 1 << 19
@@ -138,53 +150,55 @@ class EliasFano:
 
 
 class NgramTrie:
-    """Two levels: contexts, and the followers of each with a quantised log10 probability."""
+    """Two levels: followers, and the contexts of each with a quantised log10 value."""
 
-    def __init__(self, contexts: EliasFano, pointers: EliasFano, followers: EliasFano, quantised: np.ndarray):
-        self.contexts, self.pointers, self.followers, self.quantised = contexts, pointers, followers, quantised
+    def __init__(self, followers: EliasFano, pointers: EliasFano, contexts: EliasFano, quantised: np.ndarray, bits: int):
+        self.followers, self.pointers, self.contexts, self.quantised, self.bits = followers, pointers, contexts, quantised, bits
 
     @classmethod
-    def build(cls, keys: np.ndarray, log10: np.ndarray) -> NgramTrie:
-        """``keys``: context << ID_BITS | follower, ascending."""
-        h = keys >> ID_BITS
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(keys) else np.empty(0, dtype=np.int64)
+    def build(cls, keys: np.ndarray, log10: np.ndarray, bits: int = ID_BITS) -> NgramTrie:
+        """``keys``: follower << bits | context, ascending."""
+        w = keys >> bits
+        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(keys) else np.empty(0, dtype=np.int64)
         rank = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
-        relative = (rank << ID_BITS) | (keys & ((1 << ID_BITS) - 1))
+        relative = (rank << bits) | (keys & ((1 << bits) - 1))
         return cls(
-            EliasFano.build(h[first], 1 << ID_BITS),
+            EliasFano.build(w[first], 1 << bits),
             EliasFano.build(np.append(first, len(keys)), len(keys) + 1),
-            EliasFano.build(relative, max(1, len(first)) << ID_BITS),
+            EliasFano.build(relative, max(1, len(first)) << bits),
             np.clip(np.rint(-log10 * QUANT), 0, 65535).astype(np.uint16),
+            bits,
         )
 
     def save(self, folder: str) -> None:
-        for name in ("contexts", "pointers", "followers"):
+        for name in ("followers", "pointers", "contexts"):
             getattr(self, name).save(os.path.join(folder, name))
         np.save(os.path.join(folder, "quantised.npy"), self.quantised)
+        np.save(os.path.join(folder, "bits.npy"), self.bits)
 
     @classmethod
     def open(cls, folder: str) -> NgramTrie:
-        parts = (EliasFano.open(os.path.join(folder, x)) for x in ("contexts", "pointers", "followers"))
-        return cls(*parts, np.load(os.path.join(folder, "quantised.npy"), mmap_mode="r"))
+        parts = (EliasFano.open(os.path.join(folder, x)) for x in ("followers", "pointers", "contexts"))
+        return cls(*parts, np.load(os.path.join(folder, "quantised.npy"), mmap_mode="r"), int(np.load(os.path.join(folder, "bits.npy"))))
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
-        """The stored log10 probabilities; nan where the trie has no such pair."""
+        """The stored log10 values; nan where the trie has no such pair."""
         out = np.full(len(keys), np.nan)
-        if not self.followers.n or not len(keys):
+        if not self.contexts.n or not len(keys):
             return out
-        rank, known = self.contexts.successor(keys >> ID_BITS)
+        rank, known = self.followers.successor(keys >> self.bits)
         at = np.flatnonzero(known)
         rank = rank[at]
-        # Relative to its context: only the range the pointers give can hold the follower.
+        # Relative to its follower: only the range the pointers give can hold the context.
         low, high = self.pointers.access(rank), self.pointers.access(rank + 1)
-        i, same = self.followers.successor((rank << ID_BITS) | (keys[at] & ((1 << ID_BITS) - 1)))
+        i, same = self.contexts.successor((rank << self.bits) | (keys[at] & ((1 << self.bits) - 1)))
         found = same & (i >= low) & (i < high)
         out[at[found]] = self.quantised[i[found]] / -float(QUANT)
         return out
 
 
 class Vocabulary:
-    """Ids and counts of the frequent tokens, the end among them; id 0 is the class of all others."""
+    """Ids and counts of some tokens, the end among them; id 0 is all others taken together."""
 
     def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int):
         self.ids = {w: i + 1 for i, w in enumerate(words)}
@@ -213,46 +227,53 @@ def _unpack(data: bytes, dtype, n: int) -> np.ndarray:
 
 
 def _count(docs: DataFrame) -> DataFrame:
-    """Tokens of the training documents with their counts, added up within tasks first."""
+    """All tokens with their counts in the training documents (c) and the others (other), added up within tasks first."""
 
     def run(batches):
-        seen: Counter = Counter()
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
 
-        def flush() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
-            seen.clear()
-            return made
+        def flush() -> Iterator[pa.RecordBatch]:
+            for train, counted in zip((False, True), seen):
+                if counted:
+                    n = pa.array(list(counted.values()), pa.int64())
+                    none = pa.array(np.zeros(len(counted), dtype=np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(list(counted), pa.binary()), n if train else none, none if train else n], names=["word", "c", "other"])
+                    counted.clear()
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                seen.update(tokens_of(text))
-                seen[END] += 1
-                if len(seen) > COUNT_WORDS:
-                    yield flush()
-        if seen:
-            yield flush()
+            for train, text in zip(batch.column("train").to_pylist(), batch.column("text").to_pylist()):
+                counted = seen[train]
+                counted.update(tokens_of(text))
+                counted[END] += 1
+                if len(seen[0]) + len(seen[1]) > COUNT_WORDS:
+                    yield from flush()
+        yield from flush()
 
-    return docs.where("train").select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    made = docs.select("train", "text").mapInArrow(run, "word binary, c long, other long")
+    return made.groupBy("word").agg(F.sum("c").alias("c"), F.sum("other").alias("other"))
+
+
+def _hash(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
 
 
 CODED = """kind string, batch long, ids array<long>, train array<boolean>, n_tokens array<long>, n_known array<long>, base array<double>,
-words array<binary>, at array<int>, times array<long>, shard int, n int, keys binary, docs binary, counts binary, trained binary"""
+words array<binary>, at array<int>, times array<long>, shard int, n int, keys binary, docs binary, counts binary, hashes binary, n_hashes int, trained binary"""
 
 
-def _code(docs: DataFrame, vocabulary, shards: int) -> DataFrame:
-    """Batches of documents: what each document has at once, its rare tokens, and its pairs by shard."""
+def _code(docs: DataFrame, vocabulary, shards: int, merge: bool) -> DataFrame:
+    """Batches of documents: what each document has at once, its pairs by shard, and its rare tokens if they are merged."""
     schema = pa.schema(
         [("kind", pa.string()), ("batch", pa.int64()), ("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("n_tokens", pa.list_(pa.int64())), ("n_known", pa.list_(pa.int64())), ("base", pa.list_(pa.float64())), ("words", pa.list_(pa.binary())), ("at", pa.list_(pa.int32())), ("times", pa.list_(pa.int64())), ("shard", pa.int32()), ("n", pa.int32())]
-        + [(x, pa.binary()) for x in ("keys", "docs", "counts", "trained")]
+        + [(x, pa.binary()) for x in ("keys", "docs", "counts", "hashes")]
+        + [("n_hashes", pa.int32()), ("trained", pa.binary())]
     )
 
     def run(batches):
-        known = vocabulary.value
-        get, end = known.ids.get, known.end
+        known, hot = vocabulary.value
+        get, end, cached = known.ids.get, known.end, len(known.counts)
         log_counts = np.log10(known.counts + 1.0)
         log_counts[0] = 0.0
-        # Contexts too frequent for one shard are split by follower.
-        hot = known.counts > max(1, known.total // (8 * shards))
         part, number = TaskContext.get().partitionId(), 0
 
         def rows(held: list[tuple]) -> Iterator[dict]:
@@ -260,9 +281,13 @@ def _code(docs: DataFrame, vocabulary, shards: int) -> DataFrame:
             batch, number = (part << 32) | number, number + 1
             flat: list[int] = []
             sizes, words, at, times = [], [], [], []
+            others: dict[bytes, int] = {}
             for i, (_, _, tokens) in enumerate(held):
-                coded = [get(w, 0) for w in tokens]
-                if 0 in coded:
+                if merge:
+                    coded = [get(w, 0) for w in tokens]
+                else:
+                    coded = [get(w) or others.setdefault(w, cached + len(others)) for w in tokens]
+                if merge and 0 in coded:
                     for w, k in Counter(w for w, c in zip(tokens, coded) if not c).items():
                         words.append(w)
                         at.append(i)
@@ -275,7 +300,8 @@ def _code(docs: DataFrame, vocabulary, shards: int) -> DataFrame:
             # Each document is end, words; followed by words, end.
             after = np.append(ids[1:], end)
             after[np.cumsum(sizes) - 1] = end
-            seen = known.counts[after] * (after > 0) > 0
+            frequent = np.where(after < cached, after, 0)
+            seen = known.counts[frequent] * (frequent > 0) > 0
             n = len(held)
             yield {
                 "kind": "info",
@@ -284,15 +310,19 @@ def _code(docs: DataFrame, vocabulary, shards: int) -> DataFrame:
                 "train": [t for _, t, _ in held],
                 "n_tokens": sizes,
                 "n_known": np.bincount(doc, seen, n).astype(np.int64),
-                "base": np.bincount(doc, log_counts[after], n),
+                "base": np.bincount(doc, log_counts[frequent], n),
             }
             if words:
                 yield {"kind": "rare", "batch": batch, "words": words, "at": at, "times": times}
-            both = (ids << ID_BITS | after) << 12 | doc
+            hashes = np.array([_hash(w) for w in others], dtype=np.uint64)
+            bits, doc_bits = (cached + len(others)).bit_length(), (n - 1).bit_length()
+            both = (after << bits | ids) << doc_bits | doc
             both, counts = np.unique(both, return_counts=True)
-            keys, doc = both >> 12, both & 4095
-            h = keys >> ID_BITS
-            mixed = np.where(hot[h], keys, h).astype(np.uint64) * _U(0x9E3779B97F4A7C15)
+            w, h, doc = both >> (bits + doc_bits), (both >> doc_bits) & ((1 << bits) - 1), both & ((1 << doc_bits) - 1)
+            # What all batches call a token: its id, or its hash.
+            names = np.concatenate([np.arange(cached, dtype=np.uint64), hashes])
+            split = np.concatenate([hot, np.zeros(len(others), dtype=bool)])[w]
+            mixed = (names[w] + np.where(split, names[h] * _U(0xFF51AFD7ED558CCD), _U(0))) * _U(0x9E3779B97F4A7C15)
             shard = ((mixed >> _U(32)) % _U(shards)).astype(np.int32)
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -300,12 +330,19 @@ def _code(docs: DataFrame, vocabulary, shards: int) -> DataFrame:
             for s in range(shards):
                 take = order[cuts[s] : cuts[s + 1]]
                 if len(take):
+                    mine, other = np.stack([w[take], h[take]]), np.empty(0, dtype=np.int64)
+                    if len(others):
+                        long = mine >= cached
+                        other, place = np.unique(mine[long], return_inverse=True)
+                        mine[long] = cached + place
                     yield {
                         "kind": "pairs",
                         "batch": batch,
                         "shard": s,
                         "n": len(take),
-                        "keys": _pack(np.diff(keys[take], prepend=0)),
+                        "keys": _pack(np.diff(mine[0] << PART_BITS | mine[1], prepend=0)),
+                        "hashes": _pack(hashes[other - cached]),
+                        "n_hashes": len(other),
                         "docs": _pack(doc[take].astype(np.uint16)),
                         "counts": _pack(counts[take].astype(np.uint32)),
                         "trained": trained,
@@ -318,8 +355,13 @@ def _code(docs: DataFrame, vocabulary, shards: int) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             for i, train, text in zip(*(batch.column(c).to_pylist() for c in ("id", "train", "text"))):
-                held.append((i, train, tokens_of(text)))
-                size += len(held[-1][2]) + 1
+                tokens = tokens_of(text)
+                if held and len(tokens) >= BATCH_WORDS:
+                    # Alone, so that its keys are short.
+                    yield emit(held)
+                    held, size = [], 0
+                held.append((i, train, tokens))
+                size += len(tokens) + 1
                 if len(held) == BATCH_DOCS or size >= BATCH_WORDS:
                     yield emit(held)
                     held, size = [], 0
@@ -330,25 +372,42 @@ def _code(docs: DataFrame, vocabulary, shards: int) -> DataFrame:
 
 
 def _score_pairs(pairs: DataFrame, vocabulary, shards: int, smoothing: float) -> DataFrame:
-    """Per batch, parts of its documents' log10 sums."""
+    """Per batch, parts of its documents' log10 sums, and what tokens without an id add to known tokens and base scores."""
 
     def run(batches):
-        known = vocabulary.value
-        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("batch", "n", "keys", "docs", "counts", "trained")))]
+        known, _ = vocabulary.value
+        cached = len(known.counts)
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("batch", "n", "keys", "docs", "counts", "trained", "hashes", "n_hashes")))]
         if not rows:
             return
-        keys = np.concatenate([np.cumsum(_unpack(r[2], np.int64, r[1])) for r in rows])
+        part = [_unpack(r[6], np.uint64, r[7]) for r in rows]
+        hashes, rank = np.unique(np.concatenate(part), return_inverse=True)
+        bits = max(ID_BITS, (cached + len(hashes)).bit_length())
+        keys, begin = [], 0
+        for r, mine in zip(rows, part):
+            # Ids of this batch's part become ids of the shard.
+            ids = rank[begin : begin + len(mine)] + cached
+            begin += len(mine)
+            key = np.cumsum(_unpack(r[2], np.int64, r[1]))
+            both = np.stack([key >> PART_BITS, key & ((1 << PART_BITS) - 1)])
+            long = both >= cached
+            both[long] = ids[both[long] - cached]
+            keys.append(both[0] << bits | both[1])
+        keys = np.concatenate(keys)
         doc = np.concatenate([_unpack(r[3], np.uint16, r[1]) for r in rows]).astype(np.int64)
         counts = np.concatenate([_unpack(r[4], np.uint32, r[1]) for r in rows]).astype(np.int64)
         train = np.concatenate([np.unpackbits(np.frombuffer(r[5], np.uint8))[_unpack(r[3], np.uint16, r[1])] for r in rows])
         asked, place = np.unique(keys, return_inverse=True)
         c = np.bincount(place, counts * train, len(asked))
-        h, w = asked >> ID_BITS, asked & ((1 << ID_BITS) - 1)
-        mass = known.counts[h] + smoothing
-        prior = smoothing * known.unigram[w]
+        w = asked >> bits
+        # A token without an id has all its occurrences as a follower here.
+        long = w >= cached
+        own = np.bincount(w[long] - cached, c[long], len(hashes))
+        mass = np.concatenate([known.counts, own])[w] + smoothing
+        prior = smoothing * np.concatenate([known.unigram, (own + 1) / (known.total + known.distinct + 1)])[w]
         in_model = c > 0
         with tempfile.TemporaryDirectory() as folder:
-            NgramTrie.build(asked[in_model], np.log10((c[in_model] + prior[in_model]) / mass[in_model])).save(folder)
+            NgramTrie.build(asked[in_model], np.log10((c[in_model] + prior[in_model]) / mass[in_model]), bits).save(folder)
             stored = NgramTrie.open(folder).log10(asked)
         value = np.where(np.isnan(stored), np.log10(prior / mass), stored)
         parts = counts * value[place]
@@ -358,92 +417,118 @@ def _score_pairs(pairs: DataFrame, vocabulary, shards: int, smoothing: float) ->
             a = b - r[1]
             sums = np.bincount(doc[a:b], parts[a:b])
             at = np.unique(doc[a:b])
-            made.append((r[0], at, sums[at]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[0] for x in made], pa.int64()), pa.array([x[1] for x in made], pa.list_(pa.int64())), pa.array([x[2] for x in made], pa.list_(pa.float64()))],
-            names=["batch", "at", "sums"],
-        )
-
-    dealt = pairs.select("shard", "batch", "n", "keys", "docs", "counts", "trained").repartition(shards, "shard")
-    return dealt.mapInArrow(run, "batch long, at array<long>, sums array<double>")
+            token = keys[a:b] >> bits
+            long = np.flatnonzero(token >= cached)
+            times, seen = counts[a:b][long], own[token[long] - cached]
+            long = doc[a:b][long]
+            found = np.bincount(long, times * (seen > 0))
+            base = np.bincount(long, times * np.log10(seen + 1.0))
+            long = np.unique(long[seen > 0])
+            made.append((r[0], at, sums[at], long, found[long].astype(np.int64), base[long]))
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in made], t) for i, t in enumerate(types)], names=names)
+
+    names = ["batch", "at", "sums", "rare_at", "rare_known", "rare_base"]
+    long, double = pa.list_(pa.int64()), pa.list_(pa.float64())
+    types = [pa.int64(), long, double, long, long, double]
+    dealt = pairs.select("shard", "batch", "n", "keys", "docs", "counts", "trained", "hashes", "n_hashes").repartition(shards, "shard")
+    return dealt.mapInArrow(
+        run, "batch long, at array<long>, sums array<double>, rare_at array<long>, rare_known array<long>, rare_base array<double>"
+    )
 
 
 def _add_up(parts: DataFrame) -> DataFrame:
-    """One sum per document of each batch."""
+    """One sum of each kind per document of each batch."""
 
     def run(batches):
-        sums: dict[int, np.ndarray] = {}
+        sums: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for b in batches:
-            for batch, at, values in zip(b.column("batch").to_pylist(), b.column("at"), b.column("sums")):
-                total = sums.setdefault(batch, np.zeros(BATCH_DOCS))
+            columns = (b.column(c) for c in ("at", "sums", "rare_at", "rare_known", "rare_base"))
+            for batch, at, values, rare_at, rare_known, rare_base in zip(b.column("batch").to_pylist(), *columns):
+                if batch not in sums:
+                    sums[batch] = np.zeros(BATCH_DOCS), np.zeros(BATCH_DOCS, dtype=np.int64), np.zeros(BATCH_DOCS)
+                total, known, base = sums[batch]
                 total[at.values.to_numpy()] += values.values.to_numpy()
-        for batch, total in sums.items():
+                rare = rare_at.values.to_numpy()
+                known[rare] += rare_known.values.to_numpy()
+                base[rare] += rare_base.values.to_numpy()
+        for batch, (total, known, base) in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(total), batch)), pa.array(np.arange(len(total))), pa.array(total)], names=["batch", "at", "pairs"]
+                [pa.array(np.full(len(total), batch)), pa.array(np.arange(len(total))), pa.array(total), pa.array(known), pa.array(base)],
+                names=["batch", "at", "pairs", "more_known", "more_base"],
             )
 
-    return parts.repartition("batch").mapInArrow(run, "batch long, at long, pairs double")
+    return parts.repartition("batch").mapInArrow(run, "batch long, at long, pairs double, more_known long, more_base double")
 
 
-def _least_count(counts: DataFrame, size: int) -> int:
+def _least_count(counts: DataFrame, size: int, count: Column) -> int:
     """The least count that at most ``size`` tokens reach; found on sums alone, 64 thresholds at a time."""
-    low, high = 0, (counts.agg(F.max("c")).first()[0] or 0) + 1
+    low, high = 0, (counts.agg(F.max(count)).first()[0] or 0) + 1
     while high - low > 1:
         steps = sorted({low + (high - low) * k // 65 for k in range(1, 65)} - {low})
-        reached = counts.agg(*(F.count_if(F.col("c") >= t).alias(str(t)) for t in steps)).first()
+        reached = counts.agg(*(F.count_if(count >= t).alias(str(t)) for t in steps)).first()
         enough = [t for t, n in zip(steps, reached) if n <= size]
         high = min(enough, default=high)
         low = max([t for t in steps if t < high], default=low)
     return high
 
 
-def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", size: int = VOCABULARY, smoothing: float = SMOOTHING) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", size: int | None = None, smoothing: float = SMOOTHING) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     ``held_out`` marks the rows the model must not learn from. ``base_score`` is
-    the add-one unigram log10 probability.
+    the add-one unigram log10 probability. ``size`` merges all but so many tokens
+    into one class; without it none are.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), (~F.coalesce(held_out, F.lit(False))).alias("train"))
     counts = land(_count(rows), "lm-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.where(F.col("c") >= _least_count(counts, size)).toArrow()
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    total, distinct, everything = counts.agg(zero(F.sum("c")), F.count_if(F.col("c") > 0), zero(F.sum(F.col("c") + F.col("other")))).first()
+    merge = size is not None
+    # A token only held-out documents have can be as frequent in a shard as any.
+    count = F.col("c") if merge else F.col("c") + F.col("other")
+    top = counts.where(count >= _least_count(counts, size if merge else CACHED, count)).toArrow()
     words, frequent = top.column("word").to_pylist(), top.column("c").to_pylist()
+    met = (top.column("c").to_numpy() + top.column("other").to_numpy()).tolist()
     if END not in words:
-        # The end is always in the vocabulary; only a tiny one would leave it out.
+        # The end always has an id; only a tiny vocabulary would leave it out.
+        ends = counts.where(F.col("word") == F.lit(END)).collect()
         words.append(END)
-        frequent.append(sum(r["c"] for r in counts.where(F.col("word") == F.lit(END)).collect()))
+        frequent.append(sum(r["c"] for r in ends))
+        met.append(sum(r["c"] + r["other"] for r in ends))
     known = Vocabulary(words, frequent, total, distinct)
     rare_mass = float(known.rare_mass)
-    shared = spark.sparkContext.broadcast(known)
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_PAIRS))
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-everything // SHARD_PAIRS))
+    # Followers too frequent for one shard are split by context.
+    hot = np.array([everything, *met]) > max(1, everything // (8 * shards))
+    shared = spark.sparkContext.broadcast((known, hot))
 
-    coded = land(_code(rows, shared, shards), "lm-coded", ("kind",))
+    coded = land(_code(rows, shared, shards, merge), "lm-coded", ("kind",))
     info = coded.where("kind = 'info'").select("batch", F.posexplode(F.arrays_zip("ids", "train", "n_tokens", "n_known", "base")).alias("at", "d"))
     info = info.select("batch", F.col("at").cast("long").alias("at"), "d.*")
-    rare = coded.where("kind = 'rare'").select("batch", F.explode(F.arrays_zip("words", "at", "times")).alias("r")).select(
-        "batch", F.col("r.words").alias("words"), F.col("r.at").cast("long").alias("at"), F.col("r.times").alias("times")
-    )
-    # Rare tokens are all that is left to look up: frequent ones were counted on the spot.
-    rare = rare.join(counts.withColumnRenamed("word", "words"), "words", "left")
-    rare = rare.groupBy("batch", "at").agg(
-        F.sum("times").alias("rare"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("rare_base"),
-    )
     pairs = _add_up(_score_pairs(coded.where("kind = 'pairs'"), shared, shards, smoothing))
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    all_mass = float(np.log10(total + distinct + 1.0))
-    return (
-        info.join(pairs, ["batch", "at"])
-        .join(rare, ["batch", "at"], "left")
-        .select(
-            F.col("ids").alias("id"),
-            (~F.col("train")).alias("held_out"),
-            "n_tokens",
-            (F.col("n_known") + zero("rare_known")).alias("n_known"),
-            F.lit(total).cast("long").alias("train_tokens"),
-            (F.col("base") + zero("rare_base") - F.col("n_tokens") * F.lit(all_mass)).alias("base_score"),
-            (F.col("pairs") + zero("rare_base") - zero("rare") * F.lit(float(np.log10(rare_mass)))).alias("score"),
+    made = info.join(pairs, ["batch", "at"])
+    n_known, base, total_score = F.col("n_known") + F.col("more_known"), F.col("base") + F.col("more_base"), F.col("pairs")
+    if merge:
+        rare = coded.where("kind = 'rare'").select("batch", F.explode(F.arrays_zip("words", "at", "times")).alias("r")).select(
+            "batch", F.col("r.words").alias("words"), F.col("r.at").cast("long").alias("at"), F.col("r.times").alias("times")
+        )
+        rare = rare.join(counts.withColumnRenamed("word", "words"), "words", "left")
+        rare = rare.groupBy("batch", "at").agg(
+            F.sum("times").alias("rare"),
+            F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+            F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("rare_base"),
         )
+        made = made.join(rare, ["batch", "at"], "left")
+        n_known, base = n_known + zero("rare_known"), base + zero("rare_base")
+        total_score = total_score + zero("rare_base") - zero("rare") * F.lit(float(np.log10(rare_mass)))
+    all_mass = float(np.log10(total + distinct + 1.0))
+    return made.select(
+        F.col("ids").alias("id"),
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        n_known.alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"),
+        (base - F.col("n_tokens") * F.lit(all_mass)).alias("base_score"),
+        total_score.alias("score"),
     )

@@ -106,3 +106,41 @@ def test_no_training_documents_and_empty_table(spark, documents):
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
     assert all(math.isfinite(r["score"]) for r in got)
     assert lm.score(documents([]), F.lit(False)).collect() == []
+
+
+def test_no_tokens_are_merged_beyond_the_cache(spark, documents, monkeypatch):
+    monkeypatch.setattr(lm, "CACHED", 5)
+    monkeypatch.setattr(lm, "BATCH_WORDS", 300)
+    monkeypatch.setattr(lm, "SHARD_PAIRS", 50)
+    rng = random.Random(8)
+    words = ["the"] * 60 + [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.choice([0, 1, 8, 90])))) for i in range(60)]
+    rows += [(100, None), (101, "unknown1 unknown2 " * 400), (103, "w1 w2 " * 200), (102, "the " * 2000)]
+    held = [i % 5 in (1, 2) for i, _ in rows]
+    got = {r["id"]: r for r in lm.score(documents(rows), (F.col("doc_id") % 5).isin(1, 2), smoothing=3.0).collect()}
+    assert len(got) == len(rows)
+    for (i, _), b in zip(rows, brute(rows, held, 10_000, 3.0)):
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == b[:3]
+        assert got[i]["base_score"] == pytest.approx(b[3], rel=1e-9)
+        assert got[i]["score"] == pytest.approx(b[4], abs=b[0] / lm.QUANT)
+
+
+def test_more_tokens_than_are_cached(spark, documents):
+    once = [f"t{i}" for i in range(lm.CACHED + 20_000)]
+    rows = [(5 * i, " ".join(once[at : at + 10_000])) for i, at in enumerate(range(0, len(once), 10_000))]
+    rows += [(1, "t7 t8 t9"), (2, "t9 t7 t8"), (6, "t8 unknown")]
+    held = [i % 5 in (1, 2) for i, _ in rows]
+    got = {r["id"]: r["score"] for r in lm.score(documents(rows), (F.col("doc_id") % 5).isin(1, 2)).collect()}
+    counts, pairs = Counter(), Counter()
+    texts = {i: [" ", *t.split(), " "] for i, t in rows}
+    for i, h in zip(texts, held):
+        if not h:
+            counts.update(texts[i][1:])
+            pairs.update(zip(texts[i], texts[i][1:]))
+    all_mass = sum(counts.values()) + len(counts) + 1
+    assert got.keys() == texts.keys()
+    for i, w in texts.items():
+        want = sum(
+            math.log10((pairs[h, x] + lm.SMOOTHING * (counts[x] + 1) / all_mass) / (counts[h] + lm.SMOOTHING)) for h, x in zip(w, w[1:])
+        )
+        assert got[i] == pytest.approx(want, abs=len(w) / lm.QUANT)
