@@ -2,7 +2,7 @@
 
 The n-grams of all test items form one hash set, broadcast after a check of
 its size; a benchmark above the bound is cut into slices that fit, one pass
-each. Every window of a training text is hashed, a hit is verified word by
+each, and the hits of all are put together before anything is decided on them. Every window of a training text is hashed, a hit is verified word by
 word, and hit words are reported, cut out, or their document removed.
 
 A word is a run of digits, letters a to z (A to Z lower-cased) and non-ASCII
@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.common import MAX_BROADCAST_BYTES, WORD_ASCII, land
+from tallyline.llm.common import MAX_BROADCAST_BYTES, WORD_ASCII, free_name, land
 
 WINDOW = 10
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -214,36 +215,58 @@ def remove(
 ) -> DataFrame:
     """``docs`` with hit words cut out of their texts; documents with more than ``max_share`` of their words hit go.
 
-    Cutting can bring the ends of a passage together, so what was cut is scanned
-    again until nothing is hit. Texts without hits stay as they are.
+    The share is that of all items' hits on the text as it comes. Cutting can bring
+    the ends of a passage together, so what was cut is scanned again until nothing
+    is hit. Texts without hits stay as they are.
     """
     names = docs.columns
     slices = _slices(benchmark, item, item_text, max_bytes)
-
-    def clean(shared):
-        def run(batches):
-            for batch in batches:
-                texts = batch.column(text).to_pylist()
-                kept = np.ones(len(texts), dtype=bool)
-                for i, (n, runs, _) in enumerate(list(_scan_texts(shared.value, texts))):
-                    if sum(b - a + 1 for a, b in runs) > max_share * n:
-                        kept[i] = False
-                        continue
-                    while runs:
-                        texts[i] = cut_spans(texts[i], runs)
-                        ((_, runs, _),) = _scan_texts(shared.value, [texts[i]])
-                arrays = [pa.array(texts, batch.schema.field(c).type) if c == text else batch.column(c) for c in names]
-                yield pa.RecordBatch.from_arrays(arrays, names=names).filter(pa.array(kept))
-
-        return run
-
-    out = docs
+    if len(slices) > 1:
+        return _remove_sliced(docs, benchmark, max_share, text, item, item_text, window, max_bytes)
+    shared = docs.sparkSession.sparkContext.broadcast(WindowIndex(slices[0], window))
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(text).to_pylist()
+            kept = np.ones(len(texts), dtype=bool)
+            for i, (n, runs, _) in enumerate(list(_scan_texts(shared.value, texts))):
+                if sum(b - a + 1 for a, b in runs) > max_share * n:
+                    kept[i] = False
+                    continue
+                while runs:
+                    texts[i] = cut_spans(texts[i], runs)
+                    ((_, runs, _),) = _scan_texts(shared.value, [texts[i]])
+            arrays = [pa.array(texts, batch.schema.field(c).type) if c == text else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(arrays, names=names).filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _remove_sliced(docs: DataFrame, benchmark: DataFrame, max_share: float, text: str, item: str, item_text: str, window: int, max_bytes: int) -> DataFrame:
+    """``remove`` with the hits of all slices of the benchmark gathered before each cut, as one index would find them."""
+    names = [free_name(docs, f"{c}_{k}") for k, c in enumerate(docs.columns)]
+    body = names[docs.columns.index(text)]
+    # Names of its own: find_hits would replace columns called like its results.
+    out = docs.toDF(*names)
+
+    def cut(batches):
+        for batch in batches:
+            texts = batch.column(body).to_pylist()
+            for i, spans in enumerate(batch.column("hit_spans").to_pylist()):
+                if spans:
+                    texts[i] = cut_spans(texts[i], [(s["first"], s["last"]) for s in spans])
+            arrays = [pa.array(texts, batch.schema.field(c).type) if c == body else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array([bool(x) for x in batch.column("hit_spans").to_pylist()], pa.bool_())], names=[*names, "was_cut"])
+
+    schema = T.StructType([*out.schema.fields, T.StructField("was_cut", T.BooleanType())])
+    done, first = [], True
     while True:
-        for items in slices:
-            shared = docs.sparkSession.sparkContext.broadcast(WindowIndex(items, window))
-            out = out.mapInArrow(clean(shared), docs.schema)
-            if len(slices) > 1:
-                out = land(out, "decontaminated")
-        # What one slice cuts can bring words of another slice's item together.
-        if len(slices) == 1 or not find_hits(out, benchmark, text, item, item_text, window, max_bytes).where(F.size("hit_spans") > 0).take(1):
-            return out
+        found = find_hits(out, benchmark, body, item, item_text, window, max_bytes)
+        if first:
+            n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+            found = found.where(n_hit <= F.lit(float(max_share)) * F.col("n_words"))
+        out, first = land(found.select(*names, "hit_spans").mapInArrow(cut, schema), "decontaminated"), False
+        done.append(out.where(~F.col("was_cut")).select(*names))
+        out = out.where("was_cut").select(*names)
+        if not out.take(1):
+            return reduce(DataFrame.unionAll, done).toDF(*docs.columns)

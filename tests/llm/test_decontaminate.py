@@ -72,3 +72,22 @@ def test_empty_tables(spark, documents):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert [r["hit_spans"] for r in decontaminate.find_hits(documents(["a b"]), empty).collect()] == [[]]
     assert decontaminate.find_hits(documents([]), empty).collect() == []
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 26, 1 << 11])
+def test_share_counts_the_hits_of_all_slices(spark, documents, max_bytes):
+    items = [(k, " ".join(f"item{k}x{j}" for j in range(10))) for k in range(12)]
+    own = " ".join(f"own{j}" for j in range(40))
+    # 60 of 100 words in six items; 30 of 70; an item around an item, which only shows after a cut.
+    most = " ".join([own, *(t for _, t in items[:6])])
+    some = " ".join([own, *(t for _, t in items[6:9])])
+    head, tail = items[9][1].split()[:5], items[9][1].split()[5:]
+    around = " ".join([own, *head, items[10][1], *tail])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents([most, some, around, own, None], extra="hit_spans")
+    got = decontaminate.remove(docs, bench, max_bytes=max_bytes)
+    assert got.columns == docs.columns
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert sorted(rows) == [1, 2, 3, 4]
+    assert words(rows[1]["text"]) == words(rows[2]["text"]) == words(own) and rows[3]["text"] == own and rows[4]["text"] is None
+    assert {r["hit_spans"] for r in rows.values()} == {"kept aside"}
