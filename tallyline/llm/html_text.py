@@ -8,7 +8,9 @@ a bad neighbour and a heading looks ahead only.
 
 What markup declares not to be text (scripts, styles, forms, menus, page
 headers and footers, asides, hidden parts, and containers that call themselves
-an advert, a notice or reader comments) is left out before the rules apply.
+an advert, a notice or reader comments) is left out before the rules apply. A
+container calls itself so by a whole class, id or role, all hyphen parts of which
+say so; one that holds an article or the main part is left out only if hidden.
 Missing and stray end tags are tolerated.
 
 Null or empty html has the text ''. Whole pages are judged, of any length. One
@@ -47,7 +49,7 @@ STOP_WORDS = frozenset(
 )
 
 # Elements whose content is never text of the page.
-SILENT = "script|style|noscript|template|iframe|svg|canvas|textarea|select|button|object|head|title"
+SILENT = "script|style|noscript|template|iframe|svg|canvas|textarea|select|button|object|title"
 # Elements that hold menus, page furniture or input.
 FURNITURE = frozenset("nav header footer aside form menu dialog fieldset".split())
 # Elements that hold the page's subject.
@@ -79,8 +81,8 @@ TOKEN = re.compile(
     r"|<[!?/a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NOT_DISPLAYED = re.compile(r"(?:^|;)\s*display\s*:\s*none\b")
 PART = re.compile(r"[^a-z0-9]+")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -94,10 +96,35 @@ class Block:
         self.text, self.linked, self.subject, self.heading = text, linked, subject, heading
 
 
+#: Why a container is left out.
+DECLARED, HIDDEN = 1, 2
+
+
+def left_out(attrs: str) -> int:
+    """Whether its attributes say that a container is hidden, or declare it not to be the subject."""
+    why = 0
+    for name, *values in ATTRIBUTE.findall(attrs):
+        name, value = name.lower(), "".join(values).lower()
+        if name == "hidden":
+            hidden = not value.strip().startswith("until")
+        elif name == "aria-hidden":
+            hidden = value.strip() == "true"
+        else:
+            hidden = name == "style" and bool(NOT_DISPLAYED.search(value))
+        if hidden:
+            return HIDDEN
+        if name in ("class", "id", "role"):
+            for token in value.split():
+                parts = {p for p in PART.split(token) if p}
+                if parts and parts <= NOT_SUBJECT:
+                    why = DECLARED
+    return why
+
+
 def blocks_of(html: str) -> list[Block]:
     """The page's blocks in order, without furniture. ``subject`` numbers the article a block is in, 0 outside."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # open containers: name, left out, article
+    stack: list[tuple[str, int, int]] = []  # open containers: name, why left out, article
     pieces: list[str] = []
     links: list[str] = []
     state = {"in_link": False, "heading": False, "articles": 0}
@@ -140,21 +167,22 @@ def blocks_of(html: str) -> list[Block]:
                         pass
                 continue
             attrs = m["attrs"]
-            named = {p for x in NAMES.findall(attrs) for p in PART.split("".join(x).lower())} if attrs else set()
-            declared = bool(named & NOT_SUBJECT) or bool(attrs and HIDDEN.search(attrs))
+            declared = left_out(attrs) if attrs else 0
             if tag in SUBJECT and not declared:
                 # An end tag is missing if furniture seems to hold the subject.
                 while stack and stack[-1][0] in FURNITURE:
                     stack.pop()
-            out_of, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+            out_of, article = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
+            if tag in SUBJECT and not declared and not article and out_of == DECLARED:
+                out_of = 0
             if tag in SUBJECT and not declared and not out_of:
                 if not article:
                     state["articles"] += 1
                     article = state["articles"]
             elif tag in FURNITURE and not (tag == "header" and article):
-                declared = True
+                declared = max(declared, DECLARED)
             if not attrs.endswith("/"):
-                stack.append((tag, out_of or declared, article))
+                stack.append((tag, max(out_of, declared), article))
     take(html[at:])
     flush()
     return out
@@ -163,7 +191,7 @@ def blocks_of(html: str) -> list[Block]:
 def judge(block: Block) -> str:
     """The first pass: what a block is by itself."""
     n = len(block.text)
-    if block.linked > MAX_LINK_SHARE * n or "\N{COPYRIGHT SIGN}" in block.text:
+    if block.linked > MAX_LINK_SHARE * n or (not block.subject and "\N{COPYRIGHT SIGN}" in block.text):
         return BAD
     if n < SHORT_CHARS:
         return BAD if block.linked else SHORT

@@ -69,3 +69,33 @@ def test_frame(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in got.collect()) == [(0, "", 0), (1, "", 0), (1, LONG, len(LONG))]
     assert extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ('<div style="overflow:hidden">', "</div>"),
+        ('<section class="overflow-hidden">', "</section>"),
+        ('<div aria-hidden="false">', "</div>"),
+        ('<div hidden="until-found">', "</div>"),
+        ('<div title="hidden display:none">', "</div>"),
+        ('<div class="layout has-sidebar">', "</div>"),
+        ('<div id="search-result">', "</div>"),
+        ('<div class="widget"><div>', "</div></div>"),
+        ("<head><title>T</title><meta charset=utf-8>", ""),
+        ("<head><title>T</title><body>", ""),
+    ],
+)
+@pytest.mark.parametrize("subject", ["article", "main"])
+def test_containers_keep_their_article(start, end, subject):
+    assert main_text(f"{start}<{subject}><p>{LONG}</p><p>&copy; {MORE}</p></{subject}>{end}") == f"{LONG}\n\n© {MORE}"
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "HIDDEN=''", 'class=x style="color:red; display: none"', "aria-hidden=true"])
+def test_hidden_containers_stay_out(attrs):
+    assert main_text(f"<div {attrs}><article><p>{LONG}</p></article></div><article><p>{MORE}</p></article>") == MORE
+
+
+def test_comments_inside_an_article_stay_out():
+    html = f"<article><p>{LONG}</p><section class='comment-list comments'><article><p>{MORE}</p></article></section></article><p>&copy; {MORE}</p>"
+    assert main_text(html) == LONG
