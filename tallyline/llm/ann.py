@@ -4,8 +4,9 @@ A bounded sample of vectors gives a neighbour graph, which is cut into parts of
 equal size with few edges between them. A small neural classifier learns to tell
 from a vector in which parts its neighbours lie. Every vector is indexed under
 its most probable part; a query is routed to several most probable ones and
-reranked there by exact cosine. How many are probed is the least number that
-reaches a target recall on sample queries.
+reranked there by exact cosine. How many are probed is at least the number that
+reaches a target recall, measured on CALIBRATE of the real queries (all, if there
+are fewer) against exact search over the whole index.
 
 Only the model (its size is set by parameters, not by data) is broadcast. Parts
 are cut into blocks and their queries into chunks of bounded size, so a part that
@@ -36,6 +37,8 @@ HIDDEN = 128
 EPOCHS = 40
 BATCH = 256
 TARGET_RECALL = 0.95
+#: Queries that are searched exactly.
+CALIBRATE = 512
 BLOCK_ROWS = 4096
 CHUNK_QUERIES = 1024
 #: Products that are this close are compared by the exact measure.
@@ -224,6 +227,39 @@ def _best(index: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np
     return out
 
 
+def measured_probes(model: LearnedPartitions, index: DataFrame, asked: DataFrame, k: int, target_recall: float = TARGET_RECALL) -> int:
+    """The least number of parts with which the target share of the sample queries' true neighbours in ``index`` are found."""
+    sample = asked.orderBy(key_bits(F.col("id")), "id").limit(CALIBRATE).select("id", "vector").toArrow()
+    if model.router is None or not sample.num_rows:
+        return model.probes
+    queries, query_ids = matrix(sample.column("vector")), sample.column("id").to_numpy()
+    shared = index.sparkSession.sparkContext.broadcast((queries, query_ids))
+
+    def exact(batches):
+        queries, query_ids = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, part = batch.column("id").to_numpy(), batch.column("part").to_numpy()
+            order = np.argsort(ids, kind="stable")
+            found = _best(matrix(batch.column("vector")), ids, queries, query_ids, k)
+            at = order[np.searchsorted(ids[order], np.array(found[1], dtype=np.int64))]
+            columns = [pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64()), pa.array(part[at], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score", "part"])
+
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    near = index.select("part", "id", "vector").mapInArrow(exact, "query_id long, vec_id long, score double, part long")
+    near = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "part").toArrow()
+    if not near.num_rows:
+        return model.probes
+    depth = np.argsort(model.route(queries, model.parts), axis=1)
+    by_id = np.argsort(query_ids)
+    query = by_id[np.searchsorted(query_ids[by_id], near.column("query_id").to_numpy())]
+    ranks = depth[query, near.column("part").to_numpy()]
+    reach = np.cumsum(np.bincount(ranks, minlength=model.parts)) / len(ranks)
+    return max(model.probes, int(np.searchsorted(reach, target_recall)) + 1)
+
+
 def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 5, probes: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k nearest found; ``is_query`` is a condition on ``id``."""
     rows = land(usable(df, key, vector), "ann-rows")
@@ -235,8 +271,6 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     sample = drawn.orderBy(key_bits(F.col("id")), "id").limit(SAMPLE).select("vector").toArrow()
     vectors = matrix(sample.column("vector")) if sample.num_rows else np.zeros((0, 1))
     model = LearnedPartitions.fit(vectors, max(1, min(MAX_PARTS, total // ROWS_PER_PART)), k=k)
-    if probes:
-        model.probes = probes
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def place(batches):
@@ -248,11 +282,12 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     def probe(batches):
         for batch in batches:
             x = matrix(batch.column("vector"))
-            parts = shared.value.route(x) if len(x) else np.empty((0, 1), dtype=np.int64)
+            parts = shared.value.route(x, probes) if len(x) else np.empty((0, 1), dtype=np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.list_(pa.int64())), *batch.columns], names=["parts", "id", "vector"])
 
     index = land(rows.mapInArrow(place, "part long, id long, vector array<double>"), "ann-index")
     asked = rows.where(is_query).groupBy("id").agg(F.min("vector").alias("vector"))
+    probes = probes or measured_probes(model, index, asked, k)
     asked = asked.mapInArrow(probe, "parts array<long>, id long, vector array<double>").select(F.explode("parts").alias("part"), "id", "vector")
     asked = land(asked, "ann-asked")
     # One row per part: at most MAX_PARTS.

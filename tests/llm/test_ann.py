@@ -82,3 +82,14 @@ def test_parts_are_balanced_and_follow_the_graph():
     sizes = np.bincount(part, minlength=10)
     assert sizes.max() <= 107 and sizes.min() >= 60
     assert (part[graph] == part[:, None]).mean() > 0.7
+
+
+def test_recall_on_rows_the_router_has_not_seen(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE", 500)
+    x = np.random.default_rng(3).normal(size=(4000, 24))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = ann.search(df, F.col("id") % 20 == 0).select("query_id", "vec_id").collect()
+    near = ann.unit(x)[::20] @ ann.unit(x).T
+    near[np.arange(200), np.arange(0, 4000, 20)] = -2
+    want = {(20 * q, int(i)) for q, row in enumerate(np.argsort(-near, axis=1)[:, :5]) for i in row}
+    assert len(want & {tuple(r) for r in got}) / len(want) >= ann.TARGET_RECALL
