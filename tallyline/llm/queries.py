@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import ann, chat, decontaminate, html_text, jaccard, lm, mixing, sharding, sql, token_codec, toxicity
+from tallyline.llm import ann, chat, decontaminate, divergence, html_text, jaccard, lm, mixing, sharding, sql, token_codec, toxicity
 from tallyline.llm.common import crc_of_id, land, read_table
 from tallyline.session import new_run_dir
 
@@ -154,6 +154,10 @@ def lm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, crc_of_id("doc_id") % 7 == 2).withColumnRenamed("id", "doc_id")
 
 
+def audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sharding": sharding_query,
     "op2_ann": ann_query,
@@ -165,6 +169,7 @@ QUERIES = {
     "op8_mixing": mixing_query,
     "op9_jaccard_join": jaccard_query,
     "op10_lm_score": lm_query,
+    "op11_source_audit": audit_query,
 }
 
 
@@ -175,4 +180,5 @@ def oracles() -> dict[str, str]:
         "op6_chat_format": sql.chat(),
         "op8_mixing": sql.mixing(TOPICS, MIX, MIX_ALPHA),
         "op9_jaccard_join": sql.jaccard(),
+        "op11_source_audit": sql.source_audit(),
     }

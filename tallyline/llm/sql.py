@@ -112,3 +112,34 @@ reach(doc_id, other) as (select doc_id, doc_id from s union select r.doc_id, l.v
 select s.doc_id, len(s.s)::bigint as n_shingles, c.component_id,
        case when len(s.s) = 0 then s.doc_id else min(s.doc_id) over (partition by list_sort(s.s)) end as class_id
 from s join (select doc_id, min(other) as component_id from reach group by doc_id) c using (doc_id)"""
+
+
+def source_audit(least_docs: int = 3, top: int = 200) -> str:
+    """Every kept term in every group, and every pair of groups on every kept term."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    p = "(1 + 1000000000::hugeint * ({n} + 1) // ({total} + terms))"
+    return f"""
+with d as (
+  select coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all({lower}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w
+  from documents),
+g as (select distinct lang, source from d),
+o as (select lang, source, term, count(*) as n from (select lang, source, unnest(w) as term from d) group by all),
+k as (select lang, term from (select lang, unnest(list_distinct(w)) as term from d) group by all having count(*) >= {least_docs}),
+v as (select lang, count(*) as terms from k group by lang),
+c as materialized (select g.lang, g.source, k.term, coalesce(o.n, 0) as n from g join k using (lang) left join o using (lang, source, term)),
+t as (select *, sum(n) over (partition by lang, source) as total,
+             sum(n) over (partition by lang, term) as all_n, sum(n) over (partition by lang) as all_total from c),
+p as materialized (select lang, source, term, n, {p.format(n="n", total="total")} as p, {p.format(n="all_n", total="all_total")} as q from t join v using (lang)),
+pairs as (
+  select x.lang, x.source, y.source as item, sum((x.p - y.p) * (x.p - y.p) // y.p) as value
+  from p x join p y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by all),
+rows as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q) // q)::bigint from p where n > 0 and p > q)
+select lang, source, part, item, value, rank
+from (select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from rows)
+where part = 'pair' or rank <= {top}"""
