@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import ann, chat, decontaminate, divergence, html_text, jaccard, lm, mixing, sharding, sql, token_codec, toxicity
+from tallyline.llm import alignment, ann, chat, decontaminate, divergence, html_text, jaccard, lm, mixing, sharding, sql, token_codec, toxicity
 from tallyline.llm.common import crc_of_id, land, read_table
 from tallyline.session import new_run_dir
 
@@ -158,6 +158,17 @@ def audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
 
 
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def alignment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.align(docs, public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES)).documents()
+    sums = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    groups = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return aligned.select(F.col("id").alias("doc_id"), *sums, groups.alias("groups_sha256"))
+
+
 QUERIES = {
     "op1_sharding": sharding_query,
     "op2_ann": ann_query,
@@ -170,6 +181,7 @@ QUERIES = {
     "op9_jaccard_join": jaccard_query,
     "op10_lm_score": lm_query,
     "op11_source_audit": audit_query,
+    "op12_token_alignment": alignment_query,
 }
 
 
