@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import alignment, ann, chat, decontaminate, divergence, html_text, jaccard, lm, mixing, sharding, sql, token_codec, toxicity
+from tallyline.llm import alignment, ann, chat, decontaminate, divergence, html_text, jaccard, lm, mixing, sharding, simhash, sql, token_codec, toxicity
 from tallyline.llm.common import crc_of_id, land, read_table
 from tallyline.session import new_run_dir
 
@@ -169,6 +169,11 @@ def alignment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.select(F.col("id").alias("doc_id"), *sums, groups.alias("groups_sha256"))
 
 
+def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = simhash.link(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linked.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_sharding": sharding_query,
     "op2_ann": ann_query,
@@ -182,6 +187,7 @@ QUERIES = {
     "op10_lm_score": lm_query,
     "op11_source_audit": audit_query,
     "op12_token_alignment": alignment_query,
+    "op13_simhash": simhash_query,
 }
 
 

@@ -1,0 +1,160 @@
+from __future__ import annotations
+
+import random
+import re
+import string
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallyline.llm import queries, simhash
+
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SMALL = "/root/testdata/sf0.001"
+
+
+def brute_fingerprint(text, n=4):
+    words = WORD.findall((text or "").translate(LOWER))
+    shingles = [" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))] if words else []
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_components(ids, fps, distance=4):
+    """Smallest id reachable by links, by comparing all pairs."""
+    parent = {i: i for i in ids}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for (i, x), (j, y) in combinations(zip(ids, fps), 2):
+        if (x ^ y).bit_count() <= distance:
+            a, b = sorted((root(i), root(j)))
+            parent[b] = a
+    return {i: root(i) for i in ids}
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def flipped(rng, x, bits):
+    for b in rng.sample(range(64), bits):
+        x ^= 1 << b
+    return x
+
+
+def make_fingerprints(rng):
+    """Chains, a ball of near copies, skewed bits with a common core, and others."""
+    fps = [rng.getrandbits(64) for _ in range(150)]
+    for x in list(fps[:40]):
+        fps += [flipped(rng, x, d) for d in (1, 3, 4, 4, 5, 6)]
+    x = rng.getrandbits(64)
+    for _ in range(60):
+        x = flipped(rng, x, 4)
+        fps.append(x)
+    centre = rng.getrandbits(64)
+    fps += [flipped(rng, centre, rng.randrange(7)) for _ in range(200)]
+    core = rng.getrandbits(40)
+    fps += [core << 24 | rng.getrandbits(24) for _ in range(200)]
+    return fps + [0, 0, 1, (1 << 64) - 1, 1 << 63] + fps[:10]
+
+
+@pytest.mark.parametrize("tile, row_cost", [(1024, 2e-6), (16, 1e-12), (64, 1e-3)])
+def test_links_match_brute_force(spark, monkeypatch, tile, row_cost):
+    """With large and small tiles, and with costs that make other partitions and thresholds best."""
+    monkeypatch.setattr(simhash, "TILE", tile)
+    monkeypatch.setattr(simhash, "ROW_COST", row_cost)
+    rng = random.Random(tile)
+    fps = make_fingerprints(rng)
+    ids = rng.sample(range(-1000, 9000), len(fps))
+    rows = spark.createDataFrame([(i, signed(x)) for i, x in zip(ids, fps)], "id long, fp long")
+    got = simhash.link_fingerprints(rows).collect()
+    assert {r["id"]: r["component_id"] for r in got} == brute_components(ids, fps)
+    assert {r["id"]: r["fp"] for r in got} == dict(zip(ids, map(signed, fps)))
+
+
+@pytest.mark.parametrize("distance", [1, 7])
+def test_other_distances(spark, monkeypatch, distance):
+    monkeypatch.setattr(simhash, "TILE", 32)
+    rng = random.Random(distance)
+    fps = make_fingerprints(rng)
+    ids = list(range(len(fps)))
+    got = simhash.link_fingerprints(spark.createDataFrame([(i, signed(x)) for i, x in zip(ids, fps)], "id long, fp long"), distance).collect()
+    assert {r["id"]: r["component_id"] for r in got} == brute_components(ids, fps, distance)
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    fps = [brute_fingerprint(r["text"]) for r in docs]
+    comps = brute_components([r["doc_id"] for r in docs], fps)
+    got = {tuple(r) for r in queries.simhash_query(spark, SMALL).collect()}
+    assert got == {(r["doc_id"], f"{x:016x}", comps[r["doc_id"]]) for r, x in zip(docs, fps)}
+
+
+def test_texts(spark, documents, monkeypatch):
+    monkeypatch.setattr(simhash, "HASHES", 100)
+    rng = random.Random(1)
+    words = [rng.choice("aébßC") * rng.randrange(1, 9) + str(rng.randrange(99)) for _ in range(400)]
+    near = words[:200] + ["else"] + words[201:]
+    texts = [None, "", " \t\n\x0b\x0c\r", "a", "A", "a b c", "A  b\tC", "a b c d", "a b c d e", " ".join(words), " ".join(near).upper(), "\n".join(words), "\x1c a b   c", "x " * 30000]
+    rows = simhash.link(documents(texts, extra="fp")).collect()
+    fps = [brute_fingerprint(t) for t in texts]
+    comps = brute_components(range(len(texts)), fps)
+    assert [(r["fp"], r["component_id"]) for r in sorted(rows, key=lambda r: r["id"])] == [(signed(x), comps[i]) for i, x in enumerate(fps)]
+    assert fps[0] == fps[2] == 0 and comps[2] == 0
+
+
+def test_null_and_repeated_ids_and_empty_table(spark, documents):
+    rows = [(None, "a b c d e"), (1, "a b c d e"), (1, "a b c d e"), (3, "A b c d e"), (2, "other words in here")]
+    got = sorted(((r["id"] or -1, r["fp"] == signed(brute_fingerprint("a b c d e")), r["component_id"]) for r in simhash.link(documents(rows)).collect()), key=str)
+    assert got == [(-1, True, None), (1, True, 1), (1, True, 1), (2, False, 2), (3, True, 1)]
+    assert simhash.link(documents([])).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**32), st.integers(0, 5), st.sampled_from([1e-12, 1e-8, 1e-5]), st.integers(1, 10**10))
+def test_linked_fingerprints_meet(seed, distance, cost, n):
+    """Whatever the plan, one of two linked fingerprints probes where the other is filed."""
+    rng = random.Random(seed)
+    skew = [rng.random() for _ in range(64)]
+    fps = np.array([signed(sum((rng.random() < p) << b for b, p in enumerate(skew))) for _ in range(40)])
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(simhash, "ROW_COST", cost)
+        cells = simhash.bit_cells(simhash.together(fps), len(fps))
+        assert sorted(b for c in cells for b in c) == list(range(64))
+        chosen = simhash.plan(cells, simhash.cell_counts(cells)(fps), n, distance)
+    assert sum(t + 1 for t in chosen.thresholds) == distance + 1
+    x = int(fps[0]) % (1 << 64)
+    y = flipped(rng, x, rng.randrange(distance + 1))
+    filed, probed = (set(), set()), (set(), set())
+    for rows, keys, own in simhash.probes(np.array([signed(x), signed(y)]), chosen):
+        for r, k, f in zip(rows, keys.tolist(), own):
+            (filed if f else probed)[r].add(k)
+    assert (filed[0] & filed[1]) or (filed[0] & probed[1]) or (probed[0] & filed[1])
+
+
+def test_skewed_bits_are_not_looked_at():
+    """A partition of bits that hardly vary has no selective values, so the others do the work."""
+    rng = np.random.default_rng(3)
+    fps = rng.integers(-(2**63), 2**63 - 1, 5000)
+    fps &= ~np.int64(0xFFFFF)  # twenty bits are 0
+    cells = simhash.bit_cells(simhash.together(fps), len(fps))
+    chosen = simhash.plan(cells, simhash.cell_counts(cells)(fps), 10**7)
+    flat = [t for bits, t in zip(chosen.partitions, chosen.thresholds) if sum(b < 20 for b in bits) >= len(bits) - 2]
+    assert all(t <= min(chosen.thresholds) for t in flat)
+
+
+def test_plans_follow_the_corpus():
+    """Longer keys, hence fewer candidates for each fingerprint, as the corpus grows."""
+    cells = [list(range(c, c + 4)) for c in range(0, 64, 4)]
+    counts = np.full((16, 16), 100)
+    lengths = [max(map(len, simhash.plan(cells, counts, n).partitions)) for n in (10**4, 10**6, 10**8, 10**10)]
+    assert lengths == sorted(lengths) and lengths[0] < lengths[-1]
