@@ -17,7 +17,7 @@ from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global
 from tallyline.session import new_run_dir, union_all, write_table
 from tallyline.sinks.text import output_paths, write_report, write_topic_outputs
 from tallyline.sources.lines import read_lines
-from tallyline.sources.topics import SOURCE_TOPIC, FileTopics, KafkaTopics, new_run_id
+from tallyline.sources.topics import SOURCE_TOPIC, FileTopics, KafkaTopics, latest_run, new_run_id
 from tallyline.streaming.drain import FLUSH_INTERVAL, INGEST_IDLE, OUTPUT_IDLE, check_timeouts, drain, time_trigger
 from tallyline.streaming.ingest import (
     AS_SOON_AS_POSSIBLE,
@@ -97,7 +97,7 @@ def process(
         return emitted.get["emitted"]
 
     emitted = dict.fromkeys(keys, 0) if landed.isEmpty() else for_each_key(spark, keys, sort)
-    topics.complete(spark, run)
+    topics.complete(spark, run, emitted)
     return {
         "run": run,
         "run_dir": run_dir,
@@ -172,17 +172,29 @@ def validate(
 ) -> dict[str, int]:
     """Drain the sorted topics of one run into one text output each and write the report.
 
-    Without ``run`` it is the last complete one of file topics. Given the
+    Without ``run`` it is the last complete one, or, if none is noted as
+    complete, what the topics hold outside of runs. Records that came twice
+    are written once. If a complete run has another number of records than it
+    was noted with, the outputs are not whole and an error says so. Given the
     ``run_dir`` of an earlier call, the drain carries on where that stopped.
     """
     names = list(keys)
-    run = run or topics.latest_run(spark)
+    noted = topics.complete_runs(spark)
+    run = run or latest_run(noted)
     if available_now and topics.cheap_to_read_again:
         messages = topics.read(spark, names, run)
     else:
         messages = _drain_topics(spark, topics, names, run_dir or new_run_dir(spark, "run"), idle_timeout, available_now, run)
+        if run is None:
+            # It may have been completed while its records came in.
+            noted = topics.complete_runs(spark)
+            run = latest_run(noted)
+        messages = messages.where(F.col("run").eqNullSafe(F.lit(run)))
     written = write_topic_outputs(messages, out_dir, names)
-    log.info("written %s", written)
+    log.info("written %s of run %s", written, run)
+    promised = {name: n for name, n in noted.get(run, {}).items() if name in written}
+    if any(written[name] != n for name, n in promised.items()):
+        raise RuntimeError(f"run {run} is not whole: {written} of {promised} records have come")
     outputs = output_paths(out_dir, names)
     write_report(report_lines(sample_report(spark, outputs), outputs), report_path or f"{out_dir}/results/SUCCESS.txt")
     log.info("report written")

@@ -38,17 +38,19 @@ def write_sorted_outputs(
 
 
 def write_topic_outputs(messages: DataFrame, root: str, topics: Sequence[str]) -> dict[str, int]:
-    """One text output per topic, its messages in (partition, offset) order."""
+    """One text output per topic, its messages in (partition, offset) order, each of them once.
+
+    The shuffle that restores the order also brings together what came twice.
+    """
     paths = output_paths(root, topics)
 
     def write(topic: str, _) -> int:
         rows = messages.where(F.col("topic") == topic).select(
             "partition", "offset", F.coalesce("value", F.lit("")).alias("raw")
         )
-        ordered = rows.repartitionByRange(sort_partitions(rows), "partition", "offset").sortWithinPartitions(
-            "partition", "offset"
-        )
-        return write_ordered(ordered, paths[topic])
+        ordered = rows.repartitionByRange(sort_partitions(rows), "partition", "offset")
+        once = ordered.groupBy("partition", "offset").agg(F.first("raw").alias("raw"))
+        return write_ordered(once.sortWithinPartitions("partition", "offset"), paths[topic])
 
     return for_each_key(messages.sparkSession, dict.fromkeys(topics, ()), write)
 

@@ -151,9 +151,15 @@ def read_landed(spark: SparkSession, landed: str) -> DataFrame:
 
 
 def read_fanout(spark: SparkSession, landed: str) -> DataFrame:
+    """(topic, partition, offset, value, run, batch_id) of everything landed so far.
+
+    Records that came more than once are all here; they share a topic, run,
+    partition and offset.
+    """
+    schema = f"{MESSAGE_SCHEMA}, run string, batch_id long"
     if not path_exists(spark, landed):
-        return spark.createDataFrame([], f"{MESSAGE_SCHEMA}, batch_id long")
-    return spark.read.schema(f"{MESSAGE_SCHEMA}, batch_id long").parquet(landed)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(landed)
 
 
 def batch_stats(landed: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyline.__main__ import duration, main, parser
 from tallyline.operators.generate import generate_records
+from tallyline.operators.sorting import global_sort
 from tallyline.plans import run
 from tallyline.sinks.text import output_paths
-from tallyline.sources.topics import FileTopics, KafkaTopics, kafka_sink_options, kafka_source_options, ordered_rows
+from tallyline.sources.topics import ArchivedTopics, FileTopics, KafkaTopics, kafka_sink_options, kafka_source_options, latest_run, message_columns, new_run_id, ordered_rows
 
 
 def test_generate_process_validate(spark, tmp_path):
@@ -41,7 +43,7 @@ def test_process_stops_at_the_expected_count_and_carries_on(spark, tmp_path):
     run.generate(spark, topics, 500, 2, 2)
     again = run.process(spark, FileTopics(topics.root), expected=500, **options)
     assert again["ingest"]["records"] == 500 and again["emitted"]["name"] == 1500
-    assert topics.latest_run(spark) == again["run"] > first["run"]
+    assert latest_run(topics.complete_runs(spark)) == again["run"] > first["run"]
     # The second run's copies stand alone: each record once, in order.
     written = run.validate(spark, topics, f"{tmp_path}/out", available_now=True)
     assert written == {"id": 1500, "name": 1500, "continent": 1500}
@@ -72,6 +74,89 @@ def test_kafka_rows_carry_run_and_order(spark):
     assert {bytes(h["value"]) for r in rows for h in r["headers"] if h["key"] == "run"} == {b"7"}
 
 
+def _sorted_run(spark, topics, records, tasks, times, complete=True, keys=("id", "name")):
+    """A run whose sort had ``tasks`` tasks, some of which ran twice."""
+    run_id = new_run_id()
+    for key in keys:
+        rows = ordered_rows(global_sort(records, [key], tasks), run_id, topics.topic_partitions)
+        # Landed, so that what is sent twice is the same.
+        sent = f"{topics.root}-sent/{key}-{run_id}"
+        rows.withColumn("task", F.spark_partition_id()).write.parquet(sent)
+        sent = spark.read.parquet(sent)
+        for n in range(times):
+            # The first time all tasks send; then every third sends half of its records again.
+            some = sent.where(f"task % 3 = {n}").sample(0.5, 3) if n else sent
+            topics._save(some.drop("task").repartition(3), {"topic": key})
+    if complete:
+        topics.complete(spark, run_id, {key: records.count() for key in keys})
+    return run_id
+
+
+@pytest.mark.parametrize("available_now", [True, False])
+def test_kafka_rows_of_the_last_complete_run(spark, tmp_path, available_now):
+    """Eight sort tasks on two topic partitions, records sent twice, an older run and one that was not finished."""
+    topics = ArchivedTopics(topic_partitions=2, root=f"{tmp_path}/kafka")
+    keys = {"id": ("id",), "name": ("name",)}
+    old, new, broken = (generate_records(spark, n, seed, 2) for n, seed in ((300, 1), (800, 2), (500, 3)))
+    first = _sorted_run(spark, topics, old, 8, 2)
+    last = _sorted_run(spark, topics, new, 8, 3)
+    _sorted_run(spark, topics, broken, 8, 1, complete=False)
+    assert topics.complete_runs(spark) == {first: {"id": 300, "name": 300}, last: {"id": 800, "name": 800}}
+    assert topics.read(spark, ["id"], last).count() > 800
+    options = dict(keys=keys, available_now=available_now, idle_timeout=3)
+    assert run.validate(spark, topics, f"{tmp_path}/out", **options) == {"id": 800, "name": 800}
+    verdict = run.verify(spark, output_paths(f"{tmp_path}/out", ["id", "name"]), 800)
+    assert {tuple(r)[1:] for r in verdict.order.collect()} == {(800, 0, None)}
+    lines = spark.read.text(output_paths(f"{tmp_path}/out")["name"], lineSep="\n")
+    assert lines.exceptAll(new).isEmpty() and new.exceptAll(lines).isEmpty()
+    if available_now:
+        assert run.validate(spark, topics, f"{tmp_path}/old", run=first, **options) == {"id": 300, "name": 300}
+
+
+def test_a_run_that_lost_records_is_an_error(spark, tmp_path):
+    topics = ArchivedTopics(topic_partitions=2, root=f"{tmp_path}/kafka")
+    records = generate_records(spark, 50, 1, 2)
+    last = _sorted_run(spark, topics, records, 2, 1, complete=False)
+    topics.complete(spark, last, {"id": 51, "name": 50})
+    with pytest.raises(RuntimeError, match="not whole"):
+        run.validate(spark, topics, f"{tmp_path}/out", keys={"id": ("id",), "name": ("name",)}, available_now=True)
+
+
+def test_a_run_completed_while_its_records_come_in(spark, tmp_path, monkeypatch):
+    """Records of several runs are landed, and the one noted in the end is taken."""
+    topics = ArchivedTopics(topic_partitions=2, root=f"{tmp_path}/kafka")
+    _sorted_run(spark, topics, generate_records(spark, 70, 1, 2), 3, 1, complete=False)
+    last = _sorted_run(spark, topics, generate_records(spark, 90, 2, 2), 3, 2, complete=False)
+    drained = run._drain_topics
+
+    def then_complete(*args):
+        rows = drained(*args)
+        topics.complete(spark, last, {"id": 90, "name": 90})
+        return rows
+
+    monkeypatch.setattr(run, "_drain_topics", then_complete)
+    assert run.validate(spark, topics, f"{tmp_path}/out", keys={"id": ("id",), "name": ("name",)}, available_now=True) == {"id": 90, "name": 90}
+
+
+def test_generate_process_validate_on_kafka_rows(spark, tmp_path):
+    topics = ArchivedTopics(topic_partitions=3, root=f"{tmp_path}/kafka")
+    run.generate(spark, topics, 700, 5, 2)
+    sorted_ = run.process(spark, topics, available_now=True)
+    assert topics.complete_runs(spark) == {sorted_["run"]: sorted_["emitted"]}
+    assert run.validate(spark, topics, f"{tmp_path}/out", available_now=True) == {"id": 700, "name": 700, "continent": 700}
+    verdict = run.verify(spark, output_paths(f"{tmp_path}/out"), 700)
+    assert {tuple(r)[1:] for r in verdict.order.collect()} == {(700, 0, None)}
+
+
+def test_records_without_a_run_keep_their_place(spark, tmp_path):
+    topics = ArchivedTopics(topic_partitions=2, root=f"{tmp_path}/kafka")
+    topics.write(generate_records(spark, 40, 1, 2), "id")
+    assert topics.complete_runs(spark) == {}
+    rows = message_columns(topics._load(spark, {"subscribe": "id"}))
+    assert rows.where("run is null").select("partition", "offset").distinct().count() == 40
+    assert run.validate(spark, topics, f"{tmp_path}/out", keys={"id": ("id",)}, available_now=True) == {"id": 40}
+
+
 def test_validate_waits_for_messages_until_idle(spark, tmp_path):
     topics = FileTopics(f"{tmp_path}/topics")
     run.generate(spark, topics, 300, 1, 2)
