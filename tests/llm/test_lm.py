@@ -50,7 +50,8 @@ def brute(rows, held, size, smoothing):
         if not h:
             counts.update(w)
     total, distinct = sum(counts.values()), len(counts)
-    least = min(c for c in range(1, total + 2) if sum(n >= c for n in counts.values()) <= size)
+    steps = sorted({1, *(n + 1 for n in counts.values())})
+    least = next(c for c in steps if sum(n >= c for n in counts.values()) <= size)
     head = {w: c for w, c in counts.items() if c >= least}
     head.setdefault(" ", counts[" "])
     rare = total - sum(head.values())
