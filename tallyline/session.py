@@ -48,16 +48,22 @@ def build_session(app_name: str = "tallyline", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+# Scratch folders of local sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for tables that cut lineage: the one the cluster names."""
+    """Shared folder for tables that cut lineage: the one the cluster names.
+
+    A local session that names none gets a folder of this machine, which all of
+    its tasks share.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="tallyline-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _LOCAL_ROOTS.setdefault(spark.sparkContext.applicationId, f"{tempfile.gettempdir()}/tallyline-{uuid.uuid4().hex}")
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
