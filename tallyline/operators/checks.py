@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.records import parse_records, strip_line_end
 from tallyline.operators.positions import running_offsets
 from tallyline.session import union_all
-from tallyline.sources.lines import FILE_ORDER, read_lines
+from tallyline.sources.lines import FILE_ORDER, line_files, read_lines
 
 
 def count_per_output(spark: SparkSession, outputs: Mapping[str, str]) -> DataFrame:
@@ -55,10 +55,10 @@ def _summarise_splits():
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            file_path, block_start, key = (batch.column(name) for name in ("file_path", "block_start", "key"))
+            file, block_start, key = (batch.column(name) for name in ("file", "block_start", "key"))
             schema = schema or pa.schema(
                 [
-                    ("file_path", pa.string()),
+                    ("file", pa.int64()),
                     ("block_start", pa.int64()),
                     ("rows", pa.int64()),
                     ("first_key", key.type),
@@ -68,10 +68,10 @@ def _summarise_splits():
                 ]
             )
             descends = pc.less(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
-            starts = np.flatnonzero(differs(file_path) | differs(block_start)) + 1
+            starts = np.flatnonzero(differs(file) | differs(block_start)) + 1
             edges = [0, *starts.tolist(), batch.num_rows]
             for begin, end in zip(edges, edges[1:]):
-                place = {"file_path": file_path[begin].as_py(), "block_start": block_start[begin].as_py()}
+                place = {"file": file[begin].as_py(), "block_start": block_start[begin].as_py()}
                 if open_split and any(open_split[name] != place[name] for name in place):
                     yield pa.RecordBatch.from_pylist([open_split], schema=schema)
                     open_split = None
@@ -96,22 +96,25 @@ def _summarise_splits():
     return summarise
 
 
-def split_summaries(lines: DataFrame, key: str | Column) -> DataFrame:
-    """Per file split: lines, first and last key, descents and the first of them.
+def split_summaries(spark: SparkSession, path: str, key: str | Column) -> DataFrame:
+    """Per file split of an output: lines, first and last key, descents and the first of them.
 
     A window would shuffle and sort every line to recover an order the files
-    already have. Here each task reads its splits once and sends on one row.
+    already have. Here each task reads its splits once and sends on one row. A
+    line brings its key and two numbers: a hash of its file's path, and where
+    its split starts. The paths come from a listing of the folder.
     """
-    records = lines.withColumn("raw", strip_line_end(F.col("line")))
+    records = read_lines(spark, path).withColumn("raw", strip_line_end(F.col("line")))
     if isinstance(key, str):
         records, key = parse_records(records, key), F.col(key)
-    keyed = records.select("file_path", "block_start", key.alias("key"))
+    keyed = records.select(F.xxhash64("file_path").alias("file"), "block_start", key.alias("key"))
     key_type = keyed.schema["key"].dataType.simpleString()
-    return keyed.mapInArrow(
+    splits = keyed.mapInArrow(
         _summarise_splits(),
-        "file_path string, block_start long, rows long, "
+        "file long, block_start long, rows long, "
         f"first_key {key_type}, last_key {key_type}, violations long, first_violation long",
     )
+    return splits.join(line_files(spark, path), "file").drop("file")
 
 
 def order_of_splits(splits: DataFrame) -> DataFrame:
@@ -139,7 +142,7 @@ def order_check(
     """
 
     return order_of_outputs(
-        {name: split_summaries(read_lines(spark, path), (keys or {}).get(name, name)) for name, path in outputs.items()}
+        {name: split_summaries(spark, path, (keys or {}).get(name, name)) for name, path in outputs.items()}
     )
 
 

@@ -13,6 +13,7 @@ from tallyline.operators.positions import number_lines, running_offsets, table_r
 from tallyline.operators.sorting import SortKey, with_sort_columns
 from tallyline.session import union_all
 from tallyline.sources.lines import read_lines
+from tallyline.sources.ordered import has_manifest, manifest, read_lines_between
 
 SAMPLE = 3
 SECTIONS = ("head", "total", "mid", "tail")  # in report order
@@ -83,24 +84,33 @@ def _place_files(rows: DataFrame, files: list) -> DataFrame:
         [(f["file_path"], f["output"], f["offset"], f["total"]) for f in files],
         "file_path string, output string, offset long, total long",
     )
-    line_no, total = F.col("offset") + F.col("in_file"), F.col("total")
-    sampled = rows.join(F.broadcast(places), "file_path").select(
-        "output", "total", "line", line_no.alias("line_no"), F.explode(_wanted(line_no, total)).alias("section")
-    )
+    line_no = F.col("offset") + F.col("in_file")
+    placed = rows.join(F.broadcast(places), "file_path").select("output", "total", line_no.alias("line_no"), "line")
+    return _in_sections(placed)
+
+
+def _in_sections(lines: DataFrame) -> DataFrame:
+    """Section rows out of (output, total, line_no, line)."""
+    line_no, total = F.col("line_no"), F.col("total")
+    sampled = lines.select("output", "total", "line", "line_no", F.explode(_wanted(line_no, total)).alias("section"))
     first = F.coalesce(*[F.when(F.col("section") == name, low) for name, (low, _) in _ranges(total).items()])
     seq = F.col("line_no") - F.greatest(first, F.lit(1)) + 1
     return sampled.select("output", "section", seq.cast("int").alias("seq"), "line_no", "line")
 
 
-def _report(spark: SparkSession, outputs: Iterable[str], files: list, rows: DataFrame | None) -> DataFrame:
-    total_of = {f["output"]: f["total"] for f in files}
+def _report(spark: SparkSession, outputs: Iterable[str], total_of: Mapping[str, int], sections: DataFrame | None) -> DataFrame:
     totals = [(name, "total", 1, total_of.get(name, 0), None) for name in outputs]
     parts = [spark.createDataFrame(totals, SAMPLE_SCHEMA)]
-    if rows is not None:
-        parts.append(_place_files(rows, files))
+    if sections is not None:
+        parts.append(sections)
     return union_all(parts)
 
 
+def _of_files(spark: SparkSession, outputs: Iterable[str], files: list, rows: DataFrame | None) -> DataFrame:
+    sections = None if rows is None else _place_files(rows, files)
+    return _report(spark, outputs, {f["output"]: f["total"] for f in files}, sections)
+
+
 def _paths(files: list) -> list[str]:
     return [unquote(f["file_path"]) for f in files]
 
@@ -120,7 +130,7 @@ def sample_tables(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
             (F.col("_metadata.row_index") + 1).alias("in_file"),
             F.col("raw").alias("line"),
         )
-    return _report(spark, tables, files, rows)
+    return _of_files(spark, tables, files, rows)
 
 
 def lines_per_file(spark: SparkSession, outputs: Mapping[str, str]) -> DataFrame:
@@ -137,17 +147,22 @@ def lines_per_file(spark: SparkSession, outputs: Mapping[str, str]) -> DataFrame
 def sample_report(spark: SparkSession, outputs: Mapping[str, str], counts: DataFrame | None = None) -> DataFrame:
     """Section rows of sorted text outputs.
 
-    Every output is read once to count its lines, unless ``counts`` already
-    has the lines per file; after that only the files that hold a sampled line
-    are read.
+    Outputs with a manifest are not read but for the stretches the samples lie
+    in, at most two marks around each. Others are read once to count their
+    lines, unless ``counts`` already has the lines per file; after that only
+    the files that hold a sampled line are read.
     """
+    if all(has_manifest(spark, path) for path in outputs.values()):
+        totals = manifest(spark, outputs).groupBy("output").agg(F.sum("lines").alias("total")).collect()
+        lines = read_lines_between(spark, outputs, lambda total: _ranges(total).values())
+        return _report(spark, outputs, {r["output"]: r["total"] for r in totals}, _in_sections(lines))
     counts = lines_per_file(spark, outputs) if counts is None else counts
     files = _files_with_samples(counts)
     rows = None
     if files:
         lines = number_lines(read_lines(spark, *_paths(files)), within=["file_path"])
         rows = lines.select("file_path", F.col("line_no").alias("in_file"), "line")
-    return _report(spark, outputs, files, rows)
+    return _of_files(spark, outputs, files, rows)
 
 
 def report_lines(report: DataFrame, paths: Mapping[str, str]) -> DataFrame:

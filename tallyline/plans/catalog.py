@@ -13,17 +13,12 @@ from tallyline.operators.generate import records_for
 from tallyline.operators.positions import number_lines, with_line_numbers
 from tallyline.plans import feeds
 from tallyline.plans import run as programs
-from tallyline.session import new_run_dir, union_all
-from tallyline.sinks.text import (
-    output_paths,
-    route_by_topic,
-    write_ordered,
-    write_report,
-    write_sorted_outputs,
-    write_topic_outputs,
-)
+from tallyline.session import new_run_dir
+from tallyline.sinks.ordered import write_lines
+from tallyline.sinks.text import copy_topic_outputs, output_paths, route_by_topic, write_report, write_sorted_outputs
 from tallyline.sources.lines import read_lines, scan_records
-from tallyline.sources.topics import SOURCE_TOPIC, FileTopics
+from tallyline.sources.ordered import read_numbered
+from tallyline.sources.topics import SOURCE_TOPIC, ArchivedTopics, FileTopics
 from tallyline.streaming.drain import drain, time_trigger
 from tallyline.streaming.ingest import (
     AVAILABLE_NOW,
@@ -94,7 +89,14 @@ def merge_runs(spark, sf):
 
 def line_numbers(spark, sf):
     path = new_run_dir(spark, "lines")
-    write_ordered(sorting.global_sort(feeds.orders(spark, sf), ["name"]), path)
+    write_lines(sorting.global_sort(feeds.orders(spark, sf), ["name"]), path)
+    return read_numbered(spark, {"name": path}).select("line_no", F.col("line").alias("raw"))
+
+
+def line_numbers_by_counting(spark, sf):
+    """The same where no manifest was written: files of another writer, counted first."""
+    path = new_run_dir(spark, "lines")
+    sorting.global_sort(feeds.orders(spark, sf), ["name"]).write.text(path, lineSep="\n")
     return number_lines(read_lines(spark, path)).select("line_no", F.col("line").alias("raw"))
 
 
@@ -235,9 +237,25 @@ def ordered_topic_sink(spark, sf):
     run = new_run_dir(spark, "topics")
     topics = FileTopics(run)
     topics.write_ordered(sorting.global_sort(feeds.orders(spark, sf), ["continent"]), "continent", "1")
-    write_topic_outputs(topics.read(spark, ["continent"], "1"), f"{run}/out", ["continent"])
-    lines = read_lines(spark, output_paths(f"{run}/out")["continent"])
-    return number_lines(lines).select("line_no", F.col("line").alias("raw"))
+    copy_topic_outputs(spark, lambda topic: topics.read(spark, [topic], "1"), f"{run}/out", ["continent"])
+    return read_numbered(spark, output_paths(f"{run}/out", ["continent"])).select("line_no", F.col("line").alias("raw"))
+
+
+def kafka_rows_roundtrip(spark, sf):
+    """Kafka rows of two runs, some sent twice, and of one that was not finished: the outputs of the last complete run."""
+    root = new_run_dir(spark, "kafka")
+    topics = ArchivedTopics(topic_partitions=2, root=f"{root}/topics")
+    for records in (feeds.customers(spark, sf), feeds.orders(spark, sf)):
+        topics.write(records, SOURCE_TOPIC)
+        run = programs.process(spark, topics, run_dir=f"{root}/run", available_now=True)["run"]
+    for key in KEYS:
+        rows = topics._load(spark, {"subscribe": key})
+        ours = F.exists("headers", lambda h: h["value"] == F.encode(F.lit(run), "UTF-8"))
+        # A task that ran twice has sent its records twice.
+        topics._save(rows.where(ours & (F.col("offset") % 3 == 0)).select("partition", "value", "headers"), {"topic": key})
+        topics.write_ordered(sorting.global_sort(feeds.customers(spark, sf), [key]), key, f"{int(run) + 1:020d}")
+    programs.validate(spark, topics, f"{root}/out", available_now=True)
+    return read_numbered(spark, output_paths(f"{root}/out")).select("output", "line_no", F.col("line").alias("raw"))
 
 
 def _orders_outputs(spark, sf) -> dict[str, str]:
@@ -249,10 +267,7 @@ def _orders_outputs(spark, sf) -> dict[str, str]:
 def sorted_files_roundtrip(spark, sf):
     root = new_run_dir(spark, "outputs")
     write_sorted_outputs(feeds.customers(spark, sf), root)
-    return union_all(
-        number_lines(read_lines(spark, path)).select(F.lit(name).alias("output"), "line_no", F.col("line").alias("raw"))
-        for name, path in output_paths(root).items()
-    )
+    return read_numbered(spark, output_paths(root)).select("output", "line_no", F.col("line").alias("raw"))
 
 
 def routed(spark, sf):
@@ -339,7 +354,7 @@ def order_check(spark, sf):
 def order_check_unsorted(spark, sf):
     """An output in name order, checked by every field."""
     path = new_run_dir(spark, "outputs")
-    write_ordered(sorting.global_sort(feeds.orders(spark, sf), ["name"]), path)
+    write_lines(sorting.global_sort(feeds.orders(spark, sf), ["name"]), path)
     fields = ["id", "name", "address", "continent"]
     return checks.order_check(spark, {f"by_{f}": path for f in fields}, {f"by_{f}": f for f in fields})
 
@@ -358,10 +373,7 @@ def carry_on_roundtrip(spark, sf):
         topics.write(records, SOURCE_TOPIC)
         programs.process(spark, topics, run_dir=f"{root}/run", available_now=True)
     programs.validate(spark, topics, f"{root}/out", available_now=True)
-    return union_all(
-        number_lines(read_lines(spark, path)).select(F.lit(name).alias("output"), "line_no", F.col("line").alias("raw"))
-        for name, path in output_paths(f"{root}/out").items()
-    )
+    return read_numbered(spark, output_paths(f"{root}/out")).select("output", "line_no", F.col("line").alias("raw"))
 
 
 def ingested_batches(spark, sf):
@@ -393,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "sort_fanout": sort_fanout,
     "merge_runs": merge_runs,
     "line_numbers": line_numbers,
+    "line_numbers_by_counting": line_numbers_by_counting,
     "parse_records": parse,
     "parse_malformed": parse_malformed,
     "parse_lenient_id": parse_lenient_id,
@@ -418,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "batch_stats": batches,
     "ingested_batches": ingested_batches,
     "carry_on_roundtrip": carry_on_roundtrip,
+    "kafka_rows_roundtrip": kafka_rows_roundtrip,
     "emitted_counts": emitted_counts,
     "sample_head": sample_head,
     "sample_mid": sample_mid,

@@ -124,6 +124,10 @@ _KNOWN = "('id', 'name', 'continent')"
 
 
 def oracles() -> dict[str, str]:
+    both_sorted = " union all ".join(
+        f"select '{key}' as output, line_no, raw from ({numbered(f'(select raw from ({CUSTOMERS_SQL}) as c union all select raw from ({ORDERS_SQL}) as o)', key)}) as n"
+        for key in ("id", "name", "continent")
+    )
     return {
         "sort_by_name": sorted_lines(CUSTOMERS_SQL, "name"),
         "sort_by_id": sorted_lines(LINEITEMS_SQL, "id"),
@@ -137,6 +141,7 @@ def oracles() -> dict[str, str]:
         "sort_fanout": fanout(ORDERS_SQL, "sort_key"),
         "merge_runs": sorted_lines(f"select value as raw from ({MESSAGES_SQL}) as m", "id"),
         "line_numbers": sorted_lines(ORDERS_SQL, "name"),
+        "line_numbers_by_counting": sorted_lines(ORDERS_SQL, "name"),
         "parse_records": parsed(CUSTOMERS_SQL),
         "parse_malformed": parsed(LINES_SQL, "doc_id, raw"),
         "parse_lenient_id": f"select doc_id, id from ({parsed('select doc_id, text as raw from documents', 'doc_id')}) as p",
@@ -169,10 +174,8 @@ def oracles() -> dict[str, str]:
                    sum(strlen(value)) filter (where topic = 'source')::bigint as payload_bytes,
                    count(*) filter (where topic <> 'source') as rejected
             from ({MESSAGES_SQL}) as m""",
-        "carry_on_roundtrip": " union all ".join(
-            f"select '{key}' as output, line_no, raw from ({numbered(f'(select raw from ({CUSTOMERS_SQL}) as c union all select raw from ({ORDERS_SQL}) as o)', key)}) as n"
-            for key in ("id", "name", "continent")
-        ),
+        "carry_on_roundtrip": both_sorted,
+        "kafka_rows_roundtrip": both_sorted,
         "ingested_batches": f"""
             select 1 as batches_ok, count(*) as records, sum(strlen(raw))::bigint as payload_bytes from ({LINEITEMS_SQL}) as l""",
         "batch_stats": f"""

@@ -15,8 +15,7 @@ from tallyline.operators.generate import generate_records
 from tallyline.operators.sampling import report_lines, sample_report
 from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global_sort
 from tallyline.session import new_run_dir, union_all, write_table
-from tallyline.sinks.text import output_paths, write_report, write_topic_outputs
-from tallyline.sources.lines import read_lines
+from tallyline.sinks.text import copy_topic_outputs, output_paths, write_report, write_topic_outputs
 from tallyline.sources.topics import SOURCE_TOPIC, FileTopics, KafkaTopics, latest_run, new_run_id
 from tallyline.streaming.drain import FLUSH_INTERVAL, INGEST_IDLE, OUTPUT_IDLE, check_timeouts, drain, time_trigger
 from tallyline.streaming.ingest import (
@@ -119,12 +118,13 @@ def verify(spark: SparkSession, outputs: Mapping[str, str], expected: int) -> Ve
     """Counts against an expectation, sort order and samples of sorted outputs.
 
     Each output is read once, into a small table of its file splits that
-    answers all three; the samples then read the few files they are in.
+    answers the first two. Samples are read by the outputs' manifests, or from
+    the few files they are in.
     """
     scratch = new_run_dir(spark, "splits")
 
     def summarise(name: str, _) -> DataFrame:
-        write_table(split_summaries(read_lines(spark, outputs[name]), name), f"{scratch}/{name}")
+        write_table(split_summaries(spark, outputs[name], name), f"{scratch}/{name}")
         return spark.read.parquet(f"{scratch}/{name}")
 
     splits = for_each_key(spark, dict.fromkeys(outputs, ()), summarise)
@@ -181,8 +181,8 @@ def validate(
     names = list(keys)
     noted = topics.complete_runs(spark)
     run = run or latest_run(noted)
-    if available_now and topics.cheap_to_read_again:
-        messages = topics.read(spark, names, run)
+    if available_now and topics.cheap_to_read_again and run is not None:
+        written = copy_topic_outputs(spark, lambda name: topics.read(spark, [name], run), out_dir, names)
     else:
         messages = _drain_topics(spark, topics, names, run_dir or new_run_dir(spark, "run"), idle_timeout, available_now, run)
         if run is None:
@@ -190,7 +190,7 @@ def validate(
             noted = topics.complete_runs(spark)
             run = latest_run(noted)
         messages = messages.where(F.col("run").eqNullSafe(F.lit(run)))
-    written = write_topic_outputs(messages, out_dir, names)
+        written = write_topic_outputs(messages, out_dir, names)
     log.info("written %s of run %s", written, run)
     promised = {name: n for name, n in noted.get(run, {}).items() if name in written}
     if any(written[name] != n for name, n in promised.items()):

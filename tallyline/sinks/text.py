@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global_sort
 from tallyline.session import repeatable, sort_partitions
+from tallyline.sinks.ordered import write_lines
 
 
 def output_paths(root: str, names: Sequence[str] = tuple(SORT_KEYS)) -> dict[str, str]:
     return {name: f"{root}/{name}_sorted" for name in names}
 
 
-def write_ordered(ordered: DataFrame, path: str) -> int:
-    """Write ``raw`` as lines, in part files whose numbers follow the order; returns the lines written."""
-    written = Observation()
-    ordered.observe(written, F.count(F.lit(1)).alias("lines")).select("raw").write.text(path, lineSep="\n")
-    return written.get["lines"]
-
-
 def write_sorted_outputs(
     df: DataFrame, root: str, keys: Mapping[str, SortKey] = SORT_KEYS, num_partitions: int | None = None
 ) -> dict[str, int]:
@@ -33,7 +27,7 @@ def write_sorted_outputs(
     paths = output_paths(root, list(keys))
     df = repeatable(df.select("raw"))
     return for_each_key(
-        df.sparkSession, keys, lambda key, by: write_ordered(global_sort(df, by, num_partitions), paths[key])
+        df.sparkSession, keys, lambda key, by: write_lines(global_sort(df, by, num_partitions), paths[key])
     )
 
 
@@ -50,11 +44,26 @@ def write_topic_outputs(messages: DataFrame, root: str, topics: Sequence[str]) -
         )
         ordered = rows.repartitionByRange(sort_partitions(rows), "partition", "offset")
         once = ordered.groupBy("partition", "offset").agg(F.first("raw").alias("raw"))
-        return write_ordered(once.sortWithinPartitions("partition", "offset"), paths[topic])
+        return write_lines(once.sortWithinPartitions("partition", "offset").select("raw"), paths[topic])
 
     return for_each_key(messages.sparkSession, dict.fromkeys(topics, ()), write)
 
 
+def copy_topic_outputs(spark: SparkSession, read: Callable[[str], DataFrame], root: str, topics: Sequence[str]) -> dict[str, int]:
+    """One text output per topic, from topics whose files have their messages in order.
+
+    Nothing is moved or sorted: a task writes what it reads, and the manifest
+    puts the files in the order of (partition, offset).
+    """
+    paths = output_paths(root, topics)
+
+    def write(topic: str, _) -> int:
+        place = F.col("partition").cast("bigint").alias("part"), F.col("offset").alias("place")
+        return write_lines(read(topic).select(*place, F.coalesce("value", F.lit("")).alias("raw")), paths[topic])
+
+    return for_each_key(spark, dict.fromkeys(topics, ()), write)
+
+
 def route_by_topic(messages: DataFrame, path: str, topics: Sequence[str]) -> dict[str, int]:
     """Append each message to the folder of its topic; unknown topics write nothing.
 

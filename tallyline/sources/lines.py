@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,18 +12,45 @@ from tallyline.functions.records import strip_line_end
 LINES_SCHEMA = "file_path string, block_start long, line string"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path, as Spark sees them."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, hadoop_path = _hadoop(spark, path)
+    return store.exists(hadoop_path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system's name, for tasks that open files themselves."""
+    store, hadoop_path = _hadoop(spark, path)
+    return store.makeQualified(hadoop_path).toString()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    store, hadoop_path = _hadoop(spark, path)
+    store.mkdirs(hadoop_path)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    store, hadoop_path = _hadoop(spark, path)
+    store.create(hadoop_path).close()
 
 
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of what a folder holds; none if there is no such folder."""
     if not path_exists(spark, path):
         return []
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)
-    return sorted(status.getPath().getName() for status in found)
+    store, hadoop_path = _hadoop(spark, path)
+    return sorted(status.getPath().getName() for status in store.listStatus(hadoop_path))
+
+
+def delete_files(spark: SparkSession, path: str, names: Sequence[str]) -> None:
+    for name in names:
+        store, hadoop_path = _hadoop(spark, f"{path}/{name}")
+        store.delete(hadoop_path, False)
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -40,6 +69,15 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
+def line_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """(file, file_path) of the files ``read_lines`` reads, file being a hash of the path. Reads no file."""
+    present = [path for path in paths if path_exists(spark, path)]
+    if not present:
+        return spark.createDataFrame([], "file long, file_path string")
+    path = F.col("_metadata.file_path")
+    return spark.read.format("binaryFile").load(present).select(F.xxhash64(path).alias("file"), path.alias("file_path"))
+
+
 def scan_records(spark: SparkSession, *paths: str) -> DataFrame:
     return read_lines(spark, *paths).select(strip_line_end(F.col("line")).alias("raw"))
 

@@ -12,7 +12,7 @@ from tallyline.operators.positions import number_lines, with_line_numbers
 from tallyline.operators.sorting import SORT_KEYS, global_sort, sorted_table
 from tallyline.plans import catalog, feeds
 from tallyline.session import new_run_dir
-from tallyline.sinks.text import write_ordered
+from tallyline.sinks.ordered import write_lines
 from tallyline.sources.lines import read_lines
 
 
@@ -32,7 +32,7 @@ def table(spark, sf_dir):
 @pytest.fixture(scope="module")
 def text(spark, sf_dir):
     path = new_run_dir(spark, "text")
-    write_ordered(global_sort(feeds.lineitems(spark, sf_dir), ["name"]), path)
+    write_lines(global_sort(feeds.lineitems(spark, sf_dir), ["name"]), path)
     return path
 
 

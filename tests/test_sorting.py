@@ -9,7 +9,8 @@ from tallyline.operators.sorting import SORT_KEYS, global_sort, merge_runs, sort
 from tallyline.operators.generate import generate_records
 from tallyline.plans import feeds
 from tallyline.session import scan_bytes, new_run_dir, repeatable, sort_partitions
-from tallyline.sinks.text import output_paths, write_ordered, write_sorted_outputs
+from tallyline.sinks.ordered import write_lines
+from tallyline.sinks.text import output_paths, write_sorted_outputs
 from tallyline.sources.lines import read_lines, scan_records
 
 
@@ -110,7 +111,7 @@ def test_merge_skips_folders_and_missing_runs(spark, tmp_path):
 def test_written_bytes_are_the_records(spark):
     raws = ['1,"q", lead and trail ,Asia', "", "2,é,b,Asia", "x"]
     path = new_run_dir(spark, "bytes")
-    assert write_ordered(spark.createDataFrame([(r,) for r in raws], "raw string").coalesce(1), path) == 4
+    assert write_lines(spark.createDataFrame([(r,) for r in raws], "raw string").coalesce(1), path) == 4
     lines = number_lines(read_lines(spark, path)).orderBy("line_no").collect()
     assert [r.line for r in lines] == raws
 
@@ -126,7 +127,7 @@ def test_outputs_are_never_overwritten(spark, sf_dir):
 
 def test_line_numbers_do_not_depend_on_how_files_are_split(spark, sf_dir):
     path = new_run_dir(spark, "lines")
-    write_ordered(global_sort(feeds.lineitems(spark, sf_dir), ["name"], 5), path)
+    write_lines(global_sort(feeds.lineitems(spark, sf_dir), ["name"], 5), path)
     whole = number_lines(read_lines(spark, path)).collect()
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
