@@ -19,7 +19,7 @@ from tallyline.sinks.text import copy_topic_outputs, output_paths, route_by_topi
 from tallyline.sources.lines import read_lines, scan_records
 from tallyline.sources.ordered import read_numbered
 from tallyline.sources.topics import SOURCE_TOPIC, ArchivedTopics, FileTopics
-from tallyline.streaming.drain import drain, time_trigger
+from tallyline.streaming.drain import drain, drain_by_size_and_clock, time_trigger
 from tallyline.streaming.ingest import (
     AVAILABLE_NOW,
     BatchLog,
@@ -29,6 +29,7 @@ from tallyline.streaming.ingest import (
     start_fanout,
     start_ingest,
 )
+from tallyline.streaming.progress import read_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -191,6 +192,37 @@ def drain_until_idle(spark, sf):
     return read_landed(spark, f"{run}/landed").select("raw")
 
 
+def flush_by_size_and_clock(spark, sf):
+    """Orders fill batches; customers do not, and wait for the clock. What caused the flushes comes with the records."""
+    run, topics = new_run_dir(spark, "ingest"), FileTopics(new_run_dir(spark, "topics"))
+    topics.write(feeds.orders(spark, sf).repartition(4), SOURCE_TOPIC)
+    size, log = topics.size(spark, [SOURCE_TOPIC]), BatchLog()
+    waits = [feeds.customers(spark, sf)]
+
+    def start():
+        return start_ingest(topics.stream(spark, [SOURCE_TOPIC], size // 2), f"{run}/landed", f"{run}/checkpoint", log)
+
+    def waiting() -> int:
+        # The customers come once the orders have been taken.
+        if log.records and waits:
+            topics.write(waits.pop().coalesce(1), SOURCE_TOPIC)
+        return topics.size(spark, [SOURCE_TOPIC])
+
+    _, flushes = drain_by_size_and_clock(start, waiting, log, size // 2, 1.5, idle_timeout=4)
+    causes = F.lit(",".join(dict.fromkeys(flushes)))
+    return read_landed(spark, f"{run}/landed").select("raw", causes.alias("flushes"))
+
+
+def run_progress(spark, sf):
+    """The last progress row of each step of a run."""
+    run, topics = new_run_dir(spark, "run"), FileTopics(new_run_dir(spark, "topics"))
+    topics.write(feeds.orders(spark, sf).repartition(4), SOURCE_TOPIC)
+    programs.process(spark, topics, run_dir=run, available_now=True, batch_bytes=256 * 1024, progress_interval=0.2)
+    rows = read_progress(spark, f"{run}/progress")
+    last = rows.groupBy("step").agg(F.max_by(F.struct("records", "payload_bytes", "dropped", "ended"), "seq").alias("r"))
+    return last.select("step", "r.*")
+
+
 def run_counters(spark, sf):
     """Counted while the batches are written; one row whatever the volume."""
     log = _ingest(spark, _all_topics(feeds.messages(spark, sf)), new_run_dir(spark, "ingest"))
@@ -427,6 +459,8 @@ QUERIES: dict[str, Query] = {
     "routed_counts": routed_counts,
     "stream_fanout": stream_fanout,
     "resume_with_late_data": resume_with_late_data,
+    "flush_by_size_and_clock": flush_by_size_and_clock,
+    "run_progress": run_progress,
     "run_counters": run_counters,
     "batch_stats": batches,
     "ingested_batches": ingested_batches,

@@ -157,6 +157,11 @@ def oracles() -> dict[str, str]:
         "size_cut_batches": ORDERS_SQL,
         "drain_until_count": ORDERS_SQL,
         "drain_until_idle": f"{ORDERS_SQL} union all {CUSTOMERS_SQL}",
+        "flush_by_size_and_clock": f"select raw, 'size,clock' as flushes from ({ORDERS_SQL} union all {CUSTOMERS_SQL}) as r",
+        "run_progress": f"""
+            select 'ingest' as step, count(*) as records, sum(strlen(raw))::bigint as payload_bytes, 0::bigint as dropped, true as ended
+            from ({ORDERS_SQL}) as o
+            union all select 'sort', 3 * count(*), 3 * sum(strlen(raw))::bigint, 0, true from ({ORDERS_SQL}) as o""",
         "multi_topic_source": f"select topic, \"offset\", value from ({MESSAGES_SQL}) as m where topic in {_KNOWN}",
         "scan_lines": f"select raw from ({LINEITEMS_SQL}) as l",
         "topic_sink": f"select raw as value from ({ORDERS_SQL}) as o",

@@ -17,7 +17,15 @@ from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global
 from tallyline.session import new_run_dir, union_all, write_table
 from tallyline.sinks.text import copy_topic_outputs, output_paths, write_report, write_topic_outputs
 from tallyline.sources.topics import SOURCE_TOPIC, FileTopics, KafkaTopics, latest_run, new_run_id
-from tallyline.streaming.drain import FLUSH_INTERVAL, INGEST_IDLE, OUTPUT_IDLE, check_timeouts, drain, time_trigger
+from tallyline.streaming.drain import (
+    FLUSH_INTERVAL,
+    INGEST_IDLE,
+    OUTPUT_IDLE,
+    check_timeouts,
+    drain,
+    drain_by_size_and_clock,
+    time_trigger,
+)
 from tallyline.streaming.ingest import (
     AS_SOON_AS_POSSIBLE,
     AVAILABLE_NOW,
@@ -27,6 +35,7 @@ from tallyline.streaming.ingest import (
     start_fanout,
     start_ingest,
 )
+from tallyline.streaming.progress import EVERY, Progress
 
 log = logging.getLogger("tallyline")
 
@@ -60,43 +69,63 @@ def process(
     batch_bytes: int | None = DEFAULT_BATCH_BYTES,
     available_now: bool = False,
     keys: Mapping[str, SortKey] = SORT_KEYS,
+    progress_interval: float = EVERY,
 ) -> dict:
     """Drain the source topic, then write a sorted topic per key.
 
     ``available_now`` takes what is there and stops; otherwise the drain ends
-    at ``expected`` records or after ``idle_timeout`` seconds without one.
+    at ``expected`` records or after ``idle_timeout`` seconds without one. A
+    batch is landed when there are ``batch_bytes`` for it, or else every
+    ``flush_interval`` seconds. ``<run_dir>/progress`` gets a row every
+    ``progress_interval`` seconds and at the end of either step.
     Given the ``run_dir`` of an earlier run, the drain carries on where that
     one stopped and everything landed by both is sorted. The copies of this
     call are a run of their own, named in the result; none is added to.
     """
     check_timeouts(idle_timeout, flush_interval)
     run_dir = run_dir or new_run_dir(spark, "run")
-    batches = BatchLog()
-    messages = topics.stream(spark, [SOURCE_TOPIC], batch_bytes, flush_interval)
-    if available_now:
-        trigger = AVAILABLE_NOW
-    else:
-        # Cut by size, the next batch starts when there is enough for it and
-        # must not wait for a clock.
-        trigger = AS_SOON_AS_POSSIBLE if batch_bytes else time_trigger(flush_interval)
-    query = start_ingest(messages, f"{run_dir}/landed", f"{run_dir}/checkpoint", batches, trigger=trigger)
+    batches, progress = BatchLog(), Progress(spark, f"{run_dir}/progress", progress_interval)
+
+    def start(trigger: dict):
+        messages = topics.stream(spark, [SOURCE_TOPIC], batch_bytes, flush_interval)
+        return start_ingest(messages, f"{run_dir}/landed", f"{run_dir}/checkpoint", batches, trigger=trigger)
+
     limits = {} if available_now else {"until_count": expected, "idle_timeout": idle_timeout}
-    reason = drain(query, batches, **limits)
+    with progress.step("ingest", batches.counters):
+        if available_now:
+            reason = drain(start(AVAILABLE_NOW), batches)
+        elif batch_bytes and topics.cheap_to_read_again:
+            waiting = lambda: topics.size(spark, [SOURCE_TOPIC])
+            reason, flushes = drain_by_size_and_clock(lambda: start(AVAILABLE_NOW), waiting, batches, batch_bytes, flush_interval, **limits)
+            log.info("flushes: %s", flushes)
+        else:
+            # Cut by size, the next batch starts when there is enough for it
+            # and must not wait for a clock of ours: the broker's source has one.
+            reason = drain(start(AS_SOON_AS_POSSIBLE if batch_bytes else time_trigger(flush_interval)), batches, **limits)
     ingested = batches.summary()
     log.info("ingest stopped: %s %s", reason, ingested)
 
     started = time.monotonic()
     landed, run = read_landed(spark, f"{run_dir}/landed"), new_run_id()
 
+    done: dict[str, dict] = {}
+
     def sort(key: str, by: SortKey) -> int:
         emitted = Observation()
-        ordered = global_sort(landed, by)
-        topics.write_ordered(ordered.observe(emitted, F.count(F.lit(1)).alias("emitted")), key, run)
-        log.info("sorted %s: %s records", key, emitted.get["emitted"])
-        return emitted.get["emitted"]
-
-    emitted = dict.fromkeys(keys, 0) if landed.isEmpty() else for_each_key(spark, keys, sort)
+        size = F.coalesce(F.sum(F.octet_length("raw")), F.lit(0))
+        ordered = global_sort(landed, by).observe(emitted, F.count(F.lit(1)).alias("records"), size.alias("payload_bytes"))
+        topics.write_ordered(ordered, key, run)
+        done[key] = emitted.get
+        log.info("sorted %s: %s", key, emitted.get)
+        return emitted.get["records"]
+
+    def sorted_so_far() -> dict:
+        return {name: sum(d[name] for d in list(done.values())) for name in ("records", "payload_bytes")}
+
+    with progress.step("sort", sorted_so_far):
+        emitted = dict.fromkeys(keys, 0) if landed.isEmpty() else for_each_key(spark, keys, sort)
     topics.complete(spark, run, emitted)
+    progress.save()
     return {
         "run": run,
         "run_dir": run_dir,

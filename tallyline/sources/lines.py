@@ -29,6 +29,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return store.makeQualified(hadoop_path).toString()
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; 0 if there is none."""
+    store, hadoop_path = _hadoop(spark, path)
+    return store.getContentSummary(hadoop_path).getLength() if store.exists(hadoop_path) else 0
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     store, hadoop_path = _hadoop(spark, path)
     store.mkdirs(hadoop_path)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallyline.operators.positions import _ROW_IN_PARTITION
 from tallyline.session import write_table
-from tallyline.sources.lines import folder_names, path_exists
+from tallyline.sources.lines import folder_bytes, folder_names, path_exists
 
 MESSAGE_SCHEMA = "topic string, partition int, offset long, value string"
 ARCHIVE_SCHEMA = "topic string, partition int, offset long, value binary, headers array<struct<key string, value binary>>"
@@ -250,6 +250,10 @@ class FileTopics:
         rows = spark.read.schema(MESSAGE_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], MESSAGE_SCHEMA)
         return rows.withColumn("run", F.lit(run).cast("string"))
 
+    def size(self, spark: SparkSession, topics: Sequence[str]) -> int:
+        """Bytes the topics hold."""
+        return sum(folder_bytes(spark, self.path(topic)) for topic in topics)
+
     def write(self, df: DataFrame, topic: str) -> None:
         """Add to a topic; its partitions are numbered on from those it has."""
         there = self.read(df.sparkSession, [topic]).agg(F.max("partition")).first()[0]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.streaming.ingest import BatchLog
@@ -57,3 +60,62 @@ def drain(
             break
     query.stop()
     return reason
+
+
+def drain_by_size_and_clock(
+    start: Callable[[], StreamingQuery],
+    waiting: Callable[[], int],
+    log: BatchLog,
+    batch_bytes: int,
+    flush_interval: float,
+    until_count: int | None = None,
+    idle_timeout: float | None = None,
+    arm_after_first: bool = False,
+    poll: float = 0.2,
+) -> tuple[str, list[str]]:
+    """Take what is in a source of files whenever enough of it waits, or the flush clock says so.
+
+    ``start`` starts a query that takes all there is, in batches of
+    ``batch_bytes``, and ends; ``waiting`` gives the bytes the source holds. A
+    flush by size sets the clock back. Files of less than a batch wait for the
+    clock, so they are not landed one by one. Returns the reason to stop,
+    'count' or 'idle', and what caused each flush: 'size', 'clock' or 'stop'.
+
+    The count is looked at after every flush; before it stops, the rest of what
+    is there is taken.
+    """
+    if idle_timeout is not None and idle_timeout <= 0:
+        raise ValueError("idle_timeout must be greater than zero")
+    flushes: list[str] = []
+    taken, seen, last_flush = 0, 0, time.monotonic()
+    last_new = None if arm_after_first else time.monotonic()
+
+    def flush(cause: str) -> None:
+        nonlocal taken, last_flush
+        before, there = log.records, waiting()
+        start().awaitTermination()
+        taken, last_flush = there, time.monotonic()
+        if log.records > before:
+            flushes.append(cause)
+
+    while True:
+        there = waiting()
+        if there > seen:
+            seen, last_new = there, time.monotonic()
+        now = time.monotonic()
+        if there - taken >= batch_bytes:
+            flush("size")
+        elif now - last_flush >= flush_interval:
+            if there > taken:
+                flush("clock")
+            last_flush = time.monotonic()
+        if until_count is not None and log.records >= until_count:
+            reason = "count"
+            break
+        if idle_timeout is not None and last_new is not None and time.monotonic() - last_new >= idle_timeout:
+            reason = "idle"
+            break
+        time.sleep(poll)
+    if waiting() > taken:
+        flush("stop")
+    return reason, flushes

@@ -59,6 +59,12 @@ class BatchLog:
                 return None
             return time.monotonic() - (self.last_seen or self.started)
 
+    def counters(self) -> dict:
+        """What has come so far."""
+        with self._lock:
+            size = sum(b.get("payload_bytes", 0) for b in self.batches)
+            return {"records": self.records, "payload_bytes": size, "dropped": self.rejected}
+
     def summary(self) -> dict:
         """Run counters: records, rejected, duration in seconds, records per second."""
         seconds = time.monotonic() - self.started

@@ -6,10 +6,11 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from tallyline.operators.generate import generate_records
 from tallyline.sinks.text import output_paths, route_by_topic, write_topic_outputs
 from tallyline.sources.lines import read_lines
 from tallyline.sources.topics import MESSAGE_SCHEMA, FileTopics
-from tallyline.streaming.drain import check_timeouts, drain, time_trigger
+from tallyline.streaming.drain import check_timeouts, drain, drain_by_size_and_clock, time_trigger
 from tallyline.streaming.ingest import (
     AS_SOON_AS_POSSIBLE,
     AVAILABLE_NOW,
@@ -20,6 +21,7 @@ from tallyline.streaming.ingest import (
     start_fanout,
     start_ingest,
 )
+from tallyline.streaming.progress import Progress, read_progress
 
 
 def send(spark, topics, topic, first, n, partition=0, into=None):
@@ -192,3 +194,61 @@ def test_streams_cannot_be_sorted_so_the_sort_reads_what_landed(spark, topics):
     with pytest.raises(Exception, match="[Ss]ort"):
         stream = topics.stream(spark, ["source"]).orderBy(F.col("value"))
         stream.writeStream.format("noop").option("checkpointLocation", topics.path("c")).start().awaitTermination()
+
+
+def test_size_and_clock_cut_one_run(spark, tmp_path):
+    """Full batches go at once, what is less than one waits for the clock, and the rest is taken at the stop."""
+    topics, run = FileTopics(f"{tmp_path}/topics"), f"{tmp_path}/run"
+    records = generate_records(spark, 4000, 1, 4)
+    topics.write(records, "source")
+    size, log, started = topics.size(spark, ["source"]), BatchLog(), []
+
+    def start():
+        started.append(time.monotonic())
+        return start_ingest(topics.stream(spark, ["source"], size), f"{run}/landed", f"{run}/checkpoint", log)
+
+    more = iter([generate_records(spark, 10, 2, 1), generate_records(spark, 20, 3, 1)])
+
+    def waiting():
+        # A little more after each flush.
+        if len(log.batches) > len(arrived) and (extra := next(more, None)):
+            arrived.append(time.monotonic())
+            topics.write(extra, "source")
+        return topics.size(spark, ["source"])
+
+    arrived: list[float] = []
+    reason, flushes = drain_by_size_and_clock(start, waiting, log, size, 2.0, until_count=4030, idle_timeout=30)
+    assert (reason, flushes) == ("count", ["size", "clock", "clock"])
+    assert started[1] - started[0] >= 2.0 and [b["records"] for b in log.batches] == [4000, 10, 20]
+    assert read_landed(spark, f"{run}/landed").count() == 4030
+
+
+def test_size_and_clock_stop_when_idle(spark, tmp_path):
+    topics, run, log = FileTopics(f"{tmp_path}/topics"), f"{tmp_path}/run", BatchLog()
+    topics.write(generate_records(spark, 50, 1, 1), "source")
+    start = lambda: start_ingest(topics.stream(spark, ["source"], 10**6), f"{run}/landed", f"{run}/checkpoint", log)
+    # The clock never strikes: the stop takes what is there.
+    assert drain_by_size_and_clock(start, lambda: topics.size(spark, ["source"]), log, 10**6, 60, idle_timeout=1.5) == ("idle", ["stop"])
+    assert log.records == 50
+    with pytest.raises(ValueError):
+        drain_by_size_and_clock(start, lambda: 0, log, 1, 1, idle_timeout=0)
+
+
+def test_progress_rows(spark, tmp_path):
+    seen = {"records": 0, "payload_bytes": 0, "dropped": 0}
+    progress = Progress(spark, f"{tmp_path}/progress", every=0.05)
+    with progress.step("one", lambda: seen):
+        time.sleep(0.3)
+        seen.update(records=40, payload_bytes=400, dropped=2)
+        time.sleep(0.2)
+    with pytest.raises(RuntimeError), progress.step("two", lambda: {"records": 1}):
+        raise RuntimeError("failed")
+    rows = progress.table().orderBy("seq").collect()
+    one, two = ([r for r in rows if r["step"] == s] for s in ("one", "two"))
+    assert len(one) >= 4 and [r["ended"] for r in one] == [False] * (len(one) - 1) + [True]
+    assert (one[0]["records"], one[-1]["records"], one[-1]["payload_bytes"], one[-1]["dropped"]) == (0, 40, 400, 2)
+    assert max(r["records_per_second"] for r in one) > 0 and [r["records"] for r in one] == sorted(r["records"] for r in one)
+    # A step that fails still says how far it came.
+    assert [(r["records"], r["ended"]) for r in two] == [(1, True)]
+    assert read_progress(spark, f"{tmp_path}/progress").count() == len(rows)
+    assert read_progress(spark, f"{tmp_path}/none").count() == 0
