@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from math import ceil
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.records import FIELDS, parse_records
 from tallyline.operators.positions import with_line_numbers
-from tallyline.session import repeatable, sort_partitions, union_all, write_table
-from tallyline.sources.lines import scan_records
+from tallyline.session import max_sort_partitions, new_run_dir, repeatable, union_all, wanted_partitions, write_table
+from tallyline.sources.lines import file_sizes, path_exists, scan_records
 
 SortKey = Sequence["str | Column"]
 
@@ -35,6 +36,12 @@ def with_sort_columns(df: DataFrame, by: SortKey) -> tuple[DataFrame, list[Colum
     return (parse_records(records, *fields) if fields else records), order
 
 
+def _ranged(df: DataFrame, by: SortKey, num_partitions: int) -> tuple[DataFrame, list[Column]]:
+    """Records dealt to ranges of (key, raw, row position), and the order within them."""
+    records, order = with_sort_columns(df, by)
+    return records.repartitionByRange(num_partitions, *order, F.monotonically_increasing_id()), order
+
+
 def global_sort(df: DataFrame, by: SortKey, num_partitions: int | None = None) -> DataFrame:
     """All records of ``df`` in ascending order of ``by``, equal keys by ``raw``.
 
@@ -43,14 +50,51 @@ def global_sort(df: DataFrame, by: SortKey, num_partitions: int | None = None) -
     partition. The position only spreads equal records; it is not sorted on.
     A lost task has to find its rows at the same positions again, so input
     that comes out of a shuffle is landed first.
+
+    Records that need more partitions than one shuffle makes are landed in
+    coarse ranges first, and stretches of those are sorted by themselves.
     """
     df = repeatable(df.select("raw"))
-    records, order = with_sort_columns(df, by)
-    return (
-        records.repartitionByRange(num_partitions or sort_partitions(df), *order, F.monotonically_increasing_id())
-        .sortWithinPartitions(*order)
-        .select("raw")
-    )
+    if not num_partitions and wanted_partitions(df) > max_sort_partitions(df.sparkSession):
+        return union_all(global_sort(part, by, n) for part, n in coarse_ranges(df, by, new_run_dir(df.sparkSession, "ranges")))
+    ranged, order = _ranged(df, by, num_partitions or wanted_partitions(df))
+    return ranged.sortWithinPartitions(*order).select("raw")
+
+
+def stretches_of_ranges(sizes: Sequence[int], total: int, at_most: int) -> list[tuple[int, int, int]]:
+    """Neighbouring ranges to be sorted together: (first, one after the last, partitions).
+
+    ``total`` partitions are shared out by size; a stretch gets at most
+    ``at_most`` of them, unless it is a single range that needs more.
+    """
+    each = sum(sizes) / max(total, 1)
+    out: list[tuple[int, int, int]] = []
+    first, size = 0, 0
+    for k, own in enumerate([*sizes, None]):
+        if k > first and (own is None or size + own > each * at_most):
+            out.append((first, k, max(1, ceil(size / each)) if each else 1))
+            first, size = k, 0
+        size += own or 0
+    return out
+
+
+def coarse_ranges(df: DataFrame, by: SortKey, path: str) -> list[tuple[DataFrame, int]]:
+    """The records in stretches of ranges that follow one another, each with the partitions its sort needs.
+
+    The ranges are written as they come out of the shuffle, unsorted: a task
+    streams its range into a file and holds none of it. Ranges that are there
+    from an earlier attempt are taken as they are.
+    """
+    spark = df.sparkSession
+    at_most, total = max_sort_partitions(spark), wanted_partitions(df)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        write_table(_ranged(df, by, at_most)[0].select("raw"), path, "overwrite")
+    files = sorted((int(name.split("-")[1]), name, size) for name, size in file_sizes(spark, path) if name.startswith("part-"))
+    reader = spark.read.schema("raw string")
+    return [
+        (reader.parquet(*(f"{path}/{name}" for _, name, _ in files[a:b])), n)
+        for a, b, n in stretches_of_ranges([size for _, _, size in files], total, at_most)
+    ]
 
 
 def for_each_key(spark: SparkSession, keys: Mapping[str, SortKey], job: Callable[[str, SortKey], object]) -> dict:
@@ -64,10 +108,22 @@ def for_each_key(spark: SparkSession, keys: Mapping[str, SortKey], job: Callable
 def sorted_table(df: DataFrame, by: SortKey, path: str, num_partitions: int | None = None) -> DataFrame:
     """Write the sorted records as Parquet and read them back.
 
-    Sampled range boundaries are not repeatable; the written files are.
+    Sampled range boundaries are not repeatable; the written files are. A sort
+    in two steps writes a folder for each stretch of ranges. Called again with
+    the same path after a failure, it goes on with the stretches that are not
+    there yet.
     """
-    write_table(global_sort(df, by, num_partitions), path)
-    return df.sparkSession.read.schema("raw string").parquet(path)
+    spark, reader = df.sparkSession, df.sparkSession.read.schema("raw string")
+    df = repeatable(df.select("raw"))
+    if num_partitions or wanted_partitions(df) <= max_sort_partitions(spark):
+        write_table(global_sort(df, by, num_partitions), path)
+        return reader.parquet(path)
+    done = []
+    for k, (part, n) in enumerate(coarse_ranges(df, by, f"{path}/coarse")):
+        done.append(f"{path}/range-{k:05d}")
+        if not path_exists(spark, f"{done[-1]}/_SUCCESS"):
+            write_table(global_sort(part, by, n), done[-1], "overwrite")
+    return reader.parquet(*done)
 
 
 def sort_fanout(df: DataFrame, root: str, keys: Mapping[str, SortKey] = SORT_KEYS) -> DataFrame:

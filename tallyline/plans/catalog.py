@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tallyline.operators.generate import records_for
 from tallyline.operators.positions import number_lines, with_line_numbers
 from tallyline.plans import feeds
 from tallyline.plans import run as programs
-from tallyline.session import new_run_dir
+from tallyline.session import MAX_SORT_PARTITIONS_KEY, new_run_dir
 from tallyline.sinks.ordered import write_lines
 from tallyline.sinks.text import copy_topic_outputs, output_paths, route_by_topic, write_report, write_sorted_outputs
 from tallyline.sources.lines import read_lines, scan_records
@@ -73,6 +74,16 @@ def sort_custom_key(spark, sf):
     return _numbered_sort(feeds.customers(spark, sf), [F.col("address").desc(), "id"])
 
 
+def sort_in_two_steps(spark, sf):
+    """A sort that may make few partitions in one shuffle: coarse ranges first, each stretch of them by itself."""
+    small = spark.newSession()
+    small.conf.set(MAX_SORT_PARTITIONS_KEY, "3")
+    path = new_run_dir(small, "sorted")
+    table = sorting.sorted_table(feeds.lineitems(small, sf), ["name"], path)
+    # Read in the caller's session, whose settings stay as they are.
+    return with_line_numbers(spark.read.schema("raw string").parquet(*(unquote(f) for f in table.inputFiles())))
+
+
 def sort_fanout(spark, sf):
     return sorting.sort_fanout(feeds.orders(spark, sf), new_run_dir(spark, "fanout"))
 
@@ -434,6 +445,7 @@ QUERIES: dict[str, Query] = {
     "sort_hot_record": sort_hot_record,
     "sort_malformed": sort_malformed,
     "sort_custom_key": sort_custom_key,
+    "sort_in_two_steps": sort_in_two_steps,
     "sort_fanout": sort_fanout,
     "merge_runs": merge_runs,
     "line_numbers": line_numbers,

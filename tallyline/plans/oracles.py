@@ -133,6 +133,7 @@ def oracles() -> dict[str, str]:
         "sort_by_id": sorted_lines(LINEITEMS_SQL, "id"),
         "sort_by_continent": sorted_lines(ORDERS_SQL, "continent"),
         "sort_hot_key": sorted_lines(LINEITEMS_SQL, "name"),
+        "sort_in_two_steps": sorted_lines(LINEITEMS_SQL, "name"),
         "sort_hot_record": """
             select row_number() over (order by raw) as line_no, raw
             from (select concat_ws(',', '0', l_returnflag, '', l_linestatus) as raw from lineitem) as h""",

@@ -15,10 +15,10 @@ MIB = 1024 * 1024
 # A sort partition is sized on bytes scanned. Small ones sort faster, as their
 # rows stay in cache: 16 MiB read is some 50 MiB of rows.
 TARGET_PARTITION_BYTES = 16 * MIB
-# Beyond this many, partitions grow instead and the sort spills. Spark places
-# boundaries by a sample of at most a million rows, so this leaves 30 for each
-# partition, and the shuffle has a block for every pair of input and output.
-# A cluster that can take more blocks sets its own bound in the session.
+# One shuffle makes at most so many. Spark places boundaries by a sample of at
+# most a million rows, so this leaves 30 for each partition, and the shuffle has
+# a block for every pair of input and output. What needs more is sorted in two
+# steps. A cluster that can take more blocks sets its own bound in the session.
 MAX_SORT_PARTITIONS = 32_768
 MAX_SORT_PARTITIONS_KEY = "tallyline.sort.maxPartitions"
 # Below this a further partition costs more in scheduling than it saves.
@@ -114,15 +114,23 @@ def scan_bytes(df: DataFrame) -> int | None:
     return total if total < 2**60 else None
 
 
-def sort_partitions(df: DataFrame) -> int:
-    """How many range partitions the rows of ``df`` need."""
+def max_sort_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get(MAX_SORT_PARTITIONS_KEY, str(MAX_SORT_PARTITIONS)))
+
+
+def wanted_partitions(df: DataFrame) -> int:
+    """How many range partitions of the size that sorts best the rows of ``df`` make."""
     spark = df.sparkSession
     size = scan_bytes(df)
     if size is None:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     cores = spark.sparkContext.defaultParallelism
-    wanted = max(math.ceil(size / TARGET_PARTITION_BYTES), min(cores, math.ceil(size / MIN_PARTITION_BYTES)))
-    return max(1, min(wanted, int(spark.conf.get(MAX_SORT_PARTITIONS_KEY, str(MAX_SORT_PARTITIONS)))))
+    return max(1, math.ceil(size / TARGET_PARTITION_BYTES), min(cores, math.ceil(size / MIN_PARTITION_BYTES)))
+
+
+def sort_partitions(df: DataFrame) -> int:
+    """How many range partitions one shuffle of ``df`` makes."""
+    return min(wanted_partitions(df), max_sort_partitions(df.sparkSession))
 
 
 def union_all(parts: Iterable[DataFrame]) -> DataFrame:

@@ -45,12 +45,16 @@ def touch(spark: SparkSession, path: str) -> None:
     store.create(hadoop_path).close()
 
 
-def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of what a folder holds; none if there is no such folder."""
+def file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names and bytes of what a folder holds; none if there is no such folder."""
     if not path_exists(spark, path):
         return []
     store, hadoop_path = _hadoop(spark, path)
-    return sorted(status.getPath().getName() for status in store.listStatus(hadoop_path))
+    return sorted((status.getPath().getName(), status.getLen()) for status in store.listStatus(hadoop_path))
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    return [name for name, _ in file_sizes(spark, path)]
 
 
 def delete_files(spark: SparkSession, path: str, names: Sequence[str]) -> None:
@@ -88,18 +92,20 @@ def scan_records(spark: SparkSession, *paths: str) -> DataFrame:
     return read_lines(spark, *paths).select(strip_line_end(F.col("line")).alias("raw"))
 
 
-FILE_ORDER = ["part_no", "chunk_no", "file_path"]
+FILE_ORDER = ["range_no", "part_no", "chunk_no", "file_path"]
 
 
 def with_file_order(files: DataFrame) -> DataFrame:
     """Add what, with ``file_path``, puts the part files of one write job in output order.
 
     Part numbers are compared as numbers: past 99,999 their names no longer
-    sort as text. Files with other names come first, by path.
+    sort as text. Files with other names come first, by path. A sort in two
+    steps has a folder for each stretch of ranges, which counts first.
     """
     name = F.substring_index("file_path", "/", -1)
     return files.withColumns(
         {
+            "range_no": F.regexp_extract("file_path", r"/range-(\d+)/[^/]*$", 1).try_cast("bigint"),
             "part_no": F.regexp_extract(name, r"^part-(\d+)-", 1).try_cast("bigint"),
             "chunk_no": F.regexp_extract(name, r"-c(\d+)\.", 1).try_cast("bigint"),
         }

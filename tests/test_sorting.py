@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import os
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from tallyline import session
 from tallyline.functions.records import parse_records
 from tallyline.operators.positions import number_lines, with_line_numbers
+from tallyline.operators import sorting
 from tallyline.operators.sorting import SORT_KEYS, global_sort, merge_runs, sort_fanout, sorted_table
 from tallyline.operators.generate import generate_records
 from tallyline.plans import feeds
@@ -12,6 +17,7 @@ from tallyline.session import scan_bytes, new_run_dir, repeatable, sort_partitio
 from tallyline.sinks.ordered import write_lines
 from tallyline.sinks.text import output_paths, write_sorted_outputs
 from tallyline.sources.lines import read_lines, scan_records
+from tallyline.sources.ordered import read_numbered
 
 
 def in_order(df) -> list[str]:
@@ -162,3 +168,73 @@ def test_a_path_named_like_a_plan_node_is_not_landed(spark, tmp_path):
     spark.range(3).selectExpr("cast(id as string) raw").write.parquet(path)
     table = spark.read.parquet(path)
     assert repeatable(table) is table
+
+
+@pytest.fixture
+def few_partitions(monkeypatch):
+    """One shuffle makes at most four partitions, and far more are wanted."""
+    monkeypatch.setattr(session, "MAX_SORT_PARTITIONS", 4)
+    monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", 4096)
+
+
+def _sorted_in_two_steps(spark, records, by, path):
+    table = sorting.sorted_table(records, by, path)
+    numbered = with_line_numbers(table).orderBy("line_no").collect()
+    assert [r["line_no"] for r in numbered] == list(range(1, len(numbered) + 1))
+    return [r["raw"] for r in numbered]
+
+
+def test_a_sort_in_two_steps(spark, few_partitions):
+    """The same records repeated for a third of the table, and two names only."""
+    made = generate_records(spark, 6000, 3, 3).unionByName(spark.range(3000).select(F.lit("7,same,a,Asia").alias("raw")))
+    records = session.repeatable(made.repartition(3))
+    raws = [r["raw"] for r in records.collect()]
+    for by, key in ((["id"], lambda x: (int(x.split(",")[0]), x)), (["continent"], lambda x: (x.split(",")[3], x))):
+        path = new_run_dir(spark, "two-steps")
+        assert _sorted_in_two_steps(spark, records, by, path) == sorted(raws, key=key)
+        ranges = [n for n in os.listdir(path) if n.startswith("range-")]
+        assert len(ranges) > 3
+        # Also as one frame, whose partitions follow one another.
+        ordered = sorting.global_sort(records, by)
+        assert ordered.rdd.getNumPartitions() > 8
+        out = new_run_dir(spark, "two-steps")
+        write_lines(ordered, out)
+        assert [r["line"] for r in read_numbered(spark, {"x": out}).orderBy("line_no").collect()] == sorted(raws, key=key)
+
+
+def test_a_sort_in_two_steps_goes_on_where_it_failed(spark, few_partitions, monkeypatch):
+    records = session.repeatable(generate_records(spark, 5000, 3, 3).repartition(2))
+    path, made, calls = new_run_dir(spark, "two-steps"), sorting.write_table, []
+
+    def failing(df, target, *more):
+        calls.append(os.path.basename(target))
+        if len(calls) == 3:
+            raise OSError("lost")
+        made(df, target, *more)
+
+    monkeypatch.setattr(sorting, "write_table", failing)
+    with pytest.raises(OSError):
+        sorting.sorted_table(records, ["name"], path)
+    assert calls == ["coarse", "range-00000", "range-00001"]
+    raws = _sorted_in_two_steps(spark, records, ["name"], path)
+    assert calls[3:5] == ["range-00001", "range-00002"] and "coarse" not in calls[3:]
+    assert raws == sorted((r["raw"] for r in records.collect()), key=lambda x: (x.split(",")[1], x))
+
+
+def test_partitions_of_a_hundred_terabytes():
+    """No partition of more than 64 MiB, and no shuffle of more than the bound."""
+    total_bytes, bound = 100 * 10**12, session.MAX_SORT_PARTITIONS
+    wanted = -(-total_bytes // session.TARGET_PARTITION_BYTES)
+    rng = random.Random(1)
+    weights = [rng.uniform(0.5, 1.5) for _ in range(bound)]
+    sizes = [int(total_bytes * w / sum(weights)) for w in weights]
+    stretches = sorting.stretches_of_ranges(sizes, wanted, bound)
+    assert [a for a, _, _ in stretches] == [0, *(b for _, b, _ in stretches[:-1])] and stretches[-1][1] == bound
+    for a, b, n in stretches:
+        assert n <= bound and sum(sizes[a:b]) / n <= 64 * session.MIB
+
+
+def test_stretches_of_no_and_empty_and_huge_ranges():
+    assert sorting.stretches_of_ranges([], 5, 4) == []
+    assert sorting.stretches_of_ranges([0, 0], 5, 4) == [(0, 2, 1)]
+    assert sorting.stretches_of_ranges([10, 1000, 10], 102, 4) == [(0, 1, 1), (1, 2, 100), (2, 3, 1)]
