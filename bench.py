@@ -36,6 +36,9 @@ HEADLINE = (
     "sorted_files_roundtrip",
     "ordered_topic_sink",
     "carry_on_roundtrip",
+    "kafka_rows_roundtrip",
+    "line_numbers",
+    "sort_in_two_steps",
     "stream_source",
     "stream_fanout",
     "route_by_topic",

@@ -59,6 +59,12 @@ def records_for(df: DataFrame, row: str, seed: int = 0) -> DataFrame:
     return drawn.select(*df.columns, raw.alias("raw"))
 
 
+def spread(rows: DataFrame, row: str) -> DataFrame:
+    """Short rows dealt to all cores if their scan has fewer tasks: a record is far more work than the row it is made for."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, row) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def generate_records(spark: SparkSession, n: int, seed: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Exactly max(n, 0) records; the same ones for a seed whatever the partitioning."""
     if num_partitions is not None and num_partitions <= 0:

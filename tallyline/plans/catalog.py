@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.records import encode_record, key_from_path, normalise_lines, parse_records, payload_bytes
 from tallyline.operators import checks, sampling, sorting
-from tallyline.operators.generate import records_for
+from tallyline.operators.generate import records_for, spread
 from tallyline.operators.positions import number_lines, with_line_numbers
 from tallyline.plans import feeds
 from tallyline.plans import run as programs
@@ -405,7 +405,7 @@ def order_check_unsorted(spark, sf):
 def generate(spark, sf):
     """A record for every line item, from its order and line number."""
     rows = feeds.table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row"))
-    return records_for(rows, "row", seed=3).select("raw")
+    return records_for(spread(rows, "row"), "row", seed=3).select("raw")
 
 
 def carry_on_roundtrip(spark, sf):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.functions.records import parse_records
-from tallyline.operators.generate import ADDRESS_LENGTH, CONTINENTS, NAME_LENGTH, generate_records
+from tallyline.operators.generate import ADDRESS_LENGTH, CONTINENTS, NAME_LENGTH, generate_records, records_for, spread
 
 
 @pytest.mark.parametrize("n,partitions", [(0, 3), (-5, 2), (1, 8), (1000, 7), (10, None)])
@@ -45,3 +45,12 @@ def test_characters_are_evenly_likely(spark, field, symbols):
     assert len(counts) == symbols
     mean = sum(counts) / symbols
     assert all(abs(n - mean) < 0.06 * mean for n in counts)
+
+
+def test_few_row_groups_are_spread_over_the_cores(spark):
+    rows = spark.range(0, 2000, 1, 1).withColumnRenamed("id", "row")
+    assert spread(rows, "row").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = rows.repartition(40)
+    assert spread(many, "row").rdd.getNumPartitions() == 40
+    made, plain = (records_for(x, "row", 3) for x in (spread(rows, "row"), rows))
+    assert made.exceptAll(plain).isEmpty() and plain.exceptAll(made).isEmpty()
