@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from math import ceil
 
 from pyspark import inheritable_thread_target
@@ -101,7 +102,8 @@ def for_each_key(spark: SparkSession, keys: Mapping[str, SortKey], job: Callable
     """Run one job per key at the same time, so one key's tail overlaps another's start."""
     threaded = inheritable_thread_target(spark)(job)
     with ThreadPoolExecutor(max_workers=len(keys)) as pool:
-        running = {key: pool.submit(threaded, key, by) for key, by in keys.items()}
+        # Each thread in a copy of the caller's context, for what belongs to the step at hand.
+        running = {key: pool.submit(copy_context().run, threaded, key, by) for key, by in keys.items()}
         return {key: future.result() for key, future in running.items()}
 
 

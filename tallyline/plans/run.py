@@ -14,15 +14,16 @@ from tallyline.operators.checks import count_check, order_of_outputs, split_summ
 from tallyline.operators.generate import generate_records
 from tallyline.operators.sampling import report_lines, sample_report
 from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global_sort
-from tallyline.session import new_run_dir, union_all, write_table
+from tallyline.session import new_run_dir, scratch_removed, union_all, write_table
 from tallyline.sinks.text import copy_topic_outputs, output_paths, write_report, write_topic_outputs
-from tallyline.sources.topics import SOURCE_TOPIC, FileTopics, KafkaTopics, latest_run, new_run_id
+from tallyline.sources.topics import MAX_MESSAGE_BYTES, SOURCE_TOPIC, FileTopics, KafkaTopics, latest_run, new_run_id
 from tallyline.streaming.drain import (
     FLUSH_INTERVAL,
     INGEST_IDLE,
     OUTPUT_IDLE,
     check_timeouts,
     drain,
+    drain_by_measured_size,
     drain_by_size_and_clock,
     time_trigger,
 )
@@ -86,8 +87,8 @@ def process(
     run_dir = run_dir or new_run_dir(spark, "run")
     batches, progress = BatchLog(), Progress(spark, f"{run_dir}/progress", progress_interval)
 
-    def start(trigger: dict):
-        messages = topics.stream(spark, [SOURCE_TOPIC], batch_bytes, flush_interval)
+    def start(trigger: dict, **size: float):
+        messages = topics.stream(spark, [SOURCE_TOPIC], batch_bytes, flush_interval, **size)
         return start_ingest(messages, f"{run_dir}/landed", f"{run_dir}/checkpoint", batches, trigger=trigger)
 
     limits = {} if available_now else {"until_count": expected, "idle_timeout": idle_timeout}
@@ -98,10 +99,13 @@ def process(
             waiting = lambda: topics.size(spark, [SOURCE_TOPIC])
             reason, flushes = drain_by_size_and_clock(lambda: start(AVAILABLE_NOW), waiting, batches, batch_bytes, flush_interval, **limits)
             log.info("flushes: %s", flushes)
+        elif batch_bytes:
+            # The next batch starts when there is enough for it and must not
+            # wait for a clock of ours: the broker's source has one.
+            sized = lambda size: start(AS_SOON_AS_POSSIBLE, record_bytes=size)
+            reason = drain_by_measured_size(sized, batches, MAX_MESSAGE_BYTES, **limits)
         else:
-            # Cut by size, the next batch starts when there is enough for it
-            # and must not wait for a clock of ours: the broker's source has one.
-            reason = drain(start(AS_SOON_AS_POSSIBLE if batch_bytes else time_trigger(flush_interval)), batches, **limits)
+            reason = drain(start(time_trigger(flush_interval)), batches, **limits)
     ingested = batches.summary()
     log.info("ingest stopped: %s %s", reason, ingested)
 
@@ -122,7 +126,7 @@ def process(
     def sorted_so_far() -> dict:
         return {name: sum(d[name] for d in list(done.values())) for name in ("records", "payload_bytes")}
 
-    with progress.step("sort", sorted_so_far):
+    with scratch_removed(spark), progress.step("sort", sorted_so_far):
         emitted = dict.fromkeys(keys, 0) if landed.isEmpty() else for_each_key(spark, keys, sort)
     topics.complete(spark, run, emitted)
     progress.save()
@@ -207,7 +211,18 @@ def validate(
     was noted with, the outputs are not whole and an error says so. Given the
     ``run_dir`` of an earlier call, the drain carries on where that stopped.
     """
-    names = list(keys)
+    with scratch_removed(spark):
+        written = _write_outputs(spark, topics, out_dir, list(keys), run, run_dir, idle_timeout, available_now)
+    outputs = output_paths(out_dir, list(keys))
+    write_report(report_lines(sample_report(spark, outputs), outputs), report_path or f"{out_dir}/results/SUCCESS.txt")
+    log.info("report written")
+    return written
+
+
+def _write_outputs(
+    spark: SparkSession, topics: Topics, out_dir: str, names: list[str], run: str | None, run_dir: str | None, idle_timeout: float, available_now: bool
+) -> dict[str, int]:
+    """The outputs of ``validate``; what was landed for them alone is not needed afterwards."""
     noted = topics.complete_runs(spark)
     run = run or latest_run(noted)
     if available_now and topics.cheap_to_read_again and run is not None:
@@ -224,7 +239,4 @@ def validate(
     promised = {name: n for name, n in noted.get(run, {}).items() if name in written}
     if any(written[name] != n for name, n in promised.items()):
         raise RuntimeError(f"run {run} is not whole: {written} of {promised} records have come")
-    outputs = output_paths(out_dir, names)
-    write_report(report_lines(sample_report(spark, outputs), outputs), report_path or f"{out_dir}/results/SUCCESS.txt")
-    log.info("report written")
     return written

@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,9 +68,30 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS.setdefault(spark.sparkContext.applicationId, f"{tempfile.gettempdir()}/tallyline-{uuid.uuid4().hex}")
 
 
+# Scratch paths of the step at hand, if it removes them; threads of the step share the list.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("tallyline-scratch", default=None)
+
+
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A path nothing has written to yet; every run gets its own."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """What is put into scratch space inside is removed at the end, for steps whose results lie elsewhere by then."""
+    own: list[str] = []
+    token = _SCOPE.set(own)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in own:
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "error", partition_by: Sequence[str] = ()) -> None:

@@ -29,9 +29,8 @@ MESSAGE_SCHEMA = "topic string, partition int, offset long, value string"
 ARCHIVE_SCHEMA = "topic string, partition int, offset long, value binary, headers array<struct<key string, value binary>>"
 
 # The source topic, the broker used when KAFKA_BROKER is unset,
-# the size one record is taken to have (Kafka limits batches by records, so
-# longer records make larger batches), and the largest message. A longer one
-# fails the job; none is dropped.
+# the size one record is taken to have where none has been measured, and the
+# largest message. A longer one fails the job; none is dropped.
 SOURCE_TOPIC = "source"
 DEFAULT_BROKER = "localhost:9092"
 RECORD_BYTES = 50
@@ -50,8 +49,12 @@ def kafka_source_options(
     bootstrap: str | None = None,
     batch_bytes: int | None = None,
     flush_interval: float | None = None,
+    record_bytes: float = RECORD_BYTES,
 ) -> dict[str, str]:
-    """A micro-batch is cut at ``batch_bytes`` or, if that is not reached, after ``flush_interval`` seconds."""
+    """A micro-batch is cut at ``batch_bytes`` or, if that is not reached, after ``flush_interval`` seconds.
+
+    Kafka limits batches by records, so the bytes are those of records of ``record_bytes``.
+    """
     options = {
         "kafka.bootstrap.servers": bootstrap or broker(),
         "subscribe": ",".join(topics),
@@ -60,7 +63,7 @@ def kafka_source_options(
         "kafka.max.partition.fetch.bytes": str(MAX_MESSAGE_BYTES),
     }
     if batch_bytes:
-        options["maxOffsetsPerTrigger"] = str(max(1, batch_bytes // RECORD_BYTES))
+        options["maxOffsetsPerTrigger"] = str(max(1, int(batch_bytes / record_bytes)))
         if flush_interval:
             options["minOffsetsPerTrigger"] = options["maxOffsetsPerTrigger"]
             options["maxTriggerDelay"] = f"{int(flush_interval * 1000)}ms"
@@ -147,8 +150,9 @@ class KafkaTopics:
         batch_bytes: int | None = None,
         flush_interval: float | None = None,
         run: str | None = None,
+        record_bytes: float = RECORD_BYTES,
     ) -> DataFrame:
-        options = kafka_source_options(topics, self.bootstrap, batch_bytes, flush_interval)
+        options = kafka_source_options(topics, self.bootstrap, batch_bytes, flush_interval, record_bytes)
         return message_columns(self._load(spark, options, stream=True), run)
 
     def read(self, spark: SparkSession, topics: Sequence[str], run: str | None = None) -> DataFrame:

@@ -40,8 +40,9 @@ def drain(
     idle_timeout: float | None = None,
     arm_after_first: bool = False,
     poll: float = 0.2,
+    stop_when: Callable[[], bool] = lambda: False,
 ) -> str:
-    """Wait for the first reason to stop: 'count', 'idle' or 'finished'.
+    """Wait for the first reason to stop: 'count', 'idle', 'finished', or 'asked' by ``stop_when``.
 
     ``until_count`` is a threshold looked at between batches, not a limit:
     a batch that goes beyond it is kept whole. What arrives after the stop
@@ -58,10 +59,36 @@ def drain(
         if idle_timeout is not None and idle is not None and idle >= idle_timeout and not _working(query):
             reason = "idle"
             break
+        if not log.busy and stop_when():
+            reason = "asked"
+            break
     query.stop()
     return reason
 
 
+def drain_by_measured_size(
+    start: Callable[[float], StreamingQuery], log: BatchLog, first_guess: float, tolerance: float = 1.25, **limits
+) -> str:
+    """Drain a source that cuts batches by records so that they have the bytes that were asked for.
+
+    ``start`` starts a query on the same checkpoint for records of a given size.
+    The first guess should be high: it makes a small batch, which measures the
+    records. Whenever a batch's records are of another size than the query was
+    started for, it is stopped between batches and started anew.
+    """
+    size = first_guess
+    while True:
+
+        def off() -> bool:
+            seen = log.record_bytes()
+            return seen is not None and not 1 / tolerance <= seen / size <= tolerance  # noqa: B023
+
+        reason = drain(start(size), log, stop_when=off, **limits)
+        if reason != "asked":
+            return reason
+        size = log.record_bytes() or size
+
+
 def drain_by_size_and_clock(
     start: Callable[[], StreamingQuery],
     waiting: Callable[[], int],

@@ -65,6 +65,12 @@ class BatchLog:
             size = sum(b.get("payload_bytes", 0) for b in self.batches)
             return {"records": self.records, "payload_bytes": size, "dropped": self.rejected}
 
+    def record_bytes(self) -> float | None:
+        """Bytes of a record in the last batch that had any."""
+        with self._lock:
+            sizes = [b["payload_bytes"] / b["records"] for b in self.batches[-8:] if b["records"]]
+        return max(1.0, sizes[-1]) if sizes else None
+
     def summary(self) -> dict:
         """Run counters: records, rejected, duration in seconds, records per second."""
         seconds = time.monotonic() - self.started

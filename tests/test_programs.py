@@ -8,7 +8,8 @@ from tallyline.operators.generate import generate_records
 from tallyline.operators.sorting import global_sort
 from tallyline.plans import run
 from tallyline.sinks.text import output_paths
-from tallyline.sources.topics import ArchivedTopics, FileTopics, KafkaTopics, kafka_sink_options, kafka_source_options, latest_run, message_columns, new_run_id, ordered_rows
+from tallyline.sources.topics import ARCHIVE_SCHEMA, ArchivedTopics, FileTopics, KafkaTopics, kafka_sink_options, kafka_source_options, latest_run, message_columns, new_run_id, ordered_rows
+from tallyline.streaming.ingest import batch_stats, read_landed
 
 
 def test_generate_process_validate(spark, tmp_path):
@@ -148,6 +149,29 @@ def test_generate_process_validate_on_kafka_rows(spark, tmp_path):
     assert {tuple(r)[1:] for r in verdict.order.collect()} == {(700, 0, None)}
 
 
+class LimitedTopics(ArchivedTopics):
+    """Kafka rows, one to a file, of which a batch takes as many as the connector would."""
+
+    def _load(self, spark, options, stream=False):
+        if not stream:
+            return super()._load(spark, options)
+        reader = spark.readStream.schema(ARCHIVE_SCHEMA).option("maxFilesPerTrigger", options["maxOffsetsPerTrigger"])
+        return reader.parquet(f"{self.root}/{options['subscribe']}")
+
+
+def test_batches_of_long_records_have_the_bytes_asked_for(spark, tmp_path):
+    topics = LimitedTopics(topic_partitions=2, root=f"{tmp_path}/kafka")
+    long = spark.range(40).select(F.concat(F.col("id").cast("string"), F.lit(",n,"), F.repeat(F.lit("x"), 5000), F.lit(",Asia")).alias("raw"))
+    topics.write(long.repartition(40, "raw").where("raw is not null"), "source")
+    files = spark.read.schema(ARCHIVE_SCHEMA).parquet(f"{tmp_path}/kafka/source").select("*", F.spark_partition_id().alias("p"))
+    assert files.count() == 40
+    done = run.process(spark, topics, run_dir=f"{tmp_path}/run", idle_timeout=4, flush_interval=1, expected=40, batch_bytes=60_000, keys={"id": ("id",)})
+    assert done["ingest"]["records"] == 40 and done["emitted"] == {"id": 40}
+    landed = batch_stats(read_landed(spark, f"{tmp_path}/run/landed")).orderBy("batch_id").collect()
+    # Fixed sizes would have put a thousand records into the first batch.
+    assert max(r["payload_bytes"] for r in landed) <= 2 * 60_000 and len(landed) >= 3
+
+
 def test_records_without_a_run_keep_their_place(spark, tmp_path):
     topics = ArchivedTopics(topic_partitions=2, root=f"{tmp_path}/kafka")
     topics.write(generate_records(spark, 40, 1, 2), "id")

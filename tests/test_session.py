@@ -9,6 +9,10 @@ import sys
 import pytest
 
 from tallyline import session
+from tallyline.operators import sorting
+from tallyline.plans import run
+from tallyline.sources.lines import path_exists
+from tallyline.sources.topics import FileTopics
 
 PLAIN = """
 from tallyline.session import build_session, new_run_dir, scratch_root, write_table
@@ -42,3 +46,40 @@ def test_a_cluster_has_to_name_a_folder(master):
     Named.sparkContext.master = master
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.scratch_root(Named)
+
+
+def test_scratch_of_a_step_is_removed(spark):
+    """Also what its threads made, and nothing else."""
+    kept = session.new_run_dir(spark, "kept")
+    session.write_table(spark.range(2), kept)
+    made = []
+
+    def job(key, by):
+        path = session.new_run_dir(spark, key)
+        session.write_table(spark.range(2), path)
+        made.append(path)
+
+    with session.scratch_removed(spark):
+        sorting.for_each_key(spark, {"a": (), "b": ()}, job)
+        assert all(path_exists(spark, p) for p in made)
+    assert not any(path_exists(spark, p) for p in made) and path_exists(spark, kept)
+    with pytest.raises(KeyError), session.scratch_removed(spark):
+        job("c", ())
+        raise KeyError
+    assert not path_exists(spark, made[-1])
+    job("d", ())
+    assert path_exists(spark, made[-1])
+
+
+def test_programs_leave_no_scratch(spark, tmp_path, monkeypatch):
+    """The landed records of a run stay, for a later run to carry on; all else goes."""
+    made, real = [], session.new_run_dir
+    for module in (session, sorting, run):
+        monkeypatch.setattr(module, "new_run_dir", lambda spark, label: made.append(real(spark, label)) or made[-1])
+    monkeypatch.setattr(session, "MAX_SORT_PARTITIONS", 2)
+    monkeypatch.setattr(session, "TARGET_PARTITION_BYTES", 8192)
+    topics = FileTopics(f"{tmp_path}/topics")
+    run.generate(spark, topics, 4000, 1, 4)
+    first = run.process(spark, topics, available_now=True)
+    assert run.validate(spark, topics, f"{tmp_path}/out", idle_timeout=2)["id"] == 4000
+    assert len(made) == 5 and [p for p in made if path_exists(spark, p)] == [first["run_dir"]]
