@@ -47,6 +47,8 @@ TOP = 200
 HELD_TERMS = 300_000
 #: Counts in the run-length columns a task holds at once.
 HELD_COUNTS = 1_000_000
+#: Counts of an entry that decide the range it is dealt to.
+HEAD_COUNTS = 3
 GROUP_BYTES = 200  # of a group in a broadcast table
 
 # ASCII letters in lower case; every other ASCII byte parts terms.
@@ -199,7 +201,10 @@ def _pairs(terms: DataFrame, groups: DataFrame) -> DataFrame:
         if held:
             yield from flush()
 
-    dealt = entries.repartitionByRange("lang", "by").sortWithinPartitions("lang", "by")
+    # Ranges of the first counts, equal ones by a hash: Spark samples what ranges
+    # are made of, and whole rows of counts would be too much for the driver.
+    head = F.slice("by", 1, HEAD_COUNTS)
+    dealt = entries.repartitionByRange("lang", head, F.xxhash64("by")).sortWithinPartitions("lang", "by")
     parts = dealt.mapInArrow(run, "lang string, source string, item string, value long")
     return parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
