@@ -8,9 +8,12 @@ who asks for it (``size``) gets a smaller vocabulary: then the tokens below the
 least count that at most so many reach are one class, in which each has its
 add-one share.
 
-Pairs are shuffled once, packed per batch of documents: a shard holds the pairs
-of some followers with the documents they occur in, so that it can count them,
-put them into a trie and answer all documents' queries itself. The CACHED most
+Pairs are shuffled once: a shard holds the pairs of some followers with the
+documents they occur in, so that it can count them, put them into a trie and
+answer all documents' queries itself. A task holds pairs until it has HELD_PAIRS
+of them, then writes one row for each shard, sorted and packed; a row has hundreds
+of pairs or more as long as there are fewer than some thousand shards, and never
+less than one. The CACHED most
 frequent tokens have short ids that are broadcast with their counts; any other
 goes by a 64-bit hash of its bytes, and its shard, which sees all its
 occurrences, counts it (two tokens of one hash would be taken for one: a chance
@@ -20,8 +23,8 @@ A document runs in a circle from its end to its end, so its contexts and its
 followers are the same tokens: the sum of log P(w | h) is that of
 log (c(h, w) + m P(w)) / (c(w) + m), which needs no count of the context. These
 values are the trie's. Its levels (followers, pointers, contexts of each) are
-Elias-Fano sequences in memory-mapped files, with values quantised to 1/QUANT of
-a decimal digit. A query finds its follower by successor search in the first
+Elias-Fano sequences in memory-mapped buffers (or files), with values quantised
+to 1/QUANT of a decimal digit. A query finds its follower by successor search in the first
 level, reads the range of its contexts off the pointers, and searches the context
 relative to its follower.
 
@@ -33,8 +36,8 @@ empty table gives no rows; without training documents all tokens are unknown.
 
 from __future__ import annotations
 
+import mmap
 import os
-import tempfile
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -57,7 +60,11 @@ ID_BITS = 20
 PART_BITS = 31
 BATCH_DOCS = 1 << 12
 BATCH_WORDS = 1 << 18
-SHARD_PAIRS = 1 << 19
+#: Pairs that a task holds, at 16 bytes each, before it deals them to shards.
+HELD_PAIRS = 1 << 22
+#: Bytes of packed rows that are handed on at once.
+EMIT_BYTES = 1 << 23
+SHARD_PAIRS = 1 << 20
 COUNT_WORDS = 1 << 18
 #: No token is a blank, as tokens hold no white space.
 END = b" "
@@ -181,6 +188,20 @@ class NgramTrie:
         parts = (EliasFano.open(os.path.join(folder, x)) for x in ("followers", "pointers", "contexts"))
         return cls(*parts, np.load(os.path.join(folder, "quantised.npy"), mmap_mode="r"), int(np.load(os.path.join(folder, "bits.npy"))))
 
+    def mapped(self) -> NgramTrie:
+        """The same trie with its levels in one anonymous memory map: nothing of it is on a local disk."""
+        sequences = (self.followers, self.pointers, self.contexts)
+        arrays = [a for x in sequences for a in (x.low, x.high)] + [self.quantised]
+        starts = np.cumsum([0, *(-(-a.nbytes // 8) * 8 for a in arrays)]).tolist()
+        space = mmap.mmap(-1, max(8, starts[-1]))
+        views = []
+        for a, at in zip(arrays, starts):
+            view = np.frombuffer(space, a.dtype, len(a), at)
+            view[:] = a
+            views.append(view)
+        levels = [EliasFano(x.n, x.shift, low, high) for x, low, high in zip(sequences, views[0::2], views[1::2])]
+        return NgramTrie(*levels, views[-1], self.bits)
+
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """The stored log10 values; nan where the trie has no such pair."""
         out = np.full(len(keys), np.nan)
@@ -216,13 +237,13 @@ class Vocabulary:
         return Vocabulary, (words, self.counts[1:].tolist(), self.total, self.distinct)
 
 
-def _pack(a: np.ndarray) -> bytes:
+def _pack(a: np.ndarray, packer: zstandard.ZstdCompressor) -> bytes:
     """Byte planes, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
+    return packer.compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
 
 
-def _unpack(data: bytes, dtype, n: int) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+def _unpack(data: bytes, dtype, n: int, opener: zstandard.ZstdDecompressor) -> np.ndarray:
+    raw = np.frombuffer(opener.decompress(data), np.uint8)
     return np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, n).T).view(dtype).ravel()
 
 
@@ -257,16 +278,20 @@ def _hash(word: bytes) -> int:
     return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
 
 
-CODED = """kind string, batch long, ids array<long>, train array<boolean>, n_tokens array<long>, n_known array<long>, base array<double>,
-words array<binary>, at array<int>, times array<long>, shard int, n int, keys binary, docs binary, counts binary, hashes binary, n_hashes int, trained binary"""
+CODED = """kind string, batch long, first long, ids array<long>, train array<boolean>, n_tokens array<long>, n_known array<long>, base array<double>,
+words array<binary>, at array<int>, times array<long>, shard int, n int, keys binary, docs binary, counts binary, hashes binary, n_hashes int"""
 
 
 def _code(docs: DataFrame, vocabulary, shards: int, merge: bool) -> DataFrame:
-    """Batches of documents: what each document has at once, its pairs by shard, and its rare tokens if they are merged."""
+    """Batches of documents: what each document has at once, its pairs by shard, and its rare tokens if they are merged.
+
+    A batch's documents are read in stretches, each coded by itself. Its rows of
+    one shard hold the pairs of all of them.
+    """
     schema = pa.schema(
-        [("kind", pa.string()), ("batch", pa.int64()), ("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("n_tokens", pa.list_(pa.int64())), ("n_known", pa.list_(pa.int64())), ("base", pa.list_(pa.float64())), ("words", pa.list_(pa.binary())), ("at", pa.list_(pa.int32())), ("times", pa.list_(pa.int64())), ("shard", pa.int32()), ("n", pa.int32())]
+        [("kind", pa.string()), ("batch", pa.int64()), ("first", pa.int64()), ("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("n_tokens", pa.list_(pa.int64())), ("n_known", pa.list_(pa.int64())), ("base", pa.list_(pa.float64())), ("words", pa.list_(pa.binary())), ("at", pa.list_(pa.int32())), ("times", pa.list_(pa.int64())), ("shard", pa.int32()), ("n", pa.int32())]
         + [(x, pa.binary()) for x in ("keys", "docs", "counts", "hashes")]
-        + [("n_hashes", pa.int32()), ("trained", pa.binary())]
+        + [("n_hashes", pa.int32())]
     )
 
     def run(batches):
@@ -274,11 +299,16 @@ def _code(docs: DataFrame, vocabulary, shards: int, merge: bool) -> DataFrame:
         get, end, cached = known.ids.get, known.end, len(known.counts)
         log_counts = np.log10(known.counts + 1.0)
         log_counts[0] = 0.0
-        part, number = TaskContext.get().partitionId(), 0
-
-        def rows(held: list[tuple]) -> Iterator[dict]:
-            nonlocal number
-            batch, number = (part << 32) | number, number + 1
+        part, number, first = TaskContext.get().partitionId(), 0, 0
+        packer = zstandard.ZstdCompressor(level=1)
+        # Of the batch at hand: sorted by shard, (followers, contexts, documents, counts, where shards begin); hashes of tokens without an id.
+        coded_parts: list[tuple] = []
+        names_of: list[np.ndarray] = []
+
+        def documents(held: list[tuple]) -> Iterator[dict]:
+            """Codes a stretch of documents: its info rows; its pairs are kept."""
+            nonlocal first
+            batch = (part << 32) | number
             flat: list[int] = []
             sizes, words, at, times = [], [], [], []
             others: dict[bytes, int] = {}
@@ -290,7 +320,7 @@ def _code(docs: DataFrame, vocabulary, shards: int, merge: bool) -> DataFrame:
                 if merge and 0 in coded:
                     for w, k in Counter(w for w, c in zip(tokens, coded) if not c).items():
                         words.append(w)
-                        at.append(i)
+                        at.append(first + i)
                         times.append(k)
                 flat.append(end)
                 flat.extend(coded)
@@ -306,6 +336,7 @@ def _code(docs: DataFrame, vocabulary, shards: int, merge: bool) -> DataFrame:
             yield {
                 "kind": "info",
                 "batch": batch,
+                "first": first,
                 "ids": [i for i, _, _ in held],
                 "train": [t for _, t, _ in held],
                 "n_tokens": sizes,
@@ -326,47 +357,85 @@ def _code(docs: DataFrame, vocabulary, shards: int, merge: bool) -> DataFrame:
             shard = ((mixed >> _U(32)) % _U(shards)).astype(np.int32)
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-            trained = np.packbits(np.array([t for _, t, _ in held], dtype=np.uint8)).tobytes()
+            # Tokens without an id are numbered on over the stretches of a batch.
+            before = sum(len(x) for x in names_of)
+            names_of.append(hashes)
+            w, h = (np.where(x >= cached, x + before, x)[order].astype(np.uint32) for x in (w, h))
+            trained = np.array([t for _, t, _ in held], dtype=np.uint32)[doc]
+            doc = (first + doc).astype(np.uint32) << np.uint32(1) | trained
+            coded_parts.append((w, h, doc[order], counts[order].astype(np.uint32), cuts))
+            first += n
+
+        def deal() -> Iterator[dict]:
+            """The batch's pairs, a row for each shard that has any."""
+            nonlocal number, first
+            batch, hashes = (part << 32) | number, np.concatenate(names_of)
             for s in range(shards):
-                take = order[cuts[s] : cuts[s + 1]]
-                if len(take):
-                    mine, other = np.stack([w[take], h[take]]), np.empty(0, dtype=np.int64)
-                    if len(others):
-                        long = mine >= cached
-                        other, place = np.unique(mine[long], return_inverse=True)
-                        mine[long] = cached + place
-                    yield {
-                        "kind": "pairs",
-                        "batch": batch,
-                        "shard": s,
-                        "n": len(take),
-                        "keys": _pack(np.diff(mine[0] << PART_BITS | mine[1], prepend=0)),
-                        "hashes": _pack(hashes[other - cached]),
-                        "n_hashes": len(other),
-                        "docs": _pack(doc[take].astype(np.uint16)),
-                        "counts": _pack(counts[take].astype(np.uint32)),
-                        "trained": trained,
-                    }
-
-        def emit(held: list[tuple]) -> pa.RecordBatch:
-            made = list(rows(held))
+                mine = [(p, slice(p[4][s], p[4][s + 1])) for p in coded_parts if p[4][s] < p[4][s + 1]]
+                if not mine:
+                    continue
+                w, h, doc, counts = (np.concatenate([p[k][cut] for p, cut in mine]) for k in range(4))
+                pair = np.stack([w, h]).astype(np.int64)
+                long = pair >= cached
+                other, place = np.unique(hashes[pair[long] - cached], return_inverse=True)
+                pair[long] = cached + place
+                key = pair[0] << PART_BITS | pair[1]
+                order = np.argsort(key, kind="stable")
+                yield {
+                    "kind": "pairs",
+                    "batch": batch,
+                    "shard": s,
+                    "n": len(key),
+                    "keys": _pack(np.diff(key[order], prepend=0), packer),
+                    "hashes": _pack(other, packer),
+                    "n_hashes": len(other),
+                    "docs": _pack(doc[order], packer),
+                    "counts": _pack(counts[order], packer),
+                }
+            coded_parts.clear()
+            names_of.clear()
+            number, first = number + 1, 0
+
+        def rows(held: list[tuple]) -> Iterator[dict]:
+            yield from documents(held)
+            if sum(len(p[0]) for p in coded_parts) >= HELD_PAIRS:
+                yield from deal()
+
+        def stretches() -> Iterator[list[tuple]]:
+            held, size = [], 0
+            for batch in batches:
+                for i, train, text in zip(*(batch.column(c).to_pylist() for c in ("id", "train", "text"))):
+                    tokens = tokens_of(text)
+                    if held and len(tokens) >= BATCH_WORDS:
+                        # Alone, so that its keys are short.
+                        yield held
+                        held, size = [], 0
+                    held.append((i, train, tokens))
+                    size += len(tokens) + 1
+                    if len(held) == BATCH_DOCS or size >= BATCH_WORDS:
+                        yield held
+                        held, size = [], 0
+            if held:
+                yield held
+
+        def all_rows() -> Iterator[dict]:
+            for held in stretches():
+                yield from rows(held)
+            if coded_parts:
+                yield from deal()
+
+        def record_batch(made: list[dict]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in made], f.type) for f in schema], schema=schema)
 
-        held, size = [], 0
-        for batch in batches:
-            for i, train, text in zip(*(batch.column(c).to_pylist() for c in ("id", "train", "text"))):
-                tokens = tokens_of(text)
-                if held and len(tokens) >= BATCH_WORDS:
-                    # Alone, so that its keys are short.
-                    yield emit(held)
-                    held, size = [], 0
-                held.append((i, train, tokens))
-                size += len(tokens) + 1
-                if len(held) == BATCH_DOCS or size >= BATCH_WORDS:
-                    yield emit(held)
-                    held, size = [], 0
-        if held:
-            yield emit(held)
+        made, size = [], 0
+        for row in all_rows():
+            made.append(row)
+            size += 64 * len(row.get("ids", ())) + sum(len(row.get(c, b"")) for c in ("keys", "docs", "counts", "hashes"))
+            if size >= EMIT_BYTES:
+                yield record_batch(made)
+                made, size = [], 0
+        if made:
+            yield record_batch(made)
 
     return docs.mapInArrow(run, CODED)
 
@@ -377,10 +446,11 @@ def _score_pairs(pairs: DataFrame, vocabulary, shards: int, smoothing: float) ->
     def run(batches):
         known, _ = vocabulary.value
         cached = len(known.counts)
-        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("batch", "n", "keys", "docs", "counts", "trained", "hashes", "n_hashes")))]
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("batch", "n", "keys", "docs", "counts", "hashes", "n_hashes")))]
         if not rows:
             return
-        part = [_unpack(r[6], np.uint64, r[7]) for r in rows]
+        opener = zstandard.ZstdDecompressor()
+        part = [_unpack(r[5], np.uint64, r[6], opener) for r in rows]
         hashes, rank = np.unique(np.concatenate(part), return_inverse=True)
         bits = max(ID_BITS, (cached + len(hashes)).bit_length())
         keys, begin = [], 0
@@ -388,15 +458,15 @@ def _score_pairs(pairs: DataFrame, vocabulary, shards: int, smoothing: float) ->
             # Ids of this batch's part become ids of the shard.
             ids = rank[begin : begin + len(mine)] + cached
             begin += len(mine)
-            key = np.cumsum(_unpack(r[2], np.int64, r[1]))
+            key = np.cumsum(_unpack(r[2], np.int64, r[1], opener))
             both = np.stack([key >> PART_BITS, key & ((1 << PART_BITS) - 1)])
             long = both >= cached
             both[long] = ids[both[long] - cached]
             keys.append(both[0] << bits | both[1])
         keys = np.concatenate(keys)
-        doc = np.concatenate([_unpack(r[3], np.uint16, r[1]) for r in rows]).astype(np.int64)
-        counts = np.concatenate([_unpack(r[4], np.uint32, r[1]) for r in rows]).astype(np.int64)
-        train = np.concatenate([np.unpackbits(np.frombuffer(r[5], np.uint8))[_unpack(r[3], np.uint16, r[1])] for r in rows])
+        doc = np.concatenate([_unpack(r[3], np.uint32, r[1], opener) for r in rows])
+        counts = np.concatenate([_unpack(r[4], np.uint32, r[1], opener) for r in rows]).astype(np.int64)
+        doc, train = (doc >> np.uint32(1)).astype(np.int64), doc & np.uint32(1)
         asked, place = np.unique(keys, return_inverse=True)
         c = np.bincount(place, counts * train, len(asked))
         w = asked >> bits
@@ -406,9 +476,8 @@ def _score_pairs(pairs: DataFrame, vocabulary, shards: int, smoothing: float) ->
         mass = np.concatenate([known.counts, own])[w] + smoothing
         prior = smoothing * np.concatenate([known.unigram, (own + 1) / (known.total + known.distinct + 1)])[w]
         in_model = c > 0
-        with tempfile.TemporaryDirectory() as folder:
-            NgramTrie.build(asked[in_model], np.log10((c[in_model] + prior[in_model]) / mass[in_model]), bits).save(folder)
-            stored = NgramTrie.open(folder).log10(asked)
+        trie = NgramTrie.build(asked[in_model], np.log10((c[in_model] + prior[in_model]) / mass[in_model]), bits).mapped()
+        stored = trie.log10(asked)
         value = np.where(np.isnan(stored), np.log10(prior / mass), stored)
         parts = counts * value[place]
         ends = np.cumsum([r[1] for r in rows])
@@ -416,7 +485,7 @@ def _score_pairs(pairs: DataFrame, vocabulary, shards: int, smoothing: float) ->
         for r, b in zip(rows, ends.tolist()):
             a = b - r[1]
             sums = np.bincount(doc[a:b], parts[a:b])
-            at = np.unique(doc[a:b])
+            at = np.flatnonzero(np.bincount(doc[a:b]))
             token = keys[a:b] >> bits
             long = np.flatnonzero(token >= cached)
             times, seen = counts[a:b][long], own[token[long] - cached]
@@ -430,7 +499,8 @@ def _score_pairs(pairs: DataFrame, vocabulary, shards: int, smoothing: float) ->
     names = ["batch", "at", "sums", "rare_at", "rare_known", "rare_base"]
     long, double = pa.list_(pa.int64()), pa.list_(pa.float64())
     types = [pa.int64(), long, double, long, long, double]
-    dealt = pairs.select("shard", "batch", "n", "keys", "docs", "counts", "trained", "hashes", "n_hashes").repartition(shards, "shard")
+    # A shard is a task: it is its own partition number.
+    dealt = pairs.select("shard", "batch", "n", "keys", "docs", "counts", "hashes", "n_hashes").repartitionById(shards, "shard")
     return dealt.mapInArrow(
         run, "batch long, at array<long>, sums array<double>, rare_at array<long>, rare_known array<long>, rare_base array<double>"
     )
@@ -444,10 +514,13 @@ def _add_up(parts: DataFrame) -> DataFrame:
         for b in batches:
             columns = (b.column(c) for c in ("at", "sums", "rare_at", "rare_known", "rare_base"))
             for batch, at, values, rare_at, rare_known, rare_base in zip(b.column("batch").to_pylist(), *columns):
-                if batch not in sums:
-                    sums[batch] = np.zeros(BATCH_DOCS), np.zeros(BATCH_DOCS, dtype=np.int64), np.zeros(BATCH_DOCS)
-                total, known, base = sums[batch]
-                total[at.values.to_numpy()] += values.values.to_numpy()
+                at = at.values.to_numpy()
+                total, known, base = sums.get(batch) or (np.zeros(0), np.zeros(0, dtype=np.int64), np.zeros(0))
+                if len(total) <= at[-1]:
+                    more = 2 * at[-1] + 1 - len(total)
+                    total, known, base = (np.append(x, np.zeros(more, dtype=x.dtype)) for x in (total, known, base))
+                sums[batch] = total, known, base
+                total[at] += values.values.to_numpy()
                 rare = rare_at.values.to_numpy()
                 known[rare] += rare_known.values.to_numpy()
                 base[rare] += rare_base.values.to_numpy()
@@ -504,8 +577,8 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     shared = spark.sparkContext.broadcast((known, hot))
 
     coded = land(_code(rows, shared, shards, merge), "lm-coded", ("kind",))
-    info = coded.where("kind = 'info'").select("batch", F.posexplode(F.arrays_zip("ids", "train", "n_tokens", "n_known", "base")).alias("at", "d"))
-    info = info.select("batch", F.col("at").cast("long").alias("at"), "d.*")
+    info = coded.where("kind = 'info'").select("batch", "first", F.posexplode(F.arrays_zip("ids", "train", "n_tokens", "n_known", "base")).alias("at", "d"))
+    info = info.select("batch", (F.col("first") + F.col("at")).alias("at"), "d.*")
     pairs = _add_up(_score_pairs(coded.where("kind = 'pairs'"), shared, shards, smoothing))
     made = info.join(pairs, ["batch", "at"])
     n_known, base, total_score = F.col("n_known") + F.col("more_known"), F.col("base") + F.col("more_base"), F.col("pairs")

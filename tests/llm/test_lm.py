@@ -40,7 +40,9 @@ def test_trie_on_disk(tmp_path):
     assert np.abs(trie.log10(keys) - value).max() <= 0.5 / lm.QUANT
     other = np.setdiff1d(rng.integers(0, 1 << 30, 5000), keys)
     assert np.isnan(trie.log10(other)).all()
-    assert np.isnan(lm.NgramTrie.build(keys[:0], value[:0]).log10(keys)).all()
+    in_memory = trie.mapped()
+    assert (in_memory.log10(keys) == trie.log10(keys)).all() and np.isnan(in_memory.log10(other)).all()
+    assert np.isnan(lm.NgramTrie.build(keys[:0], value[:0]).mapped().log10(keys)).all()
 
 
 def brute(rows, held, size, smoothing):
@@ -109,7 +111,10 @@ def test_no_training_documents_and_empty_table(spark, documents):
     assert lm.score(documents([]), F.lit(False)).collect() == []
 
 
-def test_no_tokens_are_merged_beyond_the_cache(spark, documents, monkeypatch):
+@pytest.mark.parametrize("held_pairs", [1, 900, lm.HELD_PAIRS])
+def test_no_tokens_are_merged_beyond_the_cache(spark, documents, monkeypatch, held_pairs):
+    monkeypatch.setattr(lm, "HELD_PAIRS", held_pairs)
+    monkeypatch.setattr(lm, "EMIT_BYTES", 2000)
     monkeypatch.setattr(lm, "CACHED", 5)
     monkeypatch.setattr(lm, "BATCH_WORDS", 300)
     monkeypatch.setattr(lm, "SHARD_PAIRS", 50)
