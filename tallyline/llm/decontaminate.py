@@ -10,7 +10,7 @@ characters. An item with fewer words than a window is one window as a whole;
 an item without words matches nothing. Null texts have no words. Items of null
 id mark words but are not listed. Repeated rows are handled like any other;
 empty tables give no hits, or no rows. Columns of documents are kept as they
-are, except those called like a result.
+are, except those called like a result, in any case.
 """
 
 from __future__ import annotations
@@ -131,16 +131,20 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _slices(benchmark: DataFrame, item: str, text: str, max_bytes: int) -> list[list]:
-    """The items in groups that may be broadcast; each group is collected on its own."""
+def _slices(benchmark: DataFrame, item: str, text: str, max_bytes: int) -> list[DataFrame]:
+    """The items in groups that may be broadcast; a group is collected when its turn comes."""
     items = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text")).distinct()
     # An index of word ids, hashes and owners takes some 30 times the text.
     size = 30 * (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     n = max(1, math.ceil(size / max_bytes))
     if n == 1:
-        return [[tuple(r) for r in items.collect()]]
-    items = items.withColumn("slice", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
-    return [[tuple(r) for r in items.where(F.col("slice") == k).select("item", "text").collect()] for k in range(n)]
+        return [items]
+    number = F.pmod(F.xxhash64("item", "text"), F.lit(n))
+    return [items.where(number == k) for k in range(n)]
+
+
+def _index(items: DataFrame, window: int) -> WindowIndex:
+    return WindowIndex([tuple(r) for r in items.collect()], window)
 
 
 def find_hits(
@@ -154,17 +158,17 @@ def find_hits(
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans`` (runs of hit words, by word position) and ``hit_items``."""
     kind = benchmark.schema[item].dataType
-    kept = [f for f in docs.schema if f.name not in ("n_words", "hit_spans", "hit_items")]
+    kept = [f for f in docs.schema if f.name.lower() not in ("n_words", "hit_spans", "hit_items")]
     schema = T.StructType(
         kept + [T.StructField("n_words", T.LongType()), T.StructField("hit_spans", T._parse_datatype_string(SPANS)), T.StructField("hit_items", T.ArrayType(kind))]
     )
     names, out = [f.name for f in kept], docs.select(*(docs[f.name] for f in kept))
     spans_type = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-    items_type = pa.list_(pa.string() if isinstance(kind, T.StringType) else pa.int64())
+    items_type = pa.list_(benchmark.select(F.col(item).alias("item")).limit(0).toArrow().schema.field("item").type)
     for k, items in enumerate(_slices(benchmark, item, item_text, max_bytes)):
         if k:
             out = land(out, "decontaminated")
-        index = docs.sparkSession.sparkContext.broadcast(WindowIndex(items, window))
+        index = docs.sparkSession.sparkContext.broadcast(_index(items, window))
 
         def scan(batches, index=index, again=k > 0):
             for batch in batches:
@@ -223,7 +227,7 @@ def remove(
     slices = _slices(benchmark, item, item_text, max_bytes)
     if len(slices) > 1:
         return _remove_sliced(docs, benchmark, max_share, text, item, item_text, window, max_bytes)
-    shared = docs.sparkSession.sparkContext.broadcast(WindowIndex(slices[0], window))
+    shared = docs.sparkSession.sparkContext.broadcast(_index(slices[0], window))
 
     def run(batches):
         for batch in batches:

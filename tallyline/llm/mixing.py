@@ -9,6 +9,12 @@ hash of its id falls below its probability.
 
 Only cells, and the multipliers (a row per category), are shuffled.
 
+Targets that are given are rated over the categories that documents have. A
+category they lack, or give no positive share, has probability 0: its documents
+stay in the result, none is ``kept``, and the other targets are fitted on the
+rest. Targets that contradict one another are fitted for MAX_CYCLES rounds; a
+warning then says by how much the last round still moved.
+
 Null categories are the category ''. Null or empty texts have no tokens and
 take their cell's probability; a cell without tokens weighs one. Documents of
 null id hash as the empty text. Repeated rows of an id are kept or dropped
@@ -18,6 +24,7 @@ those that are called like a result.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -69,11 +76,29 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
             )
             multipliers[d] = land(new, "multipliers")
         # The last one is fitted by construction; the first shows what the others have moved.
-        if (multipliers[dims[0]].agg(F.max("moved")).first()[0] or 0) < TOLERANCE:
+        moved = multipliers[dims[0]].agg(F.max("moved")).first()[0] or 0
+        if moved < TOLERANCE:
             break
+    else:
+        warnings.warn(f"targets not reached: after {MAX_CYCLES} rounds a multiplier still moves by {moved:.2g} of itself", stacklevel=2)
     return weighted().withColumn("factor", product())
 
 
+def positive_targets(targets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """One row per category with a positive share; null categories are ''."""
+    return {
+        d: land(t.groupBy(F.coalesce(F.col(d), F.lit("")).alias(d)).agg(F.sum("share").alias("share")).where("share > 0"), "given")
+        for d, t in targets.items()
+    }
+
+
+def rated(cells: DataFrame, dimension: str, target: DataFrame) -> DataFrame:
+    """A target's shares over the categories that cells have; they add up to one."""
+    present = target.join(cells.select(dimension).distinct(), dimension, "left_semi")
+    total = present.agg(F.sum("share")).first()[0] or 1.0
+    return present.select(dimension, (F.col("share") / F.lit(total)).alias("share"))
+
+
 def sample_to_targets(
     docs: DataFrame,
     dimensions: Sequence[str],
@@ -88,7 +113,10 @@ def sample_to_targets(
     clean = [F.coalesce(F.col(d), F.lit("")).alias(d) for d in dimensions]
     cells = docs.select(*clean, tokens.alias("n")).groupBy(*dimensions).agg(F.greatest(F.sum("n"), F.lit(1)).cast("double").alias("w"))
     cells = land(cells, "cells")
-    targets = {d: (targets or {}).get(d) if d in (targets or {}) else tempered_targets(cells, d, alpha) for d in dimensions}
+    given = positive_targets(targets or {})
+    for d, target in given.items():
+        cells = cells.join(target.select(d), d, "left_semi")
+    targets = {d: rated(cells, d, given[d]) if d in given else tempered_targets(cells, d, alpha) for d in dimensions}
     raked = land(rake(cells, targets), "raked")
     most = raked.agg(F.max("factor")).first()[0] or 1.0
     names = {d: f"cell_{i}" for i, d in enumerate(dimensions)}
@@ -96,9 +124,10 @@ def sample_to_targets(
     table = raked.select(*(F.col(d).alias(names[d]) for d in dimensions), (F.col("factor") / F.lit(most)).alias(chance))
     match = [F.coalesce(docs[d], F.lit("")) == table[names[d]] for d in dimensions]
     uniform = key_bits(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":" + seed)), UNIFORM_BITS) / F.lit(float(2**UNIFORM_BITS))
-    return docs.join(table, match).select(
+    chance_of = F.coalesce(F.col(chance), F.lit(0.0))
+    return docs.join(table, match, "left").select(
         *(docs[c] for c in own),
         tokens.alias("n_tokens"),
-        F.col(chance).alias("probability"),
-        (uniform < F.col(chance)).alias("kept"),
+        chance_of.alias("probability"),
+        (uniform < chance_of).alias("kept"),
     )

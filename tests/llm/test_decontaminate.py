@@ -68,6 +68,20 @@ def test_removal_leaves_nothing_and_spares_clean_texts(spark, documents, max_byt
     assert decontaminate.find_hits(documents([kept[0], kept[1]]), bench).where(F.size("hit_spans") > 0).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "int", "bigint", "string", "date", "decimal(9,2)"])
+@pytest.mark.parametrize("max_bytes", [1 << 26, 1 << 9])
+def test_item_ids_of_any_type_and_names_in_any_case(spark, documents, kind, max_bytes):
+    rows = [("1", "one two three"), ("2", "four five six"), ("3", "one two three"), (None, "seven eight")]
+    cast = F.date_add(F.lit("2020-01-01").cast("date"), F.col("item_id").cast("int")) if kind == "date" else F.col("item_id").cast(kind)
+    bench = spark.createDataFrame(rows, "item_id string, text string").withColumn("item_id", cast)
+    docs = documents(["a one two three four", "seven eight", None], extra="N_WORDS").withColumn("Hit_Items", F.lit(1))
+    found = decontaminate.find_hits(docs, bench, max_bytes=max_bytes)
+    assert found.schema["hit_items"].dataType.elementType == bench.schema["item_id"].dataType
+    got = found.select("doc_id", "n_words", "hit_items").orderBy("doc_id").collect()
+    ids = {r["item_id"] for r in bench.where("text = 'one two three'").collect()}
+    assert [(r["n_words"], set(r["hit_items"])) for r in got] == [(5, ids), (2, set()), (0, set())]
+
+
 def test_empty_tables(spark, documents):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert [r["hit_spans"] for r in decontaminate.find_hits(documents(["a b"]), empty).collect()] == [[]]

@@ -48,6 +48,38 @@ def test_repeats_nulls_and_empty(spark):
     assert mixing.sample_to_targets(table(spark, []), DIMS, F.col("n")).collect() == []
 
 
+@pytest.mark.parametrize("share", [None, 0.0, -1.0])
+def test_categories_without_a_share_are_kept_out_but_not_lost(spark, share):
+    rows = [(i, ("a", "b", None)[i % 3], ("x", "y")[i // 3 % 2], 1 + i % 5, "old") for i in range(600)] + [(900, "b", "only b", 4, "")]
+    given = [("a", 0.25), (None, 0.25), ("no documents", 0.5)] + ([("b", share)] if share is not None else [])
+    targets = {"source": spark.createDataFrame(given, "source string, share double")}
+    got = mixing.sample_to_targets(table(spark, rows), DIMS, F.col("n"), alpha=1.0, targets=targets).collect()
+    assert len(got) == len(rows)
+    assert all(r["probability"] == 0 and not r["kept"] for r in got if r["source"] == "b")
+    assert shares(got, "source") == pytest.approx({"a": 0.5, "": 0.5, "b": 0.0}, rel=1e-4)
+    rest = [r for r in got if r["source"] != "b"]
+    tokens = {y: sum(r["n"] for r in rest if r["lang"] == y) / sum(r["n"] for r in rest) for y in "xy"}
+    assert shares(rest, "lang") == pytest.approx(tokens, rel=1e-4)
+
+
+def test_nothing_has_a_share(spark):
+    targets = {"source": spark.createDataFrame([("other", 1.0)], "source string, share double")}
+    got = mixing.sample_to_targets(table(spark, [(1, "a", "x", 3, ""), (2, None, "y", 0, "")]), DIMS, F.col("n"), targets=targets).collect()
+    assert [(r["probability"], r["kept"]) for r in got] == [(0.0, False)] * 2
+
+
+def test_targets_that_contradict_are_reported(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_CYCLES", 3)
+    # Each source has one language, so both marginals cannot hold.
+    rows = [(i, "ab"[i % 2], "xy"[i % 2], 1, "") for i in range(10)]
+    targets = {
+        "source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, share double"),
+        "lang": spark.createDataFrame([("x", 0.5), ("y", 0.5)], "lang string, share double"),
+    }
+    with pytest.warns(UserWarning, match="targets not reached"):
+        assert len(mixing.sample_to_targets(table(spark, rows), DIMS, F.col("n"), targets=targets).collect()) == 10
+
+
 def test_token_count(spark):
     df = spark.createDataFrame([(None,), ("",), (" a  b\n\tc ",), ("a\u00a0b",)], "t string")
     assert [r[0] for r in df.select(mixing.token_count(F.col("t"))).collect()] == [0, 0, 3, 1]
