@@ -109,6 +109,27 @@ def test_rows_that_share_an_id_and_null_rows(spark, documents, sf_dir):
     assert got == sorted([(1, text), (3, None), (0, text), (0, ""), (4, "")], key=str)
 
 
+def test_extra_columns_of_any_name_and_type_pass_through(spark, documents, sf_dir):
+    text = "some plain words about the weather and the garden that nobody minds at all"
+    frame = documents([(1, text), (1, text), (1, text), (2, "quite another text about boats that sail from one island to the next in summer"), (None, None), (3, "")], extra="Toxicity")
+    extra = {"toxic_terms": "1", "kept": "'mine'", "N_Tokens": "map('a', 2)", "probability": "array(map('b', doc_id))", "hit_spans": "struct(map('c', 3) as m)"}
+    for name, value in extra.items():
+        frame = frame.withColumn(name, F.expr(value))
+    before = {r["doc_id"]: r for r in frame.collect()}
+    docs = frame
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.columns == frame.columns, name
+        assert docs.dtypes == frame.dtypes, name
+        path = new_run_dir(spark, name)
+        write_table(docs, path)
+        docs = spark.read.parquet(path)
+        if name == "near_duplicates":
+            assert sorted(r["doc_id"] or 0 for r in docs.collect()) == [0, 1, 2, 3]
+    rows = docs.collect()
+    assert rows and all(r == before[r["doc_id"]] for r in rows)
+
+
 def test_empty_documents(spark, documents, sf_dir):
     docs = documents([])
     for _, stage in corpus_pipeline.STAGES:
