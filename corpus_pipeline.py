@@ -10,15 +10,16 @@
 A stage takes the Parquet output of the one before. All but the last return the
 columns of documents. Nulls, empty texts and repeated rows are handled as the
 operators say; rows of null id are kept by stage 2, and of rows that share an
-id one stays. Extra columns pass through stages 1 to 4. Empty tables give empty
-results.
+id one stays. Extra columns of any name and type pass through stages 1 to 4, also
+those called like a result of an operator. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.llm import decontaminate, jaccard, mixing, queries, token_codec, toxicity
 from tallyline.llm.common import MAX_BROADCAST_BYTES, free_name, land, read_table
@@ -29,10 +30,41 @@ SHINGLE = 5
 THRESHOLD = (80, 100)
 
 
+def _aside(docs: DataFrame, *results: str) -> tuple[DataFrame, list]:
+    """``docs`` with columns called like a result under other names, and the columns that restore it."""
+    out, back = docs, []
+    for c in docs.columns:
+        name = c
+        if c.lower() in results:
+            name = free_name(out, c + "_")
+            out = out.withColumnRenamed(c, name)
+        back.append(F.col(f"`{name}`").alias(c))
+    return out, back
+
+
+def _ordered(kind: T.DataType) -> bool:
+    """Whether values of a type can be compared."""
+    if isinstance(kind, T.StructType):
+        return all(_ordered(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _ordered(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _greatest(docs: DataFrame) -> Column:
+    """The greatest row: by the columns that can be compared, then by the others as JSON."""
+    others = [f.name for f in docs.schema if not _ordered(f.dataType)]
+    row = F.struct(*docs.columns)
+    if not others:
+        return F.max(row)
+    first = [c for c in docs.columns if c not in others]
+    return F.max_by(row, F.struct(*first, F.to_json(F.struct(*others)).alias("others")))
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = queries.toxicity_model(spark, sf_dir, docs)
-    scored = toxicity.score(docs, model)
-    return scored.where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    safe, back = _aside(docs, "toxicity", "toxic_terms", "toxic_at")
+    return toxicity.score(safe, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*back)
 
 
 def _few(ids: DataFrame) -> DataFrame:
@@ -49,7 +81,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if not repeated.take(1):
         return kept
     # Of rows that share an id the greatest stays.
-    again = kept.join(_few(repeated), "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct(*docs.columns)).alias("row")).select("row.*")
+    again = kept.join(_few(repeated), "doc_id", "left_semi").groupBy("doc_id").agg(_greatest(docs).alias("row")).select("row.*")
     return kept.join(_few(repeated), "doc_id", "left_anti").select(*docs.columns).unionByName(again)
 
 
@@ -59,10 +91,11 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    topic = free_name(docs, "topic")
-    tagged = docs.withColumn(topic, queries.topic_of(F.col("text")))
+    safe, back = _aside(docs, "n_tokens", "probability", "kept")
+    topic = free_name(safe, "topic")
+    tagged = safe.withColumn(topic, queries.topic_of(F.col("text")))
     mixed = mixing.sample_to_targets(tagged, ("source", "lang", topic), mixing.token_count(F.col("text")), queries.MIX_ALPHA)
-    return mixed.where("kept").select(*docs.columns)
+    return mixed.where("kept").select(*back)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
