@@ -6,6 +6,12 @@ bad, near good or short. The second settles the undecided ones: each takes the
 label of its nearest decided neighbours, where the edge of an article counts as
 a bad neighbour and a heading looks ahead only.
 
+Within an article links do not decide alone: a paragraph may be a link as a whole.
+Only two or more blocks in a row that are nothing but links are a menu there. A
+page on which no block has stop words to speak of is in a language that none are
+listed for; on it, sentences take their place: long blocks with the marks that end
+sentences. Characters of scripts that write words in one or two count as several.
+
 What markup declares not to be text (scripts, styles, forms, menus, page
 headers and footers, asides, hidden parts, and containers that call themselves
 an advert, a notice or reader comments) is left out before the rules apply. A
@@ -32,6 +38,8 @@ LONG_CHARS = 200
 MAX_LINK_SHARE = 0.3
 STOP_LOW = 0.15
 STOP_HIGH = 0.25
+#: How many letters of an alphabet a CJK character stands for.
+DENSE = 3
 
 # Frequent function words of the languages that are judged by them.
 STOP_WORDS = frozenset(
@@ -86,6 +94,10 @@ NOT_DISPLAYED = re.compile(r"(?:^|;)\s*display\s*:\s*none\b")
 PART = re.compile(r"[^a-z0-9]+")
 WORD = re.compile(r"[^\W\d_]+")
 
+#: Marks that end sentences, followed by a space where the script has spaces.
+SENTENCE = re.compile(r"[.!?…؟۔।॥։።](?=[\s\"'»”’)\]]|\Z)|[。！？｡]")
+CJK = re.compile(r"[\u2E80-\u9FFF\uAC00-\uD7AF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF]")
+
 GOOD, BAD, NEAR, SHORT = "good", "bad", "near", "short"
 
 
@@ -188,15 +200,23 @@ def blocks_of(html: str) -> list[Block]:
     return out
 
 
-def judge(block: Block) -> str:
-    """The first pass: what a block is by itself."""
+def stop_share(text: str) -> float:
+    words = WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+
+
+def judge(block: Block, foreign: bool = False) -> str:
+    """The first pass: what a block is by itself. ``foreign``: its language has no stop words here."""
     n = len(block.text)
-    if block.linked > MAX_LINK_SHARE * n or (not block.subject and "\N{COPYRIGHT SIGN}" in block.text):
+    if not block.subject and (block.linked > MAX_LINK_SHARE * n or "\N{COPYRIGHT SIGN}" in block.text):
         return BAD
+    if foreign:
+        n += (DENSE - 1) * len(CJK.findall(block.text))
     if n < SHORT_CHARS:
-        return BAD if block.linked else SHORT
-    words = WORD.findall(block.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+        return BAD if block.linked and not block.subject else SHORT
+    if foreign and not block.subject:
+        return BAD if not SENTENCE.search(block.text) else GOOD if n > LONG_CHARS else NEAR
+    stops = stop_share(block.text)
     if stops >= STOP_HIGH:
         return GOOD if n > LONG_CHARS else NEAR
     if stops >= STOP_LOW:
@@ -209,7 +229,15 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     blocks = blocks_of(html)
-    first = [judge(b) for b in blocks]
+    # Links and lines too short for a sentence say nothing on the language.
+    foreign = not any(
+        stop_share(b.text) >= STOP_LOW for b in blocks if len(b.text) >= SHORT_CHARS and b.linked <= MAX_LINK_SHARE * len(b.text)
+    )
+    first = [judge(b, foreign) for b in blocks]
+    linked = [bool(b.subject) and b.linked == len(b.text) for b in blocks]
+    for i in range(1, len(blocks)):
+        if linked[i - 1] and linked[i] and blocks[i - 1].subject == blocks[i].subject:
+            first[i - 1] = first[i] = BAD
     # Where articles are marked, the rest of the page is not the subject.
     if any(b.subject and f != BAD for b, f in zip(blocks, first)):
         first = [f if b.subject else BAD for b, f in zip(blocks, first)]

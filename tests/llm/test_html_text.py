@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from tallyline.llm.html_text import extract, main_text
@@ -99,3 +101,36 @@ def test_hidden_containers_stay_out(attrs):
 def test_comments_inside_an_article_stay_out():
     html = f"<article><p>{LONG}</p><section class='comment-list comments'><article><p>{MORE}</p></article></section></article><p>&copy; {MORE}</p>"
     assert main_text(html) == LONG
+
+
+RUSSIAN = "Река поднималась уже два дня, когда они пришли к мосту, и никто не знал, выдержат ли старые доски ещё один час. " * 3
+ITALIAN = "Il fiume cresceva ormai da due giorni quando arrivarono al ponte, e nessuno sapeva se le vecchie assi avrebbero retto. " * 3
+CHINESE = "他们来到桥边的时候，河水已经上涨了两天，谁也不知道那些旧木板还能不能再撑一个小时。于是他们在岸边等着，看着黑暗中流过的河水。" * 4
+
+
+@pytest.mark.parametrize("text", [RUSSIAN.strip(), ITALIAN.strip(), CHINESE])
+def test_pages_in_languages_without_stop_words(text):
+    links = "".join(f"<div><a href=/{i}>{text[:60]}</a></div>" for i in range(9))
+    other = " ".join(text[::2].split()) + "."
+    body = f"<div><p>{text}</p><p>{other}</p></div>"
+    assert main_text(page(f"<div>{text[:20]}</div>{links}{body}<div>&copy; {text}</div>")) == f"{text}\n\n{other}"
+    assert main_text(page(f"{body}<p>{text[:20].strip()}</p>{body}")).count("\n\n") == 4
+
+
+@pytest.mark.parametrize(
+    "block",
+    [
+        "See <a href=x>the other bridge</a>.",
+        "<a href=x>The other bridge</a>",
+        f"<a href=x>{MORE}</a>",
+        f"{LONG} <a href=x>{MORE}</a>",
+    ],
+)
+def test_links_in_an_article_are_text(block):
+    text = re.sub("<[^>]*>", "", block)
+    assert main_text(page(f"<article><p>{LONG}</p><p>{block}</p><p>{MORE}</p></article>")) == "\n\n".join([LONG, text, MORE])
+
+
+def test_rows_of_links_in_an_article_are_a_menu():
+    menu = "".join(f"<li><a href=/{i}>Part {i}</a></li>" for i in range(4))
+    assert main_text(page(f"<article><p>{LONG}</p><ul>{menu}</ul><p>{MORE}</p></article>")) == f"{LONG}\n\n{MORE}"
