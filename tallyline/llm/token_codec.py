@@ -25,7 +25,7 @@ empty table gives files without blocks and no rows.
 
 from __future__ import annotations
 
-import re
+import json
 import struct
 import zlib
 from array import array
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,9 +51,9 @@ FLAG_BITS = 16
 SYMBOL_BITS = 22
 LEARN_ROUNDS = 8
 COUNT_ROUNDS = 32
-CACHE_WORDS = 250_000
-CACHE_RUNS = 150_000
+CACHE_RUNS = 300_000
 END_ID = 2
+TEXT_BYTES = 1 << 21
 
 _WORD_IDS: dict = {}
 _ONE = 1 << FLAG_BITS
@@ -299,30 +300,57 @@ def decode_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
     return [int(x) if k else None for x, k in zip(numbers, known)], lengths, ids
 
 
-class WordIds(dict):
-    """Ids of whole texts, remembered per word: this tokenizer's ids never reach across a blank.
+class WordIds:
+    """Ids of whole texts, remembered per run of characters: this tokenizer's ids never reach across a blank.
 
     Texts are cut at blanks and line feeds alone; any other white space stays
-    in its piece, for the tokenizer to judge. The tokenizer takes runs of
-    letters as units, lower-cased, and ends each with an id of its own kind. So
-    words of plain Latin letters, digits and marks are cut into such runs, and
-    many new runs are encoded in one call. Other words are encoded one by one.
+    in its word, for the tokenizer to judge. The tokenizer takes runs of letters
+    as units, lower-cased. So words of plain Latin letters, digits and marks are
+    cut into runs of letters and runs of others; words with any other character
+    stay whole. Each distinct run of a batch is looked up once. A run not
+    known goes to the tokenizer's model, spelt as the tokenizer spells bytes,
+    if it is of letters, else through the whole tokenizer.
+
+    What is known is held in two generations, so that frequent runs stay when
+    the older one is dropped.
     """
 
-    # Letters whose lower case and normal form are one letter.
-    LETTERS = "a-zàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœß"
-    RUNS = re.compile(rf"[{LETTERS}]+|[^{LETTERS}]+")
-    PLAIN = re.compile(rf"[{LETTERS}0-9!-&(-/:;=?@\[-`{{-~«»–—…“”„]*\Z")
+    # Letters whose lower case and normal form are one letter, and marks that stand for themselves.
+    LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœß"
+    MARKS = "0123456789!\"#$%&()*+,-./:;=?@[\\]^_`{|}~«»–—…“”„"
+    BLANK, MARK, LETTER, ODD = range(4)
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["merges"]]
+        # The same model without a cache of its own, which costs more than it saves: a run is asked for once.
+        self.model = BPE(spec["vocab"], merges, cache_capacity=0, end_of_word_suffix=spec.get("end_of_word_suffix") or "")
+        self.end = np.int32(end_id).tobytes()
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.ends_run = np.zeros(self.vocabulary, dtype=bool)
-        self.ends_run[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
-        self._reset()
+        spell = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = {ord(c): spell.pre_tokenize_str(c)[0][0] for c in self.LETTERS}
+        self.kinds = np.full(1 << 16, self.ODD, dtype=np.uint8)
+        self.lower = np.arange(1 << 16, dtype=np.uint16)
+        # Bytes in UTF-8 of a 16-bit unit; half of a pair is two of four.
+        self.sizes = (1 + (self.lower > 0x7F) + (self.lower > 0x7FF)).astype(np.uint8)
+        self.sizes[0xD800:0xE000] = 2
+        for kind, chars in ((self.BLANK, " \n"), (self.MARK, self.MARKS), (self.LETTER, self.LETTERS)):
+            for c in chars:
+                for x in {c, c.upper()}:
+                    if len(x) == 1:
+                        self.kinds[ord(x)], self.lower[ord(x)] = kind, ord(c)
+        for low, mark in (("az", ","), (self.LETTERS, "12.")):
+            whole = self._through_all(low.upper() + mark + low if low == "az" else low + mark + low)
+            if whole != self._letters(low) + self._through_all(mark) + self._letters(low):
+                raise ValueError("this tokenizer does not take runs of letters as units")
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def shared(cls, path: str, end_id: int) -> WordIds:
@@ -331,63 +359,74 @@ class WordIds(dict):
             _WORD_IDS[path, end_id] = cls(path, end_id)
         return _WORD_IDS[path, end_id]
 
-    def _reset(self) -> None:
-        self.clear()
-        self.runs: dict[str, tuple[int, ...]] = {}
-        # Piece 0 is the end of a document, piece 1 is empty.
-        self.flat, self.ends = array("i", [self.end_id]), array("q", [1, 1])
-        self[""] = 1
-
-    def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, words: set[str]) -> None:
-        """Remember the ids of new words."""
-        cut = {w: self.RUNS.findall(low) if self.PLAIN.match(low := w.lower()) else None for w in words}
-        new = list({r for runs in cut.values() if runs for r in runs if r not in self.runs})
-        letters = [r for r in new if r[0].isalpha()]
-        for at in range(0, len(letters), 1000):
-            part = letters[at : at + 1000]
-            ids = np.array(self._encode(" ".join(part)))
-            stops = np.flatnonzero(self.ends_run[ids]) + 1
-            if len(stops) != len(part):
-                raise ValueError("this tokenizer does not take runs of letters as units")
-            self.runs.update(zip(part, (tuple(x) for x in map(np.ndarray.tolist, np.split(ids, stops[:-1])))))
-        for r in new:
-            if r not in self.runs:
-                self.runs[r] = tuple(self._encode(r))
-        for w, runs in cut.items():
-            for r in runs or ():
-                self.flat.extend(self.runs[r])
-            if runs is None:
-                self.flat.extend(self._encode(w))
-            self.ends.append(len(self.flat))
-            self[w] = len(self.ends) - 1
+    def _through_all(self, text: str) -> bytes:
+        return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, run: str) -> bytes:
+        return array("i", [x.id for x in self.model.tokenize(run.translate(self.spelling))]).tobytes()
+
+    def _look_up(self, runs: list[str], letters: list[bool]) -> list[bytes]:
+        """The ids of distinct runs, as bytes of 32-bit integers."""
+        if len(self.known) > CACHE_RUNS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        found = list(map(known.get, runs))
+        for at, ids in enumerate(found):
+            if ids is None:
+                run = runs[at]
+                ids = older.get(run)
+                if ids is None:
+                    ids = self._letters(run) if letters[at] else self._through_all(run)
+                found[at] = known[run] = ids
+        return found
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end id after each text, and how many each text has."""
-        if len(self) > CACHE_WORDS or len(self.runs) > CACHE_RUNS:
-            self._reset()
-        words = [text.replace("\n", " ").split(" ") if text else [] for text in texts]
-        if new := {w for w in set().union(*words) if w not in self}:
-            self._learn(new)
-        pieces: list[int] = []
-        cuts = []
-        for own in words:
-            pieces.extend(map(self.__getitem__, own))
-            pieces.append(0)
-            cuts.append(len(pieces))
-        at = np.array(pieces, dtype=np.int64)
-        ends = np.array(self.ends, dtype=np.int64)
-        starts = np.concatenate([[0], ends[:-1]])
-        sizes = (ends - starts)[at]
-        cumulative = np.cumsum(sizes)
-        place = np.arange(cumulative[-1]) + np.repeat(starts[at] - (cumulative - sizes), sizes)
-        flat = np.frombuffer(self.flat, dtype=np.int32)
-        ids = flat[place].astype(np.int64)
-        del flat  # the array cannot grow while it is looked at
-        upto = cumulative[np.array(cuts) - 1]
-        return ids, np.diff(upto, prepend=0)
+        # A line feed stands behind each text; there the end id goes.
+        coded = [(text or "").encode("utf-16-le") for text in texts] + [b""]
+        stops = np.cumsum([(len(x) >> 1) + 1 for x in coded[:-1]]) - 1
+        chars = np.frombuffer("\n".encode("utf-16-le").join(coded), np.uint16)
+        kinds, low = self.kinds[chars], self.lower[chars]
+        blank = kinds == self.BLANK
+        if len(odd := np.flatnonzero(kinds == self.ODD)):
+            word = np.cumsum(blank, dtype=np.int32)
+            has_odd = np.zeros(int(word[-1]) + 1, dtype=bool)
+            has_odd[word[odd]] = True
+            whole = np.flatnonzero(has_odd[word] & ~blank)
+            kinds[whole] = self.ODD
+            low[whole] = chars[whole]
+        # Runs without blanks are one after the other: an Arrow column over the bytes of the text itself.
+        starts_run = kinds[1:] != kinds[:-1]
+        starts_run = np.concatenate([[True], starts_run]) & ~blank
+        first = np.flatnonzero(starts_run)
+        upto = np.concatenate([[0], np.cumsum(self.sizes[low] * ~blank, dtype=np.int64)])
+        offsets = np.append(upto[first], upto[-1])
+        data = low[~blank].tobytes().decode("utf-16-le").encode()
+        column = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        runs = column.dictionary.to_numpy(zero_copy_only=False).tolist()
+        which = column.indices.to_numpy()
+        letters = np.empty(len(runs), dtype=bool)
+        letters[which] = kinds[first] == self.LETTER
+        ids_of = self._look_up(runs, letters.tolist())
+        before = np.searchsorted(first, stops)
+        pieces = np.insert(which.astype(np.int64) + 1, before, 0)
+        stops = before + np.arange(len(before))
+        # Piece 0 is the end of a document, the others are the runs.
+        flat = np.frombuffer(b"".join([self.end, *ids_of]), np.int32)
+        lengths = np.array([4, *map(len, ids_of)], dtype=np.int64) >> 2
+        n = lengths[pieces]
+        upto = np.cumsum(n)
+        ids = flat[np.arange(upto[-1]) + np.repeat((np.cumsum(lengths) - lengths)[pieces] - (upto - n), n)]
+        return ids.astype(np.int64), np.diff(upto[stops], prepend=0)
+
+
+def _stretches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, cut where texts reach ``TEXT_BYTES``; a longer text is a stretch of its own."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)) // TEXT_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> None:
@@ -418,8 +457,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "do
             return made
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                piece = batch.slice(at, 64)
+            for piece in _stretches(batch):
                 ids, lengths = words.encode(piece.column("text").to_pylist())
                 held.append((piece.column("id").to_pylist(), lengths, ids))
                 size += len(ids)
