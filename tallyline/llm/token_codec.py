@@ -42,14 +42,14 @@ from tallyline.session import write_table
 
 MAGIC = b"TKX1"
 HEAD = struct.Struct("<4sIQIIIIII")
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 21
 LANE_TOKENS = 256
-MAX_LANES = 4096
+MAX_LANES = 8192
 SLOT_BITS = 18
 CONFIDENCE = 15
 FLAG_BITS = 16
 SYMBOL_BITS = 22
-LEARN_ROUNDS = 8
+LEARN_ROUNDS = 16
 COUNT_ROUNDS = 32
 CACHE_RUNS = 300_000
 END_ID = 2
@@ -71,6 +71,37 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 LOGIT, INVERSE = _tables()
 
 
+def _bounds(size: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Where [0, one), [one, two) and [two, 1) begin and end in ranges of this size."""
+    r = size >> FLAG_BITS
+    bounds = np.zeros((4, len(size)), dtype=np.int64)
+    np.multiply(r, one, out=bounds[1])
+    np.multiply(r, two, out=bounds[2])
+    np.left_shift(r, FLAG_BITS, out=bounds[3])
+    return bounds
+
+
+class _Shares:
+    """Shares of all symbols in a range, and which symbol a place in it belongs to."""
+
+    BUCKET_BITS = 6
+
+    def __init__(self, share: np.ndarray):
+        self.cum = np.concatenate([[0], np.cumsum(share)])
+        self.first: np.ndarray | None = None
+
+    def find(self, places: np.ndarray) -> np.ndarray:
+        if self.first is None:
+            edges = (self.cum + (1 << self.BUCKET_BITS) - 1) >> self.BUCKET_BITS
+            # The symbol at the first place of each bucket, and one bucket more.
+            self.first = np.append(np.repeat(np.arange(len(edges) - 1), np.diff(edges)), len(edges) - 2)
+        bucket = places >> self.BUCKET_BITS
+        symbols = self.first.take(bucket)
+        open_ = np.flatnonzero(symbols != self.first.take(bucket + 1))
+        symbols[open_] = np.searchsorted(self.cum, places[open_], "right") - 1
+        return symbols
+
+
 class _Encoder:
     """Range coder over all lanes: ``low`` may carry into digits already written; that is settled at the end."""
 
@@ -90,18 +121,19 @@ class _Encoder:
 
     def choose(self, one: np.ndarray, two: np.ndarray, choice: np.ndarray) -> np.ndarray:
         """Code which of [0, one), [one, two) and [two, 1) was taken."""
-        r = self.range >> FLAG_BITS
-        one, two = r * one, r * two
-        self.low += np.where(choice == 0, 0, np.where(choice == 1, one, two))
-        self.range = np.where(choice == 0, one, np.where(choice == 1, two - one, (r << FLAG_BITS) - two))
+        bounds = _bounds(self.range, one, two)
+        at = choice * len(one) + np.arange(len(one))
+        start = bounds.take(at)
+        self.low += start
+        self.range = bounds.take(at + len(one)) - start
         self._shift(np.flatnonzero(self.range <= _LOW))
         return choice
 
-    def symbol(self, at: np.ndarray, cum: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        r = self.range[at] >> SYMBOL_BITS
-        start = cum[symbols]
+    def symbol(self, at: np.ndarray, shares: _Shares, symbols: np.ndarray) -> np.ndarray:
+        r = self.range.take(at) >> SYMBOL_BITS
+        start = shares.cum.take(symbols)
         self.low[at] += r * start
-        self.range[at] = r * (cum[symbols + 1] - start)
+        self.range[at] = r * (shares.cum.take(symbols + 1) - start)
         self._shift(at[self.range[at] <= _LOW])
         return symbols
 
@@ -110,7 +142,7 @@ class _Encoder:
         every = np.arange(len(self.low))
         for _ in range(3):
             self._shift(every)
-        lane = np.concatenate(self.lanes)
+        lane = np.concatenate(self.lanes).astype(np.uint16)
         order = np.argsort(lane, kind="stable")
         lane, digits = lane[order], np.concatenate(self.digits)[order]
         while len(over := np.flatnonzero(digits >> 16)):
@@ -137,22 +169,24 @@ class _Decoder:
             self.range[at] <<= 16
 
     def choose(self, one: np.ndarray, two: np.ndarray, _: object) -> np.ndarray:
-        r = self.range >> FLAG_BITS
-        one, two = r * one, r * two
-        first, late = self.code < one, self.code >= two
-        self.code -= np.where(first, 0, np.where(late, two, one))
-        self.range = np.where(first, one, np.where(late, (r << FLAG_BITS) - two, two - one))
+        bounds = _bounds(self.range, one, two)
+        choice = (self.code >= bounds[1]).astype(np.int64) + (self.code >= bounds[2])
+        at = choice * len(one) + np.arange(len(one))
+        start = bounds.take(at)
+        self.code -= start
+        self.range = bounds.take(at + len(one)) - start
         self._shift(np.flatnonzero(self.range <= _LOW))
-        return np.where(first, 0, 1 + late)
+        return choice
 
-    def symbol(self, at: np.ndarray, cum: np.ndarray, _: object) -> np.ndarray:
-        r = self.range[at] >> SYMBOL_BITS
-        slot = np.minimum(self.code[at] // r, cum[-1] - 1)
-        symbols = np.searchsorted(cum, slot, "right") - 1
-        start = cum[symbols]
+    def symbol(self, at: np.ndarray, shares: _Shares, _: object) -> np.ndarray:
+        r = self.range.take(at) >> SYMBOL_BITS
+        # Numbers below 2 ** 48 over numbers below 2 ** 27 never round up to a whole one.
+        place = np.minimum((self.code.take(at) / r).astype(np.int64), shares.cum[-1] - 1)
+        symbols = shares.find(place)
+        start = shares.cum.take(symbols)
         self.code[at] -= r * start
-        self.range[at] = r * (cum[symbols + 1] - start)
-        self._shift(at[self.range[at] <= _LOW])
+        self.range[at] = r * (shares.cum.take(symbols + 1) - start)
+        self._shift(at[self.range.take(at) <= _LOW])
         return symbols
 
 
@@ -161,15 +195,18 @@ class _Mixer:
 
     A joint context is (16, 32, 32) values in one number. The mix of the three
     predictions is tabulated whenever counters and weights have been updated.
+    A candidate is not asked for, and its probability is 0, where ``never`` says so.
     """
 
     SHAPE = (16, 32, 32)
 
-    def __init__(self):
+    def __init__(self, never: tuple):
         self.hits = [np.full(n, 1, dtype=np.int64) for n in self.SHAPE]
         self.seen = [np.full(n, 2, dtype=np.int64) for n in self.SHAPE]
         self.weights = [26_000] * 3
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.never = np.zeros(self.SHAPE, dtype=bool)
+        for part in never:
+            self.never[part] = True
         self._tabulate()
 
     def _parts(self) -> list[np.ndarray]:
@@ -179,17 +216,13 @@ class _Mixer:
 
     def _tabulate(self) -> None:
         mixed = sum(x * w for x, w in zip(self._parts(), self.weights)) >> 16
-        self.table = INVERSE[np.clip(mixed, -2048, 2047) + 2048].ravel()
-
-    def see(self, contexts: np.ndarray, right: np.ndarray) -> None:
-        """The joint contexts in which a candidate was asked for, and those of them in which it was right."""
-        self.held.append((contexts, right))
+        table = INVERSE[np.clip(mixed, -2048, 2047) + 2048]
+        table[self.never] = 0
+        self.table = table.ravel()
 
-    def learn(self) -> None:
-        size = len(self.table)
-        n = np.bincount(np.concatenate([x for x, _ in self.held]), minlength=size).reshape(self.SHAPE)
-        hits = np.bincount(np.concatenate([x for _, x in self.held]), minlength=size).reshape(self.SHAPE)
-        self.held.clear()
+    def learn(self, n: np.ndarray, hits: np.ndarray) -> None:
+        """How often a candidate was asked for in each joint context, and how often it was right."""
+        n, hits = (np.where(self.never, 0, x.reshape(self.SHAPE)) for x in (n, hits))
         total = int(n.sum())
         if not total:
             return
@@ -209,56 +242,61 @@ def _code(coder, rounds: int, lanes: int, vocabulary: int, ids: np.ndarray | Non
     """Code (with ids, rounds by lanes) or decode (without) a block; returns the ids."""
     slots = 1 << SLOT_BITS
     # A slot is the last id seen, times 16, plus how sure it is; 0 is empty.
-    slots2, slots1 = np.zeros(slots, dtype=np.int64), np.zeros(vocabulary, dtype=np.int64)
+    slots2, slots1 = np.zeros(slots, dtype=np.int32), np.zeros(vocabulary, dtype=np.int32)
     counts = np.zeros(vocabulary, dtype=np.int64)
     total = 1 << SYMBOL_BITS
-    cum = np.arange(vocabulary + 1, dtype=np.int64) * (total // vocabulary)
-    size = np.zeros(vocabulary, dtype=np.int64)
-    first, second = _Mixer(), _Mixer()
+    shares = _Shares(np.full(vocabulary, total // vocabulary))
+    size = np.zeros(vocabulary, dtype=np.uint8)
+    # An empty slot names nobody; where both name the same, the second is not asked for.
+    first, second = _Mixer((np.s_[0],)), _Mixer((np.s_[0], np.s_[:, 16:]))
+    contexts = len(first.table)
     out = np.empty((rounds, lanes), dtype=np.int64)
+    seen2, seen1 = np.empty((LEARN_ROUNDS, lanes), dtype=np.int64), np.empty((LEARN_ROUNDS, lanes), dtype=np.int64)
     before1 = before2 = np.zeros(lanes, dtype=np.int64)
-    counted = 0
+    counted = held = 0
     for t in range(rounds):
-        s = None if ids is None else ids[t]
         slot = ((before1 * 0x9E3779B1 + before2 * 0x85EBCA6B) >> 7) & (slots - 1)
-        v2, v1 = slots2[slot], slots1[before1]
+        v2, v1 = slots2.take(slot), slots1.take(before1)
         c2, k2, c1, k1 = v2 >> 4, v2 & 15, v1 >> 4, v1 & 15
-        ask2 = k2 > 0
-        same = ask2 & (c1 == c2)
-        ask1 = (k1 > 0) & ~same
-        joint2 = (k2 << 10) | ((k1 + (same << 4)) << 5) | size[c2]
-        joint1 = (k1 << 10) | (k2 << 5) | size[c1]
-        one = first.table[joint2] * ask2
-        two = one + (((_ONE - one) * second.table[joint1] * ask1) >> FLAG_BITS)
-        if s is None:
+        both = ((c1 == c2) & (k2 > 0)).astype(np.int32) << 9
+        joint2 = (k2 << 10) + (k1 << 5) + both + size.take(c2)
+        joint1 = (k1 << 10) + (k2 << 5) + both + size.take(c1)
+        one = first.table.take(joint2)
+        two = one + (((_ONE - one) * second.table.take(joint1)) >> FLAG_BITS)
+        if ids is None:
             choice = coder.choose(one, two, None)
+            symbols = np.where(choice == 0, c2, c1).astype(np.int64)
         else:
-            choice = coder.choose(one, two, np.where(ask2 & (s == c2), 0, np.where(ask1 & (s == c1), 1, 2)))
-        zero, last = choice == 0, choice == 2
-        first.see(joint2[ask2], joint2[zero])
-        second.see(joint1[ask1 & ~zero], joint1[choice == 1])
-        symbols = np.where(zero, c2, c1)
-        rest = np.flatnonzero(last)
+            symbols = ids[t]
+            # A candidate without a share of the range cannot be chosen.
+            right2, right1 = (symbols == c2) & (one > 0), (symbols == c1) & (two > one)
+            choice = coder.choose(one, two, 2 - (right2.astype(np.int64) << 1) - right1)
+        rest = np.flatnonzero(choice == 2)
         if len(rest):
-            symbols[rest] = coder.symbol(rest, cum, None if s is None else s[rest])
+            symbols[rest] = coder.symbol(rest, shares, symbols.take(rest))
         out[t] = symbols
+        seen2[held] = joint2 + (choice == 0) * contexts
+        seen1[held] = joint1 + choice * contexts
+        held += 1
 
-        fresh = (symbols << 4) | 1
+        now = symbols.astype(np.int32)
+        fresh = (now << 4) + 1
         for table, at, v, c, k in ((slots2, slot, v2, c2, k2), (slots1, before1, v1, c1, k1)):
-            again = (c == symbols) & (k > 0)
             # Right: surer. Wrong: half as sure, or replaced. Of lanes that share a slot the last one counts, on both sides.
-            table[at] = np.where(again, v + (k < CONFIDENCE), np.where(k > 2, v - k + (k >> 1), fresh))
+            table[at] = np.where(c == now, v + (k < CONFIDENCE), np.where(k > 2, v - k + (k >> 1), fresh))
         before2, before1 = before1, symbols
         step = t + 1
-        if step % LEARN_ROUNDS == 0 or step in (1, 2, 4):
-            first.learn()
-            second.learn()
+        if held == LEARN_ROUNDS or step in (1, 2, 4):
+            missed, right = np.bincount(seen2[:held].ravel(), minlength=2 * contexts).reshape(2, -1)
+            first.learn(missed + right, right)
+            _, right, missed = np.bincount(seen1[:held].ravel(), minlength=3 * contexts).reshape(3, -1)
+            second.learn(missed + right, right)
+            held = 0
         if step % COUNT_ROUNDS == 0 or step in (1, 2, 4, 8, 16):
             counts += np.bincount(out[counted:step].ravel(), minlength=vocabulary)
             counted = step
-            share = 1 + counts * (total - vocabulary) // int(counts.sum())
-            cum = np.concatenate([[0], np.cumsum(share)])
-            size = np.minimum(np.frexp(counts.astype(np.float64))[1], 31).astype(np.int64)
+            shares = _Shares(1 + counts * (total - vocabulary) // int(counts.sum()))
+            size = np.minimum(np.frexp(counts.astype(np.float64))[1], 31).astype(np.uint8)
     return out
 
 
@@ -363,7 +401,8 @@ class WordIds:
         return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _letters(self, run: str) -> bytes:
-        return array("i", [x.id for x in self.model.tokenize(run.translate(self.spelling))]).tobytes()
+        spelt = run if run.isascii() else run.translate(self.spelling)
+        return array("i", [x.id for x in self.model.tokenize(spelt)]).tobytes()
 
     def _look_up(self, runs: list[str], letters: list[bool]) -> list[bytes]:
         """The ids of distinct runs, as bytes of 32-bit integers."""
@@ -386,7 +425,7 @@ class WordIds:
         coded = [(text or "").encode("utf-16-le") for text in texts] + [b""]
         stops = np.cumsum([(len(x) >> 1) + 1 for x in coded[:-1]]) - 1
         chars = np.frombuffer("\n".encode("utf-16-le").join(coded), np.uint16)
-        kinds, low = self.kinds[chars], self.lower[chars]
+        kinds, low = self.kinds.take(chars), self.lower.take(chars)
         blank = kinds == self.BLANK
         if len(odd := np.flatnonzero(kinds == self.ODD)):
             word = np.cumsum(blank, dtype=np.int32)
@@ -399,8 +438,10 @@ class WordIds:
         starts_run = kinds[1:] != kinds[:-1]
         starts_run = np.concatenate([[True], starts_run]) & ~blank
         first = np.flatnonzero(starts_run)
-        upto = np.concatenate([[0], np.cumsum(self.sizes[low] * ~blank, dtype=np.int64)])
-        offsets = np.append(upto[first], upto[-1])
+        sizes = self.sizes.take(low)
+        sizes[blank] = 0
+        upto = np.cumsum(sizes, dtype=np.int32 if len(low) < 1 << 29 else np.int64)
+        offsets = np.append(upto[first] - sizes[first], upto[-1]).astype(np.int64)
         data = low[~blank].tobytes().decode("utf-16-le").encode()
         column = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
         runs = column.dictionary.to_numpy(zero_copy_only=False).tolist()
