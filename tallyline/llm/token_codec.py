@@ -51,7 +51,7 @@ FLAG_BITS = 16
 SYMBOL_BITS = 22
 LEARN_ROUNDS = 16
 COUNT_ROUNDS = 32
-CACHE_RUNS = 300_000
+CACHE_RUNS = 200_000
 END_ID = 2
 TEXT_BYTES = 1 << 21
 
@@ -250,7 +250,7 @@ def _code(coder, rounds: int, lanes: int, vocabulary: int, ids: np.ndarray | Non
     # An empty slot names nobody; where both name the same, the second is not asked for.
     first, second = _Mixer((np.s_[0],)), _Mixer((np.s_[0], np.s_[:, 16:]))
     contexts = len(first.table)
-    out = np.empty((rounds, lanes), dtype=np.int64)
+    out = np.empty((rounds, lanes), dtype=np.int32) if ids is None else ids
     seen2, seen1 = np.empty((LEARN_ROUNDS, lanes), dtype=np.int64), np.empty((LEARN_ROUNDS, lanes), dtype=np.int64)
     before1 = before2 = np.zeros(lanes, dtype=np.int64)
     counted = held = 0
@@ -267,14 +267,15 @@ def _code(coder, rounds: int, lanes: int, vocabulary: int, ids: np.ndarray | Non
             choice = coder.choose(one, two, None)
             symbols = np.where(choice == 0, c2, c1).astype(np.int64)
         else:
-            symbols = ids[t]
+            symbols = ids[t].astype(np.int64)
             # A candidate without a share of the range cannot be chosen.
             right2, right1 = (symbols == c2) & (one > 0), (symbols == c1) & (two > one)
             choice = coder.choose(one, two, 2 - (right2.astype(np.int64) << 1) - right1)
         rest = np.flatnonzero(choice == 2)
         if len(rest):
             symbols[rest] = coder.symbol(rest, shares, symbols.take(rest))
-        out[t] = symbols
+        if ids is None:
+            out[t] = symbols
         seen2[held] = joint2 + (choice == 0) * contexts
         seen1[held] = joint1 + choice * contexts
         held += 1
@@ -304,7 +305,7 @@ def encode_block(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray
     n = len(ids)
     lanes = max(1, min(MAX_LANES, n // LANE_TOKENS))
     rounds = -(-n // lanes)
-    padded = np.zeros(lanes * rounds, dtype=np.int64)
+    padded = np.zeros(lanes * rounds, dtype=np.int32)
     padded[:n] = ids
     coder = _Encoder(lanes)
     if n:
@@ -329,7 +330,7 @@ def decode_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
     numbers = np.cumsum(np.frombuffer(index, "<i8", docs, docs))
     lengths = np.frombuffer(index, "<i8", docs, 9 * docs)
     per_lane = np.frombuffer(index, "<u4", lanes, 17 * docs)
-    ids = np.empty(0, dtype=np.int64)
+    ids = np.empty(0, dtype=np.int32)
     if n:
         coder = _Decoder(per_lane, np.frombuffer(body, "<u2", offset=index_bytes))
         ids = _code(coder, rounds, lanes, vocabulary, None).T.reshape(-1)[:n]
@@ -458,7 +459,7 @@ class WordIds:
         n = lengths[pieces]
         upto = np.cumsum(n)
         ids = flat[np.arange(upto[-1]) + np.repeat((np.cumsum(lengths) - lengths)[pieces] - (upto - n), n)]
-        return ids.astype(np.int64), np.diff(upto[stops], prepend=0)
+        return ids, np.diff(upto[stops], prepend=0)
 
 
 def _stretches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -528,7 +529,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                 arrays = [pa.array([part] * len(doc_ids), pa.int64()), pa.array(doc_ids, pa.int64()), pa.array(starts + start), pa.array(lengths), pa.array(crcs, pa.int64())]
                 names = ["part", "doc_id", "start_in_part", "n_tokens", "ids_crc32"]
                 if with_ids:
-                    arrays.append(pa.array([ids[a:b] for a, b in zip(starts.tolist(), ends.tolist())], pa.list_(pa.int64())))
+                    arrays.append(pa.array([ids[a:b].astype(np.int64) for a, b in zip(starts.tolist(), ends.tolist())], pa.list_(pa.int64())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 

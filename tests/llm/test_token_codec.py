@@ -68,6 +68,33 @@ def test_texts_by_word_equal_whole_texts():
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_hostile_texts_equal_whole_texts(monkeypatch):
+    monkeypatch.setattr(codec, "CACHE_RUNS", 500)
+    tokenizer, words = Tokenizer.from_file(PATH), codec.WordIds(PATH, 2)
+    rng = np.random.default_rng(3)
+    odd = [0x300, 0x301, 0x327, 0x345, 0x3A3, 0x3C2, 0x130, 0x1E9E, 0xFB01, 0x4E2D, 0xAC00, 0x1100, 0x1161, 0x1F600, 0x1F1E9, 0x200D, 0xFEFF, 0xFFFD, 0xFFFF, 0x10FFFF, 0xD7FF, 0xE000]
+    chars = [chr(c) for c in [*range(0, 0x250), *range(0x2000, 0x2070), *odd]]
+    plain = list("abcdefgzABCZéÉßœŒÿŸ" * 40 + "0123456789'.,<>|\n  " * 30)
+    added = ["<|endoftext|>", "<|startoftext|>", "<|end", "'ll", "'S"]
+    pool = chars + plain + added * 5
+    for _ in range(20):
+        texts = ["".join(pool[i] for i in rng.integers(0, len(pool), rng.integers(0, 60))) for _ in range(150)]
+        ids, lengths = words.encode(texts)
+        want = [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert lengths.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    assert words.older
+
+
+def test_stretches_hold_all_rows(monkeypatch):
+    monkeypatch.setattr(codec, "TEXT_BYTES", 10)
+    texts = ["", None, "x" * 35, "ab", "cdefghijk", None, "é" * 9, ""]
+    batch = codec.pa.RecordBatch.from_pydict({"text": codec.pa.array(texts, codec.pa.string())})
+    got = [b.column("text").to_pylist() for b in codec._stretches(batch)]
+    assert [t for part in got for t in part] == texts and len(got) > 2
+    assert list(codec._stretches(batch.slice(0, 0))) == []
+
+
 def test_files_hold_documents_in_order(spark, documents, tmp_path):
     texts = [(5, "five five"), (None, "no id"), (3, None), (-2, ""), (3, "again a three"), (5, "five five"), (9, "long " * 5000)]
     path = str(tmp_path / "tokens")
