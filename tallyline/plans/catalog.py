@@ -14,7 +14,7 @@ from tallyline.operators.generate import records_for, spread
 from tallyline.operators.positions import number_lines, with_line_numbers
 from tallyline.plans import feeds
 from tallyline.plans import run as programs
-from tallyline.session import MAX_SORT_PARTITIONS_KEY, new_run_dir
+from tallyline.session import MAX_SORT_PARTITIONS_KEY, folders_unsorted, new_run_dir
 from tallyline.sinks.ordered import write_lines
 from tallyline.sinks.text import copy_topic_outputs, output_paths, route_by_topic, write_report, write_sorted_outputs
 from tallyline.sources.lines import read_lines, scan_records
@@ -92,7 +92,8 @@ def merge_runs(spark, sf):
     """One run file folder per topic, in no common order, merged by id."""
     run = new_run_dir(spark, "runs")
     events = feeds.messages(spark, sf)
-    events.select("topic", "value").write.partitionBy("topic").text(run, lineSep="\n")
+    with folders_unsorted(spark):
+        events.select("topic", "value").write.partitionBy("topic").text(run, lineSep="\n")
     folders = [f"{run}/topic={topic}" for topic in feeds.EVENT_TOPICS.values()]
     target = new_run_dir(spark, "merged")
     sorting.merge_runs(spark, folders, ["id"]).write.parquet(target)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 import tempfile
+import threading
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -94,9 +96,45 @@ def scratch_removed(spark: SparkSession) -> Iterator[None]:
             hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+# A write into folders by value sorts a task's rows by those values first, unless
+# the task may keep a file open for each. Rows of more values than this are sorted.
+OPEN_FILES = 8
+OPEN_FILES_KEY = "spark.sql.maxConcurrentOutputFileWriters"
+# Writes under way by session, as threads share one, and what a session had set before them.
+_WRITES: Counter[str] = Counter()
+_SET_BEFORE: dict[str, str | None] = {}
+_WRITES_LOCK = threading.Lock()
+
+
+@contextmanager
+def folders_unsorted(spark: SparkSession) -> Iterator[None]:
+    """Writes into few folders inside stream a task's rows into open files. A session's own bound stays."""
+    session = spark._jsparkSession.sessionUUID()
+    with _WRITES_LOCK:
+        if not _WRITES[session]:
+            _SET_BEFORE[session] = spark.conf.get(OPEN_FILES_KEY, None)
+            if _SET_BEFORE[session] is None:
+                spark.conf.set(OPEN_FILES_KEY, str(OPEN_FILES))
+        _WRITES[session] += 1
+    try:
+        yield
+    finally:
+        with _WRITES_LOCK:
+            _WRITES[session] -= 1
+            if not _WRITES[session]:
+                del _WRITES[session]
+                if _SET_BEFORE.pop(session) is None:
+                    spark.conf.unset(OPEN_FILES_KEY)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "error", partition_by: Sequence[str] = ()) -> None:
     """Write scratch Parquet. Records are read back several times and zstd makes them a quarter smaller than snappy."""
-    df.write.mode(mode).option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    writer = df.write.mode(mode).option("compression", "zstd")
+    if not partition_by:
+        writer.parquet(path)
+        return
+    with folders_unsorted(df.sparkSession):
+        writer.partitionBy(*partition_by).parquet(path)
 
 
 # Plan leaves that give a task the same rows in the same order every time.

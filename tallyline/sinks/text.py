@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.sorting import SORT_KEYS, SortKey, for_each_key, global_sort
-from tallyline.session import repeatable, sort_partitions
+from tallyline.session import folders_unsorted, repeatable, sort_partitions
 from tallyline.sinks.ordered import write_lines
 
 
@@ -72,15 +72,16 @@ def route_by_topic(messages: DataFrame, path: str, topics: Sequence[str]) -> dic
     """
     known = F.coalesce(F.col("topic").isin(*topics), F.lit(False))
     seen = Observation()
-    (
-        messages.observe(
-            seen, F.count_if(known).alias("routed"), F.count_if(~known).alias("rejected")
+    with folders_unsorted(messages.sparkSession):
+        (
+            messages.observe(
+                seen, F.count_if(known).alias("routed"), F.count_if(~known).alias("rejected")
+            )
+            .where(known)
+            .select("topic", F.coalesce("value", F.lit("")).alias("value"))
+            .write.partitionBy("topic")
+            .text(path, lineSep="\n")
         )
-        .where(known)
-        .select("topic", F.coalesce("value", F.lit("")).alias("value"))
-        .write.partitionBy("topic")
-        .text(path, lineSep="\n")
-    )
     return seen.get
 
 

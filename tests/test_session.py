@@ -7,6 +7,7 @@ import subprocess
 import sys
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from tallyline import session
 from tallyline.operators import sorting
@@ -83,3 +84,29 @@ def test_programs_leave_no_scratch(spark, tmp_path, monkeypatch):
     first = run.process(spark, topics, available_now=True)
     assert run.validate(spark, topics, f"{tmp_path}/out", idle_timeout=2)["id"] == 4000
     assert len(made) == 5 and [p for p in made if path_exists(spark, p)] == [first["run_dir"]]
+
+
+def test_folders_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """Few folders by value: files are kept open, so no task holds its rows to sort them. The session stays as it was."""
+    seen = []
+    parquet = DataFrameWriter.parquet
+
+    def writing(self, path, *more, **options):
+        seen.append(int(spark.conf.get(session.OPEN_FILES_KEY)))
+        parquet(self, path, *more, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", writing)
+    for values in (3, 3 * session.OPEN_FILES):
+        path = str(tmp_path / f"by-{values}")
+        session.write_table(spark.range(1000).selectExpr("id", f"cast(id % {values} as string) topic"), path, partition_by=["topic"])
+        assert sorted(tuple(r) for r in spark.read.parquet(path).selectExpr("id", "cast(topic as int)").collect()) == [(i, i % values) for i in range(1000)]
+    assert len(seen) == 2 and min(seen) > 0
+    assert spark.conf.get(session.OPEN_FILES_KEY, None) is None
+
+
+def test_a_session_keeps_its_own_bound_of_open_files(spark):
+    own = spark.newSession()
+    own.conf.set(session.OPEN_FILES_KEY, "2")
+    with session.folders_unsorted(own), session.folders_unsorted(own):
+        assert own.conf.get(session.OPEN_FILES_KEY) == "2"
+    assert own.conf.get(session.OPEN_FILES_KEY) == "2"
