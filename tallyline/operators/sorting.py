@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.records import FIELDS, parse_records
 from tallyline.operators.positions import with_line_numbers
-from tallyline.session import max_sort_partitions, new_run_dir, repeatable, union_all, wanted_partitions, write_table
+from tallyline.session import coarse_partitions, max_sort_partitions, new_run_dir, repeatable, union_all, wanted_partitions, write_table
 from tallyline.sources.lines import file_sizes, path_exists, scan_records
 
 SortKey = Sequence["str | Column"]
@@ -83,13 +83,14 @@ def coarse_ranges(df: DataFrame, by: SortKey, path: str) -> list[tuple[DataFrame
     """The records in stretches of ranges that follow one another, each with the partitions its sort needs.
 
     The ranges are written as they come out of the shuffle, unsorted: a task
-    streams its range into a file and holds none of it. Ranges that are there
-    from an earlier attempt are taken as they are.
+    streams its range into a file and holds none of it. There are as many as
+    one shuffle makes, or more where a task would have to read too much. Ranges
+    that are there from an earlier attempt are taken as they are.
     """
     spark = df.sparkSession
     at_most, total = max_sort_partitions(spark), wanted_partitions(df)
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_table(_ranged(df, by, at_most)[0].select("raw"), path, "overwrite")
+        write_table(_ranged(df, by, coarse_partitions(df))[0].select("raw"), path, "overwrite")
     files = sorted((int(name.split("-")[1]), name, size) for name, size in file_sizes(spark, path) if name.startswith("part-"))
     reader = spark.read.schema("raw string")
     return [
@@ -111,21 +112,29 @@ def sorted_table(df: DataFrame, by: SortKey, path: str, num_partitions: int | No
     """Write the sorted records as Parquet and read them back.
 
     Sampled range boundaries are not repeatable; the written files are. A sort
-    in two steps writes a folder for each stretch of ranges. Called again with
-    the same path after a failure, it goes on with the stretches that are not
-    there yet.
+    in two steps writes a folder for each stretch of ranges; if there are more
+    ranges than one shuffle makes, stretches are small, and as many are sorted at
+    the same time as there are cores for. Called again with the same path after
+    a failure, it goes on with the stretches that are not there yet.
     """
     spark, reader = df.sparkSession, df.sparkSession.read.schema("raw string")
     df = repeatable(df.select("raw"))
     if num_partitions or wanted_partitions(df) <= max_sort_partitions(spark):
         write_table(global_sort(df, by, num_partitions), path)
         return reader.parquet(path)
-    done = []
-    for k, (part, n) in enumerate(coarse_ranges(df, by, f"{path}/coarse")):
-        done.append(f"{path}/range-{k:05d}")
-        if not path_exists(spark, f"{done[-1]}/_SUCCESS"):
-            write_table(global_sort(part, by, n), done[-1], "overwrite")
-    return reader.parquet(*done)
+    stretches = {f"{path}/range-{k:05d}": x for k, x in enumerate(coarse_ranges(df, by, f"{path}/coarse"))}
+    waiting = [name for name in stretches if not path_exists(spark, f"{name}/_SUCCESS")]
+    at_once = 1
+    if coarse_partitions(df) > max_sort_partitions(spark):
+        at_once = max(1, spark.sparkContext.defaultParallelism // max((n for _, n in stretches.values()), default=1))
+
+    def sort(name: str, _) -> None:
+        part, n = stretches[name]
+        write_table(global_sort(part, by, n), name, "overwrite")
+
+    for k in range(0, len(waiting), at_once):
+        for_each_key(spark, dict.fromkeys(waiting[k : k + at_once], ()), sort)
+    return reader.parquet(*stretches)
 
 
 def sort_fanout(df: DataFrame, root: str, keys: Mapping[str, SortKey] = SORT_KEYS) -> DataFrame:

@@ -25,6 +25,9 @@ TARGET_PARTITION_BYTES = 16 * MIB
 # steps. A cluster that can take more blocks sets its own bound in the session.
 MAX_SORT_PARTITIONS = 32_768
 MAX_SORT_PARTITIONS_KEY = "tallyline.sort.maxPartitions"
+# A task of the first of two steps takes a range of so many bytes scanned, or more
+# where there would be more ranges than MAX_SORT_PARTITIONS.
+COARSE_RANGE_BYTES = 4 * TARGET_PARTITION_BYTES
 # Below this a further partition costs more in scheduling than it saves.
 MIN_PARTITION_BYTES = MIB // 4
 
@@ -189,6 +192,12 @@ def wanted_partitions(df: DataFrame) -> int:
     return max(1, math.ceil(size / TARGET_PARTITION_BYTES), min(cores, math.ceil(size / MIN_PARTITION_BYTES)))
 
 
+def coarse_partitions(df: DataFrame) -> int:
+    """How many ranges the first of two steps makes: the bound, or more if a range would be too large for a task."""
+    size = scan_bytes(df) or 0
+    return max(max_sort_partitions(df.sparkSession), min(MAX_SORT_PARTITIONS, math.ceil(size / COARSE_RANGE_BYTES)))
+
+
 def sort_partitions(df: DataFrame) -> int:
     """How many range partitions one shuffle of ``df`` makes."""
     return min(wanted_partitions(df), max_sort_partitions(df.sparkSession))

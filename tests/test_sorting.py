@@ -221,6 +221,21 @@ def test_a_sort_in_two_steps_goes_on_where_it_failed(spark, few_partitions, monk
     assert raws == sorted((r["raw"] for r in records.collect()), key=lambda x: (x.split(",")[1], x))
 
 
+def test_ranges_of_two_steps_stay_small(spark, few_partitions, monkeypatch):
+    """A session's low bound does not make the ranges as large as the table over the bound."""
+    monkeypatch.setattr(session, "COARSE_RANGE_BYTES", 8192)
+    monkeypatch.setattr(session, "MAX_SORT_PARTITIONS", 64)
+    records = session.repeatable(generate_records(spark, 12_000, 3, 3).repartition(2))
+    low = spark.newSession()
+    low.conf.set(session.MAX_SORT_PARTITIONS_KEY, "2")
+    records = low.read.schema("raw string").parquet(*records.inputFiles())
+    path = new_run_dir(spark, "two-steps")
+    raws = _sorted_in_two_steps(spark, records, ["name"], path)
+    assert raws == sorted((r["raw"] for r in records.collect()), key=lambda x: (x.split(",")[1], x))
+    sizes = [low.read.parquet(f"{path}/coarse/{f}").count() for f in os.listdir(f"{path}/coarse") if f.startswith("part-")]
+    assert len(sizes) > 8 and max(sizes) < 12_000 / 4
+
+
 def test_partitions_of_a_hundred_terabytes():
     """No partition of more than 64 MiB, and no shuffle of more than the bound."""
     total_bytes, bound = 100 * 10**12, session.MAX_SORT_PARTITIONS
