@@ -1,7 +1,13 @@
-"""What the training-data operators share: landing, hashes, word bytes, components."""
+"""What the training-data operators share: landing, hashes, word bytes, task memory, components."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +35,32 @@ def land(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stretches(batch: pa.RecordBatch, text: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, cut where texts reach ``size`` bytes; a longer text is a stretch of its own."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)) // size
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
+def give_back() -> None:
+    """Return memory that nothing uses any more from this Python worker to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def freeing(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """``run`` over a task's batches. Workers outlive tasks: what this one needed is not left to lie beside the next one's."""
+
+    def freed(batches: Iterable) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return freed
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that ``df`` does not have, in any case."""
     taken = {c.lower() for c in df.columns}

@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.common import MAX_BROADCAST_BYTES, WORD_ASCII, free_name, land
+from tallyline.llm.common import MAX_BROADCAST_BYTES, WORD_ASCII, free_name, freeing, land, stretches
 
 WINDOW = 10
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 SPANS = "array<struct<first:bigint,last:bigint>>"
-#: Words that are scanned at once.
-CHUNK_WORDS = 1 << 20
+#: Words that are scanned at once, and bytes of texts that are held for it beside their batch.
+CHUNK_WORDS = 1 << 17
+TEXT_BYTES = 1 << 21
 # Fixed value: odd 64-bit multiplier of the window hash.
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -171,7 +172,7 @@ def find_hits(
         index = docs.sparkSession.sparkContext.broadcast(_index(items, window))
 
         def scan(batches, index=index, again=k > 0):
-            for batch in batches:
+            for batch in (piece for whole in batches for piece in stretches(whole, text, TEXT_BYTES)):
                 counts, spans, ids = [], [], []
                 for n, runs, found in _scan_texts(index.value, batch.column(text).to_pylist()):
                     counts.append(n)
@@ -192,7 +193,7 @@ def find_hits(
                     names=[*names, "n_words", "hit_spans", "hit_items"],
                 )
 
-        out = out.mapInArrow(scan, schema)
+        out = out.mapInArrow(freeing(scan), schema)
     return out
 
 
@@ -230,7 +231,7 @@ def remove(
     shared = docs.sparkSession.sparkContext.broadcast(_index(slices[0], window))
 
     def run(batches):
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in stretches(whole, text, TEXT_BYTES)):
             texts = batch.column(text).to_pylist()
             kept = np.ones(len(texts), dtype=bool)
             for i, (n, runs, _) in enumerate(list(_scan_texts(shared.value, texts))):
@@ -243,7 +244,7 @@ def remove(
             arrays = [pa.array(texts, batch.schema.field(c).type) if c == text else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(arrays, names=names).filter(pa.array(kept))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freeing(run), docs.schema)
 
 
 def _remove_sliced(docs: DataFrame, benchmark: DataFrame, max_share: float, text: str, item: str, item_text: str, window: int, max_bytes: int) -> DataFrame:
@@ -269,7 +270,7 @@ def _remove_sliced(docs: DataFrame, benchmark: DataFrame, max_share: float, text
         if first:
             n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
             found = found.where(n_hit <= F.lit(float(max_share)) * F.col("n_words"))
-        out, first = land(found.select(*names, "hit_spans").mapInArrow(cut, schema), "decontaminated"), False
+        out, first = land(found.select(*names, "hit_spans").mapInArrow(freeing(cut), schema), "decontaminated"), False
         done.append(out.where(~F.col("was_cut")).select(*names))
         out = out.where("was_cut").select(*names)
         if not out.take(1):

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import LOWER_ASCII, MAX_BROADCAST_BYTES, components, land
+from tallyline.llm.common import LOWER_ASCII, MAX_BROADCAST_BYTES, components, freeing, land
 
 SHINGLE = 4
 THRESHOLD = (85, 100)
@@ -171,7 +171,7 @@ def _profile(docs: DataFrame, n: int) -> DataFrame:
                 names=["id", "n", "high", "low", "map"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, high long, low long, map array<long>")
+    return docs.mapInArrow(freeing(run), "id long, n long, high long, low long, map array<long>")
 
 
 def _sign(docs: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
@@ -185,7 +185,7 @@ def _sign(docs: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
                 both = np.concatenate(sigs).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(both, pa.int64()), pa.array(ids, pa.int64())], names=["sig", "id"])
 
-    return docs.mapInArrow(run, "sig long, id long")
+    return docs.mapInArrow(freeing(run), "sig long, id long")
 
 
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +321,7 @@ def _candidates(rows: DataFrame, find, threshold: tuple[int, int]) -> DataFrame:
         yield _pairs(pairs)
 
     dealt = tiled.select("sig", "tile", "id", "comp", "n", "map").repartition("sig", "tile").sortWithinPartitions("sig", "tile", "id")
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    return dealt.mapInArrow(freeing(run), "u long, v long").distinct()
 
 
 def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -360,7 +360,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     if few:
         signing = signing.join(F.broadcast(copies.select("id")), "id", "left_anti")
     signed = _sign(signing, shingle, threshold)
-    shared = signed.repartition("sig").sortWithinPartitions("sig", "id").mapInArrow(_shared, "sig long, id long")
+    shared = signed.repartition("sig").sortWithinPartitions("sig", "id").mapInArrow(freeing(_shared), "sig long, id long")
     if not few:
         shared = shared.join(copies, "id", "left").select("sig", F.coalesce("class_id", "id").alias("id"))
     shared = land(shared.distinct(), "jaccard-shared")
@@ -381,7 +381,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
             yield made.filter(keep)
 
     wanted = land(ends.join(classes.select(F.col("class_id").alias("id"), "high"), "id"), "jaccard-wanted")
-    sets = texts.join(_maybe_broadcast(wanted), "id").mapInArrow(build, "id long, set array<long>")
+    sets = texts.join(_maybe_broadcast(wanted), "id").mapInArrow(freeing(build), "id long, set array<long>")
     sets = land(sets, "jaccard-sets")
     if sets.groupBy("id").count().where("count > 1").take(1):
         sets = land(sets.dropDuplicates(["id"]), "jaccard-sets")

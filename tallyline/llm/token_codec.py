@@ -28,16 +28,16 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyline.llm.common import freeing, stretches
 from tallyline.session import write_table
 
 MAGIC = b"TKX1"
@@ -51,7 +51,7 @@ FLAG_BITS = 16
 SYMBOL_BITS = 22
 LEARN_ROUNDS = 16
 COUNT_ROUNDS = 32
-CACHE_RUNS = 200_000
+CACHE_RUNS = 60_000
 END_ID = 2
 TEXT_BYTES = 1 << 21
 
@@ -114,8 +114,9 @@ class _Encoder:
     def _shift(self, at: np.ndarray) -> None:
         if len(at):
             low = self.low[at]
-            self.lanes.append(at)
-            self.digits.append(low >> 32)
+            # A digit has 16 bits, and one for a carry.
+            self.lanes.append(at.astype(np.uint16))
+            self.digits.append((low >> 32).astype(np.int32))
             self.low[at] = (low & _LOW) << 16
             self.range[at] <<= 16
 
@@ -142,13 +143,14 @@ class _Encoder:
         every = np.arange(len(self.low))
         for _ in range(3):
             self._shift(every)
-        lane = np.concatenate(self.lanes).astype(np.uint16)
-        order = np.argsort(lane, kind="stable")
-        lane, digits = lane[order], np.concatenate(self.digits)[order]
+        lane, digits = np.concatenate(self.lanes), np.concatenate(self.digits)
+        self.lanes, self.digits = [], []
+        per_lane = np.bincount(lane, minlength=len(every))
+        digits = digits.take(np.argsort(lane, kind="stable"))
         while len(over := np.flatnonzero(digits >> 16)):
             digits[over] &= 0xFFFF
             np.add.at(digits, over - 1, 1)
-        return np.bincount(lane, minlength=len(every)), digits.astype("<u2")
+        return per_lane, digits.astype("<u2")
 
 
 class _Decoder:
@@ -351,7 +353,8 @@ class WordIds:
     if it is of letters, else through the whole tokenizer.
 
     What is known is held in two generations, so that frequent runs stay when
-    the older one is dropped.
+    the older one is dropped. A run has a number; the ids of all numbers lie one
+    after the other. Number 0 is the end of a document.
     """
 
     # Letters whose lower case and normal form are one letter, and marks that stand for themselves.
@@ -370,7 +373,6 @@ class WordIds:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["merges"]]
         # The same model without a cache of its own, which costs more than it saves: a run is asked for once.
         self.model = BPE(spec["vocab"], merges, cache_capacity=0, end_of_word_suffix=spec.get("end_of_word_suffix") or "")
-        self.end = np.int32(end_id).tobytes()
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelling = {ord(c): spell.pre_tokenize_str(c)[0][0] for c in self.LETTERS}
@@ -388,8 +390,9 @@ class WordIds:
             whole = self._through_all(low.upper() + mark + low if low == "az" else low + mark + low)
             if whole != self._letters(low) + self._through_all(mark) + self._letters(low):
                 raise ValueError("this tokenizer does not take runs of letters as units")
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+        self.ids, self.ends = np.array([end_id], dtype=np.int32), np.array([0, 1], dtype=np.int64)
 
     @classmethod
     def shared(cls, path: str, end_id: int) -> WordIds:
@@ -398,27 +401,50 @@ class WordIds:
             _WORD_IDS[path, end_id] = cls(path, end_id)
         return _WORD_IDS[path, end_id]
 
-    def _through_all(self, text: str) -> bytes:
-        return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    def _through_all(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _letters(self, run: str) -> bytes:
-        spelt = run if run.isascii() else run.translate(self.spelling)
-        return array("i", [x.id for x in self.model.tokenize(spelt)]).tobytes()
+    def _letters(self, run: str) -> list[int]:
+        return [x.id for x in self.model.tokenize(run if run.isascii() else run.translate(self.spelling))]
 
-    def _look_up(self, runs: list[str], letters: list[bool]) -> list[bytes]:
-        """The ids of distinct runs, as bytes of 32-bit integers."""
+    def _forget(self) -> None:
+        """Drop the older generation and the ids that only it had."""
+        kept = np.fromiter(self.known.values(), np.int64, len(self.known))
+        self.older, self.known = dict(zip(self.known, range(1, len(kept) + 1))), {}
+        kept = np.concatenate([[0], kept])
+        self.ids, n = self._ids_of(kept)
+        self.ends = np.concatenate([[0], np.cumsum(n)])
+
+    def _ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these numbers in turn, and how many each has."""
+        start = self.ends.take(numbers)
+        n = self.ends.take(numbers + 1) - start
+        upto = np.cumsum(n)
+        start -= upto - n
+        at = np.repeat(start, n)
+        at += np.arange(len(at))
+        return self.ids.take(at), n
+
+    def _look_up(self, runs: list[str], letters: np.ndarray) -> np.ndarray:
+        """The numbers of distinct runs."""
         if len(self.known) > CACHE_RUNS:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        found = list(map(known.get, runs))
-        for at, ids in enumerate(found):
-            if ids is None:
-                run = runs[at]
-                ids = older.get(run)
-                if ids is None:
-                    ids = self._letters(run) if letters[at] else self._through_all(run)
-                found[at] = known[run] = ids
-        return found
+            self._forget()
+        numbers = np.fromiter(map(self.known.get, runs, repeat(-1)), np.int64, len(runs))
+        asked = np.flatnonzero(numbers < 0)
+        names = [runs[k] for k in asked.tolist()]
+        again = np.fromiter(map(self.older.get, names, repeat(-1)), np.int64, len(names))
+        fresh = np.flatnonzero(again < 0)
+        ids: list[int] = []
+        ends: list[int] = []
+        for k, whole in zip(fresh.tolist(), letters[asked[fresh]].tolist()):
+            ids += self._letters(names[k]) if whole else self._through_all(names[k])
+            ends.append(len(ids))
+        again[fresh] = np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(fresh))
+        self.ends = np.concatenate([self.ends, np.array(ends, dtype=np.int64) + len(self.ids)])
+        self.ids = np.concatenate([self.ids, np.array(ids, dtype=np.int32)])
+        self.known.update(zip(names, again.tolist()))
+        numbers[asked] = again
+        return numbers
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end id after each text, and how many each text has."""
@@ -449,26 +475,15 @@ class WordIds:
         which = column.indices.to_numpy()
         letters = np.empty(len(runs), dtype=bool)
         letters[which] = kinds[first] == self.LETTER
-        ids_of = self._look_up(runs, letters.tolist())
+        numbers = self._look_up(runs, letters)
         before = np.searchsorted(first, stops)
-        pieces = np.insert(which.astype(np.int64) + 1, before, 0)
-        stops = before + np.arange(len(before))
-        # Piece 0 is the end of a document, the others are the runs.
-        flat = np.frombuffer(b"".join([self.end, *ids_of]), np.int32)
-        lengths = np.array([4, *map(len, ids_of)], dtype=np.int64) >> 2
-        n = lengths[pieces]
-        upto = np.cumsum(n)
-        ids = flat[np.arange(upto[-1]) + np.repeat((np.cumsum(lengths) - lengths)[pieces] - (upto - n), n)]
-        return ids, np.diff(upto[stops], prepend=0)
+        ids, n = self._ids_of(np.insert(numbers.take(which), before, 0))
+        return ids, np.diff(np.cumsum(n)[before + np.arange(len(before))], prepend=0)
 
 
 def _stretches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The rows of a batch, cut where texts reach ``TEXT_BYTES``; a longer text is a stretch of its own."""
-    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)) // TEXT_BYTES
-    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts, cuts[1:]):
-        if a < b:
-            yield batch.slice(a, b - a)
+    return stretches(batch, "text", TEXT_BYTES)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> None:
@@ -490,6 +505,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "do
             doc_ids = [i for ids, _, _ in held for i in ids]
             lengths = np.concatenate([x for _, x, _ in held])
             ids = np.concatenate([x for _, _, x in held])
+            held = []
             data = encode_block(doc_ids, lengths, ids, words.vocabulary)
             made = pa.RecordBatch.from_arrays(
                 [pa.array([x], t) for x, t in ((part, pa.int64()), (number, pa.int64()), (start, pa.int64()), (len(doc_ids), pa.int64()), (len(ids), pa.int64()), (data, pa.binary()))],
@@ -509,7 +525,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, key: str = "do
             yield block()
 
     schema = "part long, block long, start_in_part long, n_docs long, n_tokens long, data binary"
-    write_table(sorted_docs.mapInArrow(run, schema), path)
+    write_table(sorted_docs.mapInArrow(freeing(run), schema), path)
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -534,7 +550,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = "part long, doc_id long, start_in_part long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
-    docs = blocks.select("part", "start_in_part", "data").mapInArrow(run, schema)
+    docs = blocks.select("part", "start_in_part", "data").mapInArrow(freeing(run), schema)
     return docs.join(F.broadcast(before), "part").select(
         "doc_id", (F.coalesce("before", F.lit(0)) + F.col("start_in_part")).alias("start"), *docs.columns[3:]
     )

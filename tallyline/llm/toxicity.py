@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.common import key_bits, land
+from tallyline.llm.common import freeing, key_bits, land
 
 MAX_ROWS_PER_CLASS = 8000
 MAX_TERMS = 5000
@@ -317,7 +317,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                 toxic.extend([y] * len(new))
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(toxic, pa.int32())], names=["word", "toxic"])
 
-    forms = sample.mapInArrow(misspelled, "word string, toxic int").groupBy("word").agg(F.sum("toxic").alias("pos"), F.count("*").alias("n"))
+    forms = sample.mapInArrow(freeing(misspelled), "word string, toxic int").groupBy("word").agg(F.sum("toxic").alias("pos"), F.count("*").alias("n"))
     harmless = [r["word"] for r in forms.where("n - pos >= 1 and n - pos > 0.2 * n").orderBy(F.desc("n"), "word").limit(MAX_TERMS).collect()]
     model = ToxicityModel(terms, stems, harmless, [])
 
@@ -327,7 +327,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             x = [features(*matcher.hits(t), model.purity) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("toxic")], names=["x", "toxic"])
 
-    rows = sample.mapInArrow(featurise, T.StructType([T.StructField("x", T.ArrayType(T.DoubleType())), sample.schema["toxic"]])).collect()
+    rows = sample.mapInArrow(freeing(featurise), T.StructType([T.StructField("x", T.ArrayType(T.DoubleType())), sample.schema["toxic"]])).collect()
     model.weights = _fit(np.array([r["x"] for r in rows]), np.array([r["toxic"] for r in rows], dtype=float))
     return model
 
@@ -356,4 +356,4 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
             columns += [pa.array(entries, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *results])
 
-    return docs.select(*names).mapInArrow(run, schema)
+    return docs.select(*names).mapInArrow(freeing(run), schema)

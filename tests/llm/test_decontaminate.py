@@ -1,13 +1,32 @@
 from __future__ import annotations
 
+import os
 import random
 import re
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyline.llm import decontaminate
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+# MB of a process that has freed what a task held, all but every thousandth piece: without and with giving back.
+HUNGRY = """
+from tallyline.llm.common import freeing
+def hungry(batches):
+    held = [bytes(5000) for _ in range(40_000)]
+    batches.extend(held[::1000])
+    yield 0
+def used():
+    return int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+kept = []
+list(hungry(kept))
+before = used()
+list(freeing(hungry)(kept))
+print(before, used())
+"""
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -105,3 +124,32 @@ def test_share_counts_the_hits_of_all_slices(spark, documents, max_bytes):
     assert sorted(rows) == [1, 2, 3, 4]
     assert words(rows[1]["text"]) == words(rows[2]["text"]) == words(own) and rows[3]["text"] == own and rows[4]["text"] is None
     assert {r["hit_spans"] for r in rows.values()} == {"kept aside"}
+
+
+def test_a_batch_is_scanned_in_small_pieces(spark, monkeypatch):
+    """A worker takes the words of a few texts of a batch at a time; results are those of whole batches."""
+    passage = " ".join(f"p{k}" for k in range(12))
+    own = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    rows = [(k, None if k % 7 == 0 else own(k) if k % 3 else f"{own(k)} {passage} {own(k + 1)}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([("a", passage)], "item_id string, text string")
+    removed = lambda: sorted(tuple(r) for r in decontaminate.remove(docs, items).collect())
+    hits = lambda: sorted((r["doc_id"], r["n_words"], str(r["hit_spans"]), str(r["hit_items"])) for r in decontaminate.find_hits(docs, items).collect())
+    whole = removed(), hits()
+    assert len(whole[0]) == 300 and not any(passage in (t or "") for _, t in whole[0])
+    scan = decontaminate._scan_texts
+
+    def small(index, texts):
+        assert sum(len((t or "").encode()) for t in texts) < 2 * 4096
+        return scan(index, texts)
+
+    monkeypatch.setattr(decontaminate, "TEXT_BYTES", 4096)
+    monkeypatch.setattr(decontaminate, "_scan_texts", small)
+    assert (removed(), hits()) == whole
+
+
+def test_a_worker_gives_memory_back():
+    """What a task needed and freed does not stay with the worker."""
+    left = subprocess.run([sys.executable, "-c", HUNGRY], capture_output=True, text=True, timeout=60, cwd=ROOT)
+    kept, freed = map(int, left.stdout.split())
+    assert freed < kept - 50, left
