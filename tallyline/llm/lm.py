@@ -145,14 +145,18 @@ class EliasFano:
         low = x & ((1 << self.shift) - 1)
         end = self._select(bucket, self.zeros, True) - bucket
         i = np.where(bucket > 0, self._select(np.maximum(bucket - 1, 0), self.zeros, True) - bucket + 1, 0)
-        same = np.zeros(len(x), dtype=bool)
-        open_ = np.flatnonzero(i < end)
+        # Buckets of clustered values are long, so they are halved and not walked.
+        stop = end.copy()
+        open_ = np.flatnonzero(i < stop)
         while len(open_):
-            found = self._low(i[open_])
-            same[open_] = found == low[open_]
-            open_ = open_[found < low[open_]]
-            i[open_] += 1
-            open_ = open_[i[open_] < end[open_]]
+            middle = (i[open_] + stop[open_]) >> 1
+            below = self._low(middle) < low[open_]
+            i[open_[below]] = middle[below] + 1
+            stop[open_[~below]] = middle[~below]
+            open_ = open_[i[open_] < stop[open_]]
+        same = i < end
+        at = np.flatnonzero(same)
+        same[at] = self._low(i[at]) == low[at]
         return i, same
 
 

@@ -31,6 +31,20 @@ def test_elias_fano(values, stretch):
     assert (same == np.isin(x, values)).all()
 
 
+@pytest.mark.parametrize("repeats", [1, 3])
+def test_long_buckets_are_not_walked(monkeypatch, repeats):
+    # One bucket holds all but the last value, as that of a frequent follower does.
+    values = np.append(np.repeat(np.arange(0, 8192, 2), repeats), 1 << 32)
+    ef = lm.EliasFano.build(values, (1 << 32) + 1)
+    reads, low = [], lm.EliasFano._low
+    monkeypatch.setattr(lm.EliasFano, "_low", lambda self, i: reads.append(len(i)) or low(self, i))
+    x = np.append(np.arange(8200), 1 << 32)
+    i, same = ef.successor(x)
+    assert (i == np.searchsorted(values, x)).all()
+    assert (same == np.isin(x, values)).all()
+    assert sum(reads) <= 16 * len(x)
+
+
 def test_trie_on_disk(tmp_path):
     rng = np.random.default_rng(4)
     keys = np.unique(rng.integers(0, 900, 20_000) << lm.ID_BITS | rng.integers(0, 50_000, 20_000))
