@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import LOWER_ASCII, land
+from tallyline.llm.common import LOWER_ASCII, freeing, land, stretches
 
 #: Tokens whose ids and counts are broadcast; it bounds no result.
 CACHED = 1 << 18
@@ -59,19 +59,26 @@ ID_BITS = 20
 #: Ids of a shard's part of a batch.
 PART_BITS = 31
 BATCH_DOCS = 1 << 12
-BATCH_WORDS = 1 << 18
+BATCH_WORDS = 1 << 17
 #: Pairs that a task holds, at 16 bytes each, before it deals them to shards.
 HELD_PAIRS = 1 << 22
 #: Bytes of packed rows that are handed on at once.
 EMIT_BYTES = 1 << 23
 SHARD_PAIRS = 1 << 20
 COUNT_WORDS = 1 << 18
+#: Bytes of texts, and values of a shard, that are worked on at once: what lies beside them stays small.
+TEXT_BYTES = 1 << 21
+STEP = 1 << 16
 #: No token is a blank, as tokens hold no white space.
 END = b" "
 
 _U = np.uint64
 
 
+def _steps(n: int) -> Iterator[slice]:
+    return (slice(a, min(n, a + STEP)) for a in range(0, n, STEP))
+
+
 def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(LOWER_ASCII).split()
 
@@ -89,16 +96,18 @@ class EliasFano:
     def build(cls, values: np.ndarray, bound: int) -> EliasFano:
         n = len(values)
         shift = max(0, (bound // max(n, 1)).bit_length() - 1)
-        at = np.arange(n, dtype=np.int64) * shift
         low = np.zeros(n * shift // 64 + 2, dtype=np.uint64)
-        if shift:
-            part = values.astype(np.uint64) & _U((1 << shift) - 1)
-            word, bit = at >> 6, (at & 63).astype(np.uint64)
-            np.bitwise_or.at(low, word, part << bit)
-            over = bit + _U(shift) > _U(64)
-            np.bitwise_or.at(low, word[over] + 1, part[over] >> (_U(64) - bit[over]))
         bits = np.zeros((n + (bound >> shift) + 2 + 63) // 64 * 64, dtype=np.uint8)
-        bits[(values >> shift) + np.arange(n)] = 1
+        for step in _steps(n):
+            i = np.arange(step.start, step.stop, dtype=np.int64)
+            bits[(values[step] >> shift) + i] = 1
+            if shift:
+                part = values[step].astype(np.uint64) & _U((1 << shift) - 1)
+                at = i * shift
+                word, bit = at >> 6, (at & 63).astype(np.uint64)
+                np.bitwise_or.at(low, word, part << bit)
+                over = bit + _U(shift) > _U(64)
+                np.bitwise_or.at(low, word[over] + 1, part[over] >> (_U(64) - bit[over]))
         return cls(n, shift, low, np.packbits(bits, bitorder="little").view(np.uint64))
 
     def save(self, stem: str) -> None:
@@ -171,10 +180,12 @@ class NgramTrie:
         """``keys``: follower << bits | context, ascending."""
         w = keys >> bits
         first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(keys) else np.empty(0, dtype=np.int64)
-        rank = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
-        relative = (rank << bits) | (keys & ((1 << bits) - 1))
+        w = w[first]
+        relative = np.repeat(np.arange(len(first)) << bits, np.diff(np.append(first, len(keys))))
+        for step in _steps(len(keys)):
+            relative[step] |= keys[step] & ((1 << bits) - 1)
         return cls(
-            EliasFano.build(w[first], 1 << bits),
+            EliasFano.build(w, 1 << bits),
             EliasFano.build(np.append(first, len(keys)), len(keys) + 1),
             EliasFano.build(relative, max(1, len(first)) << bits),
             np.clip(np.rint(-log10 * QUANT), 0, 65535).astype(np.uint16),
@@ -209,16 +220,16 @@ class NgramTrie:
     def log10(self, keys: np.ndarray) -> np.ndarray:
         """The stored log10 values; nan where the trie has no such pair."""
         out = np.full(len(keys), np.nan)
-        if not self.contexts.n or not len(keys):
-            return out
-        rank, known = self.followers.successor(keys >> self.bits)
-        at = np.flatnonzero(known)
-        rank = rank[at]
-        # Relative to its follower: only the range the pointers give can hold the context.
-        low, high = self.pointers.access(rank), self.pointers.access(rank + 1)
-        i, same = self.contexts.successor((rank << self.bits) | (keys[at] & ((1 << self.bits) - 1)))
-        found = same & (i >= low) & (i < high)
-        out[at[found]] = self.quantised[i[found]] / -float(QUANT)
+        for step in _steps(len(keys) if self.contexts.n else 0):
+            asked = keys[step]
+            rank, known = self.followers.successor(asked >> self.bits)
+            at = np.flatnonzero(known)
+            rank = rank[at]
+            # Relative to its follower: only the range the pointers give can hold the context.
+            low, high = self.pointers.access(rank), self.pointers.access(rank + 1)
+            i, same = self.contexts.successor((rank << self.bits) | (asked[at] & ((1 << self.bits) - 1)))
+            found = same & (i >= low) & (i < high)
+            out[step.start + at[found]] = self.quantised[i[found]] / -float(QUANT)
         return out
 
 
@@ -265,7 +276,7 @@ def _count(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(list(counted), pa.binary()), n if train else none, none if train else n], names=["word", "c", "other"])
                     counted.clear()
 
-        for batch in batches:
+        for batch in (b for whole in batches for b in stretches(whole, "text", TEXT_BYTES)):
             for train, text in zip(batch.column("train").to_pylist(), batch.column("text").to_pylist()):
                 counted = seen[train]
                 counted.update(tokens_of(text))
@@ -274,7 +285,7 @@ def _count(docs: DataFrame) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    made = docs.select("train", "text").mapInArrow(run, "word binary, c long, other long")
+    made = docs.select("train", "text").mapInArrow(freeing(run), "word binary, c long, other long")
     return made.groupBy("word").agg(F.sum("c").alias("c"), F.sum("other").alias("other"))
 
 
@@ -405,9 +416,9 @@ def _code(docs: DataFrame, vocabulary, shards: int, merge: bool) -> DataFrame:
             if sum(len(p[0]) for p in coded_parts) >= HELD_PAIRS:
                 yield from deal()
 
-        def stretches() -> Iterator[list[tuple]]:
+        def held_documents() -> Iterator[list[tuple]]:
             held, size = [], 0
-            for batch in batches:
+            for batch in (b for whole in batches for b in stretches(whole, "text", TEXT_BYTES)):
                 for i, train, text in zip(*(batch.column(c).to_pylist() for c in ("id", "train", "text"))):
                     tokens = tokens_of(text)
                     if held and len(tokens) >= BATCH_WORDS:
@@ -423,7 +434,7 @@ def _code(docs: DataFrame, vocabulary, shards: int, merge: bool) -> DataFrame:
                 yield held
 
         def all_rows() -> Iterator[dict]:
-            for held in stretches():
+            for held in held_documents():
                 yield from rows(held)
             if coded_parts:
                 yield from deal()
@@ -441,15 +452,15 @@ def _code(docs: DataFrame, vocabulary, shards: int, merge: bool) -> DataFrame:
         if made:
             yield record_batch(made)
 
-    return docs.mapInArrow(run, CODED)
+    return docs.mapInArrow(freeing(run), CODED)
 
 
-def _score_pairs(pairs: DataFrame, vocabulary, shards: int, smoothing: float) -> DataFrame:
+def _score_pairs(pairs: DataFrame, frequent, shards: int, smoothing: float) -> DataFrame:
     """Per batch, parts of its documents' log10 sums, and what tokens without an id add to known tokens and base scores."""
 
     def run(batches):
-        known, _ = vocabulary.value
-        cached = len(known.counts)
+        cached_counts, cached_unigram, mass = frequent.value
+        cached = len(cached_counts)
         rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("batch", "n", "keys", "docs", "counts", "hashes", "n_hashes")))]
         if not rows:
             return
@@ -467,37 +478,47 @@ def _score_pairs(pairs: DataFrame, vocabulary, shards: int, smoothing: float) ->
             long = both >= cached
             both[long] = ids[both[long] - cached]
             keys.append(both[0] << bits | both[1])
-        keys = np.concatenate(keys)
+        sizes = [r[1] for r in rows]
         doc = np.concatenate([_unpack(r[3], np.uint32, r[1], opener) for r in rows])
-        counts = np.concatenate([_unpack(r[4], np.uint32, r[1], opener) for r in rows]).astype(np.int64)
-        doc, train = (doc >> np.uint32(1)).astype(np.int64), doc & np.uint32(1)
+        counts = np.concatenate([_unpack(r[4], np.uint32, r[1], opener) for r in rows])
+        numbers, rows, part, rank = [r[0] for r in rows], None, None, None
+        # A shard has some million pairs: an array of all of them goes as soon as it can.
+        keys = np.concatenate(keys)
         asked, place = np.unique(keys, return_inverse=True)
-        c = np.bincount(place, counts * train, len(asked))
-        w = asked >> bits
+        keys, place = None, place.astype(np.uint32)
+        c = np.bincount(place, counts * (doc & np.uint32(1)), len(asked))
         # A token without an id has all its occurrences as a follower here.
-        long = w >= cached
-        own = np.bincount(w[long] - cached, c[long], len(hashes))
-        mass = np.concatenate([known.counts, own])[w] + smoothing
-        prior = smoothing * np.concatenate([known.unigram, (own + 1) / (known.total + known.distinct + 1)])[w]
+        long = np.searchsorted(asked, cached << bits)
+        own = np.bincount((asked[long:] >> bits) - cached, c[long:], len(hashes))
+        followers = np.concatenate([cached_counts, own])
+        unigram = np.concatenate([cached_unigram, (own + 1) / mass])
+
+        def smoothed(step: slice, times) -> np.ndarray:
+            w = asked[step] >> bits
+            return np.log10((times + smoothing * unigram[w]) / (followers[w] + smoothing))
+
         in_model = c > 0
-        trie = NgramTrie.build(asked[in_model], np.log10((c[in_model] + prior[in_model]) / mass[in_model]), bits).mapped()
-        stored = trie.log10(asked)
-        value = np.where(np.isnan(stored), np.log10(prior / mass), stored)
-        parts = counts * value[place]
-        ends = np.cumsum([r[1] for r in rows])
-        made = []
-        for r, b in zip(rows, ends.tolist()):
-            a = b - r[1]
-            sums = np.bincount(doc[a:b], parts[a:b])
-            at = np.flatnonzero(np.bincount(doc[a:b]))
-            token = keys[a:b] >> bits
+        learned = np.concatenate([smoothed(step, c[step])[in_model[step]] for step in _steps(len(asked))])
+        c = None
+        trie = NgramTrie.build(asked[in_model], learned, bits).mapped()
+        learned = in_model = None
+        value = trie.log10(asked)
+        for step in _steps(len(asked)):
+            value[step] = np.where(np.isnan(value[step]), smoothed(step, 0.0), value[step])
+        made, b = [], 0
+        for number, size in zip(numbers, sizes):
+            a, b = b, b + size
+            docs, pair, n = (doc[a:b] >> np.uint32(1)).astype(np.int64), place[a:b], counts[a:b].astype(np.int64)
+            sums = np.bincount(docs, n * value[pair])
+            at = np.flatnonzero(np.bincount(docs))
+            token = asked[pair] >> bits
             long = np.flatnonzero(token >= cached)
-            times, seen = counts[a:b][long], own[token[long] - cached]
-            long = doc[a:b][long]
+            times, seen = n[long], own[token[long] - cached]
+            long = docs[long]
             found = np.bincount(long, times * (seen > 0))
             base = np.bincount(long, times * np.log10(seen + 1.0))
             long = np.unique(long[seen > 0])
-            made.append((r[0], at, sums[at], long, found[long].astype(np.int64), base[long]))
+            made.append((number, at, sums[at], long, found[long].astype(np.int64), base[long]))
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in made], t) for i, t in enumerate(types)], names=names)
 
     names = ["batch", "at", "sums", "rare_at", "rare_known", "rare_base"]
@@ -506,7 +527,7 @@ def _score_pairs(pairs: DataFrame, vocabulary, shards: int, smoothing: float) ->
     # A shard is a task: it is its own partition number.
     dealt = pairs.select("shard", "batch", "n", "keys", "docs", "counts", "hashes", "n_hashes").repartitionById(shards, "shard")
     return dealt.mapInArrow(
-        run, "batch long, at array<long>, sums array<double>, rare_at array<long>, rare_known array<long>, rare_base array<double>"
+        freeing(run), "batch long, at array<long>, sums array<double>, rare_at array<long>, rare_known array<long>, rare_base array<double>"
     )
 
 
@@ -534,7 +555,7 @@ def _add_up(parts: DataFrame) -> DataFrame:
                 names=["batch", "at", "pairs", "more_known", "more_base"],
             )
 
-    return parts.repartition("batch").mapInArrow(run, "batch long, at long, pairs double, more_known long, more_base double")
+    return parts.repartition("batch").mapInArrow(freeing(run), "batch long, at long, pairs double, more_known long, more_base double")
 
 
 def _least_count(counts: DataFrame, size: int, count: Column) -> int:
@@ -565,25 +586,27 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     # A token only held-out documents have can be as frequent in a shard as any.
     count = F.col("c") if merge else F.col("c") + F.col("other")
     top = counts.where(count >= _least_count(counts, size if merge else CACHED, count)).toArrow()
-    words, frequent = top.column("word").to_pylist(), top.column("c").to_pylist()
+    words, trained = top.column("word").to_pylist(), top.column("c").to_pylist()
     met = (top.column("c").to_numpy() + top.column("other").to_numpy()).tolist()
     if END not in words:
         # The end always has an id; only a tiny vocabulary would leave it out.
         ends = counts.where(F.col("word") == F.lit(END)).collect()
         words.append(END)
-        frequent.append(sum(r["c"] for r in ends))
+        trained.append(sum(r["c"] for r in ends))
         met.append(sum(r["c"] + r["other"] for r in ends))
-    known = Vocabulary(words, frequent, total, distinct)
+    known = Vocabulary(words, trained, total, distinct)
     rare_mass = float(known.rare_mass)
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-everything // SHARD_PAIRS))
     # Followers too frequent for one shard are split by context.
     hot = np.array([everything, *met]) > max(1, everything // (8 * shards))
     shared = spark.sparkContext.broadcast((known, hot))
+    # Shards need no words.
+    frequent = spark.sparkContext.broadcast((known.counts, known.unigram, total + distinct + 1))
 
     coded = land(_code(rows, shared, shards, merge), "lm-coded", ("kind",))
     info = coded.where("kind = 'info'").select("batch", "first", F.posexplode(F.arrays_zip("ids", "train", "n_tokens", "n_known", "base")).alias("at", "d"))
     info = info.select("batch", (F.col("first") + F.col("at")).alias("at"), "d.*")
-    pairs = _add_up(_score_pairs(coded.where("kind = 'pairs'"), shared, shards, smoothing))
+    pairs = _add_up(_score_pairs(coded.where("kind = 'pairs'"), frequent, shards, smoothing))
     made = info.join(pairs, ["batch", "at"])
     n_known, base, total_score = F.col("n_known") + F.col("more_known"), F.col("base") + F.col("more_base"), F.col("pairs")
     if merge:

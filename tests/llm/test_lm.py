@@ -4,15 +4,18 @@ import math
 import random
 import re
 import string
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyline.llm import lm
+from tallyline.llm import common, lm
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -59,6 +62,79 @@ def test_trie_on_disk(tmp_path):
     assert np.isnan(lm.NgramTrie.build(keys[:0], value[:0]).mapped().log10(keys)).all()
 
 
+def peak_bytes(run):
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_trie_is_built_and_asked_in_steps():
+    # One follower is in many steps, most are in one with others; some keys are not there.
+    rng = np.random.default_rng(5)
+    keys = np.unique(np.append(rng.integers(0, 900, 400_000), np.full(200_000, 7)) << lm.ID_BITS | rng.integers(0, 1 << lm.ID_BITS, 600_000))
+    value = -rng.random(len(keys)) * 8
+    trie, built = peak_bytes(lambda: lm.NgramTrie.build(keys[::2], value[::2]))
+    got, asked = peak_bytes(lambda: trie.log10(keys))
+    assert np.abs(got[::2] - value[::2]).max() <= 0.5 / lm.QUANT and np.isnan(got[1::2]).all()
+    assert built <= 5 * keys[::2].nbytes
+    assert asked <= 4 * keys.nbytes
+
+
+@pytest.mark.parametrize("step", [1, 3, 64])
+def test_steps_do_not_show(monkeypatch, step):
+    monkeypatch.setattr(lm, "STEP", step)
+    rng = np.random.default_rng(step)
+    keys = np.unique(rng.integers(0, 9, 300) << lm.ID_BITS | rng.integers(0, 5000, 300))
+    value = -rng.random(len(keys)) * 8
+    trie = lm.NgramTrie.build(keys, value)
+    assert (trie.contexts.access(np.arange(len(keys))) & ((1 << lm.ID_BITS) - 1) == keys & ((1 << lm.ID_BITS) - 1)).all()
+    assert np.abs(trie.log10(keys) - value).max() <= 0.5 / lm.QUANT
+    assert np.isnan(trie.log10(np.setdiff1d(np.arange(10) << lm.ID_BITS, keys))).all()
+
+
+class Captured:
+    """Stands for a DataFrame: gives what its tasks would run."""
+
+    def select(self, *_):
+        return self
+
+    repartitionById = select
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+def test_a_shard_is_scored_in_little_memory_and_workers_give_theirs_back(monkeypatch):
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    rng = np.random.default_rng(6)
+    words = np.array([f"w{i}" for i in range(20_000)])
+    docs = [" ".join(rng.choice(words[: 40 if i % 2 else None], 300)) for i in range(1500)]
+    met = Counter(w for d in docs for w in lm.tokens_of(d))
+    cached = [w for w, _ in met.most_common(5000)] + [lm.END]
+    known = lm.Vocabulary(cached, [met[w] or len(docs) for w in cached], met.total() + len(docs), len(met) + 1)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs))), pa.array([True] * len(docs)), pa.array(docs)], names=["id", "train", "text"])
+    code = lm._code(Captured(), SimpleNamespace(value=(known, np.zeros(len(cached) + 1, dtype=bool))), 1, False)
+    coded = pa.Table.from_batches(code(iter([batch])))
+    assert len(given) == 1
+    pairs = coded.filter(pa.compute.equal(coded["kind"], "pairs"))
+    shard = lm._score_pairs(Captured(), SimpleNamespace(value=(known.counts, known.unigram, known.total + known.distinct + 1)), 1, 3.0)
+    made, peak = peak_bytes(lambda: list(shard(iter(pairs.to_batches()))))
+    assert len(given) == 2
+    at, sums = (np.concatenate([np.array(v) for b in made for v in b.column(c).to_pylist()]) for c in ("at", "sums"))
+    assert sorted(set(at.tolist())) == list(range(len(docs)))
+    assert peak <= 110 * sum(pairs["n"].to_pylist())
+    tokens = [[lm.END, *lm.tokens_of(d), lm.END] for d in docs]
+    c, of = Counter(p for t in tokens for p in zip(t, t[1:])), met + Counter({lm.END: len(docs)})
+    mass = known.total + known.distinct + 1
+    for d in (0, 1, 1499):
+        want = sum(math.log10((c[h, w] + 3.0 * (of[w] + 1) / mass) / (of[w] + 3.0)) for h, w in zip(tokens[d], tokens[d][1:]))
+        assert sums[at == d].sum() == pytest.approx(want, abs=301 / lm.QUANT)
+
+
 def brute(rows, held, size, smoothing):
     tokens = [WORD.findall((t or "").translate(LOWER)) + [" "] for _, t in rows]
     counts, pairs = Counter(), Counter()
